@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from sparkwharf.llm import line_dedup, simhash
+from sparkwharf.llm import line_dedup, simhash, token_store, topk
 
 QUERIES = {
+    "op5_token_binary": token_store.op5_token_binary,
+    "op7_exact_topk": topk.op7_exact_topk,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
     "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 
-SQL = {"op10_line_dedup": line_dedup.OP10_SQL}
+SQL = {"op7_exact_topk": topk.OP7_SQL, "op10_line_dedup": line_dedup.OP10_SQL}
