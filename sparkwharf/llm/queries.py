@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from sparkwharf.llm import line_dedup, simhash, token_store, topk
+from sparkwharf.llm import line_dedup, simhash, token_store, topk, unigram
 
 QUERIES = {
+    "op1_token_counts": unigram.op1_token_counts,
     "op5_token_binary": token_store.op5_token_binary,
     "op7_exact_topk": topk.op7_exact_topk,
+    "op8_sentencepiece": unigram.op8_sentencepiece,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
     "op10_line_dedup": line_dedup.op10_line_dedup,
 }
