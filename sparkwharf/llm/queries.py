@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from sparkwharf.llm import line_dedup, simhash, token_store, topk, unigram
+from sparkwharf.llm import line_dedup, simhash, token_store, topk, toxicity, unigram
 
 QUERIES = {
     "op1_token_counts": unigram.op1_token_counts,
+    "op2_toxicity": toxicity.op2_toxicity,
     "op5_token_binary": token_store.op5_token_binary,
     "op7_exact_topk": topk.op7_exact_topk,
     "op8_sentencepiece": unigram.op8_sentencepiece,
