@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from sparkwharf.llm import decontaminate, line_dedup, simhash, token_store, topk, toxicity, unigram
+from sparkwharf.llm import decontaminate, line_dedup, maxent, simhash, token_store, topk, toxicity, unigram
 
 QUERIES = {
     "op1_token_counts": unigram.op1_token_counts,
     "op2_toxicity": toxicity.op2_toxicity,
     "op4_benchmark_decontamination": decontaminate.op4_benchmark_decontamination,
     "op5_token_binary": token_store.op5_token_binary,
+    "op6_lm_scoring": maxent.op6_lm_scoring,
     "op7_exact_topk": topk.op7_exact_topk,
     "op8_sentencepiece": unigram.op8_sentencepiece,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
