@@ -57,14 +57,15 @@ def simhash(text: str | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``id, fp`` per row; ``fp`` holds the 64 bits as a signed long."""
+    """``id, f, fp`` per row; ``fp`` holds the 64 bits as a signed long, ``f`` tells apart texts under one id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.fromiter((simhash(t.as_py(), shingle) for t in batch.column("text")), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(fps.view(np.int64))], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("f"), pa.array(fps.view(np.int64))], ["id", "f", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("f"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(run, "id long, f long, fp long")
 
 
 def covering_masks(radius: int, bits: int = BITS) -> list[int]:
@@ -96,14 +97,23 @@ def fingerprint_links(fps: DataFrame, radius: int = 2) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, radius: int = 2, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, fp, component_id`` per row; ``component_id`` is the smallest id reachable by links."""
+    """``id, f, fp, root, component_id`` per row; ``component_id`` is the smallest id reachable by links, ``root`` the smallest fingerprint."""
     fps = staged(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     n_rows = fps.count()
     classes = staged(fps.groupBy("fp").agg(F.min("id").alias("low"), F.count(F.lit(1)).alias("n")), "fingerprint_classes")
     roots = connected_components(fingerprint_links(classes.select("fp"), radius))
     rooted = classes.join(roots, F.col("fp") == F.col("node"), "left").withColumn("root", F.coalesce("root", "fp")).drop("node")
     lows = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    return join_unique(fps, staged(rooted.join(lows, "root").select("fp", "component_id", "n"), "fingerprint_components"), "fp", n_rows)
+    return join_unique(fps, staged(rooted.join(lows, "root").select("fp", "root", "component_id", "n"), "fingerprint_components"), "fp", n_rows)
+
+
+def keep_one(docs: DataFrame, radius: int = 2, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: the one of the smallest id, nulls last."""
+    found = near_duplicates(docs, radius, shingle, id_col, text_col)
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "f")).alias("w")).select(F.col("w.id").alias("_id"), F.col("w.f").alias("_f"))
+    of_text = docs.withColumn("_f0", F.xxhash64(F.col(text_col)))
+    kept = of_text.join(staged(first, "component_winners"), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_f0") == F.col("_f")), "left_semi")
+    return kept.dropDuplicates([id_col, "_f0"]).select(docs.columns)
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
