@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from sparkwharf.llm import decontaminate, line_dedup, maxent, simhash, token_store, topk, toxicity, unigram
+from sparkwharf.llm import decontaminate, line_dedup, maxent, simhash, token_store, topk, toxicity, unigram, warc
 
 QUERIES = {
     "op1_token_counts": unigram.op1_token_counts,
     "op2_toxicity": toxicity.op2_toxicity,
+    "op3_warc_derivatives": warc.op3_warc_derivatives,
     "op4_benchmark_decontamination": decontaminate.op4_benchmark_decontamination,
     "op5_token_binary": token_store.op5_token_binary,
     "op6_lm_scoring": maxent.op6_lm_scoring,
