@@ -41,6 +41,7 @@ REPETITIONS = 16
 GROUP_WORDS = 500_000
 #: Words of text embedded at once.
 BLOCK_WORDS = 1 << 19
+_TABLE = 1 << 21
 _MULTIPLY = np.int64(1_000_003)
 _MARKS = string.punctuation.encode()
 
@@ -63,6 +64,13 @@ class Index:
         owner = np.repeat(np.arange(len(items)), [len(x) for x in self.items])
         offset = np.concatenate([np.arange(len(x)) for x in self.items]) if items else np.zeros(0, np.int64)
         at = np.repeat(starts, [len(x) for x in self.items]) + offset
+        # supersets by hash, for conditions that a match must meet: words of an item, and beginnings of a walk's keys
+        self.has = np.zeros(_TABLE, bool)
+        self.has[self._slot(owner, flat[at])] = True
+        self.least = np.array([len(x) for x in self.items], np.int64) - self.edits
+        self.begins = np.zeros((repetitions, _TABLE), bool)
+        for r in range(repetitions):
+            self.keys(flat, at, r, learn=True)
         self.tables = []
         back = np.full(len(flat), -1)
         back[at] = np.arange(len(at))
@@ -72,8 +80,16 @@ class Index:
             row = back[pos[order]]
             self.tables.append((key[order], owner[row], offset[row]))
 
-    def keys(self, flat: np.ndarray, at: np.ndarray, r: int) -> tuple[np.ndarray, np.ndarray]:
-        """Walk r from every place in ``at``: the places whose sampled words are all known, and their keys."""
+    @staticmethod
+    def _slot(item: np.ndarray, word: np.ndarray) -> np.ndarray:
+        x = item * np.int64(2_654_435_761) + word
+        return (x ^ (x >> 15)) & (_TABLE - 1)
+
+    def keys(self, flat: np.ndarray, at: np.ndarray, r: int, learn: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Walk r from every place in ``at``: the places whose sampled words are all known, and their keys.
+
+        Places whose first two sampled words begin no item's key are left early.
+        """
         now, key = at, np.zeros(len(at), np.int64)
         for step in range(STEPS[-1] + 1):
             word = flat[now]
@@ -82,6 +98,13 @@ class Index:
                 if not known.all():
                     at, now, key, word = at[known], now[known], key[known], word[known]
                 key = key * _MULTIPLY + word
+                if step == STEPS[1]:
+                    slot = (key ^ (key >> 20)) & (_TABLE - 1)
+                    if learn:
+                        self.begins[r, slot] = True
+                        return at, key
+                    known = self.begins[r, slot]
+                    at, now, key, word = at[known], now[known], key[known], word[known]
             if step < STEPS[-1]:
                 now = now + self.bits[r, step][word]
         return at, key
@@ -104,13 +127,20 @@ class Index:
         place, item = np.concatenate(found, axis=1)
         text = np.searchsorted(starts, np.maximum(place, 0) + self._slack(item), side="right") - 1
         cell = 16
-        _, first = np.unique(np.stack([text, item, place // cell]), axis=1, return_index=True)
+        order = np.lexsort((place // cell, item, text))
+        text, item, place = text[order], item[order], place[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(text) != 0) | (np.diff(item) != 0) | (np.diff(place // cell) != 0)
+        first = np.flatnonzero(new)
         best: dict[tuple[int, int], tuple[int, int]] = {}
         for k in range(0, len(first), 2048):
             part = first[k : k + 2048]
             low = place[part] // cell * cell - self.edits[item[part]]
             high = low + cell + 2 * self.edits[item[part]] + np.array([len(self.items[i]) for i in item[part]], np.int64)
-            edits = self.verify(flat, np.maximum(low, 0), np.minimum(high, len(flat)), item[part])
+            low, high = np.maximum(low, 0), np.minimum(high, len(flat))
+            enough = self._enough_words(flat, low, high, item[part])
+            part, low, high = part[enough], low[enough], high[enough]
+            edits = self.verify(flat, low, high, item[part])
             for t, i, e, a in zip(text[part].tolist(), item[part].tolist(), edits.tolist(), low.tolist(), strict=True):
                 if e <= self.edits[i] and (t, i) not in best or e < best.get((t, i), (0, 0))[0]:
                     best[t, i] = e, max(0, a - int(starts[t]))
@@ -119,6 +149,15 @@ class Index:
     def _slack(self, item: np.ndarray) -> np.ndarray:
         return np.array([len(x) // 2 for x in self.items], np.int64)[item]
 
+    def _enough_words(self, flat: np.ndarray, low: np.ndarray, high: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """Whether flat[low:high] has as many words of the item as a match must share with it; never false for a match."""
+        lens = high - low
+        ends = np.cumsum(lens)
+        row = np.repeat(np.arange(len(low)), lens)
+        word = flat[np.arange(int(ends[-1]) if len(ends) else 0) - (ends - lens)[row] + low[row]]
+        hit = self.has[self._slot(item[row], word)] & (word > 0)
+        return np.bincount(row, weights=hit, minlength=len(low)) >= self.least[item]
+
     def verify(self, flat: np.ndarray, low: np.ndarray, high: np.ndarray, item: np.ndarray) -> np.ndarray:
         """Least edits between each item and any stretch of flat[low:high]; all pairs advance together."""
         width = int((high - low).max(initial=0))

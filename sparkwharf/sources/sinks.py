@@ -9,9 +9,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparkwharf.operators import write_modes as wm
 from sparkwharf.sources.specs import TableSpec, conform
@@ -51,10 +53,8 @@ class Store:
 
     def write(self, spec: TableSpec, batch: DataFrame) -> None:
         """Apply a batch (with ``_seq`` where the mode needs arrival order) by the table's mode."""
-        seq = batch.select(F.col("_seq")).schema if "_seq" in batch.columns else None
-        rows = conform(batch, spec)
-        if seq is not None:
-            rows = conform(batch, TableSpec(spec.name, spec.schema.add("_seq", "long") if "_seq" not in spec.schema.names else spec.schema))
+        with_seq = T.StructType([*spec.schema.fields, T.StructField("_seq", T.LongType())])
+        rows = conform(batch, replace(spec, schema=with_seq))
         table = self.read(spec)
         if spec.mode == "append":
             new = table.unionByName(rows.select(spec.schema.names))
