@@ -141,7 +141,9 @@ def within_gate(dx: Column, dy: Column, most: float) -> Column:
 def quantise(value: Column, low: Column, high: Column) -> Column:
     """0..255 between bounds; 128 for a constant field, null for NaN."""
     scaled = F.round((value - low) / F.nullif(high - low, F.lit(0.0)) * 255)
-    return F.when(F.isnan(value) | value.isNull(), None).otherwise(F.coalesce(F.least(F.greatest(scaled, F.lit(0.0)), F.lit(255.0)), F.lit(128.0)).cast("int"))
+    # greatest() and least() pass over nulls, so a constant field is told apart first
+    clamped = F.when(scaled.isNull(), F.lit(128.0)).otherwise(F.least(F.greatest(scaled, F.lit(0.0)), F.lit(255.0)))
+    return F.when(F.isnan(value) | value.isNull(), None).otherwise(clamped.cast("int"))
 
 
 def orbit_class(mean_motion: Column) -> Column:

@@ -114,13 +114,13 @@ def period_end(start: Column, month: Column, day: Column) -> Column:
 
 
 def day_hour_minute(group: Column, reference: Column) -> Column:
-    """``ddHHmmZ`` in the month of ``reference``, or the month before if that lies over 20 days ahead."""
+    """``ddHHmmZ`` in the month of ``reference``, or the month before if that lies over 20 days ahead or has no such day."""
     part = lambda i: F.regexp_extract(group, "^([0-9]{2})([0-9]{2})([0-9]{2})Z?$", i).try_cast("int")
     at = lambda month: F.try_to_timestamp(
         F.concat(F.date_format(month, "yyyy-MM"), F.format_string("-%02d %02d:%02d", part(1), part(2), part(3))), F.lit("yyyy-MM-dd HH:mm")
     )
     this, last = at(reference), at(F.add_months(reference, -1))
-    return F.when(this > reference.cast("timestamp") + F.expr("INTERVAL 20 DAYS"), last).otherwise(this)
+    return F.when(this.isNull() | (this > reference.cast("timestamp") + F.expr("INTERVAL 20 DAYS")), last).otherwise(this)
 
 
 def model_cycle(as_of: Column, lag_hours: int = 4, every_hours: int = 6) -> Column:

@@ -23,7 +23,7 @@ def con():
 
 def plain(frame: pd.DataFrame) -> list[tuple]:
     def cell(v):
-        if v is None or v is pd.NaT or (isinstance(v, float) and math.isnan(v)):
+        if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
             return "~"
         if isinstance(v, bool) or not isinstance(v, (int, float)) and not hasattr(v, "dtype"):
             return str(v)
