@@ -188,7 +188,9 @@ def read_store(manifest: DataFrame, folder: str) -> DataFrame:
                         )
                         start += int(ends[-1])
 
-    files = manifest.filter("n_docs > 0").repartition("part")
+    files = manifest.filter("n_docs > 0")
+    # a row stands for a whole file, so adaptive execution must not merge these small partitions: the number is fixed
+    files = files.repartition(max(1, files.count()), "part")
     return files.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
