@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwharf.llm import decontaminate, line_dedup, simhash, toxicity, unigram
+from sparkwharf.llm import decontaminate, line_dedup, near_copies, toxicity, unigram
 from sparkwharf.llm.common import staged
 
 
@@ -32,8 +32,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: the one of the smallest id."""
-    return simhash.keep_one(docs)
+    """One document of each group of near copies (five-word similarity 0.8 or more) stays: the one of the smallest id."""
+    return near_copies.keep_one(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
