@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -82,12 +85,24 @@ def match_tracks(trips: DataFrame, tracks: DataFrame) -> DataFrame:
     ``trips(trip, origin, dest, stops array)``, ``tracks(track, station, progress, origin, dest)``.
     Tracks of exactly the same ends go first, else those that hold both ends in order; the best has
     the least share of backward steps, then most stops covered, then the better kind, then the smaller name.
+    Each distinct stop list is scored once: against the tracks of its ends, and against all that share a station only where none of those fits.
     """
-    legs = trips.select("trip", "origin", "dest", F.size("stops").alias("n"), F.posexplode("stops").alias("i", "station"))
-    on = legs.join(tracks.select("track", "station", "progress", F.col("origin").alias("_o"), F.col("dest").alias("_d")), "station")
-    w = Window.partitionBy("trip", "track").orderBy("i")
+    stops = ["origin", "dest", "stops"]
+    tr = tracks.select("track", "station", "progress", F.col("origin").alias("_o"), F.col("dest").alias("_d"))
+    lists = trips.select(*stops).distinct()
+    legs = lists.select(*stops, F.size("stops").alias("n"), F.posexplode("stops").alias("i", "station"))
+    same = _best_tracks(legs.join(tr, (F.col("origin") == F.col("_o")) & (F.col("dest") == F.col("_d")) & (legs["station"] == tr["station"])).drop(tr["station"]), stops)
+    null_safe = lambda l, r: reduce(and_, [l[c].eqNullSafe(r[c]) for c in stops])
+    left = legs.join(same, null_safe(legs, same), "left_anti")
+    best = same.unionByName(_best_tracks(left.join(tr, "station"), stops))
+    return trips.join(best, null_safe(trips, best)).select("trip", "track")
+
+
+def _best_tracks(on: DataFrame, stops: list[str]) -> DataFrame:
+    """The best track of each stop list among the stops met by a track."""
+    w = Window.partitionBy(*stops, "track").orderBy("i")
     step = F.col("progress") - F.lag("progress").over(w)
-    per = on.withColumn("step", step).groupBy("trip", "track").agg(
+    per = on.withColumn("step", step).groupBy(*stops, "track").agg(
         F.count_if(F.col("step") > 0).alias("ahead"),
         F.count_if(F.col("step") < 0).alias("back"),
         (F.count_distinct("station") / F.first("n")).alias("cover"),
@@ -98,7 +113,7 @@ def match_tracks(trips: DataFrame, tracks: DataFrame) -> DataFrame:
     fits = per.filter(F.col("exact") | (F.col("p0") < F.col("p1")))
     kind = F.when(F.col("track").startswith("OD-"), 0).when(F.col("track").startswith("SP-"), 1).when(F.col("track").startswith("BB-"), 2).otherwise(3)
     share = F.coalesce(F.try_divide("back", F.col("ahead") + F.col("back")), F.lit(0.0))
-    return fits.groupBy("trip").agg(F.min_by("track", F.struct(~F.col("exact"), share, -F.col("cover"), kind, F.col("track"))).alias("track"))
+    return fits.groupBy(*stops).agg(F.min_by("track", F.struct(~F.col("exact"), share, -F.col("cover"), kind, F.col("track"))).alias("track"))
 
 
 def reconcile(a: DataFrame, b: DataFrame, key: list[str], value: str) -> DataFrame:

@@ -90,6 +90,11 @@ def displacement(spark, sf):
     return st.displacement_class(table(spark, sf, "events").filter("event_id % 11 = 0"), "user_id", F.col("event_id"))
 
 
+@query("g30_displacement_whole")
+def displacement_whole(spark, sf):
+    return st.displacement_class(table(spark, sf, "events"), "user_id", F.col("event_id"))
+
+
 @query("g31_g32_latest", "SELECT event_type, max(strftime(ts, '%Y-%m-%d')) AS latest, max_by(user_id, (ts, event_id)) AS last_user, max(ts) < TIMESTAMP '2024-01-30' AS lost FROM events GROUP BY 1")
 def latest(spark, sf):
     lost = F.max("ts") < F.lit("2024-01-30 00:00:00").cast("timestamp_ntz")

@@ -144,8 +144,17 @@ def sentinels(spark, sf):
 SELECT user_id, 'SRID=4326;POINT(' || printf('%.6f', 121 + (min(event_id) % 89) / 1000.0) || ' ' || printf('%.6f', 24 + (min(event_id) % 97) / 1000.0) || ')' AS first,
 CASE WHEN count(*) >= 2 THEN 'SRID=4326;LINESTRING(' || string_agg(printf('%.6f', 121 + (event_id % 89) / 1000.0) || ' ' || printf('%.6f', 24 + (event_id % 97) / 1000.0), ', ' ORDER BY event_id) || ')' END AS line FROM events WHERE event_id % 50 = 0 GROUP BY 1""")
 def wkt(spark, sf):
+    return _wkt(table(spark, sf, "events").filter("event_id % 50 = 0"))
+
+
+@query("x1_x2_x5_wkt_whole")
+def wkt_whole(spark, sf):
+    return _wkt(table(spark, sf, "events"))
+
+
+def _wkt(events):
     e = F.col("event_id")
-    p = table(spark, sf, "events").filter(e % 50 == 0).select("user_id", F.struct(e.alias("k"), (F.lit(121.0) + (e % 89) / F.lit(1000.0)).alias("lng"), (F.lit(24.0) + (e % 97) / F.lit(1000.0)).alias("lat")).alias("p"))
+    p = events.select("user_id", F.struct(e.alias("k"), (F.lit(121.0) + (e % 89) / F.lit(1000.0)).alias("lng"), (F.lit(24.0) + (e % 97) / F.lit(1000.0)).alias("lat")).alias("p"))
     a = p.groupBy("user_id").agg(F.array_sort(F.collect_list("p")).alias("ps"))
     return a.select("user_id", geo.point_wkt(F.col("ps")[0]["lng"], F.col("ps")[0]["lat"]).alias("first"), geo.line_wkt(F.col("ps")).alias("line"))
 

@@ -82,9 +82,18 @@ w AS (SELECT p.*, CASE WHEN dir <> 'B' AND EXISTS (SELECT 1 FROM s WHERE s.road
 h AS (SELECT id, count(*) AS hits, min_by(section, (low, section)) AS section FROM w JOIN s ON s.road = w.road AND (want IS NULL OR s.dir = want) AND km BETWEEN low AND high GROUP BY id)
 SELECT id, CASE WHEN NOT has_road THEN 'no_section' WHEN hits IS NULL THEN 'km_out' WHEN hits = 1 THEN 'matched' ELSE 'multi_match' END AS status, section FROM w LEFT JOIN h USING (id)""")
 def sections(spark, sf):
+    return _sections(spark, sf, table(spark, sf, "part").filter("p_partkey <= 600"))
+
+
+@query("j15_range_sections_whole")
+def sections_whole(spark, sf):
+    return _sections(spark, sf, table(spark, sf, "part"))
+
+
+def _sections(spark, sf, part):
     k, e = F.col("p_partkey"), F.col("event_id")
     road = lambda c, n: F.concat(F.lit("r"), (c % n).cast("string"))
-    s = table(spark, sf, "part").filter("p_partkey <= 600").select(road(k, 5).alias("road"), F.when(k % 2 == 0, "N").otherwise("S").alias("dir"), (k * 3 % 1000).cast("double").alias("low"), (k * 3 % 1000 + F.col("p_size") % 5).cast("double").alias("high"), k.alias("section"))
+    s = part.select(road(k, 5).alias("road"), F.when(k % 2 == 0, "N").otherwise("S").alias("dir"), (k * 3 % 1000).cast("double").alias("low"), (k * 3 % 1000 + F.col("p_size") % 5).cast("double").alias("high"), k.alias("section"))
     p = table(spark, sf, "events").select(e.alias("id"), road(e, 6).alias("road"), F.element_at(F.array(*map(F.lit, "NSBX")), (e % 4 + 1).cast("int")).alias("dir"), (e * 7 % 1100).cast("double").alias("km"))
     return lookups.match_sections(p, s, 5.0)
 
@@ -127,12 +136,20 @@ j AS (SELECT *, progress - lag(progress) OVER (PARTITION BY trip, track ORDER BY
 s AS (SELECT trip, track, count(*) FILTER (step > 0) AS up, count(*) FILTER (step < 0) AS down, count(DISTINCT station) / any_value(n)::DOUBLE AS cover, bool_or(a = o AND b = d) AS exact, max(CASE WHEN station = o THEN progress END) AS p0, max(CASE WHEN station = d THEN progress END) AS p1 FROM j GROUP BY ALL)
 SELECT trip, track FROM s WHERE exact OR p0 < p1 QUALIFY row_number() OVER (PARTITION BY trip ORDER BY NOT exact, CASE WHEN up + down > 0 THEN down / (up + down)::DOUBLE ELSE 0 END, -cover, CASE left(track, 3) WHEN 'OD-' THEN 0 WHEN 'SP-' THEN 1 WHEN 'BB-' THEN 2 ELSE 3 END, track) = 1""")
 def tracks(spark, sf):
+    return _tracks(table(spark, sf, "part").filter("p_partkey <= 120"), table(spark, sf, "orders").filter("o_orderkey <= 3000"))
+
+
+@query("j20_o8_tracks_whole")
+def tracks_whole(spark, sf):
+    return _tracks(table(spark, sf, "part"), table(spark, sf, "orders"))
+
+
+def _tracks(p, orders):
     k, o = F.col("p_partkey"), F.col("o_orderkey")
-    p = table(spark, sf, "part").filter("p_partkey <= 120")
     name = F.concat(F.element_at(F.array(*map(F.lit, ("OD-", "SP-", "BB-", "ZZ-"))), (k % 4 + 1).cast("int")), k.cast("string"))
     base = p.select(name.alias("track"), (k % 11).alias("origin"), (k % 7 + 21).alias("dest"), F.arrays_zip(F.array(k % 11, k % 11 + 1, k % 11 + 3, k % 7 + 21).alias("station"), F.array(F.lit(0).cast("long"), 1 + k % 3, F.lit(2).cast("long"), F.lit(4).cast("long")).alias("progress")).alias("s"))
     tr = base.select("track", "origin", "dest", F.explode("s").alias("s")).select("track", "origin", "dest", "s.station", "s.progress")
-    t = table(spark, sf, "orders").filter("o_orderkey <= 3000").select(o.alias("trip"), (o % 11).alias("origin"), (o % 7 + 21).alias("dest"), F.array(o % 11, o % 11 + 1, o % 11 + 3, o % 7 + 21).alias("stops"))
+    t = orders.select(o.alias("trip"), (o % 11).alias("origin"), (o % 7 + 21).alias("dest"), F.array(o % 11, o % 11 + 1, o % 11 + 3, o % 7 + 21).alias("stops"))
     return lookups.match_tracks(t, tr)
 
 

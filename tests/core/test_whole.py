@@ -1,0 +1,33 @@
+"""Queries over whole tables against the SQL of their limited forms, with the limits taken out."""
+
+import pytest
+
+from sparkwharf.plans import registry
+
+from .test_queries import SF, con, plain  # noqa: F401
+
+LIMITS = {
+    "j20_o8_tracks": (" WHERE p_partkey <= 120", " WHERE o_orderkey <= 3000"),
+    "j15_range_sections": (" WHERE p_partkey <= 600",),
+    "x1_x2_x5_wkt": (" WHERE event_id % 50 = 0",),
+    "g30_displacement": (" WHERE event_id % 11 = 0",),
+}
+
+
+def whole_sql(name):
+    sql = registry.SQL[name]
+    for limit in LIMITS.get(name, ()):
+        assert sql.count(limit) == 1
+        sql = sql.replace(limit, "")
+    if name == "u5_all_days_trails":
+        days = "generate_series(DATE '2024-01-01', DATE '2024-01-10', INTERVAL 1 DAY)"
+        assert sql.count(days) == 1
+        sql = sql.replace(days, "generate_series((SELECT min(ts)::DATE - 2 FROM events), (SELECT max(ts)::DATE + 2 FROM events), INTERVAL 1 DAY)")
+    return sql
+
+
+@pytest.mark.parametrize("name", [*LIMITS, "u5_all_days_trails"])
+def test_whole_tables(spark, con, name):  # noqa: F811
+    got, want = registry.QUERIES[f"{name}_whole"](spark, SF).toPandas(), con.sql(whole_sql(name)).df()
+    assert sorted(got.columns) == sorted(want.columns)
+    assert plain(got) == plain(want)
