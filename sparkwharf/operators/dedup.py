@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,17 +23,18 @@ def near_pairs(rows: DataFrame, most: int = 3) -> DataFrame:
     return a.join(b, ["band", "part"]).filter((F.col("earlier") < F.col("later")) & (F.bit_count(F.col("s1").bitwiseXOR(F.col("s2"))) <= most)).select("later", "earlier").distinct()
 
 
-def greedy_keep(rows: DataFrame, most: int = 3, max_rounds: int = 200) -> DataFrame:
+def greedy_keep(rows: DataFrame, most: int = 3, max_rounds: int | None = None) -> DataFrame:
     """Rows of ``rows(seq, sig)`` that no kept earlier row resembles, as a pass in arrival order would keep them.
 
     Equal signatures are folded to their first row. Among the rest a round decides
     every row of which all earlier neighbours are decided; the rounds are as many as the longest chain of neighbours.
+    Rounds go on until every row is decided; more than ``max_rounds`` of them, if given, are an error.
     """
     spark = rows.sparkSession
     first = rows.groupBy("sig").agg(F.min("seq").alias("seq")).select("seq", "sig")
     pairs = near_pairs(first, most).checkpoint() if spark.sparkContext.getCheckpointDir() else near_pairs(first, most).persist()
     state = pairs.select(F.col("later").alias("seq")).distinct().withColumn("kept", F.lit(None).cast("boolean"))
-    for _ in range(max_rounds):
+    for done in count(1):
         known = pairs.join(state.select(F.col("seq").alias("earlier"), "kept", F.lit(True).alias("in_state")), "earlier", "left")
         # rows without earlier neighbours are kept from the start
         verdict = known.withColumn("k", F.when(F.col("in_state").isNull(), True).otherwise(F.col("kept"))).groupBy(F.col("later").alias("seq")).agg(
@@ -41,4 +44,6 @@ def greedy_keep(rows: DataFrame, most: int = 3, max_rounds: int = 200) -> DataFr
         state = state.checkpoint() if spark.sparkContext.getCheckpointDir() else state.persist()
         if not state.filter("kept IS NULL").limit(1).count():
             break
+        if max_rounds is not None and done >= max_rounds:
+            raise RuntimeError(f"rows still undecided after {max_rounds} rounds")
     return first.join(state.filter("NOT kept").select("seq"), "seq", "left_anti")
