@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
+from collections.abc import Callable, Iterable, Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,13 +13,65 @@ from pyspark.sql import functions as F
 MAX_HEAVY_KEYS = 2000
 
 
+class Memo:
+    """Results of a pure function of short texts, held within ``LIMIT`` bytes of keys and values.
+
+    Two generations: what is met goes to the young one; when that has its half, it becomes the
+    old one, so texts that are met often stay and others go.
+    """
+
+    LIMIT, LONGEST = 24 << 20, 64
+
+    def __init__(self, make: Callable):
+        self.make, self.young, self.old, self.held = make, {}, {}, 0
+
+    def _find(self, key: str):
+        found = self.old.get(key)
+        if found is None:
+            found = self.make(key)
+        if len(key) <= self.LONGEST:
+            self.young[key] = found
+            # a dictionary slot is about 100 bytes; numbers inside a tuple 28 each
+            self.held += 100 + sys.getsizeof(key) + sys.getsizeof(found) + (28 * len(found) if isinstance(found, tuple) else 0)
+            if self.held > self.LIMIT // 2:
+                self.young, self.old, self.held = {}, self.young, 0
+        return found
+
+    def __call__(self, key: str):
+        found = self.young.get(key)
+        return self._find(key) if found is None else found
+
+    def of(self, keys: Iterable[str]) -> Iterator:
+        """No result may be None."""
+        find = self._find
+        for key in keys:
+            found = self.young.get(key)
+            yield find(key) if found is None else found
+
+    def clear(self) -> None:
+        self.young, self.old, self.held = {}, {}, 0
+
+
+_LIVE: dict[tuple, Memo] = {}
+
+
+def worker_memo(name: tuple, build: Callable[[], Callable]) -> Memo:
+    """The memo of one function in this worker; a worker, which many stages may share, keeps one memo only."""
+    if name not in _LIVE:
+        _LIVE.clear()
+        _LIVE[name] = Memo(build())
+    return _LIVE[name]
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Where the session names none (tests, a laptop) a folder beside the
-    warehouse is used.
+    Where the session names none, a folder beside the warehouse serves a local
+    master (tests, a laptop); a cluster must name one, as its machines may not share that.
     """
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
 
 

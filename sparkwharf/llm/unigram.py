@@ -1,17 +1,23 @@
 """Operators 1 and 8: unigram token counts, and streaming SentencePiece encoding and decoding.
 
-Both take a SentencePiece model's pieces and scores as a unigram vocabulary. The
-segmentation is the one of highest total score under the tokenizer's rules: at a
-boundary the candidates come in order of their start, so the longest last piece
-first, and only a strictly higher score replaces one; a character that is no
-piece itself may stand alone at the lowest score less ten, and is
-written as its UTF-8 bytes. Sums are exact here; the library sums in 32-bit
-floats, whose rounding beyond 2^24 can turn near-ties of very long texts.
+Both segment by a unigram vocabulary: the segmentation of highest total score under the
+tokenizer's rules. At a boundary the candidates come in order of their start,
+so the longest last piece first, and only a strictly higher score replaces
+one; a character that is no piece itself may stand alone at the lowest score of
+a normal piece less ten, and is written as its UTF-8 bytes.
+
+The model is a SentencePiece file. A unigram file's own log probabilities are used. A BPE
+file has none, its "scores" are merge ranks; its pieces get the log probabilities of a Zipf-Mandelbrot
+law of their rank (:func:`unigram_proto`), a fixed rule with nothing fitted, rounded to
+sixteenths, so that sums are exact in floating point and ties are true ties. The library loaded with :func:`unigram_proto`
+gives the same ids for every document of sf0.01 (tested), and for one text of 2.9 million
+ids. A unigram file with finer scores is summed in 64 bits; the library's
+narrower sums may then order equal pieces otherwise ("&&" before "&"), which it did in 13 of 1,000 documents.
 
 White space becomes a mark; where no piece has a mark behind another character,
 every path has a boundary there, and also around characters that no piece holds.
-Texts are cut at those boundaries and each distinct stretch is resolved once
-per worker; long stretches are not remembered.
+Texts are cut at those boundaries and each distinct short stretch is resolved once
+for as long as a worker's memo holds it.
 
 Cases: null and empty texts have no tokens; repeated rows are encoded each; null ids
 stay; an empty table gives an empty result; other columns are ignored.
@@ -19,6 +25,7 @@ stay; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Callable, Iterator
 from functools import cache
@@ -28,37 +35,69 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparkwharf.llm.common import Memo, worker_memo
+
 MARK = "▁"
-#: Distinct stretches a worker remembers before it starts anew, and the longest of them.
-MEMO, MEMO_CHARS = 1_000_000, 64
 UNKNOWN_PENALTY = 10.0
+# Kinds of pieces and of models in a SentencePiece file.
+NORMAL, USER_DEFINED, UNUSED, BYTE = 1, 4, 5, 6
+UNIGRAM, BPE = 1, 2
+#: Shift of the Zipf-Mandelbrot law, and the steps of its log probabilities.
+SHIFT, GRAIN = 2.7, 1 / 16
+
+
+@cache
+def unigram_proto(path: str) -> bytes:
+    """The model file as a unigram model; ranks of a BPE file become log probabilities of the law 1 / (rank + SHIFT)."""
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    model = pb.ModelProto()
+    with open(path, "rb") as src:
+        model.ParseFromString(src.read())
+    if model.trainer_spec.model_type == BPE:
+        model.trainer_spec.model_type = UNIGRAM
+        normal = [p for p in model.pieces if p.type == NORMAL]
+        whole = math.log(sum(1 / (r + SHIFT) for r in range(len(normal))))
+        for rank, piece in enumerate(normal):
+            piece.score = round((-math.log(rank + SHIFT) - whole) / GRAIN) * GRAIN
+    elif model.trainer_spec.model_type != UNIGRAM:
+        raise ValueError("neither a unigram nor a BPE model")
+    if any(p.type == USER_DEFINED for p in model.pieces):
+        raise ValueError("user-defined pieces are not supported")
+    return model.SerializeToString()
 
 
 class Vocabulary:
-    """Pieces with scores, the byte pieces, and where texts can be cut."""
+    """Pieces with scores, the byte pieces, their automaton, and where texts can be cut."""
 
-    def __init__(self, model_path: str):
+    def __init__(self, path: str):
+        import ahocorasick
         import sentencepiece
 
-        sp = sentencepiece.SentencePieceProcessor(model_file=model_path)
+        sp = sentencepiece.SentencePieceProcessor(model_proto=unigram_proto(path))
         self.normalize = sp.normalize
         ids = range(sp.get_piece_size())
-        self.names = [sp.id_to_piece(i) for i in ids]
-        self.pieces = {self.names[i]: (i, sp.get_score(i)) for i in ids if not (sp.is_unknown(i) or sp.is_control(i) or sp.is_byte(i) or sp.is_unused(i))}
-        self.bytes = {int(self.names[i][3:5], 16): i for i in ids if sp.is_byte(i)}
+        names = [sp.id_to_piece(i) for i in ids]
+        own = [i for i in ids if not (sp.is_unknown(i) or sp.is_control(i) or sp.is_byte(i) or sp.is_unused(i))]
+        pieces = {names[i]: (len(names[i]), i, sp.get_score(i)) for i in own}
+        self.bytes = {int(names[i][3:5], 16): i for i in ids if sp.is_byte(i)}
         if len(self.bytes) < 256:
             raise ValueError("the model has no byte pieces to fall back on")
-        self.unknown = min(s for _, s in self.pieces.values()) - UNKNOWN_PENALTY
-        self.longest = max(map(len, self.pieces))
-        if any(MARK in p.lstrip(MARK) for p in self.pieces):
-            raise ValueError("pieces reach over white space")
-        self.cut_lines = not any("\n" in p for p in self.pieces)
+        scores = [s for _, _, s in pieces.values()]
+        self.n_ids, self.unknown = len(names), min(scores) - UNKNOWN_PENALTY
+        self.longest = max(map(len, pieces))
+        self.cut_words = not any(MARK in p.lstrip(MARK) for p in pieces)
+        self.cut_lines = not any("\n" in p for p in pieces)
+        self.automaton = ahocorasick.Automaton()
+        for piece, entry in pieces.items():
+            self.automaton.add_word(piece, entry)
+        self.automaton.make_automaton()
         byte_ids = {i: bytes([b]) for b, i in self.bytes.items()}
-        self.spelled = [byte_ids.get(i, b"" if sp.is_control(i) else self.names[i].replace(MARK, " ").encode()) for i in ids]
+        self.spelled = [byte_ids.get(i, b"" if sp.is_control(i) else names[i].replace(MARK, " ").encode()) for i in ids]
+        self.id_type = np.dtype("<u2" if self.n_ids <= 1 << 16 else "<u4")
 
-    def stretches(self, text: str | None) -> list[str]:
+    def stretches(self, text: str) -> list[str]:
         """The normalised text, cut where every path has a boundary; no cut is missed inside plain prose."""
-        text = self.normalize(text or "")
         if "\n" in text and self.cut_lines:
             return [x for k, line in enumerate(text.split("\n")) for x in (["\n"] * (k > 0) + self._words(line))]
         return self._words(text)
@@ -66,6 +105,8 @@ class Vocabulary:
     def _words(self, line: str) -> list[str]:
         if not line:
             return []
+        if not self.cut_words:
+            return [line]
         if MARK * 2 in line or line[-1] == MARK:
             return re.findall(f"{MARK}*[^{MARK}]+|{MARK}+", line)
         first, *rest = line.split(MARK)
@@ -73,82 +114,81 @@ class Vocabulary:
 
 
 class Counter:
-    """Number of pieces by a Viterbi pass over the matches of an Aho-Corasick automaton."""
+    """Number of pieces by a Viterbi pass over the matches of an Aho-Corasick automaton.
 
-    def __init__(self, vocabulary: Vocabulary):
-        import ahocorasick
+    Of each boundary within one piece length, only the best score and its piece count are carried.
+    """
 
-        self.unknown, self.automaton = vocabulary.unknown, ahocorasick.Automaton()
-        for piece, (_, score) in vocabulary.pieces.items():
-            self.automaton.add_word(piece, (len(piece), score))
-        self.automaton.make_automaton()
+    def __init__(self, vocabulary: Vocabulary):
+        self.v = vocabulary
 
     def count(self, text: str) -> int:
-        best, pieces, done = [0.0], [0], 0  # of each boundary up to ``done``
+        v, size, unknown = self.v, self.v.longest + 1, self.v.unknown
+        best, pieces, done, end = [0.0] * size, [0] * size, 0, len(text)  # rings, by boundary
         score, n, single = None, 0, False
-
-        def close() -> None:
-            nonlocal score, n, single, done
+        matches = v.automaton.iter(text)
+        last, match = next(matches, (end, None))
+        while done < end:
+            while last == done:
+                length, _, gain = match
+                start = (done + 1 - length) % size
+                total = best[start] + gain
+                if score is None or total > score:
+                    score, n = total, pieces[start] + 1
+                single |= length == 1
+                last, match = next(matches, (end, None))
             if not single:
-                alone = best[done] + self.unknown
+                alone = best[done % size] + unknown
                 if score is None or alone > score:
-                    score, n = alone, pieces[done] + len(text[done].encode("utf-8", "surrogatepass"))
-            best.append(score)
-            pieces.append(n)
-            score, single, done = None, False, done + 1
-
-        for last, (length, gain) in self.automaton.iter(text):
-            while done < last:
-                close()
-            start = last + 1 - length
-            total = best[start] + gain
-            if score is None or total > score:
-                score, n = total, pieces[start] + 1
-            single |= length == 1
-        while done < len(text):
-            close()
-        return pieces[-1]
+                    score, n = alone, pieces[done % size] + len(text[done].encode("utf-8", "surrogatepass"))
+            done += 1
+            best[done % size], pieces[done % size] = score, n
+            score, single = None, False
+        return pieces[done % size]
 
 
 class Encoder:
-    """Ids by a streaming Viterbi pass over a trie.
+    """Ids by a streaming Viterbi pass over the same matches.
 
-    Scores are kept for the boundaries within one piece length ahead only. Ids
+    Scores are kept for the boundaries within one piece length only. Ids
     are committed, and their backpointers freed, whenever the paths
     of all boundaries still open run through one boundary.
     """
 
     def __init__(self, vocabulary: Vocabulary):
-        self.v, self.trie = vocabulary, {}
-        for piece, entry in vocabulary.pieces.items():
-            node = self.trie
-            for c in piece:
-                node = node.setdefault(c, {})
-            node[""] = entry
+        self.v = vocabulary
 
     def stream(self, text: str) -> Iterator[list[int]]:
-        v, size = self.v, len(text)
-        score, back, committed = {0: 0.0}, {}, 0
-        for start in range(size):
-            here, node, single = score.pop(start), self.trie, False
-            for end in range(start + 1, min(size, start + v.longest) + 1):
-                node = node.get(text[end - 1])
-                if node is None:
-                    break
-                if "" in node:
-                    piece, gain = node[""]
-                    if end not in score or here + gain > score[end]:
-                        score[end], back[end] = here + gain, (start, piece)
-                    single |= end == start + 1
-            if not single and (start + 1 not in score or here + v.unknown > score[start + 1]):
-                score[start + 1], back[start + 1] = here + v.unknown, (start, None)
-            if len(score) == 1 or start % v.longest == 0:
-                open_ends = set(score)
-                while len(open_ends) > 1:
-                    far = max(open_ends)
-                    open_ends.remove(far)
-                    open_ends.add(back[far][0])
-                shared = open_ends.pop()
+        v = self.v
+        size, unknown, end = v.longest + 1, v.unknown, len(text)
+        best, done, committed = [0.0] * size, 0, 0  # a ring, by boundary
+        back: dict[int, tuple[int, int | None]] = {}
+        score, path, single = None, None, False
+        matches = v.automaton.iter(text)
+        last, match = next(matches, (end, None))
+        while done < end:
+            while last == done:
+                length, piece, gain = match
+                total = best[(done + 1 - length) % size] + gain
+                if score is None or total > score:
+                    score, path = total, (done + 1 - length, piece)
+                single |= length == 1
+                last, match = next(matches, (end, None))
+            if not single:
+                alone = best[done % size] + unknown
+                if score is None or alone > score:
+                    score, path = alone, (done, None)
+            done += 1
+            best[done % size], back[done] = score, path
+            score, single = None, False
+            if done % size == 0 or done == end:
+                # all that comes starts at one of the last ``longest`` boundaries, or ends here
+                opened = {done} if done == end else set(range(max(committed, done - size + 2), done + 1))
+                while len(opened) > 1:
+                    far = max(opened)
+                    opened.remove(far)
+                    opened.add(back[far][0])
+                shared = opened.pop()
                 if shared > committed:
                     yield self._path(text, back, committed, shared)
                     committed = shared
@@ -159,61 +199,42 @@ class Encoder:
             start, piece = back[at]
             out.append([piece] if piece is not None else [self.v.bytes[b] for b in text[start:at].encode("utf-8", "surrogatepass")])
             at = start
-        for end in [e for e in back if e <= high]:
-            del back[end]
+        for e in range(low + 1, high + 1):
+            del back[e]
         return [i for ids in reversed(out) for i in ids]
 
     def encode(self, text: str) -> list[int]:
         return [i for part in self.stream(text) for i in part]
 
 
-class Memo(dict):
-    """Results of short stretches; starts anew when full."""
-
-    def __init__(self, make: Callable):
-        super().__init__()
-        self.make = make
-
-    def __missing__(self, stretch: str):
-        made = self.make(stretch)
-        if len(stretch) <= MEMO_CHARS:
-            self[stretch] = made
-        return made
-
-    def of(self, stretches: list[str]) -> Iterator:
-        if len(self) > MEMO:
-            self.clear()
-        return map(self.__getitem__, stretches)
-
-
 @cache
 def vocabulary(path: str) -> Vocabulary:
-    return Vocabulary(path)
+    made = Vocabulary(path)
+    unigram_proto.cache_clear()
+    return made
 
 
-@cache
 def count_memo(path: str) -> Memo:
-    return Memo(Counter(vocabulary(path)).count)
+    return worker_memo(("count", path), lambda: Counter(vocabulary(path)).count)
 
 
-@cache
 def encode_memo(path: str) -> Memo:
-    encoder = Encoder(vocabulary(path))
-    kind = id_type(vocabulary(path))
-    return Memo(lambda s: np.array(encoder.encode(s), kind).tobytes())
+    def build() -> Callable[[str], bytes]:
+        v = vocabulary(path)
+        encoder = Encoder(v)
+        return lambda s: np.array(encoder.encode(s), v.id_type).tobytes()
 
-
-def id_type(v: Vocabulary) -> np.dtype:
-    return np.dtype("<u2" if len(v.names) <= 1 << 16 else "<u4")
+    return worker_memo(("encode", path), build)
 
 
 def count_text(text: str | None, path: str) -> int:
-    return sum(count_memo(path).of(vocabulary(path).stretches(text)))
+    v = vocabulary(path)
+    return sum(count_memo(path).of(v.stretches(v.normalize(text or ""))))
 
 
 def encode_text(text: str | None, path: str) -> np.ndarray:
     v = vocabulary(path)
-    return np.frombuffer(b"".join(encode_memo(path).of(v.stretches(text))), id_type(v))
+    return np.frombuffer(b"".join(encode_memo(path).of(v.stretches(v.normalize(text or "")))), v.id_type)
 
 
 def decode_ids(ids: np.ndarray, path: str) -> str:
@@ -240,13 +261,15 @@ def encode_documents(docs: DataFrame, model_path: str, text_col: str = "text", d
     added = "_ids array<int>" + ", _decoded string" * decode
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = [encode_text(t.as_py(), model_path) for t in batch.column(text_col)]
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-            arrays = [*batch.columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*ids, np.zeros(0, np.uint16)]).astype(np.int32)))]
-            if decode:
-                arrays.append(pa.array([decode_ids(x, model_path) for x in ids], pa.string()))
-            yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, "_ids", *["_decoded"] * decode])
+        for whole in batches:
+            for at in range(0, whole.num_rows, 512):
+                batch = whole.slice(at, 512)
+                ids = [encode_text(t.as_py(), model_path) for t in batch.column(text_col)]
+                offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+                arrays = [*batch.columns, pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*ids, np.zeros(0, np.uint16)]).astype(np.int32)))]
+                if decode:
+                    arrays.append(pa.array([decode_ids(x, model_path) for x in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, "_ids", *["_decoded"] * decode])
 
     return docs.mapInArrow(run, f"{kinds}, {added}")
 

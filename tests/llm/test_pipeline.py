@@ -1,12 +1,10 @@
-import public_tokenizers
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 import sentencepiece
-from sentencepiece import sentencepiece_model_pb2
 
 import corpus_pipeline
-from sparkwharf.llm import decontaminate, simhash
+from sparkwharf.llm import decontaminate, simhash, unigram
 
 from .test_decontaminate import least_edits
 from .test_line_dedup import brute as line_brute
@@ -47,10 +45,7 @@ def test_run_against_brute_force(spark, sf_dir):
         groups[of[simhash.simhash(docs[d])]] = d
     docs = {d: docs[d] for d in groups.values()}
     docs = {d: t for d, t in docs.items() if least_edits(decontaminate.words(item), decontaminate.words(t)) > 4}
-    proto = sentencepiece_model_pb2.ModelProto()
-    proto.ParseFromString(open(public_tokenizers.path("piece_bpe_32k.model"), "rb").read())
-    proto.trainer_spec.model_type = sentencepiece_model_pb2.TrainerSpec.UNIGRAM
-    library = sentencepiece.SentencePieceProcessor(model_proto=proto.SerializeToString())
+    library = sentencepiece.SentencePieceProcessor(model_proto=unigram.unigram_proto(unigram.default_model()))
     got = {r.doc_id: r for r in corpus_pipeline.run(spark, path).collect()}
     assert got.keys() == docs.keys()
     assert 203 not in got and 200 not in got and 0 not in got

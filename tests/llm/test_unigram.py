@@ -4,15 +4,13 @@ import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import types as T
-from sentencepiece import sentencepiece_model_pb2
 
 from sparkwharf.llm import unigram as m
+from sparkwharf.llm.common import Memo
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
-PROTO = sentencepiece_model_pb2.ModelProto()
-PROTO.ParseFromString(open(PATH, "rb").read())
-PROTO.trainer_spec.model_type = sentencepiece_model_pb2.TrainerSpec.UNIGRAM
-LIBRARY = sentencepiece.SentencePieceProcessor(model_proto=PROTO.SerializeToString())
+LIBRARY = sentencepiece.SentencePieceProcessor(model_proto=m.unigram_proto(PATH))
+SF = "/root/testdata/sf0.01"
 TEXTS = ["", None, " ", "  two  spaces ", "Hello, world.\nNext\n\nline", "a▁b ▁", "été ß 你好 \U0001f600\U0001f600", "tabs\tand\x0bothers ", "thththth erererer ononon", "x" * 200 + "é" * 30, "\n", "ﬁ ①"]
 
 
@@ -32,13 +30,37 @@ def test_any_text_against_the_library(text):
     assert m.count_text(text, PATH) == len(want)
 
 
+def test_every_document_equals_the_library(spark):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
+    want = {d: LIBRARY.encode(t or "") for d, t in texts.items()}
+    got = {r.doc_id: r for r in m.op8_sentencepiece(spark, SF).collect()}
+    assert got.keys() == want.keys() and all(got[d].ids == want[d] and got[d].n_tokens == len(want[d]) for d in want)
+    assert all(r.round_trip for r in got.values())
+    counts = {r.doc_id: r.n_tokens for r in m.op1_token_counts(spark, SF).collect()}
+    assert counts == {d: len(x) for d, x in want.items()}
+    plain = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    bpe = sum(len(plain.encode(t or "")) for t in texts.values())
+    assert abs(sum(counts.values()) / bpe - 1) < 0.03  # as many as the file's own tokenizer, nearly
+
+
 def test_streaming_commits_before_the_end():
-    encoder = m.Encoder(m.vocabulary(PATH))
+    v = m.vocabulary(PATH)
     text = "ononerthestion" * 400
-    parts = list(encoder.stream(text))
+    parts = list(m.Encoder(v).stream(text))
     assert len(parts) > 20
-    assert sum(parts, []) == m.Encoder(m.vocabulary(PATH)).encode(text)
-    assert m.Counter(m.vocabulary(PATH)).count(text) == sum(map(len, parts))
+    assert sum(parts, []) == m.Encoder(v).encode(text)
+    assert sum(m.Encoder(v).stream(v.normalize(text)), []) == LIBRARY.encode(text)
+    assert m.Counter(v).count(text) == sum(map(len, parts))
+
+
+def test_memo_stays_within_its_bytes():
+    memo = Memo(lambda s: s.encode())
+    memo.LIMIT = 20_000
+    for i in range(3000):
+        assert memo("the") == b"the" and memo(f"word{i}") == f"word{i}".encode()
+    assert len(memo.young) + len(memo.old) < 120
+    long = "x" * 1000
+    assert list(memo.of([long, "the"])) == [long.encode(), b"the"] and long not in memo.young
 
 
 def test_tables(spark):
