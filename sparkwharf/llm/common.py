@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,8 +76,30 @@ def shared_dir(spark: SparkSession) -> str:
     return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
 
 
+_SCOPES: list[list[str]] = []
+
+
 def staging_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark).rstrip('/')}/sparkwharf/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark).rstrip('/')}/sparkwharf/{name}-{uuid.uuid4().hex}"
+    if _SCOPES:
+        _SCOPES[-1].append(path)
+    return path
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """What is staged inside the block is deleted when it ends; its results must be written elsewhere by then."""
+    _SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _SCOPES.pop():
+            delete(spark, path)
 
 
 def staged(df: DataFrame, name: str) -> DataFrame:
@@ -92,12 +115,18 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def discard(df: DataFrame) -> None:
     """Delete the files behind a table made by :func:`staged` once nothing reads it."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+        delete(df.sparkSession, folder)
+
+
+def first_by_hash(rows: DataFrame, on: list[str], n: int, total: int) -> DataFrame:
+    """At most ``n`` of ``total`` rows: those of the smallest hash of ``on``.
+
+    A share of the hash range that holds about n rows is kept first, so no task sorts more than its part of those.
+    """
+    at = F.pmod(F.xxhash64(*on), F.lit(1 << 30))
+    share = min(1.0, (1.1 * n + 1000) / max(1, total))
+    return rows.withColumn("_at", at).filter(F.col("_at") <= int(share * (1 << 30))).orderBy("_at", *on).limit(n).drop("_at")
 
 
 def join_unique(big: DataFrame, small: DataFrame, key: str, n_rows: int) -> DataFrame:

@@ -8,8 +8,8 @@ touched again where a caller applies the bitmap. Everything is DataFrame code.
 
 Cases: a null or empty text is one empty line; lines whose key is shorter than
 ``min_key`` code points are always kept; rows that repeat both id and text count
-as one document and get the same bitmap; a null id is an id like any other; an
-empty table gives an empty result; other columns of the input are ignored.
+as one document and get the same bitmap; a null id is an id like any other, so all rows without an id count as
+one document; an empty table gives an empty result; other columns of the input are ignored.
 """
 
 from __future__ import annotations
@@ -138,7 +138,7 @@ WITH d AS (
   SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
 ), bad AS (
-  SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10
+  SELECT key FROM k WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT coalesce(doc_id::VARCHAR, '')) >= 10
 ), f AS (
   SELECT k.*, bad.key IS NOT NULL AS dropped FROM k LEFT JOIN bad ON k.key = bad.key
 )

@@ -1,6 +1,9 @@
-"""Near copies by exact similarity: documents whose sets of five-word shingles have Jaccard similarity 0.8 or more.
+"""SimHash near-dedup by verified similarity: documents whose sets of five-word shingles have Jaccard similarity 0.8 or more.
 
-Candidates come from prefix filtering (Chaudhuri et al., "A Primitive Operator for
+Candidates come from operator 9 first: 64-bit fingerprints of the five-word shingles, linked by covering
+masks within ``RADIUS`` bits. At the similarity of 0.8 fingerprints differ in about ten bits,
+which no covering of 64 bits reaches at a useful cost (on sf0.1, 1 of 48 near pairs lies within 2 bits), so
+candidates of prefix filtering join them (Chaudhuri et al., "A Primitive Operator for
 Similarity Joins"): the shingles of all texts are put in one order, and each text
 of n shingles hands out its first n - ceil(0.8 n) + 1. Two texts of similarity 0.8
 share one of these with certainty, whatever the order, so no pair is missed. The
@@ -26,8 +29,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkwharf.llm.common import connected_components, join_unique, staged
+from sparkwharf.llm.simhash import BITS, BLOCK, fingerprint_links
 
-SHINGLE = 5
+SHINGLE, RADIUS = 5, 2
 #: Texts sampled for the order of shingles, how many of them make a shingle common, and the most that are broadcast.
 SAMPLE, COMMON, MOST_COMMON = 10_000, 4, 1 << 16
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -77,12 +81,20 @@ def _common(docs: DataFrame, text_col: str) -> tuple[np.ndarray, np.ndarray]:
     return h[order].astype(np.int64), c[order].astype(np.int64)
 
 
+def fingerprint(grams: np.ndarray) -> int:
+    """The bits that more than half of the set's hashes have, as a signed number."""
+    ones = np.zeros(BITS, np.int64)
+    for k in range(0, len(grams), BLOCK):
+        ones += np.unpackbits(grams[k : k + BLOCK].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(ones * 2 > len(grams), bitorder="little").view("<i8")[0])
+
+
 def _node(grams: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(grams.tobytes(), 7) - (1 << 63)
 
 
 def _sets(rows: DataFrame, pick: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """``id, f, node, n, grams`` of ``rows(id, f, text)``: the name and size of the shingle set, and what ``pick`` takes of it."""
+    """``id, f, node, n, fp, grams`` of ``rows(id, f, text)``: name, size and fingerprint of the shingle set, and what ``pick`` takes of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,9 +104,9 @@ def _sets(rows: DataFrame, pick: Callable[[np.ndarray], np.ndarray]) -> DataFram
                 picked = [pick(g) for g in of]
                 offsets = pa.array(np.concatenate([[0], np.cumsum([len(g) for g in picked])]).astype(np.int32))
                 lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(picked)))
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("f"), pa.array(map(_node, of), pa.int64()), pa.array([len(g) for g in of], pa.int32()), lists], ["id", "f", "node", "n", "grams"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("f"), pa.array(map(_node, of), pa.int64()), pa.array([len(g) for g in of], pa.int32()), pa.array(map(fingerprint, of), pa.int64()), lists], ["id", "f", "node", "n", "fp", "grams"])
 
-    return rows.mapInArrow(run, "id long, f long, node long, n int, grams array<long>")
+    return rows.mapInArrow(run, "id long, f long, node long, n int, fp long, grams array<long>")
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
@@ -114,13 +126,23 @@ def _fit(n: Column, m: Column) -> Column:
     return (n * 5 >= m * 4) & (m * 5 >= n * 4)
 
 
+def fingerprint_pairs(classes: DataFrame) -> DataFrame:
+    """Candidates ``a, b`` between sets whose fingerprints are equal or linked by the covering masks."""
+    firsts = staged(classes.groupBy("fp").agg(F.min("node").alias("low"), F.count(F.lit(1)).alias("n")), "copy_fingerprints")
+    equal = join_unique(classes.select("fp", "node"), firsts, "fp", classes.count()).filter("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b"))
+    of = firsts.select("fp", "low")
+    near = fingerprint_links(of.select("fp"), RADIUS).withColumnsRenamed({"a": "x", "b": "y"})
+    near = near.join(of.withColumnsRenamed({"fp": "x", "low": "a"}), "x").join(of.withColumnsRenamed({"fp": "y", "low": "b"}), "y")
+    return equal.union(near.select("a", "b"))
+
+
 def copy_links(rows: DataFrame, classes: DataFrame, keyed: DataFrame) -> DataFrame:
     """True links ``a, b`` between sets, with the components of all pairs; ``keyed(key, node, n)`` are the prefixes."""
     key = Window.partitionBy("key")
     met = keyed.withColumn("c", F.count(F.lit(1)).over(key)).filter("c > 1").withColumn("low", F.min(F.struct("node", "n")).over(key))
     met = staged(met.select("key", "node", "n", "low"), "copy_keys")
-    star = met.filter((F.col("node") != F.col("low.node")) & _fit(F.col("n"), F.col("low.n"))).select(F.col("node").alias("a"), F.col("low.node").alias("b")).distinct()
-    first = _verified(star, rows, classes)
+    star = met.filter((F.col("node") != F.col("low.node")) & _fit(F.col("n"), F.col("low.n"))).select(F.col("node").alias("a"), F.col("low.node").alias("b"))
+    first = _verified(star.union(fingerprint_pairs(classes)).distinct(), rows, classes)
     roots = staged(connected_components(first), "copy_roots_1")
     placed = met.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
     apart = staged(placed.withColumn("least", F.min("root").over(key)).withColumn("most", F.max("root").over(key)).filter("least <> most").drop("least", "most"), "copy_keys_apart")
@@ -136,7 +158,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     shared = docs.sparkSession.sparkContext.broadcast((common, rank))
     sets = staged(_sets(rows, lambda g: prefix(g, *shared.value)), "copy_prefixes")
     smallest = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "f"))
-    classes = staged(sets.groupBy("node").agg(smallest.alias("w"), F.min("f").alias("f")), "copy_classes")
+    classes = staged(sets.groupBy("node").agg(smallest.alias("w"), F.min("f").alias("f"), F.min("fp").alias("fp")), "copy_classes")
     keyed = sets.dropDuplicates(["node"]).select(F.explode("grams").alias("key"), "node", "n")
     roots = connected_components(copy_links(rows, classes, keyed))
     rooted = classes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("w").alias("w"))

@@ -31,14 +31,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkwharf.llm import simple8b
-from sparkwharf.llm.common import staged, staging_path
+from sparkwharf.llm.common import staged, staging_path, worker_memo
 
 MAGIC = b"SWS8B\x00\x00\x01"
 HEAD = "<9Q"
 #: Ids after which a frame is closed.
 FRAME_IDS = 1 << 20
-#: Distinct chunks a worker remembers before it starts anew.
-MEMO_CHUNKS = 1_000_000
 #: Trailing marks that the tokenizer splits from a word as one piece.
 _MARKS = ".,;:!?#$%&*|"
 
@@ -56,47 +54,49 @@ class ChunkEncoder:
 
     The tokenizer turns white space to spaces and never lets a token cross one,
     so a text's ids are those of its chunks between spaces and line feeds, and
-    each distinct chunk is encoded once. A chunk of plain Latin letters with marks behind goes
+    each distinct short chunk is encoded once for as long as a memo bounded by bytes holds it. A chunk of plain Latin letters with marks behind goes
     straight to the merges, as the tokenizer's normaliser and splitter do no more to
-    it than lower-case and cut off the marks.
+    it than lower-case and cut off the marks. Both shortcuts are tried on probes when a tokenizer
+    is loaded; one that fits it not is not used.
     """
 
+    PROBES = ("the", "Straße", "ÉCOLE,", "naïve!?", "don", "A", "end.", "x;:", "Größe&", "Ω", "word#$%", "Überall|*", "ﬁ", "e\u0301")
+
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.chunks: dict[str, bytes] = {"": b""}
-        self.words: dict[str, bytes] = {}
+        self.name = ("token chunks", path)
+        self.plain = all(self._plain(p) == self._own(p) for p in self.PROBES if self._is_plain(p))
+        whole = f"{' '.join(self.PROBES)}\n\n{'  '.join(self.PROBES)} "
+        self.split = b"".join(map(self._own, whole.replace("\n", " ").split(" "))) == self._own(whole)
+
+    def _own(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
 
     def _merged(self, piece: str) -> bytes:
-        found = self.words.get(piece)
-        if found is None:
-            letters = piece if piece.isascii() else "".join(map(_byte_letters().__getitem__, piece.encode()))
-            found = self.words[piece] = np.array([t.id for t in self.tokenizer.model.tokenize(letters)], self.kind).tobytes()
-        return found
+        letters = piece if piece.isascii() else "".join(map(_byte_letters().__getitem__, piece.encode()))
+        return np.array([t.id for t in self.tokenizer.model.tokenize(letters)], self.kind).tobytes()
 
-    def _chunk(self, chunk: str) -> bytes:
+    @staticmethod
+    def _is_plain(chunk: str) -> bool:
         core = chunk.rstrip(_MARKS)
-        if core.isalpha() and max(core) < "İ" and unicodedata.is_normalized("NFC", core):
-            ids = self._merged(core.lower())
-            if len(core) < len(chunk):
-                ids += self._merged(chunk[len(core) :])
-        else:
-            ids = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, self.kind).tobytes()
-        self.chunks[chunk] = ids
-        return ids
+        return core.isalpha() and max(core) < "İ" and unicodedata.is_normalized("NFC", core)
+
+    def _plain(self, chunk: str) -> bytes:
+        core = chunk.rstrip(_MARKS)
+        return self._merged(core.lower()) + (self._merged(chunk[len(core) :]) if len(core) < len(chunk) else b"")
+
+    def _chunk(self, chunk: str) -> bytes:
+        return self._plain(chunk) if self.plain and self._is_plain(chunk) else self._own(chunk)
 
     def encode(self, text: str | None) -> np.ndarray:
-        if len(self.chunks) > MEMO_CHUNKS:
-            self.chunks, self.words = {"": b""}, {}
-        parts = (text or "").replace("\n", " ").split(" ")
-        try:
-            ids = b"".join(map(self.chunks.__getitem__, parts))
-        except KeyError:
-            known, make = self.chunks.get, self._chunk
-            ids = b"".join([found if (found := known(p)) is not None else make(p) for p in parts])
-        return np.frombuffer(ids, self.kind)
+        if not self.split:
+            return np.frombuffer(self._own(text or ""), self.kind)
+        memo = worker_memo(self.name, lambda: self._chunk)
+        return np.frombuffer(b"".join(memo.of((text or "").replace("\n", " ").split(" "))), self.kind)
 
 
 @cache
@@ -190,7 +190,7 @@ def read_store(manifest: DataFrame, folder: str) -> DataFrame:
 
     files = manifest.filter("n_docs > 0")
     # a row stands for a whole file, so adaptive execution must not merge these small partitions: the number is fixed
-    files = files.repartition(max(1, files.count()), "part")
+    files = files.repartitionByRange(max(1, files.count()), "part")
     return files.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

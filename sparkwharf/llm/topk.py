@@ -18,12 +18,14 @@ The queries are a stated set and are taken in blocks of ``QUERY_BLOCK``: a
 block's components and cutoffs are all that is ever broadcast, so the broadcast is bounded whatever the
 number of queries. Candidates are read in Arrow batches in place; only named
 candidates move. Scores are integers: products go through float64 matrices where
-every sum stays below 2^53, and through int64 ones (with its wrap-around) beyond.
+every sum stays below 2^53, and through int64 ones up to 2^63; where a product could
+reach 2^63, or a component does, the query fails with an error.
 
 Cases: null vectors and vectors with a null, NaN or infinite component take no
 part, nor do vectors of another length than the query's, nor null ids; ties go to
-the smaller id; a query with fewer than k candidates gets all; repeated ids are
-candidates each, never of the same id's query; no queries give an empty result.
+the smaller id; a query with fewer than k candidates gets all; every row is an entry of its
+own, so rows that repeat an id are queries and candidates each, and a candidate of the other rows of
+their id; no queries give an empty result.
 """
 
 from __future__ import annotations
@@ -44,10 +46,12 @@ ROWS = 512
 
 
 def quantised(vectors: DataFrame, id_col: str, vec_col: str, scale: int = 1024) -> DataFrame:
-    """``id, v`` with v = floor(scale * x) as longs, for the vectors that take part."""
+    """``row, id, v`` with v = floor(scale * x) as longs, for the vectors that take part; ``row`` tells all rows apart once the result is written."""
     finite = F.forall(F.col(vec_col), lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     rows = vectors.filter(F.col(id_col).isNotNull() & F.col(vec_col).isNotNull()).filter(finite & (F.size(vec_col) > 0))
-    return rows.select(F.col(id_col).cast("long").alias("id"), F.transform(F.col(vec_col), lambda x: F.floor(F.lit(float(scale)) * x.cast("double"))).alias("v"))
+    scaled = lambda x: F.lit(float(scale)) * x.cast("double")
+    whole = lambda x: F.when(F.abs(scaled(x)) < 2.0**62, F.floor(scaled(x))).otherwise(F.raise_error("a vector's component is beyond 64 bits").cast("long"))
+    return rows.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("id"), F.transform(F.col(vec_col), whole).alias("v"))
 
 
 def _matrix(column: pa.ListArray, dims: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,66 +69,69 @@ def _slices(dims: int, lists: int) -> list[slice]:
 
 def _product(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     """Exact integer inner products of all rows."""
-    if float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * q.shape[1] < 2**53:
+    most = float(np.abs(q).max(initial=0)) * float(np.abs(x).max(initial=0)) * q.shape[1]
+    if most < 2**53:
         return (q.astype(np.float64) @ x.astype(np.float64).T).astype(np.int64)
+    if most >= 2**62:
+        raise OverflowError("inner products may be beyond 64 bits")
     return q @ x.T
 
 
 def _best(per: DataFrame, k: int) -> DataFrame:
-    """The k best ``vec_id, score`` of each ``query_id``; grouped limits keep at most k rows of a query in a task before the shuffle."""
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    """The k best ``vec_id, score`` of each ``query``; grouped limits keep at most k rows of a query in a task before the shuffle."""
+    w = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id", "row")
     return per.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def _scan(spark: SparkSession, base: DataFrame, q_ids: np.ndarray, q: np.ndarray, lists: int, k: int, cut: np.ndarray | None) -> DataFrame:
+def _scan(spark: SparkSession, base: DataFrame, q_rows: np.ndarray, q: np.ndarray, lists: int, k: int, cut: np.ndarray | None) -> DataFrame:
     """One pass of the lists over all candidates.
 
     Without ``cut``: each list's k best candidates of each query within a task,
-    and, without a ``vec_id``, the sum and count of its local scores.
+    and, without a ``row``, the sum and count of its local scores.
     With ``cut`` (queries x lists): every entry at or above it.
-    Rows: ``query_id, list, vec_id, local, score`` (the whole score).
+    Rows: ``query, list, row, vec_id, local, score`` (the whole score); ``query`` and ``row`` are row numbers.
     """
-    dims, schema = q.shape[1], "query_id long, list int, vec_id long, local double, score long"
-    shared = spark.sparkContext.broadcast((q_ids, q, cut))
+    dims, schema = q.shape[1], "query long, list int, row long, vec_id long, local double, score long"
+    shared = spark.sparkContext.broadcast((q_rows, q, cut))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_q, mat, limit = shared.value
+        rows_q, mat, limit = shared.value
         parts = _slices(dims, lists)
-        every = np.arange(len(ids_q))
-        # of each list and query so far: the k best local scores with id and whole score, and the sum of all
+        every = np.arange(len(rows_q))
+        # of each list and query so far: the k best local scores with row, id and whole score, and the sum of all
         low = np.iinfo(np.int64).min
-        best = [np.full((3, len(ids_q), k), low) for _ in parts]
-        sums, n = np.zeros((len(parts), len(ids_q))), 0
+        best = [np.full((4, len(rows_q), k), low) for _ in parts]
+        sums, n = np.zeros((len(parts), len(rows_q))), 0
         for batch in batches:
             keep, x_all = _matrix(batch.column("v"), dims)
-            ids_all = batch.column("id").to_numpy()[keep]
+            ids_all, rows_all = batch.column("id").to_numpy()[keep], batch.column("row").to_numpy()[keep]
             for at in range(0, len(keep), ROWS):
-                x, ids = x_all[at : at + ROWS], ids_all[at : at + ROWS]
+                x, ids, own = x_all[at : at + ROWS], ids_all[at : at + ROWS], rows_all[at : at + ROWS]
                 local = [_product(mat[:, p], x[:, p]) for p in parts]
-                total, same = sum(local), ids_q[:, None] == ids[None, :]
+                total, same = sum(local), rows_q[:, None] == own[None, :]
                 n += len(ids)
                 for j, s in enumerate(local):
                     if limit is not None:
                         rows, cols = np.nonzero((s >= limit[:, j : j + 1]) & ~same)
                         if len(rows):
-                            yield _rows(rows, j, ids[cols], s[rows, cols], total[rows, cols], ids_q)
+                            yield _rows(rows, j, own[cols], ids[cols], s[rows, cols], total[rows, cols], rows_q)
                         continue
                     sums[j] += s.sum(axis=1, dtype=np.float64)
-                    new = np.stack([np.where(same, low, s), np.broadcast_to(ids, s.shape), total])
+                    new = np.stack([np.where(same, low, s), np.broadcast_to(own, s.shape), np.broadcast_to(ids, s.shape), total])
                     new = np.concatenate([best[j], new], axis=2)
                     top = np.argpartition(-new[0].astype(np.float64), k - 1, axis=1)[:, :k]
                     best[j] = np.take_along_axis(new, top[None], axis=2)
         if limit is None and n:
-            for j, (s, ids, total) in enumerate(best):
-                yield _rows(every, j, None, sums[j], np.full(len(ids_q), n), ids_q)
+            for j, (s, own, ids, total) in enumerate(best):
+                yield _rows(every, j, None, None, sums[j], np.full(len(rows_q), n), rows_q)
                 rows, cols = np.nonzero(s != low)
-                yield _rows(rows, j, ids[rows, cols], s[rows, cols], total[rows, cols], ids_q)
+                yield _rows(rows, j, own[rows, cols], ids[rows, cols], s[rows, cols], total[rows, cols], rows_q)
 
-    def _rows(rows, j, vec, local, score, ids_q):
-        vec = pa.nulls(len(rows), pa.int64()) if vec is None else pa.array(vec, pa.int64())
+    def _rows(rows, j, own, ids, local, score, rows_q):
+        names = [pa.nulls(len(rows), pa.int64()) if x is None else pa.array(x, pa.int64()) for x in (own, ids)]
         return pa.RecordBatch.from_arrays(
-            [pa.array(ids_q[rows], pa.int64()), pa.array(np.full(len(rows), j, np.int32)), vec, pa.array(np.asarray(local, np.float64)), pa.array(score, pa.int64())],
-            ["query_id", "list", "vec_id", "local", "score"],
+            [pa.array(rows_q[rows], pa.int64()), pa.array(np.full(len(rows), j, np.int32)), *names, pa.array(np.asarray(local, np.float64)), pa.array(score, pa.int64())],
+            ["query", "list", "row", "vec_id", "local", "score"],
         )
 
     return base.mapInArrow(run, schema)
@@ -134,42 +141,39 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str =
     """``query_id, rank, vec_id, score``: the k highest integer inner products of every query row against all other rows."""
     spark = vectors.sparkSession
     base = staged(quantised(vectors, id_col, vec_col), "topk_vectors")
-    queries = staged(
-        vectors.filter(is_query).join(base, F.col(id_col) == F.col("id"), "left_semi").select(F.col(id_col).cast("long").alias("id")).distinct(), "topk_queries"
-    )
-    blocks = queries.select("id", F.pmod(F.xxhash64("id"), F.lit(max(1, -(-queries.count() * 5 // (QUERY_BLOCK * 4))))).alias("block"))
-    blocks = staged(base.join(blocks, "id").dropDuplicates(["id"]), "topk_query_blocks")
+    asked = vectors.filter(is_query).select(F.col(id_col).cast("long").alias("id")).distinct()
+    queries = staged(base.join(asked, "id"), "topk_queries")
+    blocks = queries.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(max(1, -(-queries.count() * 5 // (QUERY_BLOCK * 4))))))
+    blocks = staged(blocks, "topk_query_blocks")
     sizes = {(r["block"], r["d"]) for r in blocks.select("block", F.size("v").alias("d")).distinct().collect()}
     found = []
     for block, dims in sorted(sizes):
-        rows = blocks.filter((F.col("block") == block) & (F.size("v") == dims)).select("id", "v").toArrow()
-        q_ids, q = rows.column("id").to_numpy(), _matrix(rows.column("v").combine_chunks(), dims)[1]
-        named = staged(_scan(spark, base, q_ids, q, lists, k, None), "topk_lists")
-        means = named.filter("vec_id IS NULL").groupBy("query_id", "list").agg((F.sum("local") / F.sum("score")).alias("mean"))
-        firsts = named.filter("vec_id IS NOT NULL").groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-        safe = _best(firsts, k).groupBy("query_id").agg(F.min("score").alias("t"), F.count(F.lit(1)).alias("n")).withColumn("t", F.when(F.col("n") >= k, F.col("t")))
-        cut = np.full((len(q_ids), len(_slices(dims, lists))), -np.inf)
-        place = {int(d): i for i, d in enumerate(q_ids)}
+        rows = blocks.filter((F.col("block") == block) & (F.size("v") == dims)).select("row", "v").toArrow()
+        q_rows, q = rows.column("row").to_numpy(), _matrix(rows.column("v").combine_chunks(), dims)[1]
+        named = staged(_scan(spark, base, q_rows, q, lists, k, None), "topk_lists")
+        means = named.filter("row IS NULL").groupBy("query", "list").agg((F.sum("local") / F.sum("score")).alias("mean"))
+        firsts = named.filter("row IS NOT NULL").dropDuplicates(["query", "row"])
+        safe = _best(firsts, k).groupBy("query").agg(F.min("score").alias("t"), F.count(F.lit(1)).alias("n")).withColumn("t", F.when(F.col("n") >= k, F.col("t")))
+        cut = np.full((len(q_rows), len(_slices(dims, lists))), -np.inf)
+        place = {int(d): i for i, d in enumerate(q_rows)}
         mean = np.zeros_like(cut)
         for r in means.collect():  # at most QUERY_BLOCK x lists rows
-            mean[place[r["query_id"]], r["list"]] = r["mean"]
+            mean[place[r["query"]], r["list"]] = r["mean"]
         for r in safe.collect():  # at most QUERY_BLOCK rows
             if r["t"] is not None:
-                m = mean[place[r["query_id"]]]
+                m = mean[place[r["query"]]]
+                share = (r["t"] - m.sum()) / len(m)
                 # a hair lower than the bound, for the rounding of the means
-                cut[place[r["query_id"]]] = np.floor(m + (r["t"] - m.sum()) / len(m) - 1e-6 * (1 + np.abs(m)))
-        collected = _scan(spark, base, q_ids, q, lists, k, cut)
-        # an id may be repeated with other vectors, so entries are told apart by their whole score
-        once = collected.groupBy("query_id", "vec_id", "score", "list").agg(F.count(F.lit(1)).alias("c")).groupBy("query_id", "vec_id", "score").agg(F.max("c").alias("c"))
-        copies = once.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least(F.col("c"), F.lit(k).cast("long")))))
-        found.append(staged(_best(copies, k).select("query_id", "rank", "vec_id", "score"), "topk_found"))
+                cut[place[r["query"]]] = np.floor(m + share - 1e-6 * (1 + np.abs(m) + abs(share)))
+        collected = _scan(spark, base, q_rows, q, lists, k, cut).dropDuplicates(["query", "row"])  # an entry may clear several lists' cutoffs
+        found.append(staged(_best(collected, k).select("query", "rank", "vec_id", "score"), "topk_found"))
         discard(named)
     if not found:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return out
+    return out.join(queries.select(F.col("row").alias("query"), F.col("id").alias("query_id")), "query").select("query_id", "rank", "vec_id", "score")
 
 
 def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,15 +183,15 @@ def op7_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP7_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
   FROM embeddings
   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), p AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
+  SELECT q.rid AS query, q.vec_id AS query_id, c.vec_id,
          list_sum(list_transform(list_zip(q.v, c.v), lambda z: z[1] * z[2]))::BIGINT AS score
-  FROM v q, v c WHERE q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+  FROM v q, v c WHERE q.vec_id % 100 = 0 AND c.rid <> q.rid
 ), r AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p
+  SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS rank FROM p
 )
 SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM r WHERE rank <= 10
 """

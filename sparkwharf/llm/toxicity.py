@@ -13,7 +13,8 @@ labels apart best. Everything else covers all documents.
 
 Cases: null and empty texts have no features and get the score of the intercept; null
 ids are scored, but never held out or learned from; rows without a 0/1 label
-are not learned from; repeated rows are scored each; without any
+are not learned from; an id that is labelled both ways counts as toxic; repeated rows are scored each, and learned
+from within the same bound; without any
 training rows of both labels the score is the (smoothed) share of toxic ones; an empty table
 gives an empty result; other columns are carried or ignored, never read.
 """
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwharf.llm.common import staged
+from sparkwharf.llm.common import Memo, first_by_hash, staged
 
 #: Labelled rows that the regression is fitted on, at most, and its features.
 SAMPLE, FEATURES = 20_000, 4096
@@ -37,16 +38,15 @@ BUCKETS = 1 << 18
 GRAMS = (4, 5, 6)
 #: Log-likelihood that a bucket must gain by telling the labels apart to become a feature.
 MIN_GAIN = 8.0
-#: Words a worker remembers before it starts anew, and the longest of them.
-MEMO, MEMO_CHARS = 1_000_000, 48
 # The letters that a sign may stand for.
 LOOKALIKES = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e"}
 #: Negative log probabilities of the channel.
 AS_SIGN, REPEATED, JOINED, DROPPED, DROPPED_EDGE, HALVED = 1.0, 0.5, 0.5, 4.0, 0.7, 3.0
 SYMBOLS = 28  # a boundary, a to z, any other letter
 _ALPHABET = bytes((b | 32) - 96 if chr(b).isascii() and chr(b).isalpha() else 27 if b >= 0x80 else 0 for b in range(256))
-_SPACED = re.compile(r"(?<!\S)\S(?:[ ]+\S(?!\S)){2,}")
-_TRIPLE = re.compile(r"(.)\1\1")
+_SPACED = re.compile(r"(?<!\S)\S(?:\s+\S(?!\S)){2,}")
+#: A letter three times, or two letters twice.
+_REPEATED = re.compile(r"(.)\1\1|(.)\2.*(.)\3")
 _EDGES = ".,;:!?'\"()[]{}<>#$%&*|-_/\\"
 _TAIL = ".,;:!?'\")]}>"
 
@@ -129,9 +129,9 @@ class Restorer:
         """The readings of one word: itself without its edges if it has plain letters, and what the channel may have hidden."""
         core = word.strip(_EDGES)
         plain = core.isalpha()
-        if plain and not _TRIPLE.search(core) and (len(core) == len(word) or not set(word.rstrip(_TAIL)[:1]) & LOOKALIKES.keys()):
+        if plain and not _REPEATED.search(core) and (len(core) == len(word) or not set(word.rstrip(_TAIL)[:1]) & LOOKALIKES.keys()):
             return [core]
-        if not any(map(str.isalpha, word)):
+        if not any(map(str.isalpha, word)) and (len(core) < 3 or not set(core) <= LOOKALIKES.keys()):
             return []
         restored = self.decode(word.rstrip(_TAIL) or word).split()
         return [*([core] if plain else []), *restored]
@@ -140,7 +140,7 @@ class Restorer:
         """The words read from stretches of single characters."""
         found = []
         for m in _SPACED.finditer(text):
-            letters = re.sub(r"(\S)(?: +\1){2,}", r"\1", m[0])  # one letter again and again spells no word
+            letters = re.sub(r"(\S)(?:\s+\1){2,}", r"\1", m[0])  # one letter again and again spells no word
             if len(letters) > 2:
                 found += self.decode(letters).split()
         return found
@@ -150,7 +150,7 @@ class Features:
     """The feature buckets of texts; ``keep`` maps buckets to features, others vanish."""
 
     def __init__(self, cost: np.ndarray, keep: np.ndarray | None = None):
-        self.restorer, self.memo = Restorer(cost), {}
+        self.restorer, self.memo = Restorer(cost), Memo(self._of)
         self.keep = None if keep is None else {int(b): i for i, b in enumerate(keep)}
 
     def _of(self, word: str) -> tuple[int, ...]:
@@ -159,22 +159,15 @@ class Features:
             padded = f"^{w}$"
             found.update(padded[i : i + k] for k in (len(padded), *GRAMS) for i in range(len(padded) - k + 1))
         found = {zlib.crc32(g.encode("utf-8", "surrogatepass")) % BUCKETS for g in found}
-        made = tuple(found) if self.keep is None else tuple(i for b in found if (i := self.keep.get(b)) is not None)
-        if len(word) <= MEMO_CHARS:
-            self.memo[word] = made
-        return made
+        return tuple(found) if self.keep is None else tuple(i for b in found if (i := self.keep.get(b)) is not None)
 
     def text(self, text: str | None) -> np.ndarray:
-        if len(self.memo) > MEMO:
-            self.memo.clear()
         text = (text or "").lower()
-        known, found = self.memo.get, set()
         words = set(text.split())
         if _SPACED.search(text):
             words.update(self.restorer.spaced(text))
-        for w in words:
-            if (f := known(w)) is None:
-                f = self._of(w)
+        found = set()
+        for f in self.memo.of(words):
             if f:
                 found.update(f)
         return np.fromiter(found, np.int32, len(found))
@@ -218,18 +211,21 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     spark = docs.sparkSession
     cost = language_model(docs, text_col)
     learn = labels.filter((F.crc32(F.col(id_col).cast("string")) % held_out_mod != 0) & F.col(label_col).isin(0, 1))
-    sample = learn.select(F.col(id_col).alias("_id"), F.col(label_col).alias("_y")).orderBy(F.xxhash64("_id"), "_id", "_y").limit(SAMPLE)
-    sample = F.broadcast(staged(sample, "toxic_sample"))  # at most SAMPLE rows
+    one = staged(learn.groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).alias("_y")), "toxic_labels")
+    sample = F.broadcast(staged(first_by_hash(one, ["_id"], SAMPLE, one.count()), "toxic_sample"))  # at most SAMPLE rows
     shared = spark.sparkContext.broadcast(cost)
 
     def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features(shared.value)
         for batch in batches:
             rows = [features.text(t.as_py()) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("y"), pa.array(rows, pa.list_(pa.int32()))], ["y", "f"])
+            yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("y"), pa.array(rows, pa.list_(pa.int32()))], ["k", "y", "f"])
 
-    joined = docs.join(sample, F.col(id_col) == F.col("_id")).select(F.col("_y").cast("int").alias("y"), F.col(text_col).alias("text"))
-    known = staged(joined.mapInArrow(buckets, "y int, f array<int>"), "toxic_features")
+    joined = docs.join(sample, F.col(id_col) == F.col("_id"))
+    joined = joined.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("k"), F.col("_y").cast("int").alias("y"), F.col(text_col).alias("text"))
+    known = staged(joined.mapInArrow(buckets, "k long, y int, f array<int>"), "toxic_features")
+    if (met := known.count()) > SAMPLE:  # ids that documents repeat
+        known = staged(first_by_hash(known, ["k"], SAMPLE, met), "toxic_features_bounded")
     n, n1 = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
     if not 0 < n1 < n:
         return Model(cost, np.zeros(0, np.int64), np.array([np.log((n1 + 1) / (n - n1 + 1))]))

@@ -9,8 +9,11 @@ Record ids are derived from the source's id, so a retried task makes the same re
 The work is per record: nothing is shuffled or gathered. Records can be read from and
 written to gzipped WARC files, one member a record, through any store pyarrow knows.
 
-Cases: null, empty and malformed records and digests that do not match are reported in ``problem``; the
-first three yield no derivatives, a mismatch yields both; records of other types are
+A repeated header of the source, such as Set-Cookie, keeps all its values. Rows of one page id and address have one record id
+only if their bodies are equal too.
+
+Cases: null, empty and malformed records and digests that do not match or are of an unknown kind are reported in ``problem``; the
+first three yield no derivatives, the others both; records of other types are
 passed over; a response without a record id is malformed; bodies in an unknown encoding are converted as they
 are; repeated records yield equal derivatives each; an empty table gives an
 empty result; other columns are ignored.
@@ -53,6 +56,27 @@ def sha1(block: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(block, usedforsecurity=False).digest()).decode()
 
 
+# Digests that can be checked; their values are written in base 32 or base 16.
+_DIGESTS = ("sha1", "md5", "sha256", "sha512")
+
+
+def matches(told: str, blocks: list[bytes]) -> bool:
+    """Whether a labelled digest is that of one of the blocks."""
+    kind, _, value = told.partition(":")
+    if kind.lower() not in _DIGESTS:
+        return False
+    raw = [hashlib.new(kind.lower(), b, usedforsecurity=False).digest() for b in blocks]
+    return value.upper().rstrip("=") in {base64.b32encode(d).decode().rstrip("=") for d in raw} | {d.hex().upper() for d in raw}
+
+
+def listed(headers: Headers) -> dict:
+    """Headers by name in order of appearance; a name that is repeated has the list of its values."""
+    out: dict = {}
+    for k, v in headers:
+        out[k] = v if k not in out else [*(out[k] if isinstance(out[k], list) else [out[k]]), v]
+    return out
+
+
 def make_record(kind: str, record_id: str, headers: Headers, block: bytes) -> bytes:
     lines = [("WARC-Type", kind), ("WARC-Record-ID", record_id), *headers, ("WARC-Block-Digest", sha1(block)), ("Content-Length", str(len(block)))]
     return VERSION + EOL + b"".join(f"{k}: {v}\r\n".encode() for k, v in lines) + EOL + block + EOL + EOL
@@ -167,8 +191,8 @@ def derive(record: bytes | None) -> tuple[str | None, list[dict]]:
     problem = None
     for name, data in (("WARC-Block-Digest", [block]), ("WARC-Payload-Digest", [raw_body, body])):
         told = field(headers, name)
-        if told and told.lower().startswith("sha1:") and told[5:].upper() not in {sha1(d)[5:] for d in data}:
-            problem = f"{name} does not match"
+        if told and not matches(told, data):
+            problem = f"{name} does not match" if told.partition(":")[0].lower() in _DIGESTS else f"{name} is of an unknown kind"
     source = field(headers, "WARC-Record-ID")
     shared = [("WARC-Refers-To", source)]
     shared += [(f"WARC-Refers-To-{k.removeprefix('WARC-')}", field(headers, k)) for k in ("WARC-Target-URI", "WARC-Date") if field(headers, k)]
@@ -176,10 +200,10 @@ def derive(record: bytes | None) -> tuple[str | None, list[dict]]:
     envelope = {
         "Envelope": {
             "Format": "WARC",
-            "WARC-Header-Metadata": dict(headers),
+            "WARC-Header-Metadata": listed(headers),
             "Payload-Metadata": {
                 "Actual-Content-Type": "application/http; msgtype=response",
-                "HTTP-Response-Metadata": {"Response-Message": status, "Headers": dict(http), "Entity-Length": len(body), "Entity-Digest": sha1(body), "HTML-Metadata": page_facts(page)},
+                "HTTP-Response-Metadata": {"Response-Message": status, "Headers": listed(http), "Entity-Length": len(body), "Entity-Digest": sha1(body), "HTML-Metadata": page_facts(page)},
             },
         }
     }
@@ -270,7 +294,8 @@ def read_warcs(spark: SparkSession, files: DataFrame, folder: str, key_from: int
                             held = []
                     yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in held], pa.int64()), pa.array([r for _, r in held], pa.binary())], ["key", "record"])
 
-    return files.select("file").repartition("file").mapInArrow(run, "key long, record binary")
+    # a row stands for a whole file, so adaptive execution must not merge these small partitions: the number is fixed
+    return files.select("file").repartitionByRange(max(1, files.count()), "file").mapInArrow(run, "key long, record binary")
 
 
 def page_responses(pages: DataFrame) -> DataFrame:
@@ -279,7 +304,7 @@ def page_responses(pages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(batch.column("page_id").to_pylist(), batch.column("url").to_pylist(), batch.column("html").to_pylist(), strict=True)
-            records = [response_record(url or "about:blank", page or "", f"{key}|{url}") for key, url, page in rows]
+            records = [response_record(url or "about:blank", page or "", f"{key}|{url}|{sha1((page or '').encode('utf-8', 'surrogatepass'))}") for key, url, page in rows]
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), pa.array(records, pa.binary())], ["key", "record"])
 
     return pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html").mapInArrow(run, "key long, record binary")

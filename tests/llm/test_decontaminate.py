@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import types as T
 
 from sparkwharf.llm import decontaminate as m
@@ -57,13 +58,16 @@ def test_recall_and_exactness_against_brute_force(spark):
     assert sum(got[k] == want[k] for k in got) >= 0.99 * len(got) and all(got[k] >= want[k] for k in got)
 
 
-def test_recall_at_the_threshold_itself():
-    rng, vocabulary = random.Random(9), [f"w{i}" for i in range(3000)]
-    items = [[rng.choice(vocabulary) for _ in range(rng.randint(15, 59))] for _ in range(200)]
-    index = m.Index([(i, [w.encode() for w in x]) for i, x in enumerate(items)], 0.8, m.REPETITIONS)
-    texts = [edited(rng, x, int(0.2 * len(x)), vocabulary) for x in items]
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 12, 14, 15, 16, 20, 25, 30, 31, 32, 45, 60, 64, 100])
+def test_recall_at_the_threshold_itself(n):
+    rng, vocabulary, common = random.Random(9), [f"w{i}" for i in range(3000)], "the of and to in a is it".split()
+    word = lambda: rng.choice(common) if rng.random() < 0.4 else rng.choice(vocabulary)
+    items = [[word() for _ in range(n)] for _ in range(200)]
+    index = m.Index([(i, [w.encode() for w in x]) for i, x in enumerate(items)], 0.8)
+    texts = [[word() for _ in range(20)] + edited(rng, x, int(0.2 * n + 1e-9), vocabulary) + [word() for _ in range(20)] for x in items]
     found = {(t, i) for t, i, _, _ in index.search([np.array([index.vocabulary.get(w.encode(), 0) for w in t], np.int32) for t in texts])}
-    assert sum((i, i) in found for i in range(200)) >= 0.95 * 200
+    share = sum((i, i) in found for i in range(200)) / 200
+    assert share == 1 if n < m.WALKED else share >= 0.95
 
 
 def test_odd_rows(spark, monkeypatch):
@@ -72,7 +76,18 @@ def test_odd_rows(spark, monkeypatch):
     items = [(3, item, None), (2, item.upper() + "!", None), (None, "one two three four five six", None), (7, "too short", None), (8, None, None), (9, "", None)]
     docs = [(1, f"x {item} y", None), (1, f"x {item} y", None), (2, None, None), (3, "", None), (None, item, None), (5, "z " * 40000 + item, None), (6, "one two three four five six", None), (7, "too short", None)]
     got = m.find_items(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()
-    assert [[(x.item_id, x.edits) for x in r._items] for r in got] == [[(2, 0)], [(2, 0)], [], [], [(2, 0)], [(2, 0)], [(None, 0)], []]
+    assert [[(x.item_id, x.edits) for x in r._items] for r in got] == [[(2, 0)], [(2, 0)], [], [], [(2, 0)], [(2, 0)], [(None, 0)], [(7, 0)]]
     none = spark.createDataFrame([], ITEMS)
     assert all(r._items == [] for r in m.find_items(spark.createDataFrame(docs, DOCS), none).collect())
     assert m.find_items(spark.createDataFrame([], DOCS), spark.createDataFrame(items, ITEMS)).collect() == []
+
+
+def test_query_over_a_folder(spark, tmp_path):
+    items, docs, planted = corpus(11, 80, 10)
+    spark.createDataFrame([(d, " ".join(t), None) for d, t in enumerate(docs)] + [(900, None, None), (None, "", None)], DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, " ".join(x), None) for i, x in enumerate(items)] + [(99, None, None)], ITEMS).write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = m.op4_benchmark_decontamination(spark, str(tmp_path))
+    assert got.columns == ["doc_id", "item_id", "edit_distance"]
+    want = {(d, i, e) for d, t in enumerate(docs) for i, x in enumerate(items) if (e := least_edits(x, t)) <= int(0.2 * len(x) + 1e-9)}
+    rows = {tuple(r) for r in got.collect()}
+    assert planted <= {r[:2] for r in rows} and rows <= want and len(rows) >= 0.97 * len(want)

@@ -32,7 +32,7 @@ def test_against_brute_force(spark, monkeypatch, keep_first, heavy):
     monkeypatch.setattr(m, "MIN_HEAVY_ROWS", heavy)
     texts = ["Hot Line\na\n\n  hot line\t", "É\né\nHOT LINE", "", None, "\n\n", "only", "a\nb\na", "x\x0b\n\x1cx", "hot line"]
     rows = [(i, t) for i, t in enumerate(texts * 3)] + [(3, texts[3]), (0, texts[0])]
-    rows += [] if keep_first else [(None, "hot line\nnull id"), (None, None)]
+    rows += [(None, "hot line\nnull id"), (None, None), (None, "only\nnull again")]
     df = spark.createDataFrame([(*r, "clash", "clash") for r in rows], SCHEMA)
     got = m.dedup_lines(df, 3, 1, keep_first).select("doc_id", "_n_lines", "_n_dropped", "_kept").collect()
     assert sorted(map(tuple, got), key=str) == brute(rows, 3, 1, keep_first)
@@ -50,3 +50,11 @@ def test_empty_and_long(spark):
     df = spark.createDataFrame([(i, long, None, None) for i in range(2)], SCHEMA)
     got = m.dedup_lines(df, 2).select(F.sha2("_kept", 256).alias("s"), "_n_dropped").collect()
     assert {tuple(r) for r in got} == {(hashlib.sha256(b"").hexdigest(), 60000)}
+
+
+def test_query_over_a_folder(spark, tmp_path):
+    rows = [(i, f"same\nown {i}\nSAME ") for i in range(12)] + [(50, None), (51, ""), (51, ""), (None, "same")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = m.op10_line_dedup(spark, str(tmp_path))
+    want = [(d, n, g, hashlib.sha256(t.encode()).hexdigest()) for d, n, g, t in brute(rows, 10, 1, False)]
+    assert got.columns == ["doc_id", "n_lines", "n_dropped", "kept_sha256"] and sorted(map(tuple, got.collect()), key=str) == want

@@ -62,3 +62,21 @@ def test_keep_one_with_repeated_and_null_ids(spark):
     rows = [(None, "a b c d"), (5, "a b c d"), (5, "a b c d"), (5, "other words than these"), (None, "alone here we are"), (None, "alone here we are")]
     got = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(map(tuple, got), key=str) == [(5, "a b c d"), (5, "other words than these"), (None, "alone here we are")]
+
+
+def test_odd_rows_through_the_whole_run(spark, tmp_path):
+    """Null ids, repeated rows, a very long text, clashing columns, and tables without rows."""
+    long = " ".join(f"w{i * i % 9973}" for i in range(40_000))
+    kinds = "doc_id long, text string, lang string, source string, n_chars long, _score string, _items string, _f0 string, _kept string, _id string"
+    rows = [(i, f"text number {i} of some words that differ {i * 7919} {i * 31}") for i in range(20)]
+    rows += [(None, "no id has this text of seven words"), (None, "no id has this text of seven words"), (30, None), (31, ""), (32, long), (33, long), (3, rows[3][1])]
+    spark.createDataFrame([(d, t, "en", "s", len(t or ""), "a", "b", "c", "d", "e") for d, t in rows], kinds).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame([], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id for r in got), key=str) == sorted([*range(20), None, 30, 32], key=str)
+    assert all(r.round_trip for r in got)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs, str(tmp_path)).columns == docs.columns
+        assert stage(spark, docs.limit(0), str(tmp_path)).collect() == []

@@ -1,3 +1,4 @@
+import hashlib
 import gzip
 import json
 from html.parser import HTMLParser
@@ -26,7 +27,7 @@ def test_response_round_trip_and_derivatives():
         assert made["source_payload_digest"] == m.sha1(PAGE.encode()) and m.field(h, "WARC-Refers-To-Target-URI") == "http://x.example/é"
     assert m.parse_record(text["record"])[1].decode() == "A & B title\nOne\nFirst boldtext\nsecond line\n1 < 2 ©"
     envelope = json.loads(m.parse_record(meta["record"])[1])["Envelope"]
-    assert envelope["WARC-Header-Metadata"] == dict(headers)
+    assert envelope["WARC-Header-Metadata"] == m.listed(headers)
     facts = envelope["Payload-Metadata"]["HTTP-Response-Metadata"]["HTML-Metadata"]
     assert facts["Head"]["Title"] == "A & B title" and facts["Head"]["Metas"] == [{"charset": "utf-8"}, {"name": "x", "content": "y"}]
     assert facts["Links"] == [{"path": "SCRIPT@/src", "url": "a.js"}, {"path": "A@/href", "url": "/one?a=1&b=2"}]
@@ -104,3 +105,27 @@ def test_tables_and_files(spark):
     assert sorted(bytes(r.record) for r in back.collect()) == sorted(bytes(r.record) for r in responses.collect())
     empty = spark.createDataFrame([], schema)
     assert m.build_derivatives(m.page_responses(empty)).collect() == []
+
+
+def test_repeated_headers_and_other_digests_are_kept():
+    block = http(b"Set-Cookie: a=1\r\nSet-Cookie: b=2", b"<p>x")
+    make = lambda digest: m.make_record("response", "<urn:x>", [("WARC-Concurrent-To", "<urn:y>"), ("WARC-Concurrent-To", "<urn:z>"), ("WARC-Payload-Digest", digest)], block)
+    good = hashlib.sha256(b"<p>x").hexdigest()
+    for digest, problem in ((f"sha256:{good}", None), ("sha256:00", "WARC-Payload-Digest does not match"), ("crc:1", "WARC-Payload-Digest is of an unknown kind")):
+        told, made = m.derive(make(digest))
+        assert told == problem and len(made) == 2
+    envelope = json.loads(m.parse_record(made[0]["record"])[1])["Envelope"]
+    assert envelope["WARC-Header-Metadata"]["WARC-Concurrent-To"] == ["<urn:y>", "<urn:z>"]
+    assert envelope["Payload-Metadata"]["HTTP-Response-Metadata"]["Headers"]["Set-Cookie"] == ["a=1", "b=2"]
+
+
+def test_query_over_a_folder(spark, tmp_path):
+    rows = [(1, "http://a", PAGE), (1, "http://a", PAGE), (1, "http://a", "<p>other"), (None, None, None)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = m.op3_warc_derivatives(spark, str(tmp_path)).collect()
+    assert len(got) == 8 and all(r.problem is None for r in got)
+    assert len({r.record_id for r in got}) == 6
+    want = [m.derive(m.response_record(u or "about:blank", h or "", f"{i}|{u}|{m.sha1((h or '').encode())}"))[1] for i, u, h in rows]
+    strip = lambda r: r.decode().split("WARC-Date")[0]
+    assert sorted(r.record_id for r in got) == sorted(x["record_id"] for d in want for x in d)
+    assert sorted(r.record.split("WARC-Date")[0] for r in got) == sorted(strip(x["record"]) for d in want for x in d)
