@@ -2,7 +2,12 @@
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written as
 Parquet in the shared folder and read again as the next one's docs. All but the last
-return the columns of ``documents``.
+return the columns of ``documents``; other columns that docs may have, whatever their names, are carried
+by those four and ignored by the last.
+
+Cases: null and empty texts pass every stage, but are copies of one another for the third; null ids come
+after all others there and are otherwise ids like any; rows that repeat id and text are one document from the third stage on; very long texts are
+worked on whole; without documents, labels or benchmark items a stage returns what it was given.
 """
 
 from __future__ import annotations
@@ -13,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkwharf.llm import decontaminate, line_dedup, near_copies, toxicity, unigram
-from sparkwharf.llm.common import staged
+from sparkwharf.llm.common import delete, scratch, staging_path
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +29,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines found in at least 10 documents stay where they occur first and go elsewhere; no document goes."""
+    """Lines found in at least 10 documents stay where they occur first and go elsewhere; no document goes.
+
+    Lines of two to nine documents stay, or the copies that the next stage folds would be torn to pieces first.
+    """
     kept = line_dedup.dedup_lines(docs, min_docs=10, min_key=1, keep_first=True)
     changed = kept.withColumn("text", F.when(F.col("_n_dropped") > 0, F.col("_kept")).otherwise(F.col("text")))
     chars = F.when(F.col("_n_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
@@ -62,7 +70,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline_{name}")
+        path = staging_path(spark, f"pipeline_{name}")
+        with scratch(spark):
+            made = stage(spark, docs, sf_dir)
+            made.write.parquet(path)
+        docs = spark.read.schema(made.schema).parquet(path)
+        if before:
+            delete(spark, before)
+        before = path
     return docs
