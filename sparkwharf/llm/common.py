@@ -9,6 +9,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Upper bound on the rows of any table of heavy keys that is broadcast.
 MAX_HEAVY_KEYS = 2000
@@ -129,6 +130,13 @@ def first_by_hash(rows: DataFrame, on: list[str], n: int, total: int) -> DataFra
     return rows.withColumn("_at", at).filter(F.col("_at") <= int(share * (1 << 30))).orderBy("_at", *on).limit(n).drop("_at")
 
 
+def with_fields(df: DataFrame, **added: str) -> T.StructType:
+    """The schema of ``df`` with fields added."""
+    if taken := added.keys() & set(df.columns):
+        raise ValueError(f"columns {sorted(taken)} are there already")
+    return T.StructType([*df.schema.fields, *T._parse_datatype_string(", ".join(f"{k} {v}" for k, v in added.items())).fields])
+
+
 def join_unique(big: DataFrame, small: DataFrame, key: str, n_rows: int) -> DataFrame:
     """``big`` inner-joined with ``small`` on ``key``, safe against hot keys.
 

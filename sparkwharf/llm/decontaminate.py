@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwharf.llm.common import staged, staging_path
+from sparkwharf.llm.common import staged, staging_path, with_fields
 
 #: Items of fewer words are compared by pieces.
 WALKED = 8
@@ -319,7 +319,6 @@ def load_index(store: fs.FileSystem, file: str) -> Index:
 
 def find_items(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, repetitions: int = REPETITIONS, text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """``docs`` with ``_items`` added: the items each document holds, as array<struct<item_id, edits, near>>."""
-    kinds = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema)
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("edits", pa.int32()), ("near", pa.int32())]))
     folder, files = build_index(benchmark, similarity, repetitions, item_id, item_text)
 
@@ -342,7 +341,7 @@ def find_items(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, r
                 texts, n = [], 0
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(held, kind)], [*batch.schema.names, "_items"])
 
-    return docs.mapInArrow(run, f"{kinds}, _items array<struct<item_id:bigint,edits:int,near:int>>")
+    return docs.mapInArrow(run, with_fields(docs, _items="array<struct<item_id:bigint,edits:int,near:int>>"))
 
 
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

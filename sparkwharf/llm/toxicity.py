@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwharf.llm.common import Memo, first_by_hash, staged
+from sparkwharf.llm.common import Memo, first_by_hash, staged, with_fields
 
 #: Labelled rows that the regression is fitted on, at most, and its features.
 SAMPLE, FEATURES = 20_000, 4096
@@ -263,7 +263,6 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with ``_score`` added."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    kinds = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
@@ -272,7 +271,7 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text") -> Dat
             scores = m.scores((t.as_py() for t in batch.column(text_col)), features)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, "_score"])
 
-    return docs.mapInArrow(run, f"{kinds}, _score double")
+    return docs.mapInArrow(run, with_fields(docs, _score="double"))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

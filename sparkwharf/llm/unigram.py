@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwharf.llm.common import Memo, worker_memo
+from sparkwharf.llm.common import Memo, with_fields, worker_memo
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -257,8 +257,7 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
 
 def encode_documents(docs: DataFrame, model_path: str, text_col: str = "text", decode: bool = True) -> DataFrame:
     """``docs`` with ``_ids`` (array of int) and, with ``decode``, ``_decoded``: the text that the ids give back."""
-    kinds = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in docs.schema)
-    added = "_ids array<int>" + ", _decoded string" * decode
+    added = {"_ids": "array<int>", **({"_decoded": "string"} if decode else {})}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -271,7 +270,7 @@ def encode_documents(docs: DataFrame, model_path: str, text_col: str = "text", d
                     arrays.append(pa.array([decode_ids(x, model_path) for x in ids], pa.string()))
                 yield pa.RecordBatch.from_arrays(arrays, [*batch.schema.names, "_ids", *["_decoded"] * decode])
 
-    return docs.mapInArrow(run, f"{kinds}, {added}")
+    return docs.mapInArrow(run, with_fields(docs, **added))
 
 
 def default_model() -> str:
