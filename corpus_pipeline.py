@@ -14,18 +14,29 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkwharf.llm import decontaminate, line_dedup, near_copies, toxicity, unigram
 from sparkwharf.llm.common import delete, scratch, staging_path
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text`` and all other columns in one, so that no name of theirs can clash with an operator's."""
+    return docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]).alias("_row"))
+
+
+def unpacked(rows: DataFrame, columns: list[str], **changed: Column) -> DataFrame:
+    return rows.select(*[changed[c].alias(c) if c in changed else F.col(c) if c in ("doc_id", "text") else F.col("_row").getField(c).alias(c) for c in columns])
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored 0.5 or more by the classifier learned from ``labels`` go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
     model = toxicity.train(docs.select("doc_id", "text"), labels)
-    return toxicity.score_toxicity(docs, model).filter(F.col("_score") < 0.5).select(docs.columns)
+    if not len(model.keep):  # nothing tells the labels apart, so nothing can be told of a document
+        return docs
+    return unpacked(toxicity.score_toxicity(packed(docs), model).filter(F.col("_score") < 0.5), docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,21 +44,21 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
     Lines of two to nine documents stay, or the copies that the next stage folds would be torn to pieces first.
     """
-    kept = line_dedup.dedup_lines(docs, min_docs=10, min_key=1, keep_first=True)
-    changed = kept.withColumn("text", F.when(F.col("_n_dropped") > 0, F.col("_kept")).otherwise(F.col("text")))
-    chars = F.when(F.col("_n_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return changed.withColumn("n_chars", chars).select(docs.columns)
+    rows = line_dedup.dedup_lines(packed(docs), min_docs=10, min_key=1, keep_first=True)
+    touched = F.col("_n_dropped") > 0
+    chars = F.when(touched, F.length("_kept").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("_row.n_chars"))
+    return unpacked(rows, docs.columns, text=F.when(touched, F.col("_kept")).otherwise(F.col("text")), n_chars=chars)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies (five-word similarity 0.8 or more) stays: the one of the smallest id."""
-    return near_copies.keep_one(docs)
+    return unpacked(near_copies.keep_one(packed(docs)), docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
-    return decontaminate.find_items(docs, benchmark).filter(F.size("_items") == 0).select(docs.columns)
+    return unpacked(decontaminate.find_items(packed(docs), benchmark).filter(F.size("_items") == 0), docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
