@@ -15,43 +15,35 @@ from pyspark.sql import types as T
 MAX_HEAVY_KEYS = 2000
 
 
-class Memo:
+class Memo(dict):
     """Results of a pure function of short texts, held within ``LIMIT`` bytes of keys and values.
 
     Two generations: what is met goes to the young one; when that has its half, it becomes the
     old one, so texts that are met often stay and others go.
     """
 
-    LIMIT, LONGEST = 24 << 20, 64
+    LIMIT, LONGEST = 48 << 20, 64
 
     def __init__(self, make: Callable):
-        self.make, self.young, self.old, self.held = make, {}, {}, 0
+        super().__init__()
+        self.make, self.old, self.held = make, {}, 0
 
-    def _find(self, key: str):
+    def __missing__(self, key: str):
         found = self.old.get(key)
         if found is None:
             found = self.make(key)
         if len(key) <= self.LONGEST:
-            self.young[key] = found
-            # a dictionary slot is about 100 bytes; numbers inside a tuple 28 each
-            self.held += 100 + sys.getsizeof(key) + sys.getsizeof(found) + (28 * len(found) if isinstance(found, tuple) else 0)
+            # a dictionary slot is about 80 bytes
+            self.held += 80 + sys.getsizeof(key) + sys.getsizeof(found)
             if self.held > self.LIMIT // 2:
-                self.young, self.old, self.held = {}, self.young, 0
+                self.old, self.held = dict(self), 0
+                self.clear()
+            self[key] = found
         return found
 
-    def __call__(self, key: str):
-        found = self.young.get(key)
-        return self._find(key) if found is None else found
-
     def of(self, keys: Iterable[str]) -> Iterator:
         """No result may be None."""
-        find = self._find
-        for key in keys:
-            found = self.young.get(key)
-            yield find(key) if found is None else found
-
-    def clear(self) -> None:
-        self.young, self.old, self.held = {}, {}, 0
+        return map(self.__getitem__, keys)
 
 
 _LIVE: dict[tuple, Memo] = {}

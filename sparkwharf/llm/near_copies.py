@@ -113,8 +113,9 @@ def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFram
     """The pairs ``a, b`` of sets that have similarity 0.8 or more."""
     pairs = staged(pairs, "copy_candidates")
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    f = classes.join(needed, "node").select("f").distinct()
-    sets = staged(_sets(rows.join(f, "f", "left_semi").select("id", "f", "text"), lambda g: g).select("node", "grams").dropDuplicates(["node"]), "copy_sets")
+    # one row of each set; others of the same text are left where they are
+    of = classes.join(needed, "node").select(F.col("w.id").alias("_id"), F.col("w.f").alias("_f"))
+    sets = staged(_sets(rows.join(of, (F.col("f") == F.col("_f")) & F.col("id").eqNullSafe(F.col("_id")), "left_semi").select("id", "f", "text"), lambda g: g).select("node", "grams").dropDuplicates(["node"]), "copy_sets")
     often = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n"))
     right = sets.withColumnsRenamed({"node": "b", "grams": "right"}).join(often, "b")
     both = join_unique(pairs, right, "b", pairs.count()).join(sets.withColumnsRenamed({"node": "a", "grams": "left"}), "a")
@@ -127,13 +128,13 @@ def _fit(n: Column, m: Column) -> Column:
 
 
 def fingerprint_pairs(classes: DataFrame) -> DataFrame:
-    """Candidates ``a, b`` between sets whose fingerprints are equal or linked by the covering masks."""
-    firsts = staged(classes.groupBy("fp").agg(F.min("node").alias("low"), F.count(F.lit(1)).alias("n")), "copy_fingerprints")
-    equal = join_unique(classes.select("fp", "node"), firsts, "fp", classes.count()).filter("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b"))
-    of = firsts.select("fp", "low")
-    near = fingerprint_links(of.select("fp"), RADIUS).withColumnsRenamed({"a": "x", "b": "y"})
-    near = near.join(of.withColumnsRenamed({"fp": "x", "low": "a"}), "x").join(of.withColumnsRenamed({"fp": "y", "low": "b"}), "y")
-    return equal.union(near.select("a", "b"))
+    """Candidates ``a, b``: every set with the smallest one of its component of fingerprints that the covering masks link."""
+    fps = staged(classes.groupBy("fp").agg(F.min("node").alias("low"), F.count(F.lit(1)).alias("n")), "copy_fingerprints")
+    roots = connected_components(fingerprint_links(fps.select("fp"), RADIUS)).withColumnRenamed("node", "fp")
+    rooted = fps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    lows = rooted.groupBy("root").agg(F.min("low").alias("b"))
+    of = staged(rooted.join(lows, "root").select("fp", "b", "n"), "copy_fingerprint_roots")
+    return join_unique(classes.select("fp", "node"), of, "fp", classes.count()).filter("node <> b").select(F.col("node").alias("a"), "b")
 
 
 def copy_links(rows: DataFrame, classes: DataFrame, keyed: DataFrame) -> DataFrame:

@@ -22,6 +22,7 @@ gives an empty result; other columns are carried or ignored, never read.
 from __future__ import annotations
 
 import re
+import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -30,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwharf.llm.common import Memo, first_by_hash, staged, with_fields
+from sparkwharf.llm.common import first_by_hash, staged, with_fields, worker_memo
 
 #: Labelled rows that the regression is fitted on, at most, and its features.
 SAMPLE, FEATURES = 20_000, 4096
@@ -147,19 +148,25 @@ class Restorer:
 
 
 class Features:
-    """The feature buckets of texts; ``keep`` maps buckets to features, others vanish."""
+    """The feature buckets of texts; ``keep`` maps buckets to features, others vanish. Words are remembered under ``name``."""
 
-    def __init__(self, cost: np.ndarray, keep: np.ndarray | None = None):
-        self.restorer, self.memo = Restorer(cost), Memo(self._of)
+    def __init__(self, cost: np.ndarray, keep: np.ndarray | None = None, name: str = ""):
+        self.restorer, self.memo = Restorer(cost), worker_memo(("toxic", name or uuid.uuid4().hex), lambda: self._of)
         self.keep = None if keep is None else {int(b): i for i, b in enumerate(keep)}
+        self.kept = None if keep is None else set(self.keep)
 
     def _of(self, word: str) -> tuple[int, ...]:
-        found = set()
+        found, crc = set(), zlib.crc32
         for w in self.restorer.word(word):
             padded = f"^{w}$"
-            found.update(padded[i : i + k] for k in (len(padded), *GRAMS) for i in range(len(padded) - k + 1))
-        found = {zlib.crc32(g.encode("utf-8", "surrogatepass")) % BUCKETS for g in found}
-        return tuple(found) if self.keep is None else tuple(i for b in found if (i := self.keep.get(b)) is not None)
+            if padded.isascii():  # its characters are bytes
+                coded, n = padded.encode(), len(padded)
+                found.add(crc(coded) % BUCKETS)
+                found.update([crc(coded[i : i + k]) % BUCKETS for k in GRAMS for i in range(n - k + 1)])
+            else:
+                grams = {padded[i : i + k] for k in (len(padded), *GRAMS) for i in range(len(padded) - k + 1)}
+                found.update([crc(g.encode("utf-8", "surrogatepass")) % BUCKETS for g in grams])
+        return tuple(found) if self.keep is None else tuple([self.keep[b] for b in found & self.kept])
 
     def text(self, text: str | None) -> np.ndarray:
         text = (text or "").lower()
@@ -262,11 +269,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """``docs`` with ``_score`` added."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared, name = docs.sparkSession.sparkContext.broadcast(model), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        features = Features(m.cost, m.keep)
+        features = Features(m.cost, m.keep, name)
         for batch in batches:
             scores = m.scores((t.as_py() for t in batch.column(text_col)), features)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], [*batch.schema.names, "_score"])

@@ -191,19 +191,48 @@ class Encoder:
                 shared = opened.pop()
                 if shared > committed:
                     yield self._path(text, back, committed, shared)
+                    for e in range(committed + 1, shared + 1):
+                        del back[e]
                     committed = shared
 
-    def _path(self, text: str, back: dict, low: int, high: int) -> list[int]:
+    def _path(self, text: str, back: dict | list, low: int, high: int) -> list[int]:
         out, at = [], high
         while at > low:
             start, piece = back[at]
             out.append([piece] if piece is not None else [self.v.bytes[b] for b in text[start:at].encode("utf-8", "surrogatepass")])
             at = start
-        for e in range(low + 1, high + 1):
-            del back[e]
         return [i for ids in reversed(out) for i in ids]
 
+    def short(self, text: str) -> list[int]:
+        """Ids of a text no longer than a piece, whose window holds all of it."""
+        size, single = len(text), 0
+        best: list[float | None] = [0.0] + [None] * size
+        back: list[tuple[int, int | None]] = [(0, None)] * (size + 1)
+        done = 0
+        for last, (length, piece, gain) in self.v.automaton.iter(text):
+            while done < last:
+                if single <= done:
+                    self._alone(best, back, done)
+                done += 1
+            total = best[last + 1 - length] + gain
+            if best[last + 1] is None or total > best[last + 1]:
+                best[last + 1], back[last + 1] = total, (last + 1 - length, piece)
+            if length == 1:
+                single = last + 1
+        while done < size:
+            if single <= done:
+                self._alone(best, back, done)
+            done += 1
+        return self._path(text, back, 0, size)
+
+    def _alone(self, best: list, back: list, at: int) -> None:
+        alone = best[at] + self.v.unknown
+        if best[at + 1] is None or alone > best[at + 1]:
+            best[at + 1], back[at + 1] = alone, (at, None)
+
     def encode(self, text: str) -> list[int]:
+        if len(text) <= self.v.longest:
+            return self.short(text)
         return [i for part in self.stream(text) for i in part]
 
 

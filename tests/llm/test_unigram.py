@@ -57,10 +57,10 @@ def test_memo_stays_within_its_bytes():
     memo = Memo(lambda s: s.encode())
     memo.LIMIT = 20_000
     for i in range(3000):
-        assert memo("the") == b"the" and memo(f"word{i}") == f"word{i}".encode()
-    assert len(memo.young) + len(memo.old) < 120
+        assert memo["the"] == b"the" and memo[f"word{i}"] == f"word{i}".encode()
+    assert len(memo) + len(memo.old) < 140
     long = "x" * 1000
-    assert list(memo.of([long, "the"])) == [long.encode(), b"the"] and long not in memo.young
+    assert list(memo.of([long, "the"])) == [long.encode(), b"the"] and long not in memo
 
 
 def test_tables(spark):
