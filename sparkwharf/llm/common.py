@@ -22,7 +22,7 @@ class Memo(dict):
     old one, so texts that are met often stay and others go.
     """
 
-    LIMIT, LONGEST = 48 << 20, 64
+    LIMIT, LONGEST = 32 << 20, 64
 
     def __init__(self, make: Callable):
         super().__init__()
@@ -33,8 +33,8 @@ class Memo(dict):
         if found is None:
             found = self.make(key)
         if len(key) <= self.LONGEST:
-            # a dictionary slot is about 80 bytes
-            self.held += 80 + sys.getsizeof(key) + sys.getsizeof(found)
+            # a dictionary slot is about 80 bytes, a number in a tuple 32
+            self.held += 80 + sys.getsizeof(key) + sys.getsizeof(found) + (32 * len(found) if isinstance(found, tuple) else 0)
             if self.held > self.LIMIT // 2:
                 self.old, self.held = dict(self), 0
                 self.clear()

@@ -32,6 +32,8 @@ from sparkwharf.llm.common import connected_components, join_unique, staged
 from sparkwharf.llm.simhash import BITS, BLOCK, fingerprint_links
 
 SHINGLE, RADIUS = 5, 2
+#: Sets compared with one copy of another, and shingles in a batch of sets on their way.
+SALTED, SENT = 1000, 1 << 19
 #: Texts sampled for the order of shingles, how many of them make a shingle common, and the most that are broadcast.
 SAMPLE, COMMON, MOST_COMMON = 10_000, 4, 1 << 16
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -110,17 +112,57 @@ def _sets(rows: DataFrame, pick: Callable[[np.ndarray], np.ndarray]) -> DataFram
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs ``a, b`` of sets that have similarity 0.8 or more."""
+    """The pairs ``a, b`` of sets that have similarity 0.8 or more.
+
+    Each set travels once to every ``b`` it is compared with, where it streams past the set of
+    ``b``; the partners of a frequent ``b`` are dealt out over salts of about SALTED, each with a copy of b's set.
+    """
     pairs = staged(pairs, "copy_candidates")
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    # one row of each set; others of the same text are left where they are
-    of = classes.join(needed, "node").select(F.col("w.id").alias("_id"), F.col("w.f").alias("_f"))
-    sets = staged(_sets(rows.join(of, (F.col("f") == F.col("_f")) & F.col("id").eqNullSafe(F.col("_id")), "left_semi").select("id", "f", "text"), lambda g: g).select("node", "grams").dropDuplicates(["node"]), "copy_sets")
-    often = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n"))
-    right = sets.withColumnsRenamed({"node": "b", "grams": "right"}).join(often, "b")
-    both = join_unique(pairs, right, "b", pairs.count()).join(sets.withColumnsRenamed({"node": "a", "grams": "left"}), "a")
-    shared = F.size(F.array_intersect("left", "right"))
-    return staged(both.filter(shared * 9 >= (F.size("left") + F.size("right")) * 4).select("a", "b"), "copy_links")
+    often = staged(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n"), F.ceil(F.count(F.lit(1)) / SALTED).alias("salts")), "copy_partners")
+    salted = join_unique(pairs, often, "b", pairs.count())
+    sent = salted.select(F.col("a").alias("node"), "b", F.pmod(F.xxhash64("a"), F.col("salts")).alias("salt"), F.lit(False).alias("first"))
+    firsts = often.select(F.col("b").alias("node"), "b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)).alias("salt"), F.lit(True).alias("first"))
+    to = sent.unionByName(firsts).groupBy("node").agg(F.collect_list(F.struct("b", "salt", "first")).alias("to"))
+    # one row of each set; others of the same text are left where they are. Where this table is small, Spark broadcasts it and no text moves
+    to = staged(to.join(classes.select("node", F.col("w.id").alias("_id"), F.col("w.f").alias("_f")), "node"), "copy_deliveries")
+    texts = rows.join(to, (F.col("f") == F.col("_f")) & F.col("id").eqNullSafe(F.col("_id"))).select("node", "to", "text")
+    kind = pa.schema([("b", pa.int64()), ("salt", pa.int64()), ("first", pa.bool_()), ("node", pa.int64()), ("grams", pa.list_(pa.int64()))])
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def batch_of() -> pa.RecordBatch:
+            offsets = pa.array(np.concatenate([[0], np.cumsum([len(g) for *_, g in held])]).astype(np.int32))
+            lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([g for *_, g in held])))
+            return pa.RecordBatch.from_arrays([*(pa.array([h[i] for h in held], kind.field(i).type) for i in range(4)), lists], schema=kind)
+
+        for batch in batches:
+            for node, to, text in zip(batch.column("node").to_pylist(), batch.column("to"), batch.column("text"), strict=True):
+                grams = shingles(text.as_py())
+                for t in to.as_py():
+                    held.append((t["b"], t["salt"], t["first"], node, grams))
+                    size += len(grams) + 16
+                    if size > SENT:
+                        yield batch_of()
+                        held, size = [], 0
+        if held:
+            yield batch_of()
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base = None
+        for batch in batches:
+            lists, found = batch.column("grams"), []
+            values, offsets = lists.values.to_numpy(), lists.offsets.to_numpy()
+            for k, (b_, first, node) in enumerate(zip(batch.column("b").to_pylist(), batch.column("first").to_pylist(), batch.column("node").to_pylist(), strict=True)):
+                grams = values[offsets[k] : offsets[k + 1]]
+                if first:
+                    base = grams
+                elif len(np.intersect1d(base, grams, assume_unique=True)) * 9 >= (len(base) + len(grams)) * 4:
+                    found.append((node, b_))
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
+
+    met = texts.mapInArrow(send, "b long, salt long, first boolean, node long, grams array<long>").repartition("b", "salt").sortWithinPartitions("b", "salt", F.desc("first"))
+    return staged(met.mapInArrow(compare, "a long, b long").distinct(), "copy_links")
 
 
 def _fit(n: Column, m: Column) -> Column:
@@ -138,14 +180,15 @@ def fingerprint_pairs(classes: DataFrame) -> DataFrame:
 
 
 def copy_links(rows: DataFrame, classes: DataFrame, keyed: DataFrame) -> DataFrame:
-    """True links ``a, b`` between sets, with the components of all pairs; ``keyed(key, node, n)`` are the prefixes."""
-    key = Window.partitionBy("key")
-    met = keyed.withColumn("c", F.count(F.lit(1)).over(key)).filter("c > 1").withColumn("low", F.min(F.struct("node", "n")).over(key))
-    met = staged(met.select("key", "node", "n", "low"), "copy_keys")
-    star = met.filter((F.col("node") != F.col("low.node")) & _fit(F.col("n"), F.col("low.n"))).select(F.col("node").alias("a"), F.col("low.node").alias("b"))
+    """True links ``a, b`` between sets, with the components of all pairs; ``keyed(key, node)`` are the prefixes."""
+    key, size = Window.partitionBy("key"), classes.select("node", "n")
+    met = keyed.withColumn("low", F.min("node").over(key)).withColumn("high", F.max("node").over(key)).filter("low <> high")
+    met = staged(met.select("key", "node", "low"), "copy_keys")
+    star = met.filter("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
+    star = star.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b").filter(_fit(F.col("na"), F.col("nb"))).select("a", "b")
     first = _verified(star.union(fingerprint_pairs(classes)).distinct(), rows, classes)
     roots = staged(connected_components(first), "copy_roots_1")
-    placed = met.join(roots, "node", "left").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
+    placed = met.join(roots, "node", "left").join(size, "node").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
     apart = staged(placed.withColumn("least", F.min("root").over(key)).withColumn("most", F.max("root").over(key)).filter("least <> most").drop("least", "most"), "copy_keys_apart")
     x, y = apart.withColumnsRenamed({"node": "a", "n": "na", "root": "ra"}), apart.withColumnsRenamed({"node": "b", "n": "nb", "root": "rb"})
     rest = x.join(y, "key").filter((F.col("a") > F.col("b")) & (F.col("ra") != F.col("rb")) & _fit(F.col("na"), F.col("nb"))).select("a", "b").distinct()
@@ -159,11 +202,17 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     shared = docs.sparkSession.sparkContext.broadcast((common, rank))
     sets = staged(_sets(rows, lambda g: prefix(g, *shared.value)), "copy_prefixes")
     smallest = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "f"))
-    classes = staged(sets.groupBy("node").agg(smallest.alias("w"), F.min("f").alias("f"), F.min("fp").alias("fp")), "copy_classes")
-    keyed = sets.dropDuplicates(["node"]).select(F.explode("grams").alias("key"), "node", "n")
-    roots = connected_components(copy_links(rows, classes, keyed))
+    classes = staged(sets.groupBy("node").agg(smallest.alias("w"), F.min("n").alias("n"), F.min("fp").alias("fp")), "copy_classes")
+    of = classes.select(F.col("node").alias("_node"), F.col("w.id").alias("_id"), F.col("w.f").alias("_f"))
+    one = sets.join(of, (F.col("node") == F.col("_node")) & (F.col("f") == F.col("_f")) & F.col("id").eqNullSafe(F.col("_id")), "left_semi")
+    links = copy_links(rows, classes, one.select(F.explode("grams").alias("key"), "node"))
+    roots = connected_components(links)
     rooted = classes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("w").alias("w"))
-    winners = staged(rooted.select(F.col("w.id").alias("_id"), F.col("w.f").alias("_f")), "copy_winners")
+    # only rows that repeat both id and text have to meet to become one
+    often = sets.groupBy("id", "f").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select(F.col("id").alias("_id2"), F.col("f").alias("_f2"), "rows")
+    winners = rooted.select(F.col("w.id").alias("_id"), F.col("w.f").alias("_f")).join(often, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_f") == F.col("_f2")), "left")
+    winners = staged(winners.select("_id", "_f", "rows"), "copy_winners")
     of_text = docs.withColumn("_f0", F.xxhash64(F.col(text_col)))
-    kept = of_text.join(winners, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_f0") == F.col("_f")), "left_semi")
-    return kept.dropDuplicates([id_col, "_f0"]).select(docs.columns)
+    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_f0") == F.col("_f"))
+    kept = of_text.join(winners.filter("rows IS NULL"), same, "left_semi")
+    return kept.union(of_text.join(winners.filter("rows > 1"), same, "left_semi").dropDuplicates([id_col, "_f0"])).select(docs.columns)
