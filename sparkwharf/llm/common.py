@@ -52,6 +52,9 @@ _LIVE: dict[tuple, Memo] = {}
 def worker_memo(name: tuple, build: Callable[[], Callable]) -> Memo:
     """The memo of one function in this worker; a worker, which many stages may share, keeps one memo only."""
     if name not in _LIVE:
+        for other in _LIVE.values():  # its function may refer to it, so it is emptied, not left to the garbage collector
+            other.clear()
+            other.old.clear()
         _LIVE.clear()
         _LIVE[name] = Memo(build())
     return _LIVE[name]

@@ -12,7 +12,7 @@ order is a matter of speed only: shingles that are common in a sample come last.
 Texts of one shingle set are folded first. Texts that share a key are then verified
 against the smallest of them; what this leaves in different components is paired in
 full and verified, so a group of m copies costs m comparisons a key, and no
-bucket is capped. A text is compared by its whole set of 64-bit shingle hashes.
+bucket is capped. Only pairs that share enough of their prefixes to reach the similarity are verified. A text is compared by its whole set of 64-bit shingle hashes.
 
 Cases: texts of fewer than five words are one shingle; null and empty texts have
 none and are copies of one another; null ids come last; repeated rows count once.
@@ -165,8 +165,13 @@ def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFram
     return staged(met.mapInArrow(compare, "a long, b long").distinct(), "copy_links")
 
 
-def _fit(n: Column, m: Column) -> Column:
-    return (n * 5 >= m * 4) & (m * 5 >= n * 4)
+def _fit(n: Column, m: Column, shared: Column) -> Column:
+    """Whether sets of n and m shingles whose prefixes have ``shared`` keys in common can be similar.
+
+    Beyond the prefix that ends first in the order, at most the rest of that set can be shared: ceil(0.8 n) - 1 shingles.
+    """
+    up = lambda x, d: F.floor((x + (d - 1)) / d)
+    return (n * 5 >= m * 4) & (m * 5 >= n * 4) & (shared + F.greatest(up(n * 4, 5), up(m * 4, 5)) - 1 >= up((n + m) * 4, 9))
 
 
 def fingerprint_pairs(classes: DataFrame) -> DataFrame:
@@ -184,14 +189,17 @@ def copy_links(rows: DataFrame, classes: DataFrame, keyed: DataFrame) -> DataFra
     key, size = Window.partitionBy("key"), classes.select("node", "n")
     met = keyed.withColumn("low", F.min("node").over(key)).withColumn("high", F.max("node").over(key)).filter("low <> high")
     met = staged(met.select("key", "node", "low"), "copy_keys")
-    star = met.filter("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
-    star = star.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b").filter(_fit(F.col("na"), F.col("nb"))).select("a", "b")
+    shared = F.count(F.lit(1)).alias("shared")
+    # keys with another smallest set aren't counted here, so the bound is taken at half; pairs it misses come below
+    star = met.filter("node <> low").groupBy(F.col("node").alias("a"), F.col("low").alias("b")).agg(shared)
+    star = star.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b").filter(_fit(F.col("na"), F.col("nb"), F.col("shared") * 2)).select("a", "b")
     first = _verified(star.union(fingerprint_pairs(classes)).distinct(), rows, classes)
     roots = staged(connected_components(first), "copy_roots_1")
     placed = met.join(roots, "node", "left").join(size, "node").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
     apart = staged(placed.withColumn("least", F.min("root").over(key)).withColumn("most", F.max("root").over(key)).filter("least <> most").drop("least", "most"), "copy_keys_apart")
     x, y = apart.withColumnsRenamed({"node": "a", "n": "na", "root": "ra"}), apart.withColumnsRenamed({"node": "b", "n": "nb", "root": "rb"})
-    rest = x.join(y, "key").filter((F.col("a") > F.col("b")) & (F.col("ra") != F.col("rb")) & _fit(F.col("na"), F.col("nb"))).select("a", "b").distinct()
+    rest = x.join(y, "key").filter((F.col("a") > F.col("b")) & (F.col("ra") != F.col("rb"))).groupBy("a", "b", "na", "nb").agg(shared)
+    rest = rest.filter(_fit(F.col("na"), F.col("nb"), F.col("shared"))).select("a", "b")
     return first.union(_verified(rest, rows, classes))
 
 
