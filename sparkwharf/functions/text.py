@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Query parameters that only track visitors.
-TRACKING = ["utm_", "fbclid", "gclid", "igshid", "mc_cid", "mc_eid", "ref_src", "spm"]
+TRACKING = ["fbclid", "gclid", "dclid", "msclkid", "twclid", "igshid", "mc_cid", "mc_eid", "ref", "referer", "referrer", "from", "feature", "spm", "share", "sfnsn", "oc"]
 # Text that stands for a missing value.
 MISSING = ["", "-", "--", "N/A", "n/a", "null", "None", "休市"]
 SEPARATORS = r"\s*[/／、,，;；\n]\s*"
@@ -61,17 +61,22 @@ def normal_url(c: Column) -> Column:
     url = F.regexp_replace(F.trim(c), "#.*$", "")
     scheme, host = F.lower(F.regexp_extract(url, "^([A-Za-z][A-Za-z0-9+.-]*)://", 1)), F.lower(F.regexp_extract(url, "://([^/?]*)", 1))
     path = F.regexp_replace(F.regexp_extract(url, "://[^/?]*([^?]*)", 1), "/+$", "")
-    wanted = F.filter(F.split(F.regexp_extract(url, "\\?(.*)$", 1), "&"), lambda p: (p != "") & ~F.lower(p).rlike("^(" + "|".join(TRACKING) + ")"))
+    wanted = F.filter(F.split(F.regexp_extract(url, "\\?(.*)$", 1), "&"), lambda p: (p != "") & ~F.lower(p).rlike("^(utm_[^=]*|" + "|".join(TRACKING) + ")(=|$)"))
     query = F.when(F.size(wanted) > 0, F.concat(F.lit("?"), F.array_join(wanted, "&"))).otherwise("")
     return F.when(host != "", F.concat(scheme, F.lit("://"), host, path, query))
 
 
 def redirect_target(c: Column) -> Column:
-    """The address inside a base64 token of a redirect link (behind a length prefix), else null."""
+    """The address inside a base64 token of a redirect link, behind a mark and its length in one or two bytes; else null."""
     token = F.translate(F.regexp_extract(c, "/articles/([A-Za-z0-9_-]+)", 1), "-_", "+/")
     padded = F.rpad(token, (F.ceil(F.length(token) / 4) * 4).cast("int"), F.lit("="))
-    raw = F.when(token != "", F.decode(F.try_to_binary(padded, F.lit("base64")), "ISO-8859-1"))
-    return F.nullif(F.regexp_extract(raw, "(https?://[\\x21-\\x7e]+)", 1), F.lit(""))
+    raw = F.unhex(F.regexp_replace(F.hex(F.when(token != "", F.try_to_binary(padded, F.lit("base64")))), "D20100$", ""))
+    byte = lambda at: F.conv(F.hex(F.substring(raw, at, 1)), 16, 10).cast("int")
+    size = F.when(byte(4) < 128, byte(4)).otherwise(byte(4) - 128 + byte(5) * 128)
+    body = F.substring(raw, F.when(byte(4) < 128, 5).otherwise(6), size)
+    # bytes that are no UTF-8 would become a replacement mark
+    address = F.when(F.hex(F.substring(raw, 1, 3)) == "081322", F.decode(body, "UTF-8"))
+    return F.when(address.rlike("^https?://"), address)
 
 
 def clean_title(c: Column) -> Column:
@@ -190,6 +195,19 @@ def report_count(text: Column, pattern: str) -> Column:
 
 
 def intensity_rank(c: Column) -> Column:
-    """Ordinal of a shaking intensity: weak and strong halves of 5 and 6 are apart."""
+    """Ordinal of a shaking intensity: weak and strong halves of 5 and 6 are apart, the old 5 and 6 are the weak halves; null for other text."""
     order = ["0級", "1級", "2級", "3級", "4級", "5弱", "5強", "6弱", "6強", "7級"]
-    return (F.array_position(F.array(*map(F.lit, order)), c) - 1).cast("int")
+    name = F.regexp_replace(F.trim(c), "^([56])級$", "$1弱")
+    return (F.nullif(F.array_position(F.array(*map(F.lit, order)), name), F.lit(0).cast("long")) - 1).cast("int")
+
+
+def encoded_base64(c: Column) -> Column:
+    """Base64 of bytes in one line; Spark's own breaks lines after 76 signs."""
+    return F.regexp_replace(F.base64(c), "[\\r\\n]", "")
+
+
+def as_list(json: Column) -> Column:
+    """The values of a JSON field that holds a list, a single value or nothing."""
+    bare = F.regexp_extract(json, '^"(.*)"$', 1)
+    one = F.when(bare != "", bare).otherwise(json)
+    return F.when(json.isNull() | (json == "null"), F.array().cast("array<string>")).when(json.startswith("["), F.from_json(json, "array<string>")).otherwise(F.array(one))

@@ -2,13 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def upper_median(c: Column) -> Column:
-    """Aggregate: element n div 2 of the sorted values, from their frequencies so that memory follows distinct values."""
-    return F.get(F.array_sort(F.collect_list(c)), F.floor(F.count(c) / 2).cast("int"))
+def upper_median(rows: DataFrame, key: list[str], value: Column) -> DataFrame:
+    """Per key the element n div 2 of the sorted values, from the counts of distinct values; no group is collected."""
+    n = rows.withColumn("_v", value).filter("_v IS NOT NULL").groupBy(*key, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*key)
+    upto, whole = F.sum("_n").over(w.orderBy("_v")), F.sum("_n").over(w)
+    # the first value behind which more than n div 2 values lie
+    return n.withColumns({"_upto": upto, "_whole": whole}).filter(F.col("_upto") > F.floor(F.col("_whole") / 2)).groupBy(*key).agg(F.min("_v").alias("median"))
+
+
+def global_rank(rows: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """Ranks over all rows: inside ranges of the order, plus the sizes of the ranges before (a row a range)."""
+    ranged = rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id())
+    ranged = ranged.checkpoint() if rows.sparkSession.sparkContext.getCheckpointDir() else ranged.persist()
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_range", F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    inside = ranged.withColumn("_i", F.row_number().over(Window.partitionBy("_range").orderBy(*order)))
+    return inside.join(F.broadcast(before), "_range").withColumn(name, F.col("_before") + F.col("_i")).drop("_range", "_i", "_before")
 
 
 def detector_rollup(lanes: DataFrame, key: list[str]) -> DataFrame:

@@ -85,13 +85,8 @@ def coverage(spark, sf):
     return c.join(hit, "c_custkey", "left").agg(F.round(F.count("hit") / F.count(F.lit(1)), 6).alias("ratio"), F.count(F.lit(1)).alias("n"))
 
 
-@query("g30_displacement", "SELECT user_id, CASE WHEN max(event_id) - min(event_id) < 300 THEN 'still' WHEN max(event_id) - min(event_id) < 2000 THEN 'near' ELSE 'moving' END AS moved FROM events WHERE event_id % 11 = 0 GROUP BY 1")
+@query("g30_displacement", "SELECT user_id, CASE WHEN max(event_id) - min(event_id) < 300 THEN 'still' WHEN max(event_id) - min(event_id) < 2000 THEN 'near' ELSE 'moving' END AS moved FROM events GROUP BY 1")
 def displacement(spark, sf):
-    return st.displacement_class(table(spark, sf, "events").filter("event_id % 11 = 0"), "user_id", F.col("event_id"))
-
-
-@query("g30_displacement_whole")
-def displacement_whole(spark, sf):
     return st.displacement_class(table(spark, sf, "events"), "user_id", F.col("event_id"))
 
 
@@ -109,7 +104,8 @@ def arg_max(spark, sf):
 
 @query("g35_upper_median", "SELECT l_suppkey, list_sort(list(CAST(l_quantity AS BIGINT)))[count(*) // 2 + 1] AS median, count(*) FILTER (l_discount <> 0) AS non_zero FROM lineitem GROUP BY 1")
 def median(spark, sf):
-    return table(spark, sf, "lineitem").groupBy("l_suppkey").agg(st.upper_median(F.col("l_quantity").cast("long")).alias("median"), F.count_if(F.col("l_discount") != 0).alias("non_zero"))
+    li = table(spark, sf, "lineitem")
+    return st.upper_median(li, ["l_suppkey"], F.col("l_quantity").cast("long")).join(li.groupBy("l_suppkey").agg(F.count_if(F.col("l_discount") != 0).alias("non_zero")), "l_suppkey")
 
 
 @query("p1_p7_json_fields", """

@@ -24,10 +24,13 @@ def road_marks(spark, sf):
     return table(spark, sf, "orders").select(k, tx.road_name(road).alias("road"), F.round(tx.kilometre(mark) * 1000).cast("long").alias("metres"))
 
 
-@query("f21_redirects", r"SELECT page_id, nullif(regexp_extract(url, '(https?://[\x21-\x7e]+)', 1), '') AS target FROM pages")
+@query("f21_redirects", r"SELECT page_id, CASE WHEN regexp_matches(url, '^https?://') THEN url END AS target FROM pages")
 def redirects(spark, sf):
     """A round trip: addresses wrapped as base64 tokens of redirect links, and unwrapped."""
-    token = F.base64(F.encode(F.concat(F.lit('\x08\x13"\x1f'), F.col("url"), F.lit("\x01")), "UTF-8"))
+    raw = F.encode("url", "UTF-8")
+    n, two = F.octet_length(raw), lambda x: F.lpad(F.hex(x), 2, "0")
+    size = F.when(n < 128, two(n)).otherwise(F.concat(two(n % 128 + 128), two(F.floor(n / 128))))
+    token = tx.encoded_base64(F.unhex(F.concat(F.lit("081322"), size, F.hex(raw), F.lit("D20100"))))
     link = F.concat(F.lit("https://n.example/rss/articles/"), F.rtrim(F.translate(token, "+/", "-_"), F.lit("=")))
     return table(spark, sf, "pages").select("page_id", tx.redirect_target(link).alias("target"))
 

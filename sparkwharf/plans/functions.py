@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from sparkwharf.functions import geo
 from sparkwharf.functions import text as tx
 from sparkwharf.functions import timeutil as tu
+from sparkwharf.operators import dedup
 from sparkwharf.plans.registry import query, table
 
 
@@ -94,11 +96,12 @@ def urls(spark, sf):
     return table(spark, sf, "pages").select("page_id", tx.normal_url(F.concat(F.regexp_replace("url", "[?#].*$", ""), F.lit("?utm_source=x&a=1&fbclid=2#top"))).alias("url"))
 
 
-@query("f23_hamming", "SELECT a.s_suppkey AS a, b.s_suppkey AS b, bit_count(xor(a.s_suppkey * 2654435761, b.s_suppkey * 2654435761))::INT AS d FROM supplier a JOIN supplier b ON a.s_nationkey = b.s_nationkey AND a.s_suppkey < b.s_suppkey")
+@query("f23_hamming", "SELECT * FROM (SELECT s_suppkey AS a, lead(s_suppkey) OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS b, bit_count(xor(s_suppkey * 2654435761, b * 2654435761))::INT AS d FROM supplier) WHERE b IS NOT NULL")
 def hamming(spark, sf):
-    s = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
-    a, b = s.withColumnRenamed("s_suppkey", "a"), s.withColumnRenamed("s_suppkey", "b")
-    return a.join(b, "s_nationkey").filter("a < b").select("a", "b", tx.hamming(F.col("a") * 2654435761, F.col("b") * 2654435761).alias("d"))
+    """Between each supplier and the next one of its nation."""
+    b = F.lead("s_suppkey").over(Window.partitionBy("s_nationkey").orderBy("s_suppkey"))
+    s = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("a"), b.alias("b")).filter("b IS NOT NULL")
+    return s.select("a", "b", tx.hamming(F.col("a") * 2654435761, F.col("b") * 2654435761).alias("d"))
 
 
 @query("f27_canonical_hash", """SELECT c_custkey, sha256('{"a":' || coalesce('"' || CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment END || '"', 'null') || ',"k":' || c_custkey || '}') AS h FROM customer""")
@@ -113,9 +116,9 @@ def lists(spark, sf):
     return table(spark, sf, "part").select("p_partkey", tx.first_name_in(F.col("p_type"), ["COPPER", "TIN", "STEEL"]).alias("metal"), key.alias("event_key"))
 
 
-@query("f35_k27_base64", "SELECT r_regionkey, to_base64(r_name::BLOB) AS b FROM region")
+@query("f35_base64", "SELECT page_id, to_base64(encode(html)) AS b FROM pages")
 def base64(spark, sf):
-    return table(spark, sf, "region").select("r_regionkey", F.base64(F.encode("r_name", "UTF-8")).alias("b"))
+    return table(spark, sf, "pages").select("page_id", tx.encoded_base64(F.encode("html", "UTF-8")).alias("b"))
 
 
 @query("f42_f44_f45_labels", r"""
@@ -142,19 +145,10 @@ def sentinels(spark, sf):
 
 @query("x1_x2_x5_wkt", """
 SELECT user_id, 'SRID=4326;POINT(' || printf('%.6f', 121 + (min(event_id) % 89) / 1000.0) || ' ' || printf('%.6f', 24 + (min(event_id) % 97) / 1000.0) || ')' AS first,
-CASE WHEN count(*) >= 2 THEN 'SRID=4326;LINESTRING(' || string_agg(printf('%.6f', 121 + (event_id % 89) / 1000.0) || ' ' || printf('%.6f', 24 + (event_id % 97) / 1000.0), ', ' ORDER BY event_id) || ')' END AS line FROM events WHERE event_id % 50 = 0 GROUP BY 1""")
+CASE WHEN count(*) >= 2 THEN 'SRID=4326;LINESTRING(' || string_agg(printf('%.6f', 121 + (event_id % 89) / 1000.0) || ' ' || printf('%.6f', 24 + (event_id % 97) / 1000.0), ', ' ORDER BY event_id) || ')' END AS line FROM events GROUP BY 1""")
 def wkt(spark, sf):
-    return _wkt(table(spark, sf, "events").filter("event_id % 50 = 0"))
-
-
-@query("x1_x2_x5_wkt_whole")
-def wkt_whole(spark, sf):
-    return _wkt(table(spark, sf, "events"))
-
-
-def _wkt(events):
     e = F.col("event_id")
-    p = events.select("user_id", F.struct(e.alias("k"), (F.lit(121.0) + (e % 89) / F.lit(1000.0)).alias("lng"), (F.lit(24.0) + (e % 97) / F.lit(1000.0)).alias("lat")).alias("p"))
+    p = table(spark, sf, "events").select("user_id", F.struct(e.alias("k"), (F.lit(121.0) + (e % 89) / F.lit(1000.0)).alias("lng"), (F.lit(24.0) + (e % 97) / F.lit(1000.0)).alias("lat")).alias("p"))
     a = p.groupBy("user_id").agg(F.array_sort(F.collect_list("p")).alias("ps"))
     return a.select("user_id", geo.point_wkt(F.col("ps")[0]["lng"], F.col("ps")[0]["lat"]).alias("first"), geo.line_wkt(F.col("ps")).alias("line"))
 
@@ -162,16 +156,17 @@ def _wkt(events):
 @query("x11_projection", """
 WITH p AS (SELECT event_id, (event_id % 89) / 1000.0::DOUBLE AS x, (event_id % 97) / 1000.0::DOUBLE AS y FROM events), s AS (SELECT *, greatest(0, least(1, x / 0.05)) AS t1, greatest(0, least(1, (y) / 0.08)) AS t2 FROM p),
 d AS (SELECT *, sqrt(pow(x - t1 * 0.05, 2) + pow(y, 2)) AS d1, sqrt(pow(x - 0.05, 2) + pow(y - t2 * 0.08, 2)) AS d2 FROM s)
-SELECT event_id, round(CASE WHEN d1 <= d2 THEN t1 * 0.05 ELSE 0.05 + t2 * 0.08 END / 0.13, 6) AS along FROM d WHERE abs(d1 - d2) > 1e-9""")
+SELECT event_id, CASE WHEN abs(d1 - d2) > 1e-9 THEN round(CASE WHEN d1 <= d2 THEN t1 * 0.05 ELSE 0.05 + t2 * 0.08 END / 0.13, 6) END AS along FROM d""")
 def projection(spark, sf):
-    """Progress along an L-shaped line on the equator's scale."""
+    """Progress along an L-shaped line on the equator's scale; null for points as near to one leg as to the other."""
     e = F.col("event_id")
     x, y = (e % 89) / F.lit(1000.0), (e % 97) / F.lit(1000.0)
     pt = lambda a, b: F.struct(F.lit(a).alias("lng"), F.lit(b).alias("lat"))
     t1, t2 = (F.greatest(F.lit(0.0), F.least(F.lit(1.0), v)) for v in (x / 0.05, y / 0.08))
     d1 = F.sqrt(F.pow(x - t1 * 0.05, 2) + F.pow(y, 2))
     d2 = F.sqrt(F.pow(x - 0.05, 2) + F.pow(y - t2 * 0.08, 2))
-    return table(spark, sf, "events").filter(F.abs(d1 - d2) > 1e-9).select("event_id", F.round(geo.project_on_line(x, y, F.array(pt(0.0, 0.0), pt(0.05, 0.0), pt(0.05, 0.08)))["along"], 6).alias("along"))
+    along = F.round(geo.project_on_line(x, y, F.array(pt(0.0, 0.0), pt(0.05, 0.0), pt(0.05, 0.08)))["along"], 6)
+    return table(spark, sf, "events").select("event_id", F.when(F.abs(d1 - d2) > 1e-9, along).alias("along"))
 
 
 @query("x12_x14_x15_rasters", """
@@ -183,7 +178,62 @@ def rasters(spark, sf):
     return c.select("vec_id", "i", F.round(geo.wrap_longitude(F.col("i") * F.lit(5.625)), 6).alias("lng"), geo.quantise(v, F.lit(-1.0), F.lit(1.0)).alias("q"))
 
 
-@query("f22_t7_title_simhash")
+@query("f22_title_simhash", r"""
+WITH t AS (SELECT p_partkey, lower(regexp_replace(p_name, '[^\p{L}\p{N}]', '', 'g')) AS t FROM part),
+g AS (SELECT p_partkey, ('0x' || substr(md5(substr(t, i::INT, 2)), 1, 16))::UBIGINT AS h FROM t, generate_series(1, greatest(length(t) - 1, 1)) AS s(i)),
+b AS (SELECT p_partkey, k, sum((h >> k) & 1) * 2 > count(*) AS one FROM g, range(64) AS r(k) GROUP BY ALL)
+SELECT p_partkey, sum(CASE WHEN one THEN (1::HUGEINT << k) ELSE 0 END)::UBIGINT::VARCHAR AS simhash FROM b GROUP BY p_partkey""")
 def title_simhash(spark, sf):
-    """64-bit fingerprints of part names; checked against a plain version in the tests."""
-    return table(spark, sf, "part").select("p_partkey", tx.simhash64(tx.clean_title(F.col("p_name"))).alias("simhash"))
+    """64-bit fingerprints of part names, unsigned."""
+    titles = table(spark, sf, "part").select("p_partkey", tx.clean_title(F.col("p_name")).alias("title"))
+    return dedup.signatures(titles, "title", "sig").select("p_partkey", tx.to_unsigned(F.col("sig")).cast("string").alias("simhash"))
+
+
+@query("t7_near_titles")
+def near_titles(spark, sf):
+    """Part names that come in order of their key, one each hour, without those that resemble a name kept in the seven days before; brute force in the tests."""
+    titles = table(spark, sf, "part").select(F.col("p_partkey").alias("seq"), (F.col("p_partkey") * 3600).alias("at"), tx.clean_title(F.col("p_name")).alias("title"))
+    return dedup.greedy_keep(dedup.signatures(titles, "title", "sig").select("seq", "at", "sig"), horizon=7 * 86400).select(F.col("seq").alias("p_partkey"))
+
+
+@query("f36_intensity", "SELECT event_id, CASE event_id % 9 WHEN 0 THEN 0 WHEN 1 THEN 4 WHEN 2 THEN 5 WHEN 3 THEN 6 WHEN 4 THEN 7 WHEN 5 THEN 8 WHEN 6 THEN 9 WHEN 7 THEN 5 END::INT AS rank FROM events")
+def intensity(spark, sf):
+    text = F.element_at(F.array(*map(F.lit, ("0級", "4級", "5弱", "5強 ", "6級", "6強", "7級", "5級", "unknown"))), (F.col("event_id") % 9 + 1).cast("int"))
+    return table(spark, sf, "events").select("event_id", tx.intensity_rank(text).alias("rank"))
+
+
+@query("f41_intervals", "SELECT o_orderkey, strftime(CAST(o_orderdate AS TIMESTAMP) - to_days((o_orderkey % 9)::INT) - to_hours((o_orderkey % 7)::INT), '%Y-%m-%d %H') AS since FROM orders")
+def intervals(spark, sf):
+    back = F.make_interval(days=(F.col("o_orderkey") % 9).cast("int"), hours=(F.col("o_orderkey") % 7).cast("int"))
+    return table(spark, sf, "orders").select("o_orderkey", F.date_format(F.col("o_orderdate").cast("timestamp_ntz") - back, "yyyy-MM-dd HH").alias("since"))
+
+
+@query("f44_stable_names", "SELECT p_partkey, upper(p_brand) AS name FROM part")
+def stable_names(spark, sf):
+    """Names that carry a load share go without it."""
+    return table(spark, sf, "part").select("p_partkey", tx.without_share(F.concat(F.lower("p_brand"), F.lit(" "), (F.col("p_size") * 2).cast("string"), F.lit("%"))).alias("name"))
+
+
+@query("p7_scalar_or_list", "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 0 WHEN c_custkey % 3 = 1 THEN 1 ELSE 2 END::INT AS n, CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment END AS first FROM customer")
+def scalar_or_list(spark, sf):
+    """A JSON field that holds one value, a list of values or nothing."""
+    k, one = F.col("c_custkey") % 3, F.concat(F.lit('"'), F.col("c_mktsegment"), F.lit('"'))
+    field = F.when(k == 0, F.lit("null")).when(k == 1, one).otherwise(F.concat(F.lit("["), one, F.lit(',"x"]')))
+    values = tx.as_list(F.get_json_object(F.concat(F.lit('{"v":'), field, F.lit("}")), "$.v"))
+    return table(spark, sf, "customer").select("c_custkey", F.size(values).alias("n"), F.get(values, F.lit(0)).alias("first"))
+
+
+@query("x12_pixels", "SELECT event_id, round(118 + (event_id % 640) * 0.01, 6) AS lng, round(27 - (event_id % 480) * 0.0125, 6) AS lat, sqrt(pow((event_id % 5) * 0.01, 2) + pow((event_id % 3) * 0.01, 2)) <= 0.03 AS ok FROM events")
+def pixels(spark, sf):
+    e, at = F.col("event_id"), geo.pixel_to_lonlat(F.col("event_id") % 640, F.col("event_id") % 480, 118.0, 27.0, 0.01, 0.0125)
+    return table(spark, sf, "events").select("event_id", F.round(at["lng"], 6).alias("lng"), F.round(at["lat"], 6).alias("lat"), geo.within_gate((e % 5) * F.lit(0.01), (e % 3) * F.lit(0.01), 0.03).alias("ok"))
+
+
+@query("x9_multi_polygons", """
+SELECT s_nationkey, 'SRID=4326;MULTIPOLYGON(' || string_agg(printf('((%.6f %.6f, %.6f %.6f, %.6f %.6f, %.6f %.6f))', s_suppkey / 100.0, 1.0, s_suppkey / 100.0 + 1, 1.0, s_suppkey / 100.0, 2.0, s_suppkey / 100.0, 1.0), ', ' ORDER BY s_suppkey) || ')' AS wkt FROM supplier GROUP BY 1""")
+def multi_polygons(spark, sf):
+    """Rings of one nation's suppliers collected into one geometry, in order of their key."""
+    x, pt = F.col("s_suppkey") / F.lit(100.0), lambda a, b: F.struct(a.alias("lng"), F.lit(b).alias("lat"))
+    ring = F.array(pt(x, 1.0), pt(x + 1, 1.0), pt(x, 2.0), pt(x, 1.0))
+    rings = F.transform(F.array_sort(F.collect_list(F.struct("s_suppkey", ring.alias("ring")))), lambda r: r["ring"])
+    return table(spark, sf, "supplier").groupBy("s_nationkey").agg(geo.multi_wkt(rings).alias("wkt"))

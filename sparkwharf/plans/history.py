@@ -48,24 +48,15 @@ def summary(spark, sf):
 
 
 @query("u5_all_days_trails", f"""
-WITH d AS (SELECT CAST(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-10', INTERVAL 1 DAY)) AS DATE) AS day)
+WITH d AS (SELECT CAST(unnest(generate_series((SELECT min(ts)::DATE - 2 FROM events), (SELECT max(ts)::DATE + 2 FROM events), INTERVAL 1 DAY)) AS DATE) AS day)
 SELECT strftime(day, '%Y-%m-%d') AS day, user_id, string_agg({_POINT}, ';' ORDER BY ts, event_id) AS trail, count(*)::INT AS point_count
 FROM d JOIN events ON ts >= day - INTERVAL 9 HOUR AND ts < day + INTERVAL 17 HOUR GROUP BY day, user_id HAVING count(*) >= 2""")
 def all_days(spark, sf):
-    return _all_days(spark, sf, F.col("day").between(F.lit("2024-01-01").cast("date"), F.lit("2024-01-10").cast("date")))
-
-
-@query("u5_all_days_trails_whole")
-def all_days_whole(spark, sf):
-    return _all_days(spark, sf, F.lit(True))
-
-
-def _all_days(spark, sf, wanted):
     """Backfill of a range: a point near midnight belongs to both days, by arithmetic and not by a range join."""
     ev = table(spark, sf, "events")
     days = F.array_distinct(F.array(*[F.to_date(tu.shifted(F.col("ts"), tu.OFFSET_HOURS + h)) for h in (-1, 1)]))
     # the second bound is exclusive at one hour ahead: shifting by +1 h reaches the next day from 23:00 on
-    rows = ev.withColumn("day", F.explode(days)).filter(wanted)
+    rows = ev.withColumn("day", F.explode(days))
     agg = rows.groupBy("day", "user_id").agg(trails.packed(_order(), _point()).alias("trail"), F.count(F.lit(1)).cast("int").alias("point_count"))
     return agg.filter("point_count >= 2").withColumn("day", F.date_format("day", "yyyy-MM-dd"))
 

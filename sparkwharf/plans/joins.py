@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sparkwharf.functions import text as tx
 from sparkwharf.functions import timeutil as tu
 from sparkwharf.operators import lookups
+from sparkwharf.operators import statistics as st
 from sparkwharf.plans.registry import query, table
 
 
@@ -76,24 +77,15 @@ def boxes(spark, sf):
 
 
 @query("j15_range_sections", """
-WITH s AS (SELECT 'r' || (p_partkey % 5) AS road, CASE WHEN p_partkey % 2 = 0 THEN 'N' ELSE 'S' END AS dir, (p_partkey * 3 % 1000)::DOUBLE AS low, (p_partkey * 3 % 1000 + p_size % 5)::DOUBLE AS high, p_partkey AS section FROM part WHERE p_partkey <= 600),
+WITH s AS (SELECT 'r' || (p_partkey % 5) AS road, CASE WHEN p_partkey % 2 = 0 THEN 'N' ELSE 'S' END AS dir, (p_partkey * 3 % 1000)::DOUBLE AS low, (p_partkey * 3 % 1000 + p_size % 5)::DOUBLE AS high, p_partkey AS section FROM part),
 p AS (SELECT event_id AS id, 'r' || (event_id % 6) AS road, CASE event_id % 4 WHEN 0 THEN 'N' WHEN 1 THEN 'S' WHEN 2 THEN 'B' ELSE 'X' END AS dir, (event_id * 7 % 1100)::DOUBLE AS km FROM events),
 w AS (SELECT p.*, CASE WHEN dir <> 'B' AND EXISTS (SELECT 1 FROM s WHERE s.road = p.road AND s.dir = p.dir) THEN dir END AS want, EXISTS (SELECT 1 FROM s WHERE s.road = p.road) AS has_road FROM p),
 h AS (SELECT id, count(*) AS hits, min_by(section, (low, section)) AS section FROM w JOIN s ON s.road = w.road AND (want IS NULL OR s.dir = want) AND km BETWEEN low AND high GROUP BY id)
 SELECT id, CASE WHEN NOT has_road THEN 'no_section' WHEN hits IS NULL THEN 'km_out' WHEN hits = 1 THEN 'matched' ELSE 'multi_match' END AS status, section FROM w LEFT JOIN h USING (id)""")
 def sections(spark, sf):
-    return _sections(spark, sf, table(spark, sf, "part").filter("p_partkey <= 600"))
-
-
-@query("j15_range_sections_whole")
-def sections_whole(spark, sf):
-    return _sections(spark, sf, table(spark, sf, "part"))
-
-
-def _sections(spark, sf, part):
     k, e = F.col("p_partkey"), F.col("event_id")
     road = lambda c, n: F.concat(F.lit("r"), (c % n).cast("string"))
-    s = part.select(road(k, 5).alias("road"), F.when(k % 2 == 0, "N").otherwise("S").alias("dir"), (k * 3 % 1000).cast("double").alias("low"), (k * 3 % 1000 + F.col("p_size") % 5).cast("double").alias("high"), k.alias("section"))
+    s = table(spark, sf, "part").select(road(k, 5).alias("road"), F.when(k % 2 == 0, "N").otherwise("S").alias("dir"), (k * 3 % 1000).cast("double").alias("low"), (k * 3 % 1000 + F.col("p_size") % 5).cast("double").alias("high"), k.alias("section"))
     p = table(spark, sf, "events").select(e.alias("id"), road(e, 6).alias("road"), F.element_at(F.array(*map(F.lit, "NSBX")), (e % 4 + 1).cast("int")).alias("dir"), (e * 7 % 1100).cast("double").alias("km"))
     return lookups.match_sections(p, s, 5.0)
 
@@ -128,23 +120,16 @@ def degrade(spark, sf):
 
 
 @query("j20_o8_tracks", """
-WITH tr AS (SELECT (CASE p_partkey % 4 WHEN 0 THEN 'OD-' WHEN 1 THEN 'SP-' WHEN 2 THEN 'BB-' ELSE 'ZZ-' END) || p_partkey AS track, p_partkey % 11 AS a, p_partkey % 7 + 21 AS b, p_partkey AS k FROM part WHERE p_partkey <= 120),
+WITH tr AS (SELECT (CASE p_partkey % 4 WHEN 0 THEN 'OD-' WHEN 1 THEN 'SP-' WHEN 2 THEN 'BB-' ELSE 'ZZ-' END) || p_partkey AS track, p_partkey % 11 AS a, p_partkey % 7 + 21 AS b, p_partkey AS k FROM part),
 ts AS (SELECT track, unnest([a, a + 1, a + 3, b]) AS station, unnest([0, 1 + k % 3, 2, 4]) AS progress, a, b FROM tr),
-t AS (SELECT o_orderkey AS trip, o_orderkey % 11 AS o, o_orderkey % 7 + 21 AS d, [o_orderkey % 11, o_orderkey % 11 + 1, o_orderkey % 11 + 3, o_orderkey % 7 + 21] AS stops FROM orders WHERE o_orderkey <= 3000),
+w AS (SELECT o_orderkey, o_orderkey % 77 AS trip FROM orders), t AS (SELECT DISTINCT o_orderkey % 77 AS trip, o_orderkey % 11 AS o, o_orderkey % 7 + 21 AS d, [o_orderkey % 11, o_orderkey % 11 + 1, o_orderkey % 11 + 3, o_orderkey % 7 + 21] AS stops FROM orders),
 l AS (SELECT trip, o, d, len(stops) AS n, unnest(stops) AS station, generate_subscripts(stops, 1) AS i FROM t),
 j AS (SELECT *, progress - lag(progress) OVER (PARTITION BY trip, track ORDER BY i) AS step FROM l JOIN ts USING (station)),
-s AS (SELECT trip, track, count(*) FILTER (step > 0) AS up, count(*) FILTER (step < 0) AS down, count(DISTINCT station) / any_value(n)::DOUBLE AS cover, bool_or(a = o AND b = d) AS exact, max(CASE WHEN station = o THEN progress END) AS p0, max(CASE WHEN station = d THEN progress END) AS p1 FROM j GROUP BY ALL)
-SELECT trip, track FROM s WHERE exact OR p0 < p1 QUALIFY row_number() OVER (PARTITION BY trip ORDER BY NOT exact, CASE WHEN up + down > 0 THEN down / (up + down)::DOUBLE ELSE 0 END, -cover, CASE left(track, 3) WHEN 'OD-' THEN 0 WHEN 'SP-' THEN 1 WHEN 'BB-' THEN 2 ELSE 3 END, track) = 1""")
+s AS (SELECT trip, track, count(*) FILTER (step > 0) AS up, count(*) FILTER (step < 0) AS down, count(DISTINCT station) / any_value(n)::DOUBLE AS cover, bool_or(a = o AND b = d) AS exact, max(CASE WHEN station = o THEN progress END) AS p0, max(CASE WHEN station = d THEN progress END) AS p1 FROM j GROUP BY ALL),
+r AS (SELECT trip, track FROM s WHERE exact OR p0 < p1 QUALIFY row_number() OVER (PARTITION BY trip ORDER BY NOT exact, CASE WHEN up + down > 0 THEN down / (up + down)::DOUBLE ELSE 0 END, -cover, CASE left(track, 3) WHEN 'OD-' THEN 0 WHEN 'SP-' THEN 1 WHEN 'BB-' THEN 2 ELSE 3 END, track) = 1)
+SELECT o_orderkey AS trip, track FROM w JOIN r USING (trip)""")
 def tracks(spark, sf):
-    return _tracks(table(spark, sf, "part").filter("p_partkey <= 120"), table(spark, sf, "orders").filter("o_orderkey <= 3000"))
-
-
-@query("j20_o8_tracks_whole")
-def tracks_whole(spark, sf):
-    return _tracks(table(spark, sf, "part"), table(spark, sf, "orders"))
-
-
-def _tracks(p, orders):
+    p, orders = table(spark, sf, "part"), table(spark, sf, "orders")
     k, o = F.col("p_partkey"), F.col("o_orderkey")
     name = F.concat(F.element_at(F.array(*map(F.lit, ("OD-", "SP-", "BB-", "ZZ-"))), (k % 4 + 1).cast("int")), k.cast("string"))
     base = p.select(name.alias("track"), (k % 11).alias("origin"), (k % 7 + 21).alias("dest"), F.arrays_zip(F.array(k % 11, k % 11 + 1, k % 11 + 3, k % 7 + 21).alias("station"), F.array(F.lit(0).cast("long"), 1 + k % 3, F.lit(2).cast("long"), F.lit(4).cast("long")).alias("progress")).alias("s"))
@@ -210,14 +195,8 @@ def anomaly_diff(spark, sf):
 SELECT k, r::INT AS r FROM (SELECT c_custkey AS k, row_number() OVER (ORDER BY CASE WHEN c_acctbal < 0 THEN NULL ELSE c_mktsegment END ASC NULLS LAST, c_acctbal IS NULL DESC, c_custkey) AS r FROM customer)""")
 def null_order(spark, sf):
     """A global rank without one big partition: ranks inside ranges plus the sizes of the ranges before."""
-    from pyspark.sql import Window
-
-    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("k"), F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")).alias("s"))
-    seg = c.groupBy("s").agg(F.count(F.lit(1)).alias("n"))
-    before = seg.withColumn("base", F.coalesce(F.sum("n").over(Window.orderBy(F.col("s").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # a row a segment
-    inside = c.withColumn("i", F.row_number().over(Window.partitionBy("s").orderBy("k")))
-    j = inside.join(F.broadcast(before.select(F.col("s").alias("s2"), "base")), F.col("s").eqNullSafe(F.col("s2")))
-    return j.select("k", (F.col("base") + F.col("i")).cast("int").alias("r"))
+    c = table(spark, sf, "customer").select(F.col("c_custkey").alias("k"), F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment")).alias("s"), F.col("c_acctbal").isNull().alias("none"))
+    return st.global_rank(c, [F.col("s").asc_nulls_last(), F.col("none").desc(), F.col("k")], "r").select("k", F.col("r").cast("int").alias("r"))
 
 
 @query("o5_g18_top", "SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1 ORDER BY n DESC, l_suppkey LIMIT 10")

@@ -22,25 +22,25 @@ def positions(spark, sf):
 
 
 @query("w1_w3_g10_trips", """
-WITH d AS (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY event_type, ts ORDER BY event_id) = 1),
-g AS (SELECT *, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY event_type ORDER BY ts) > 900000000 THEN 1 ELSE 0 END AS s FROM d),
-t AS (SELECT *, sum(s) OVER (PARTITION BY event_type ORDER BY ts) AS trip_id FROM g)
-SELECT event_type, trip_id::INT AS trip_id, epoch_us(min(ts)) AS started, epoch_us(max(ts)) AS ended, count(*)::INT AS point_count, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY ts) AS points
-FROM t GROUP BY event_type, trip_id HAVING count(*) >= 2""")
+WITH d AS (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id) = 1),
+g AS (SELECT *, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) > 900000000 THEN 1 ELSE 0 END AS s FROM d),
+t AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY ts) AS trip_id FROM g)
+SELECT user_id, trip_id::INT AS trip_id, epoch_us(min(ts)) AS started, epoch_us(max(ts)) AS ended, count(*)::INT AS point_count, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY ts) AS points
+FROM t GROUP BY user_id, trip_id HAVING count(*) >= 2""")
 def trip_groups(spark, sf):
-    once = trips.first_per_key(table(spark, sf, "events"), ["event_type", "ts"], [F.col("event_id")])
-    made = trips.group_trips(trips.with_trip_id(once, ["event_type"], "ts"), ["event_type"], "ts", F.col("event_id").cast("string"))
-    return made.select("event_type", "trip_id", tu.epoch_micros(F.col("started_at")).alias("started"), tu.epoch_micros(F.col("ended_at")).alias("ended"), "point_count", F.array_join("points", ",").alias("points"))
+    once = trips.first_per_key(table(spark, sf, "events"), ["user_id", "ts"], [F.col("event_id")])
+    made = trips.group_trips(trips.with_trip_id(once, ["user_id"], "ts"), ["user_id"], "ts", F.col("event_id").cast("string"))
+    return made.select("user_id", "trip_id", tu.epoch_micros(F.col("started_at")).alias("started"), tu.epoch_micros(F.col("ended_at")).alias("ended"), "point_count", F.array_join("points", ",").alias("points"))
 
 
 @query("w4_f30_speed_filter", f"""
-WITH p AS {_POS}, l AS (SELECT *, lag(ts) OVER w AS pt, lag(lat) OVER w AS plat, lag(lng) OVER w AS plng FROM p WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)),
+WITH p AS {_POS}, l AS (SELECT *, lag(ts) OVER w AS pt, lag(lat) OVER w AS plat, lag(lng) OVER w AS plng FROM p WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
 v AS (SELECT *, CASE WHEN pt IS NULL THEN 0 ELSE {_KM} / nullif((epoch_us(ts) - epoch_us(pt)) / 3.6e9, 0) END AS speed FROM l)
 SELECT event_id FROM v WHERE speed IS NULL OR speed <= 20""")
 def speed_filter(spark, sf):
     # a unique time, so that the order is total
     p = positions(spark, sf).withColumn("at", F.col("ts"))
-    w = Window.partitionBy("event_type").orderBy("ts", "event_id")
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     lag = lambda c: F.lag(c).over(w)
     km = geo.haversine_km(lag("lat"), lag("lng"), F.col("lat"), F.col("lng"))
     hours = (tu.epoch_micros(F.col("ts")) - tu.epoch_micros(lag("ts"))) / F.lit(3.6e9)
@@ -61,13 +61,13 @@ def contradictions(spark, sf):
 
 
 @query("t5_session_window", """
-WITH g AS (SELECT *, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY event_type ORDER BY ts) > 900000000 THEN 1 ELSE 0 END AS s FROM events),
-t AS (SELECT *, sum(s) OVER (PARTITION BY event_type ORDER BY ts) AS k FROM g)
-SELECT event_type, epoch_us(min(ts)) AS started, count(*) AS n FROM t GROUP BY event_type, k""")
+WITH g AS (SELECT *, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) > 900000000 THEN 1 ELSE 0 END AS s FROM events),
+t AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM g)
+SELECT user_id, epoch_us(min(ts)) AS started, count(*) AS n FROM t GROUP BY user_id, k""")
 def session_window(spark, sf):
     # a session's end is exclusive, so a gap of exactly the limit needs one microsecond more to stay inside
-    s = table(spark, sf, "events").groupBy("event_type", F.session_window("ts", "900 seconds 1 microsecond").alias("w")).agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("t"))
-    return s.select("event_type", tu.epoch_micros(F.col("t")).alias("started"), "n")
+    s = table(spark, sf, "events").groupBy("user_id", F.session_window("ts", "900 seconds 1 microsecond").alias("w")).agg(F.count(F.lit(1)).alias("n"), F.min("ts").alias("t"))
+    return s.select("user_id", tu.epoch_micros(F.col("t")).alias("started"), "n")
 
 
 @query("t4_tumbling", "SELECT strftime(time_bucket(INTERVAL 15 MINUTE, ts), '%Y-%m-%d %H:%M') AS w, event_type, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents FROM events GROUP BY ALL")
@@ -145,22 +145,22 @@ def nearest_place(spark, sf):
 
 
 @query("j9_u4_trip_pipeline", f"""
-WITH r AS (SELECT * FROM {_POS} WHERE ts >= TIMESTAMP '2024-01-04 16:00:00' AND ts < TIMESTAMP '2024-01-15 16:00:00' QUALIFY row_number() OVER (PARTITION BY event_type, ts ORDER BY event_id) = 1),
-l AS (SELECT *, lag(ts) OVER w AS pt, lag(lat) OVER w AS plat, lag(lng) OVER w AS plng FROM r WINDOW w AS (PARTITION BY event_type ORDER BY ts)),
+WITH r AS (SELECT * FROM {_POS} WHERE ts >= TIMESTAMP '2024-01-04 16:00:00' AND ts < TIMESTAMP '2024-01-15 16:00:00' QUALIFY row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id) = 1),
+l AS (SELECT *, lag(ts) OVER w AS pt, lag(lat) OVER w AS plat, lag(lng) OVER w AS plng FROM r WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
 c AS (SELECT * FROM (SELECT *, CASE WHEN pt IS NULL THEN 0 ELSE {_KM} / nullif((epoch_us(ts) - epoch_us(pt)) / 3.6e9, 0) END AS v FROM l) WHERE v IS NULL OR v <= 60),
-g AS (SELECT event_type, event_id, ts, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY event_type ORDER BY ts) > 900000000 THEN 1 ELSE 0 END AS s FROM c),
-t AS (SELECT *, sum(s) OVER (PARTITION BY event_type ORDER BY ts)::INT AS trip_id FROM g),
-x AS (SELECT event_type, trip_id, epoch_us(min(ts)) AS started, count(*)::INT AS point_count FROM t GROUP BY ALL HAVING count(*) >= 2)
+g AS (SELECT user_id, event_id, ts, CASE WHEN epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts) > 900000000 THEN 1 ELSE 0 END AS s FROM c),
+t AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY ts)::INT AS trip_id FROM g),
+x AS (SELECT user_id, trip_id, epoch_us(min(ts)) AS started, count(*)::INT AS point_count FROM t GROUP BY ALL HAVING count(*) >= 2)
 SELECT * FROM x WHERE trip_id % 3 <> 0 AND trip_id % 5 <> 0""")
 def trip_pipeline(spark, sf):
     """Day range, de-duplication, speed filter, gap split, grouping, and two ledgers that take trips out."""
     low, high = tu.day_bounds("2024-01-05")[0], tu.day_bounds("2024-01-15")[1]
     rows = positions(spark, sf).filter((F.col("ts") >= F.lit(str(low)).cast("timestamp_ntz")) & (F.col("ts") < F.lit(str(high)).cast("timestamp_ntz")))
-    once = trips.first_per_key(rows, ["event_type", "ts"], [F.col("event_id")])
-    kept = trips.with_trip_id(trips.drop_spikes(once, ["event_type"], "ts"), ["event_type"], "ts")
-    made = trips.group_trips(kept, ["event_type"], "ts", F.col("event_id"))
+    once = trips.first_per_key(rows, ["user_id", "ts"], [F.col("event_id")])
+    kept = trips.with_trip_id(trips.drop_spikes(once, ["user_id"], "ts"), ["user_id"], "ts")
+    made = trips.group_trips(kept, ["user_id"], "ts", F.col("event_id"))
     done, tried = made.filter("trip_id % 3 = 0"), made.filter("trip_id % 5 = 0")
-    return trips.pending(made, ["event_type", "trip_id"], done, tried).select("event_type", "trip_id", tu.epoch_micros(F.col("started_at")).alias("started"), "point_count")
+    return trips.pending(made, ["user_id", "trip_id"], done, tried).select("user_id", "trip_id", tu.epoch_micros(F.col("started_at")).alias("started"), "point_count")
 
 
 @query("t14_recovery", """

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import csv
 import io
-import json
 import re
 import tarfile
 import zipfile
@@ -67,6 +66,12 @@ def rss_items(spark: SparkSession, path: str) -> DataFrame:
     return xml_rows(spark, path, "item", "title string, link string, pubDate string, description string")
 
 
+def atom_entries(spark: SparkSession, path: str) -> DataFrame:
+    """Entries of Atom feeds under the names of RSS items."""
+    rows = xml_rows(spark, path, "entry", "title string, link struct<_href: string>, updated string, summary string")
+    return rows.select("title", F.col("link._href").alias("link"), F.col("updated").alias("pubDate"), F.col("summary").alias("description"))
+
+
 def geojson_features(spark: SparkSession, path: str, properties: str) -> DataFrame:
     """Features of collections: properties, and longitude and latitude of points."""
     schema = f"features array<struct<properties: struct<{properties}>, geometry: struct<type: string, coordinates: array<double>>>>"
@@ -83,14 +88,21 @@ def text_grid(spark: SparkSession, path: str, south: float, west: float, step: f
     return cells.filter(F.col("value") > valid_above).select("_file", "r", "c", F.round(F.lit(south) + F.col("r") * step, 4).alias("lat"), F.round(F.lit(west) + F.col("c") * step, 4).alias("lng"), "value")
 
 
-def _members(spark: SparkSession, path: str, unpack) -> DataFrame:
+def binary_files(spark: SparkSession, path: str) -> DataFrame:
+    """``path, content`` of files."""
+    return spark.read.format("binaryFile").load(path).select("path", "content")
+
+
+def _members(files: DataFrame, unpack) -> DataFrame:
+    """The members of archives ``files(path, content)``, a row each; one is in memory at a time."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for file, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
                 for name, data in unpack(content.as_py()):
                     yield pa.RecordBatch.from_pydict({"archive": [file], "name": [name], "content": [data]})
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "archive string, name string, content binary")
+    return files.select("path", "content").mapInArrow(run, "archive string, name string, content binary")
 
 
 def _untar(data: bytes) -> Iterator[tuple[str, bytes]]:
@@ -107,17 +119,17 @@ def _unzip(data: bytes) -> Iterator[tuple[str, bytes]]:
                 yield name, z.read(name)
 
 
-def tar_json(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Rows of the JSON files (arrays or objects) in day archives, with archive and member name."""
-    members = _members(spark, path, _untar).filter(F.col("name").endswith(".json"))
+def tar_json(files: DataFrame, schema: str) -> DataFrame:
+    """Rows of the JSON files (arrays or objects) in day archives ``files(path, content)``, with archive and member name."""
+    members = _members(files, _untar).filter(F.col("name").endswith(".json"))
     text = F.decode("content", "UTF-8")
     rows = F.when(F.trim(text).startswith("["), F.from_json(text, f"array<struct<{schema}>>")).otherwise(F.array(F.from_json(text, f"struct<{schema}>")))
     return members.select("archive", "name", F.explode(rows).alias("r")).select("archive", "name", "r.*")
 
 
-def kmz_placemarks(spark: SparkSession, path: str) -> DataFrame:
-    """Name, description and point of the placemarks in zipped KML."""
-    kml = _members(spark, path, _unzip).filter(F.lower("name").endswith(".kml")).select("archive", F.decode("content", "UTF-8").alias("k"))
+def kmz_placemarks(files: DataFrame) -> DataFrame:
+    """Name, description and point of the placemarks in zipped KML ``files(path, content)``."""
+    kml = _members(files, _unzip).filter(F.lower("name").endswith(".kml")).select("archive", F.decode("content", "UTF-8").alias("k"))
     marks = kml.select("archive", F.explode(F.regexp_extract_all("k", F.lit("(?s)<Placemark[^>]*>(.*?)</Placemark>"), F.lit(1))).alias("p"))
     tag = lambda n: F.nullif(F.trim(F.regexp_extract("p", f"(?s)<{n}[^>]*>(?:<!\\[CDATA\\[)?(.*?)(?:\\]\\]>)?</{n}>", 1)), F.lit(""))
     at = F.split(tag("coordinates"), ",")
@@ -166,9 +178,26 @@ def raster_slices(fields: DataFrame, scale: dict[str, float]) -> DataFrame:
     return f if rates is None else f.withColumn("value", F.col("value") * F.coalesce(F.try_element_at(rates, F.col("variable")), F.lit(1.0)))
 
 
-def html_main(c: Column, container: str) -> Column:
-    """The inner HTML of the first container by class name."""
-    return F.regexp_extract(c, rf'(?is)<div[^>]*class="[^"]*\b{re.escape(container)}\b[^"]*"[^>]*>(.*?)</div>', 1)
+def html_main(rows: DataFrame, html: str, container: str, name: str) -> DataFrame:
+    """``rows`` with the inner HTML of the first div of a class, up to the end tag that closes it; null without one."""
+    opened = re.compile(rf'<div\b[^>]*\bclass="(?:[^"]*\s)?{re.escape(container)}(?:\s[^"]*)?"[^>]*>', re.I)
+    tag = re.compile(r"<(/?)div\b[^>]*>", re.I)
+
+    def inner(page: str | None) -> str | None:
+        start = opened.search(page or "")
+        depth = 1
+        for m in tag.finditer(page, start.end()) if start else ():
+            depth += -1 if m[1] else 1
+            if not depth:
+                return page[start.end() : m.start()]
+        return page[start.end() :] if start else None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.array([inner(t.as_py()) for t in batch.column(html)], pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, name])
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, T.StructField(name, T.StringType())]))
 
 
 def cap_alerts(texts: DataFrame, text: str = "xml") -> DataFrame:
@@ -178,7 +207,3 @@ def cap_alerts(texts: DataFrame, text: str = "xml") -> DataFrame:
     bare = F.regexp_replace(F.regexp_replace(text, r"<(/?)\w+:", "<$1"), r'\sxmlns(:\w+)?="[^"]*"', "")
     parsed = texts.select(F.from_xml(bare, schema).alias("a")).select("a.*")
     return parsed.select("identifier", "sender", "sent", "status", F.col("msgType").alias("msg_type"), F.explode_outer("info").alias("i")).select("identifier", "sender", "sent", "status", "msg_type", "i.*")
-
-
-def json_lines(rows: list[dict]) -> str:
-    return "\n".join(json.dumps(r, ensure_ascii=False) for r in rows)

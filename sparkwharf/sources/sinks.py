@@ -1,16 +1,20 @@
 """Sinks: the write modes against stored tables, exports, and ledgers.
 
-A table is a folder of generations; a write makes a new generation from the old one
-and then moves the pointer file, so readers never see half a table and no
-path is overwritten while it is read.
+A table is a folder of numbered versions, each an ordinary Spark output. A version counts once Spark has
+marked it complete, and the newest complete one is the table, so a crash at any point leaves the
+last state. Appends add files to the newest version; merges write the next one and keep the one before for its readers.
+Tables by day are better kept with :func:`replace_day`, which rewrites the batch's partitions only.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import replace
 
+import pyarrow as pa
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,50 +28,48 @@ class Store:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
+        self._path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(self.root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _pointer(self, name: str) -> str:
-        return f"{self.root}/{name}/_current"
-
-    def _generation(self, name: str) -> str | None:
-        p = self._path(self._pointer(name))
-        if not self._fs.exists(p):
-            return None
-        return self.spark.read.text(self._pointer(name)).first()[0]
+    def versions(self, name: str) -> list[str]:
+        """The complete versions, oldest first."""
+        folder = self._path(f"{self.root}/{name}")
+        if not self._fs.exists(folder):
+            return []
+        all_ = sorted(str(s.getPath().getName()) for s in self._fs.listStatus(folder))
+        return [v for v in all_ if self._fs.exists(self._path(f"{self.root}/{name}/{v}/_SUCCESS"))]
 
     def read(self, spec: TableSpec) -> DataFrame:
-        g = self._generation(spec.name)
-        return self.spark.createDataFrame([], spec.schema) if g is None else self.spark.read.schema(spec.schema).parquet(f"{self.root}/{spec.name}/{g}")
-
-    def _swap(self, spec: TableSpec, new: DataFrame) -> None:
-        g, old = uuid.uuid4().hex, self._generation(spec.name)
-        new.write.parquet(f"{self.root}/{spec.name}/{g}")
-        temp = f"{self.root}/{spec.name}/_pointer-{g}"
-        self.spark.createDataFrame([(g,)], "value string").coalesce(1).write.text(temp)
-        self._fs.delete(self._path(self._pointer(spec.name)), True)
-        self._fs.rename(self._path(temp), self._path(self._pointer(spec.name)))
-        if old:
+        found = self.versions(spec.name)
+        return self.spark.read.schema(spec.schema).parquet(f"{self.root}/{spec.name}/{found[-1]}") if found else self.spark.createDataFrame([], spec.schema)
+
+    def _next(self, spec: TableSpec, new: DataFrame) -> None:
+        found = self.versions(spec.name)
+        number = int(found[-1].split("-")[0]) + 1 if found else 0
+        new.write.parquet(f"{self.root}/{spec.name}/{number:012d}-{uuid.uuid4().hex[:8]}")
+        for old in found[:-1]:
             self._fs.delete(self._path(f"{self.root}/{spec.name}/{old}"), True)
 
     def write(self, spec: TableSpec, batch: DataFrame) -> None:
         """Apply a batch (with ``_seq`` where the mode needs arrival order) by the table's mode."""
         with_seq = T.StructType([*spec.schema.fields, T.StructField("_seq", T.LongType())])
         rows = conform(batch, replace(spec, schema=with_seq))
+        if spec.mode == "append" and (found := self.versions(spec.name)):
+            rows.select(spec.schema.names).write.mode("append").parquet(f"{self.root}/{spec.name}/{found[-1]}")
+            return
         table = self.read(spec)
         if spec.mode == "append":
-            new = table.unionByName(rows.select(spec.schema.names))
+            new = rows.select(spec.schema.names)
         elif spec.mode in ("upsert", "current"):
             new = wm.upsert(table, wm.keep_last(rows, list(spec.keys)), list(spec.keys))
         elif spec.mode == "insert_absent":
             new = wm.insert_new(table, rows, list(spec.keys), *[list(k) for k in spec.also_unique])
         else:
             new = wm.replace_days(table, rows.select(spec.schema.names), spec.keys[0])
-        self._swap(spec, new)
+        self._next(spec, new)
 
     def prune(self, spec: TableSpec, seen_at: str, batch_time) -> None:
-        self._swap(spec, wm.prune_stale(self.read(spec), seen_at, batch_time))
+        self._next(spec, wm.prune_stale(self.read(spec), seen_at, batch_time))
 
 
 def replace_day(batch: DataFrame, path: str, day: str = "day") -> None:
@@ -97,8 +99,56 @@ def fan_out(batch: DataFrame, tag: str, targets: dict[str, Callable[[DataFrame],
 
 
 def export_json_array(rows: DataFrame, path: str) -> None:
-    """Gzipped JSON lines of the rows, as many files as partitions."""
-    rows.select(F.to_json(F.struct(*rows.columns)).alias("value")).write.option("compression", "gzip").text(path)
+    """Gzipped files of one JSON array each, as many as partitions; rows stream through."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sign = "["
+        for batch in batches:
+            lines = []
+            for row in batch.column(0).to_pylist():
+                lines.append(sign + row)
+                sign = ","
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+        yield pa.RecordBatch.from_arrays([pa.array(["[]" if sign == "[" else "]"])], ["value"])
+
+    rows.select(F.to_json(F.struct(*rows.columns)).alias("value")).mapInArrow(run, "value string").write.option("compression", "gzip").text(path)
+
+
+def export_arrow(rows: DataFrame, folder: str) -> DataFrame:
+    """Uncompressed Arrow IPC files, one a partition; returns ``file, n`` of the tasks that counted, other files are orphans."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context, n, writer = TaskContext.get(), 0, None
+        store, root = fs.FileSystem.from_uri(folder)
+        store.create_dir(root, recursive=True)
+        file = f"{root}/part-{context.partitionId():06d}-{context.taskAttemptId()}.arrow"
+        with store.open_output_stream(file) as out:
+            for batch in batches:
+                writer = writer or pa.ipc.new_file(out, batch.schema)
+                writer.write_batch(batch)
+                n += batch.num_rows
+            if writer:
+                writer.close()
+        yield pa.RecordBatch.from_pydict({"file": [file], "n": pa.array([n], pa.int64())})
+
+    rows.mapInArrow(run, "file string, n long").write.parquet(f"{folder}/_manifest")
+    return rows.sparkSession.read.schema("file string, n long").parquet(f"{folder}/_manifest")
+
+
+def read_arrow(manifest: DataFrame, folder: str, schema: T.StructType | str) -> DataFrame:
+    """The rows of the files in a manifest, a task for each file."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, _ = fs.FileSystem.from_uri(folder)
+        for batch in batches:
+            for file in batch.column("file").to_pylist():
+                with store.open_input_file(file) as src:
+                    reader = pa.ipc.open_file(src)
+                    for k in range(reader.num_record_batches):
+                        yield reader.get_batch(k)
+
+    files = manifest.filter("n > 0").select("file")
+    return files.repartitionByRange(max(1, files.count()), "file").mapInArrow(run, schema)
 
 
 def export_csv(rows: DataFrame, path: str) -> None:

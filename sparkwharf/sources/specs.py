@@ -22,6 +22,12 @@ class TableSpec:
     source: str = ""
 
 
+def schema_of(ddl: str) -> T.StructType:
+    """A schema from its text, which needs no session."""
+    kinds = {"string": T.StringType(), "double": T.DoubleType(), "long": T.LongType(), "int": T.IntegerType()}
+    return T.StructType([T.StructField(name, kinds[kind]) for name, kind in (x.split() for x in ddl.split(","))])
+
+
 @dataclass
 class Registry:
     """Source name to table specs; several tables may take one source's rows."""
