@@ -1,16 +1,17 @@
 """Operator 6: a hashed maximum-entropy language model with class-factored softmax.
 
-P(token | history) = P(cluster | history) * P(member | cluster, history) * P(token | member).
-The first two factors are softmaxes over weights of hashed features of the
+P(token | history) = P(cluster | history) * P(member | cluster, history) * P(slot | member, history) * P(token | slot).
+The first three factors are softmaxes over weights of hashed features of the
 history: the word before, the two words before, and the one before that (a skip
-feature). The last is the token's smoothed share of its member class. Clusters come from which
+feature). A slot is one word, the most frequent ones of a member class having one each, or all the rest of its class, in which
+the last factor is the token's smoothed share. Clusters come from which
 frequent words the words follow, known for frequent words and, through the spelling's
 end, for all others; members split a cluster by frequency.
 
-Training streams all training documents once: in each round, every task makes
+Texts are turned into ids once, and the ids are kept in a table. Training streams those of all training documents once: in each round, every task makes
 AdaGrad updates over its part from the shared weights, and the weights are averaged by
-how often each feature was met. What is broadcast is bounded by the model's
-parameters: the ``HEAD`` most frequent words and the weights. All rarer words get their counts by a
+how often each feature was met, in a tree of sums. What is broadcast is bounded by the model's
+parameters: at most ``HEAD`` most frequent words and the weights. All rarer words get their counts by a
 join on the word, so no count is cut off; as they are rare by choice, none is a hot key there.
 
 Cases: null and empty texts are one end token; null ids are scored, never learned
@@ -39,12 +40,14 @@ HEAD, FREQUENT, ANCHORS = 1 << 19, 512, 128
 CLUSTERS, MEMBERS = 8, 8
 #: Member classes: the most frequent words of a cluster alone, then bands of rank, then all words beyond HEAD.
 SINGLES, BANDS = 4, (FREQUENT, 1 << 14)
+#: Words of a class that are predicted from the history, less one for its rest; hashed rows of their weights.
+SLOTS, ROWS3 = 16, 1 << 16
 ENDINGS, ENDING = 1024, 3
 #: Feature buckets of one word of history (the first half for frequent words) and of two.
 ONE, TWO = 4096, 8192
 ROUNDS, BATCH, RATE = 2, 1 << 15, 0.15
-#: Words a counting task holds before it hands them on.
-HELD = 500_000
+#: Words a counting task holds before it hands them on; tasks whose weights meet in one sum.
+HELD, FAN_IN = 500_000, 16
 END = 0  # id of the end token; the head's words follow
 BEGIN = HEAD + ENDINGS + 1
 _EDGES = b".,;:!?#$%&*|\"'()"
@@ -106,13 +109,27 @@ def features(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 class Model:
-    """``classes``: cluster and member by id; ``inside``: log10 of a token's share of its class, for head ids, and minus log10 of the class size for others."""
+    """``cluster``, ``member`` and ``slot`` by id; ``inside``: log10 of a token's share of its slot, for head ids, and minus log10 of the slot's size for others."""
 
-    def __init__(self, cluster: np.ndarray, member: np.ndarray, inside: np.ndarray, bias1: np.ndarray, bias2: np.ndarray):
-        self.cluster, self.member, self.inside = cluster, member, inside
+    def __init__(self, cluster: np.ndarray, member: np.ndarray, slot: np.ndarray, several: np.ndarray, inside: np.ndarray, bias1: np.ndarray, bias2: np.ndarray, bias3: np.ndarray):
+        self.cluster, self.member, self.slot, self.several, self.inside = cluster, member, slot, several, inside
         n = 2 * ONE + TWO
-        self.b1, self.b2 = bias1.astype(np.float32), bias2.astype(np.float32)
-        self.w1, self.w2 = np.zeros((n, CLUSTERS), np.float32), np.zeros((n * CLUSTERS, MEMBERS), np.float32)
+        self.b1, self.b2, self.b3 = (b.astype(np.float32) for b in (bias1, bias2, bias3))
+        self.w1, self.w2, self.w3 = np.zeros((n, CLUSTERS), np.float32), np.zeros((n * CLUSTERS, MEMBERS), np.float32), np.zeros((ROWS3, SLOTS), np.float32)
+
+    def tables(self) -> list[np.ndarray]:
+        return [self.w1, self.w2, self.w3]
+
+    def _rows3(self, f: np.ndarray, cls: np.ndarray) -> np.ndarray:
+        return (_mix((f * (CLUSTERS * MEMBERS) + cls).astype(np.uint64)) % np.uint64(ROWS3)).astype(np.int64)
+
+    def _softmax3(self, g: np.ndarray, cls: np.ndarray) -> np.ndarray:
+        """Slots of classes that have several."""
+        z = self.w3[g[0]] + self.w3[g[1]] + self.w3[g[2]] + self.b3[cls]
+        z -= z.max(axis=1, keepdims=True)
+        np.exp(z, out=z)
+        z /= z.sum(axis=1, keepdims=True)
+        return z
 
     def _softmax(self, f: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         z1 = self.w1[f[0]] + self.w1[f[1]] + self.w1[f[2]] + self.b1
@@ -134,12 +151,18 @@ class Model:
             s = slice(k, k + BATCH)
             p1, p2 = self._softmax(f[:, s], c[s])
             rows = np.arange(len(p1))
-            out[s] = np.log10(np.maximum(p1[rows, c[s]], 1e-30).astype(np.float64)) + np.log10(np.maximum(p2[rows, m[s]], 1e-30).astype(np.float64))
+            p = p1[rows, c[s]].astype(np.float64) * p2[rows, m[s]]
+            cls = c[s] * MEMBERS + m[s]
+            at = np.flatnonzero(self.several[cls])
+            if len(at):
+                p3 = self._softmax3(self._rows3(f[:, s][:, at], cls[at]), cls[at])
+                p[at] *= p3[np.arange(len(at)), self.slot[ids[s][at]]]
+            out[s] = np.log10(np.maximum(p, 1e-60))
         return out + self.inside[ids]
 
     def start(self) -> None:
-        self.g1, self.g2 = np.full_like(self.w1, 1e-2), np.full_like(self.w2, 1e-2)
-        self.met1, self.met2 = np.zeros(len(self.w1), np.float32), np.zeros(len(self.w2), np.float32)
+        self.g1, self.g2, self.g3 = (np.full_like(w, 1e-2) for w in self.tables())
+        self.met1, self.met2, self.met3 = (np.zeros(len(w), np.float32) for w in self.tables())
 
     def update(self, ids: np.ndarray, first: np.ndarray) -> None:
         f_all, c_all, m_all = features(ids, first), self.cluster[ids], self.member[ids]
@@ -153,10 +176,18 @@ class Model:
             for slot in f:
                 _step(self.w1, self.g1, self.met1, slot, p1)
                 _step(self.w2, self.g2, self.met2, slot * CLUSTERS + c, p2)
+            cls = c * MEMBERS + m
+            at = np.flatnonzero(self.several[cls])
+            if len(at):
+                g = self._rows3(f[:, at], cls[at])
+                p3 = self._softmax3(g, cls[at])
+                p3[np.arange(len(at)), self.slot[ids[s][at]]] -= 1
+                for row in g:
+                    _step(self.w3, self.g3, self.met3, row, p3)
 
 
 def _step(w: np.ndarray, g2: np.ndarray, met: np.ndarray, at: np.ndarray, gradient: np.ndarray) -> None:
-    order = np.argsort(at, kind="stable")
+    order = np.argsort(at)
     rows = at[order]
     cut = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
     rows, summed = rows[cut], np.add.reduceat(gradient[order], cut, axis=0)
@@ -165,18 +196,16 @@ def _step(w: np.ndarray, g2: np.ndarray, met: np.ndarray, at: np.ndarray, gradie
     w[rows] -= RATE * summed / np.sqrt(g2[rows])
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], head: Head) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Ids of whole documents, BATCH or more at a time, and where documents begin."""
-    held, n = [], 0
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids of whole documents, 4 * BATCH or more at a time, and where documents begin."""
     for batch in batches:
-        for text in batch.column("text"):
-            held.append(head.encode(words(text.as_py()))[0])
-            n += len(held[-1])
-            if n >= 4 * BATCH:
-                yield np.concatenate(held), np.concatenate([[0], np.cumsum([len(x) for x in held])[:-1]])
-                held, n = [], 0
-    if held:
-        yield np.concatenate(held), np.concatenate([[0], np.cumsum([len(x) for x in held])[:-1]])
+        column, at = batch.column("ids"), 0
+        ends = column.offsets.to_numpy().astype(np.int64)
+        values = column.values.to_numpy()
+        while at < batch.num_rows:
+            to = min(batch.num_rows, max(at + 1, int(np.searchsorted(ends, ends[at] + 4 * BATCH))))
+            yield values[ends[at] : ends[to]], ends[at:to] - ends[at]
+            at = to
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -199,13 +228,13 @@ def _counted(seen: Counter) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "c"])
 
 
-def neighbours(texts: DataFrame, head: Callable[[], Head]) -> np.ndarray:
+def neighbours(coded: DataFrame, head: Callable[[], Head]) -> np.ndarray:
     """How often each entity comes after each anchor as the last one before it."""
     entities = FREQUENT + ENDINGS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h, total = head(), np.zeros(entities * ANCHORS, np.int64)
-        for ids, starts in _chunks(batches, h):
+        for ids, starts in _chunks(batches):
             is_anchor = (ids < ANCHORS) & (ids != END)
             place = np.where(is_anchor, np.arange(len(ids)), -1)
             last = np.concatenate([[-1], np.maximum.accumulate(place)[:-1]])
@@ -215,7 +244,7 @@ def neighbours(texts: DataFrame, head: Callable[[], Head]) -> np.ndarray:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["cell", "n"])
 
-    rows = texts.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # at most entities x ANCHORS rows
+    rows = coded.select("ids").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # at most entities x ANCHORS rows
     out = np.zeros(entities * ANCHORS)
     out[rows.column("cell").to_numpy()] = rows.column("n").to_numpy()
     return out.reshape(entities, ANCHORS)
@@ -263,10 +292,23 @@ def build_model(head: Head, head_counts: np.ndarray, n_end: int, tail: np.ndarra
     size = np.bincount(cls, weights=counts, minlength=CLUSTERS * MEMBERS)
     types = np.bincount(cls, weights=kinds, minlength=CLUSTERS * MEMBERS)
     types[MEMBERS - 1 :: MEMBERS] += 1  # all words never met, in each cluster's last class
-    inside = -np.log10(np.maximum(size + types, 1))[cls]
+    slot = np.zeros(BEGIN + 1, np.int32)
+    for k in range(CLUSTERS * MEMBERS):
+        mine = np.flatnonzero(cls[:listed] == k)  # in order of frequency
+        slot[mine] = np.minimum(np.arange(len(mine)), SLOTS - 1)
+    several = np.bincount(cls, weights=slot > 0, minlength=CLUSTERS * MEMBERS) > 0
+    slot[listed:][several[cls[listed:]]] = SLOTS - 1
+    whole, n_slots = cls * SLOTS + slot, CLUSTERS * MEMBERS * SLOTS
+    size3 = np.bincount(whole, weights=counts, minlength=n_slots) + np.bincount(whole, weights=kinds, minlength=n_slots)
+    last = np.arange(MEMBERS - 1, CLUSTERS * MEMBERS, MEMBERS)
+    size3[last * SLOTS + np.where(several[last], SLOTS - 1, 0)] += 1  # words never met
+    inside = -np.log10(np.maximum(size3, 1))[whole]
     inside[:listed] += np.log10(counts[:listed] + 1)
     grid = (size + types).reshape(CLUSTERS, MEMBERS)
-    return Model(cluster, member, inside, np.log(np.maximum(grid.sum(1), 1e-3)), np.log(np.maximum(grid, 1e-3)))
+    return Model(
+        cluster, member, slot, several, inside, np.log(np.maximum(grid.sum(1), 1e-3)), np.log(np.maximum(grid, 1e-3)),
+        np.log(np.maximum(size3, 1e-3)).reshape(CLUSTERS * MEMBERS, SLOTS),
+    )
 
 
 def _averaged(parts: DataFrame, keys: list[str]) -> DataFrame:
@@ -290,37 +332,80 @@ def _averaged(parts: DataFrame, keys: list[str]) -> DataFrame:
     return parts.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, ", ".join(f"{k} int" for k in keys) + ", sums binary")
 
 
-def train_round(texts: DataFrame, head: Callable[[], Head], model: Model) -> Model:
-    """One round of distributed updates over ``texts``; the weights averaged by how often each row was met."""
-    spark = texts.sparkSession
+def train_round(coded: DataFrame, model: Model) -> Model:
+    """One round of distributed updates over ``coded(ids)``; the weights averaged by how often each row was met."""
+    spark = coded.sparkSession
     shared, block = spark.sparkContext.broadcast(model), 4096
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Model.__new__(Model)
         m.__dict__.update(shared.value.__dict__)
-        m.w1, m.w2 = m.w1.copy(), m.w2.copy()
+        m.w1, m.w2, m.w3 = (w.copy() for w in m.tables())
         m.start()
-        h, any_rows = head(), False
-        for ids, starts in _chunks(batches, h):
+        any_rows = False
+        for ids, starts in _chunks(batches):
             m.update(ids, starts)
             any_rows = True
-        salt = TaskContext.get().partitionId() % 16
+        salt = TaskContext.get().partitionId()
         if any_rows:
-            for table, (w, met) in enumerate(((m.w1, m.met1), (m.w2, m.met2))):
+            for table, (w, met) in enumerate(zip(m.tables(), (m.met1, m.met2, m.met3), strict=True)):
                 for k in range(0, len(w), block):
                     n = met[k : k + block, None]
                     sums = np.concatenate([n, n * w[k : k + block]], axis=1, dtype=np.float32)
                     yield pa.RecordBatch.from_pydict({"part": pa.array([table << 16 | k // block], pa.int32()), "salt": pa.array([salt], pa.int32()), "sums": [sums.tobytes()]})
 
-    sums = _averaged(_averaged(texts.mapInArrow(run, "part int, salt int, sums binary"), ["part", "salt"]), ["part"])
+    sums = coded.select("ids").mapInArrow(run, "part int, salt int, sums binary")
+    for _ in range(2):  # FAN_IN tasks' rows meet in a sum, then FAN_IN sums' rows
+        sums = _averaged(sums.withColumn("salt", F.floor(F.col("salt") / FAN_IN).cast("int")), ["part", "salt"])
+    sums = _averaged(sums, ["part"])
     for r in sums.toLocalIterator():  # as large as the model
-        table, k = (model.w1, model.w2)[r["part"] >> 16], (r["part"] & 0xFFFF) * block
+        table, k = model.tables()[r["part"] >> 16], (r["part"] & 0xFFFF) * block
         x = np.frombuffer(r["sums"], np.float32).reshape(-1, table.shape[1] + 1)
         seen = x[:, 0] > 0
         table[k : k + len(x)][seen] = x[seen, 1:] / x[seen, :1]
     return model
 
 
+def frequent_words(counts: DataFrame, most: int) -> tuple[list[bytes], np.ndarray]:
+    """The words of highest count, at most ``most``, in order; words of one count are taken together or not at all."""
+    top = F.least(F.col("c"), F.lit(1 << 20))
+    sizes = counts.groupBy(top.alias("c")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c")).collect()  # at most 2^20 counts
+    least, held = 1 << 62, 0
+    for r in sizes:
+        held += r["n"]
+        if held > most:
+            break
+        least = r["c"]
+    found = counts.filter(F.col("c") >= least).toArrow()  # at most ``most`` rows
+    listed, c = found.column("word").to_pylist(), found.column("c").to_numpy()
+    order = sorted(range(len(listed)), key=lambda i: (-c[i], listed[i]))
+    return [listed[i] for i in order], c[order]
+
+
+def coded_texts(rows: DataFrame, held_out: int, head: Callable[[], Head]) -> DataFrame:
+    """``row, id, held_out, learn, ids, rare`` of ``rows(id, held_out, part, text)``: the ids, and the words beyond the head with their numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        h, seq = head(), TaskContext.get().partitionId() << 40
+        for whole in batches:
+            for at in range(0, whole.num_rows, 1024):
+                batch = whole.slice(at, 1024)
+                made = [h.encode(words(t.as_py())) for t in batch.column("text")]
+                n = batch.num_rows
+                ends = np.concatenate([[0], np.cumsum([len(i) for i, _ in made])]).astype(np.int32)
+                rare = [list(Counter(r).items()) for _, r in made]
+                flat = [x for r in rare for x in r]
+                pairs = pa.StructArray.from_arrays([pa.array([w for w, _ in flat], pa.binary()), pa.array([c for _, c in flat], pa.int64())], ["word", "n"])
+                rare_ends = np.concatenate([[0], np.cumsum([len(r) for r in rare])]).astype(np.int32)
+                columns = [pa.array(np.arange(seq, seq + n)), batch.column("id"), batch.column("held_out"), batch.column("learn")]
+                columns += [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([i for i, _ in made]))), pa.ListArray.from_arrays(pa.array(rare_ends), pairs)]
+                seq += n
+                yield pa.RecordBatch.from_arrays(columns, ["row", "id", "held_out", "learn", "ids", "rare"])
+
+    kinds = "row long, id long, held_out boolean, learn boolean, ids array<int>, rare array<struct<word: binary, n: bigint>>"
+    return rows.select("id", "held_out", F.coalesce(F.col("part") != held_out, F.lit(False)).alias("learn"), "text").mapInArrow(run, kinds)
+
+
 def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", modulus: int = 7, held_out: int = 2, head_size: int = HEAD) -> DataFrame:
     """``id, held_out, n_tokens, n_known, train_tokens, base_score, score`` per row."""
     spark = docs.sparkSession
@@ -331,10 +416,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n_docs = learn.count()
     n_words, n_kinds = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     n_all, v_all = n_words + n_docs, n_kinds + (n_docs > 0)
-    top = counts.orderBy(F.desc("c"), "word").limit(min(head_size, HEAD)).toArrow()  # at most HEAD rows
-    listed, head_counts = top.column("word").to_pylist(), top.column("c").to_numpy()
-    order = np.argsort(-head_counts, kind="stable")
-    listed, head_counts = [listed[i] for i in order], head_counts[order]
+    listed, head_counts = frequent_words(counts, min(head_size, HEAD))
     packed, name = spark.sparkContext.broadcast(listed), uuid.uuid4().hex
 
     def head() -> Head:
@@ -351,51 +433,34 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     tail = np.zeros((ENDINGS, 2))
     for r in counts.mapInArrow(tail_endings, "e long, c long, v long").groupBy("e").agg(F.sum("c").alias("c"), F.sum("v").alias("v")).collect():  # ENDINGS rows
         tail[r["e"]] = r["c"], r["v"]
-    model = build_model(Head(listed), head_counts, n_docs, tail, neighbours(learn.select("text"), head))
+    coded = staged(coded_texts(rows, held_out, head), "coded_texts")
+    taught = coded.filter("learn")
+    model = build_model(Head(listed), head_counts, n_docs, tail, neighbours(taught, head))
     for k in range(ROUNDS):
-        turn = F.pmod(F.xxhash64("id"), F.lit(ROUNDS)) == k
-        model = train_round(learn.filter(turn).select("text"), head, model)
+        model = train_round(taught.filter(F.pmod(F.xxhash64("id"), F.lit(ROUNDS)) == k), model)
     shared = spark.sparkContext.broadcast((model, np.log10(np.concatenate([[n_docs], head_counts]) + 1.0), np.concatenate([[n_docs], head_counts]) > 0))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m, base, known = shared.value
-        h, seq = head(), TaskContext.get().partitionId() << 40
         size = len(base)
         for batch in batches:
-            out = {k: [] for k in ("n_tokens", "n_known", "base", "score", "rare")}
-            texts, held = [], 0
-            for k, text in enumerate(batch.column("text")):
-                texts.append(h.encode(words(text.as_py())))
-                held += len(texts[-1][0])
-                if held < 4 * BATCH and k < batch.num_rows - 1:
-                    continue
-                lens = np.array([len(i) for i, _ in texts])
-                starts = np.concatenate([[0], np.cumsum(lens)[:-1]])
-                ids = np.concatenate([i for i, _ in texts])
-                listed_ = ids < size
-                near = np.minimum(ids, size - 1)
-                out["n_tokens"] += lens.tolist()
-                out["n_known"] += np.add.reduceat((listed_ & known[near]).astype(np.int64), starts).tolist()
-                out["base"] += np.add.reduceat(np.where(listed_, base[near], 0.0), starts).tolist()
-                out["score"] += np.add.reduceat(m.log10(ids, starts), starts).tolist()
-                out["rare"] += [list(Counter(rare).items()) for _, rare in texts]
-                texts, held = [], 0
-            n = batch.num_rows
-            columns = [pa.array(range(seq, seq + n), pa.int64()), batch.column("id"), batch.column("held_out")]
-            seq += n
-            columns += [pa.array(out["n_tokens"], pa.int64()), pa.array(out["n_known"], pa.int64()), pa.array(out["base"], pa.float64()), pa.array(out["score"], pa.float64())]
-            offsets = np.concatenate([[0], np.cumsum([len(r) for r in out["rare"]])]).astype(np.int32)
-            flat = [x for r in out["rare"] for x in r]
-            pairs = pa.StructArray.from_arrays([pa.array([w for w, _ in flat], pa.binary()), pa.array([c for _, c in flat], pa.int64())], ["word", "n"])
-            columns.append(pa.ListArray.from_arrays(pa.array(offsets), pairs))
-            yield pa.RecordBatch.from_arrays(columns, ["row", "id", "held_out", "n_tokens", "n_known", "base", "score", "rare"])
-
-    kinds = "row long, id long, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<struct<word: binary, n: bigint>>"
-    scored = staged(rows.select("id", "held_out", "text").mapInArrow(score, kinds), "scored_texts")
-    rare = scored.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n")
+            out = {k: [] for k in ("n_tokens", "n_known", "base", "score")}
+            for ids, starts in _chunks(iter([batch])):
+                in_head, near = ids < size, np.minimum(ids, size - 1)
+                out["n_tokens"].append(np.diff(np.append(starts, len(ids))))
+                out["n_known"].append(np.add.reduceat((in_head & known[near]).astype(np.int64), starts))
+                out["base"].append(np.add.reduceat(np.where(in_head, base[near], 0.0), starts))
+                out["score"].append(np.add.reduceat(m.log10(ids, starts), starts))
+            columns = [batch.column(c) for c in ("row", "id", "held_out")]
+            columns += [pa.array(np.concatenate(out[c]) if out[c] else [], kind) for c, kind in (("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base", pa.float64()), ("score", pa.float64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "id", "held_out", "n_tokens", "n_known", "base", "score"])
+
+    kinds = "row long, id long, held_out boolean, n_tokens long, n_known long, base double, score double"
+    scored = coded.select("row", "id", "held_out", "ids").mapInArrow(score, kinds)
+    rare = coded.select("row", F.explode("rare").alias("r")).select("row", "r.word", "r.n")
     extra = rare.join(counts, "word").groupBy("row").agg(F.sum("n").alias("met"), F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("gain"))
     none = lambda c: F.coalesce(F.col(c), F.lit(0))
-    return scored.drop("rare").join(extra, "row", "left").select(
+    return scored.join(extra, "row", "left").select(
         "id",
         "held_out",
         "n_tokens",

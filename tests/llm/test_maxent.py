@@ -83,3 +83,33 @@ def test_no_training_rows_and_empty(spark):
     (r,) = m.score_texts(spark.createDataFrame([(one, "a b", None, None)], SCHEMA)).collect()
     assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens, r.base_score) == (True, 3, 0, 0, 0.0)
     assert m.score_texts(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_word_order_is_learned_on_prose(spark):
+    """Held-out documents of sf0.01 score above their unigram base, and above themselves with their words shuffled."""
+    rng = np.random.default_rng(5)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    held = lambda d: zlib.crc32(str(d).encode()) % 7 == 2
+    mixed, new = [], max(r.doc_id for r in docs) + 1
+    for r in docs:
+        if held(r.doc_id) and r.text and len(r.text.split()) > 20:
+            while not held(new):
+                new += 1
+            mixed.append((new, " ".join(rng.permutation(r.text.split())), r.doc_id))
+            new += 1
+    rows = spark.createDataFrame([(r.doc_id, r.text) for r in docs] + [m_[:2] for m_ in mixed], "doc_id long, text string")
+    got = {r.id: r for r in m.score_texts(rows).collect()}
+    told = [(got[old], got[k]) for k, _, old in mixed]
+    tokens = sum(r.n_tokens for r, _ in told)
+    gain, order = sum(r.score - r.base_score for r, _ in told) / tokens, sum(a.score - b.score for a, b in told) / tokens
+    print(f"gain {gain:.3f} and order {order:.3f} log10 a token")
+    assert gain > 0.15 and order > 0.03
+
+
+def test_query_over_a_folder(spark, tmp_path):
+    rows = corpus(60) + [(None, "a1x", "", ""), (5, None, "", "")]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "documents.parquet"))
+    got = m.op6_lm_scoring(spark, str(tmp_path))
+    assert got.columns == ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    for g, w in zip(sorted(got.collect(), key=lambda r: str(r[:4])), sorted(brute(rows), key=lambda r: str(r[:4])), strict=True):
+        assert tuple(g[:5]) == w[:5] and abs(g.base_score - w[5]) < 1e-6 * max(1, abs(w[5]))
