@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,7 +23,7 @@ class Memo(dict):
     old one, so texts that are met often stay and others go.
     """
 
-    LIMIT, LONGEST = 32 << 20, 64
+    LIMIT, LONGEST = 24 << 20, 64
 
     def __init__(self, make: Callable):
         super().__init__()
@@ -46,20 +47,27 @@ class Memo(dict):
         return map(self.__getitem__, keys)
 
 
-_LIVE: dict[tuple, Memo] = {}
+_LIVE: dict[tuple, object] = {}
 
 
-def worker_memo(name: tuple, build: Callable[[], Callable]) -> Memo:
-    """The memo of one function in this worker; a worker, which many stages may share, keeps one memo only."""
+def worker_state(name: tuple, build: Callable[[], object]):
+    """What one function keeps in this worker: a vocabulary, an index, a memo. Stages share workers, and a worker keeps one state only."""
     if name not in _LIVE:
-        for other in _LIVE.values():  # its function may refer to it, so it is emptied, not left to the garbage collector
-            other.clear()
-            other.old.clear()
+        for other in _LIVE.values():
+            memo = getattr(other, "memo", other)
+            if isinstance(memo, Memo):  # its function may refer to it, so it is emptied, not left to the garbage collector
+                memo.clear()
+                memo.old.clear()
         _LIVE.clear()
-        _LIVE[name] = Memo(build())
+        pa.default_memory_pool().release_unused()
+        _LIVE[name] = build()
     return _LIVE[name]
 
 
+def worker_memo(name: tuple, build: Callable[[], Callable]) -> Memo:
+    return worker_state(name, lambda: Memo(build()))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 

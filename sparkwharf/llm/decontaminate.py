@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwharf.llm.common import staged, staging_path, with_fields
+from sparkwharf.llm.common import staged, staging_path, with_fields, worker_state
 
 #: Items of fewer words are compared by pieces.
 WALKED = 8
@@ -305,16 +305,14 @@ def build_index(benchmark: DataFrame, similarity: float, repetitions: int, item_
     return folder, sorted(r["file"] for r in staged(made, "benchmark_files").collect())  # one for GROUP_WORDS words
 
 
-_LOADED: dict[str, Index] = {}
-
-
 def load_index(store: fs.FileSystem, file: str) -> Index:
     """The index in a file; a worker keeps the last."""
-    if file not in _LOADED:
-        _LOADED.clear()
+
+    def load() -> Index:
         with store.open_input_stream(file) as src:
-            _LOADED[file] = pickle.loads(src.read())
-    return _LOADED[file]
+            return pickle.loads(src.read())
+
+    return worker_state(("index", file), load)
 
 
 def find_items(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, repetitions: int = REPETITIONS, text_col: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwharf.llm.common import staged
+from sparkwharf.llm.common import staged, worker_state
 
 #: Words with an entry in the broadcast dictionary; frequent words; words that clusters are told by.
 HEAD, FREQUENT, ANCHORS = 1 << 19, 512, 128
@@ -41,7 +41,7 @@ CLUSTERS, MEMBERS = 8, 8
 #: Member classes: the most frequent words of a cluster alone, then bands of rank, then all words beyond HEAD.
 SINGLES, BANDS = 4, (FREQUENT, 1 << 14)
 #: Words of a class that are predicted from the history, less one for its rest; hashed rows of their weights.
-SLOTS, ROWS3 = 16, 1 << 16
+SLOTS, ROWS3 = 8, 1 << 16
 ENDINGS, ENDING = 1024, 3
 #: Feature buckets of one word of history (the first half for frequent words) and of two.
 ONE, TWO = 4096, 8192
@@ -98,14 +98,22 @@ def _bucket(x: np.ndarray) -> np.ndarray:
 
 def features(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
     """(3, n) feature buckets; ``first`` marks the tokens that begin a document."""
-    one = np.empty_like(ids)
+    one = np.empty(len(ids), np.int64)
     one[1:], one[0] = ids[:-1], BEGIN
     one[first] = BEGIN
-    two = np.empty_like(ids)
+    two = np.empty_like(one)
     two[1:], two[0] = one[:-1], BEGIN
     two[first] = BEGIN
-    both = _mix(one.astype(np.uint64) << np.uint64(24) | two.astype(np.uint64)) % np.uint64(TWO)
-    return np.stack([_bucket(one), ONE + both.astype(np.int64), ONE + TWO + _bucket(two)])
+    both = _mix((one << 24 | two).view(np.uint64)) % np.uint64(TWO)
+    out = np.empty((3, len(ids)), np.int64)
+    out[0], out[1] = _bucket(one), ONE + both.view(np.int64)
+    out[2, 1:], out[2, 0] = out[0, :-1], BEGIN_BUCKET  # the bucket of the word before the last is the last one's a token ago
+    out[2, first] = BEGIN_BUCKET
+    out[2] += ONE + TWO
+    return out
+
+
+BEGIN_BUCKET = int(_bucket(np.array([BEGIN], np.int64))[0])
 
 
 class Model:
@@ -420,7 +428,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     packed, name = spark.sparkContext.broadcast(listed), uuid.uuid4().hex
 
     def head() -> Head:
-        return cached_head(name, packed)
+        return worker_state(("head", name), lambda: Head(packed.value))
 
     def tail_endings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, known = np.zeros((ENDINGS, 2), np.int64), head().ids
@@ -471,17 +479,6 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-_HEADS: dict[str, Head] = {}
-
-
-def cached_head(name: str, packed) -> Head:
-    """The head of a broadcast word list, built once in a worker; a worker keeps the last."""
-    if name not in _HEADS:
-        _HEADS.clear()
-        _HEADS[name] = Head(packed.value)
-    return _HEADS[name]
-
-
 def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return score_texts(docs).withColumnRenamed("id", "doc_id")

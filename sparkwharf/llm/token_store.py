@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sparkwharf.llm import simple8b
-from sparkwharf.llm.common import staged, staging_path, worker_memo
+from sparkwharf.llm.common import Memo, staged, staging_path, worker_state
 
 MAGIC = b"SWS8B\x00\x00\x01"
 HEAD = "<9Q"
@@ -68,7 +68,7 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.name = ("token chunks", path)
+        self.memo = Memo(self._chunk)
         self.plain = all(self._plain(p) == self._own(p) for p in self.PROBES if self._is_plain(p))
         whole = f"{' '.join(self.PROBES)}\n\n{'  '.join(self.PROBES)} "
         self.split = b"".join(map(self._own, whole.replace("\n", " ").split(" "))) == self._own(whole)
@@ -95,13 +95,11 @@ class ChunkEncoder:
     def encode(self, text: str | None) -> np.ndarray:
         if not self.split:
             return np.frombuffer(self._own(text or ""), self.kind)
-        memo = worker_memo(self.name, lambda: self._chunk)
-        return np.frombuffer(b"".join(memo.of((text or "").replace("\n", " ").split(" "))), self.kind)
+        return np.frombuffer(b"".join(self.memo.of((text or "").replace("\n", " ").split(" "))), self.kind)
 
 
-@cache
 def chunk_encoder(path: str) -> ChunkEncoder:
-    return ChunkEncoder(path)
+    return worker_state(("token chunks", path), lambda: ChunkEncoder(path))
 
 
 def frame(doc_ids: list[int | None], parts: list[np.ndarray]) -> bytes:

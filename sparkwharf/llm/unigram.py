@@ -27,15 +27,14 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable, Iterator
-from functools import cache
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwharf.llm.common import Memo, with_fields, worker_memo
+from sparkwharf.llm.common import Memo, with_fields, worker_state
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
@@ -46,7 +45,6 @@ UNIGRAM, BPE = 1, 2
 SHIFT, GRAIN = 2.7, 1 / 16
 
 
-@cache
 def unigram_proto(path: str) -> bytes:
     """The model file as a unigram model; ranks of a BPE file become log probabilities of the law 1 / (rank + SHIFT)."""
     from sentencepiece import sentencepiece_model_pb2 as pb
@@ -236,34 +234,36 @@ class Encoder:
         return [i for part in self.stream(text) for i in part]
 
 
-@cache
-def vocabulary(path: str) -> Vocabulary:
-    made = Vocabulary(path)
-    unigram_proto.cache_clear()
-    return made
+class Coded(Memo):
+    """A vocabulary and what its texts' stretches come to."""
+
+    def __init__(self, path: str, counts: bool):
+        self.v = Vocabulary(path)
+        if counts:
+            super().__init__(Counter(self.v).count)
+        else:
+            encoder, kind = Encoder(self.v), self.v.id_type
+            super().__init__(lambda s: np.array(encoder.encode(s), kind).tobytes())
 
+    def text(self, text: str | None) -> Iterator:
+        return self.of(self.v.stretches(self.v.normalize(text or "")))
 
-def count_memo(path: str) -> Memo:
-    return worker_memo(("count", path), lambda: Counter(vocabulary(path)).count)
 
+def coded(path: str, counts: bool) -> Coded:
+    return worker_state(("pieces", path, counts), lambda: Coded(path, counts))
 
-def encode_memo(path: str) -> Memo:
-    def build() -> Callable[[str], bytes]:
-        v = vocabulary(path)
-        encoder = Encoder(v)
-        return lambda s: np.array(encoder.encode(s), v.id_type).tobytes()
 
-    return worker_memo(("encode", path), build)
+def vocabulary(path: str) -> Vocabulary:
+    return coded(path, False).v
 
 
 def count_text(text: str | None, path: str) -> int:
-    v = vocabulary(path)
-    return sum(count_memo(path).of(v.stretches(v.normalize(text or ""))))
+    return sum(coded(path, True).text(text))
 
 
 def encode_text(text: str | None, path: str) -> np.ndarray:
-    v = vocabulary(path)
-    return np.frombuffer(b"".join(encode_memo(path).of(v.stretches(v.normalize(text or "")))), v.id_type)
+    made = coded(path, False)
+    return np.frombuffer(b"".join(made.text(text)), made.v.id_type)
 
 
 def decode_ids(ids: np.ndarray, path: str) -> str:
