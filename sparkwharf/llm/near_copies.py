@@ -10,7 +10,8 @@ share one of these with certainty, whatever the order, so no pair is missed. The
 order is a matter of speed only: shingles that are common in a sample come last.
 
 Texts of one shingle set are folded first. Texts that share a key are then verified
-against the smallest of them; what this leaves in different components is paired in
+against the smallest of them, and where a key is still shared by many sets of different components, against
+sets drawn anew; what this leaves in different components is paired in
 full and verified, so a group of m copies costs m comparisons a key, and no
 bucket is capped. Only pairs that share enough of their prefixes to reach the similarity are verified. A text is compared by its whole set of 64-bit shingle hashes.
 
@@ -34,6 +35,8 @@ from sparkwharf.llm.simhash import BITS, BLOCK, fingerprint_links
 SHINGLE, RADIUS = 5, 2
 #: Sets compared with one copy of another, and shingles in a batch of sets on their way.
 SALTED, SENT = 1000, 1 << 19
+#: Rounds of stars at most, and the pairs for each row of shared keys beyond which there is another.
+MOST_ROUNDS, DENSE = 3, 4
 #: Texts sampled for the order of shingles, how many of them make a shingle common, and the most that are broadcast.
 SAMPLE, COMMON, MOST_COMMON = 10_000, 4, 1 << 16
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -165,13 +168,17 @@ def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFram
     return staged(met.mapInArrow(compare, "a long, b long").distinct(), "copy_links")
 
 
+def _like(n: Column, m: Column) -> Column:
+    return (n * 5 >= m * 4) & (m * 5 >= n * 4)
+
+
 def _fit(n: Column, m: Column, shared: Column) -> Column:
     """Whether sets of n and m shingles whose prefixes have ``shared`` keys in common can be similar.
 
     Beyond the prefix that ends first in the order, at most the rest of that set can be shared: ceil(0.8 n) - 1 shingles.
     """
     up = lambda x, d: F.floor((x + (d - 1)) / d)
-    return (n * 5 >= m * 4) & (m * 5 >= n * 4) & (shared + F.greatest(up(n * 4, 5), up(m * 4, 5)) - 1 >= up((n + m) * 4, 9))
+    return _like(n, m) & (shared + F.greatest(up(n * 4, 5), up(m * 4, 5)) - 1 >= up((n + m) * 4, 9))
 
 
 def fingerprint_pairs(classes: DataFrame) -> DataFrame:
@@ -193,14 +200,29 @@ def copy_links(rows: DataFrame, classes: DataFrame, keyed: DataFrame) -> DataFra
     # keys with another smallest set aren't counted here, so the bound is taken at half; pairs it misses come below
     star = met.filter("node <> low").groupBy(F.col("node").alias("a"), F.col("low").alias("b")).agg(shared)
     star = star.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b").filter(_fit(F.col("na"), F.col("nb"), F.col("shared") * 2)).select("a", "b")
-    first = _verified(star.union(fingerprint_pairs(classes)).distinct(), rows, classes)
-    roots = staged(connected_components(first), "copy_roots_1")
-    placed = met.join(roots, "node", "left").join(size, "node").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
-    apart = staged(placed.withColumn("least", F.min("root").over(key)).withColumn("most", F.max("root").over(key)).filter("least <> most").drop("least", "most"), "copy_keys_apart")
+    links = _verified(star.union(fingerprint_pairs(classes)).distinct(), rows, classes)
+    for turn in range(MOST_ROUNDS):
+        roots = staged(connected_components(links), "copy_roots")
+        placed = met.join(roots, "node", "left").join(size, "node").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
+        ends = placed.withColumns({"least": F.min("root").over(key), "most": F.max("root").over(key), "c": F.count(F.lit(1)).over(key)})
+        apart = staged(ends.filter("least <> most").drop("least", "most"), "copy_keys_apart")
+        # what all pairs of different components would come to, at most, and the rows they come from
+        pairs, n = apart.agg(F.coalesce(F.sum((F.col("c") - 1) / 2), F.lit(0.0)), F.count(F.lit(1))).first()
+        if pairs <= DENSE * n:
+            break
+        # dense keys: other stars, each around a set drawn anew, which is likely one of the largest group, join groups before pairs are formed
+        drawn = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "root", "node", "n")).over(key)
+        dense = apart.filter(F.col("c") > 8 * DENSE).withColumn("base", drawn).filter(F.col("root") != F.col("base.root"))
+        more = dense.groupBy(F.col("node").alias("a"), F.col("base.node").alias("b"), F.col("n").alias("na"), F.col("base.n").alias("nb")).agg(F.lit(1).alias("met"))
+        # dense keys are but some of those that two sets share, so only sizes are tried here
+        more = more.filter(_like(F.col("na"), F.col("nb"))).select("a", "b")
+        links = staged(links.union(_verified(more, rows, classes)).distinct(), "copy_links_so_far")
+    roots = staged(connected_components(links), "copy_roots")
+    apart = apart.select("key", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     x, y = apart.withColumnsRenamed({"node": "a", "n": "na", "root": "ra"}), apart.withColumnsRenamed({"node": "b", "n": "nb", "root": "rb"})
-    rest = x.join(y, "key").filter((F.col("a") > F.col("b")) & (F.col("ra") != F.col("rb"))).groupBy("a", "b", "na", "nb").agg(shared)
+    rest = x.join(y, "key").filter((F.col("a") > F.col("b")) & (F.col("ra") != F.col("rb")) & _like(F.col("na"), F.col("nb"))).groupBy("a", "b", "na", "nb").agg(shared)
     rest = rest.filter(_fit(F.col("na"), F.col("nb"), F.col("shared"))).select("a", "b")
-    return first.union(_verified(rest, rows, classes))
+    return links.union(_verified(rest, rows, classes))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
