@@ -278,30 +278,19 @@ def build_index(benchmark: DataFrame, similarity: float, repetitions: int, item_
     items = staged(rows.filter("n > 0").groupBy("words").agg(F.min("i").alias("i"), F.first("n").alias("n")), "benchmark_items")
     total = items.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def build(group: pa.Table) -> pa.Table:
         context = TaskContext.get()
         store, root = fs.FileSystem.from_uri(folder)
         store.create_dir(root, recursive=True)
-        group, size, files = [], 0, []
-
-        def write() -> None:
-            files.append(f"{root}/index-{context.partitionId():05d}-{context.taskAttemptId()}-{len(files):04d}")
-            with store.open_output_stream(files[-1]) as out:
-                out.write(pickle.dumps(Index(group, similarity, repetitions), protocol=5))
-
-        for batch in batches:
-            for i, ws in zip(batch.column("i").to_pylist(), batch.column("words").to_pylist(), strict=True):
-                group.append((i, ws.split()))
-                size += len(group[-1][1])
-                if size >= GROUP_WORDS:
-                    write()
-                    group, size = [], 0
-        if group:
-            write()
-        yield pa.RecordBatch.from_arrays([pa.array(files, pa.string())], ["file"])
-
-    # only the files of committed tasks are named in the staged table
-    made = items.repartition(max(1, -(-total // GROUP_WORDS)), "words").sortWithinPartitions("i", "words").select("i", "words").mapInArrow(build, "file string")
+        listed = sorted(zip(group.column("i").to_pylist(), group.column("words").to_pylist(), strict=True), key=lambda x: (x[0] is None, x[0], x[1]))
+        file = f"{root}/index-{group.column('g')[0].as_py():06d}-{context.taskAttemptId()}"
+        with store.open_output_stream(file) as out:
+            out.write(pickle.dumps(Index([(i, ws.split()) for i, ws in listed], similarity, repetitions), protocol=5))
+        return pa.table({"file": [file]})
+
+    # groups are dealt by hash, so their number and size are the same however many tasks there are; only the files of committed tasks are named in the staged table
+    group = F.pmod(F.xxhash64("words"), F.lit(max(1, -(-total // GROUP_WORDS)))).alias("g")
+    made = items.select("i", "words", group).groupBy("g").applyInArrow(build, "file string")
     return folder, sorted(r["file"] for r in staged(made, "benchmark_files").collect())  # one for GROUP_WORDS words
 
 
