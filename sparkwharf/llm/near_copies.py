@@ -12,8 +12,10 @@ order is a matter of speed only: shingles that are common in a sample come last.
 Texts of one shingle set are folded first. Texts that share a key are then verified
 against the smallest of them, and where a key is still shared by many sets of different components, against
 sets drawn anew; what this leaves in different components is paired in
-full and verified, so a group of m copies costs m comparisons a key, and no
-bucket is capped. Only pairs that share enough of their prefixes to reach the similarity are verified. A text is compared by its whole set of 64-bit shingle hashes.
+full, so a group of m copies costs m comparisons a key, and no
+bucket is capped. Only pairs that share enough of their prefixes to reach the similarity are verified, and only those whose
+parity marks are near enough: each shingle flips one of MARKS bits, so the marks of two sets differ in at most as many bits as
+the sets differ in shingles, and a pair whose marks differ in more than the similarity allows is none. A text is compared by its whole set of 64-bit shingle hashes.
 
 Cases: texts of fewer than five words are one shingle; null and empty texts have
 none and are copies of one another; null ids come last; repeated rows count once.
@@ -37,6 +39,8 @@ SHINGLE, RADIUS = 5, 2
 SALTED, SENT = 1000, 1 << 19
 #: Rounds of stars at most, and the pairs for each row of shared keys beyond which there is another.
 MOST_ROUNDS, DENSE = 3, 4
+#: Bits of a set's parity marks, in words of 64.
+MARKS = 512
 #: Texts sampled for the order of shingles, how many of them make a shingle common, and the most that are broadcast.
 SAMPLE, COMMON, MOST_COMMON = 10_000, 4, 1 << 16
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -94,12 +98,18 @@ def fingerprint(grams: np.ndarray) -> int:
     return int(np.packbits(ones * 2 > len(grams), bitorder="little").view("<i8")[0])
 
 
+def marks(grams: np.ndarray) -> np.ndarray:
+    """For each of MARKS classes of shingle hashes, whether the set has an odd number of them, packed in words of 64 bits."""
+    odd = np.bincount((grams.view(np.uint64) >> np.uint64(33)).astype(np.int64) % MARKS, minlength=MARKS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
 def _node(grams: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(grams.tobytes(), 7) - (1 << 63)
 
 
 def _sets(rows: DataFrame, pick: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
-    """``id, f, node, n, fp, grams`` of ``rows(id, f, text)``: name, size and fingerprint of the shingle set, and what ``pick`` takes of it."""
+    """``id, f, node, n, fp, marks, grams`` of ``rows(id, f, text)``: name, size, fingerprint and parity marks of the shingle set, and what ``pick`` takes of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -109,9 +119,10 @@ def _sets(rows: DataFrame, pick: Callable[[np.ndarray], np.ndarray]) -> DataFram
                 picked = [pick(g) for g in of]
                 offsets = pa.array(np.concatenate([[0], np.cumsum([len(g) for g in picked])]).astype(np.int32))
                 lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(picked)))
-                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("f"), pa.array(map(_node, of), pa.int64()), pa.array([len(g) for g in of], pa.int32()), pa.array(map(fingerprint, of), pa.int64()), lists], ["id", "f", "node", "n", "fp", "grams"])
+                odd = pa.ListArray.from_arrays(pa.array(np.arange(len(of) + 1, dtype=np.int32) * (MARKS // 64)), pa.array(np.concatenate([marks(g) for g in of])))
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("f"), pa.array(map(_node, of), pa.int64()), pa.array([len(g) for g in of], pa.int32()), pa.array(map(fingerprint, of), pa.int64()), odd, lists], ["id", "f", "node", "n", "fp", "marks", "grams"])
 
-    return rows.mapInArrow(run, "id long, f long, node long, n int, fp long, grams array<long>")
+    return rows.mapInArrow(run, "id long, f long, node long, n int, fp long, marks array<long>, grams array<long>")
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame) -> DataFrame:
@@ -172,6 +183,12 @@ def _like(n: Column, m: Column) -> Column:
     return (n * 5 >= m * 4) & (m * 5 >= n * 4)
 
 
+def _near(n: Column, m: Column, x: Column, y: Column) -> Column:
+    """Whether sets of n and m shingles with parity marks x and y can be similar: they may differ in n + m - 2 ceil(4 (n + m) / 9) shingles."""
+    apart = sum((F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(MARKS // 64)), F.lit(0))
+    return _like(n, m) & (apart <= n + m - F.floor(((n + m) * 4 + 8) / 9) * 2)
+
+
 def _fit(n: Column, m: Column, shared: Column) -> Column:
     """Whether sets of n and m shingles whose prefixes have ``shared`` keys in common can be similar.
 
@@ -193,34 +210,37 @@ def fingerprint_pairs(classes: DataFrame) -> DataFrame:
 
 def copy_links(rows: DataFrame, classes: DataFrame, keyed: DataFrame) -> DataFrame:
     """True links ``a, b`` between sets, with the components of all pairs; ``keyed(key, node)`` are the prefixes."""
-    key, size = Window.partitionBy("key"), classes.select("node", "n")
+    key, size, whole = Window.partitionBy("key"), classes.select("node", "n"), classes.select("node", "n", "marks")
+    near = _near(F.col("na"), F.col("nb"), F.col("xa"), F.col("xb"))
     met = keyed.withColumn("low", F.min("node").over(key)).withColumn("high", F.max("node").over(key)).filter("low <> high")
     met = staged(met.select("key", "node", "low"), "copy_keys")
     shared = F.count(F.lit(1)).alias("shared")
     # keys with another smallest set aren't counted here, so the bound is taken at half; pairs it misses come below
     star = met.filter("node <> low").groupBy(F.col("node").alias("a"), F.col("low").alias("b")).agg(shared)
     star = star.join(size.toDF("a", "na"), "a").join(size.toDF("b", "nb"), "b").filter(_fit(F.col("na"), F.col("nb"), F.col("shared") * 2)).select("a", "b")
+    star = star.join(whole.toDF("a", "na", "xa"), "a").join(whole.toDF("b", "nb", "xb"), "b").filter(near).select("a", "b")
     links = _verified(star.union(fingerprint_pairs(classes)).distinct(), rows, classes)
     for turn in range(MOST_ROUNDS):
         roots = staged(connected_components(links), "copy_roots")
         placed = met.join(roots, "node", "left").join(size, "node").select("key", "node", "n", F.coalesce("root", "node").alias("root"))
         ends = placed.withColumns({"least": F.min("root").over(key), "most": F.max("root").over(key), "c": F.count(F.lit(1)).over(key)})
-        apart = staged(ends.filter("least <> most").drop("least", "most"), "copy_keys_apart")
+        apart = staged(ends.filter("least <> most").drop("least", "most").join(whole.drop("n"), "node"), "copy_keys_apart")
         # what all pairs of different components would come to, at most, and the rows they come from
         pairs, n = apart.agg(F.coalesce(F.sum((F.col("c") - 1) / 2), F.lit(0.0)), F.count(F.lit(1))).first()
         if pairs <= DENSE * n:
             break
         # dense keys: other stars, each around a set drawn anew, which is likely one of the largest group, join groups before pairs are formed
-        drawn = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "root", "node", "n")).over(key)
+        drawn = F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "root", "node", "n", "marks")).over(key)
         dense = apart.filter(F.col("c") > 8 * DENSE).withColumn("base", drawn).filter(F.col("root") != F.col("base.root"))
-        more = dense.groupBy(F.col("node").alias("a"), F.col("base.node").alias("b"), F.col("n").alias("na"), F.col("base.n").alias("nb")).agg(F.lit(1).alias("met"))
-        # dense keys are but some of those that two sets share, so only sizes are tried here
-        more = more.filter(_like(F.col("na"), F.col("nb"))).select("a", "b")
+        more = dense.select(F.col("node").alias("a"), F.col("base.node").alias("b"), F.col("n").alias("na"), F.col("base.n").alias("nb"), F.col("marks").alias("xa"), F.col("base.marks").alias("xb"))
+        # dense keys are but some of those that two sets share, so only sizes and marks are tried here
+        more = more.filter(near).select("a", "b").distinct()
         links = staged(links.union(_verified(more, rows, classes)).distinct(), "copy_links_so_far")
     roots = staged(connected_components(links), "copy_roots")
-    apart = apart.select("key", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    x, y = apart.withColumnsRenamed({"node": "a", "n": "na", "root": "ra"}), apart.withColumnsRenamed({"node": "b", "n": "nb", "root": "rb"})
-    rest = x.join(y, "key").filter((F.col("a") > F.col("b")) & (F.col("ra") != F.col("rb")) & _like(F.col("na"), F.col("nb"))).groupBy("a", "b", "na", "nb").agg(shared)
+    apart = apart.select("key", "node", "n", "marks").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    x, y = apart.withColumnsRenamed({"node": "a", "n": "na", "root": "ra", "marks": "xa"}), apart.withColumnsRenamed({"node": "b", "n": "nb", "root": "rb", "marks": "xb"})
+    # pairs are tried in the join itself, so those that can't be similar are never shuffled
+    rest = x.join(y, (x["key"] == y["key"]) & (F.col("a") > F.col("b")) & (F.col("ra") != F.col("rb")) & near).groupBy("a", "b", "na", "nb").agg(shared)
     rest = rest.filter(_fit(F.col("na"), F.col("nb"), F.col("shared"))).select("a", "b")
     return links.union(_verified(rest, rows, classes))
 
@@ -232,7 +252,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     shared = docs.sparkSession.sparkContext.broadcast((common, rank))
     sets = staged(_sets(rows, lambda g: prefix(g, *shared.value)), "copy_prefixes")
     smallest = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "f"))
-    classes = staged(sets.groupBy("node").agg(smallest.alias("w"), F.min("n").alias("n"), F.min("fp").alias("fp")), "copy_classes")
+    classes = staged(sets.groupBy("node").agg(smallest.alias("w"), F.min("n").alias("n"), F.min("fp").alias("fp"), F.min("marks").alias("marks")), "copy_classes")
     of = classes.select(F.col("node").alias("_node"), F.col("w.id").alias("_id"), F.col("w.f").alias("_f"))
     one = sets.join(of, (F.col("node") == F.col("_node")) & (F.col("f") == F.col("_f")) & F.col("id").eqNullSafe(F.col("_id")), "left_semi")
     links = copy_links(rows, classes, one.select(F.explode("grams").alias("key"), "node"))

@@ -89,3 +89,14 @@ def test_null_and_repeated_ids(spark):
     got = near_copies.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted(map(tuple, got), key=str) == [(5, "a b c d"), (5, "other words than these"), (None, "alone here we are")]
     assert near_copies.keep_one(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_marks_differ_in_no_more_bits_than_the_sets_in_shingles():
+    rng = random.Random(5)
+    for n in (0, 1, 30, 400, 3000):
+        a = near_copies.shingles(" ".join(f"w{rng.randrange(900)}" for _ in range(n)))
+        for share in (0.001, 0.01, 0.3, 1):
+            b = near_copies.shingles(edited(rng, " ".join(f"w{rng.randrange(900)}" for _ in range(n)), share)) if n and share == 1 else a[: len(a) - int(share * len(a))]
+            x, y = near_copies.marks(a), near_copies.marks(b)
+            assert len(x) == near_copies.MARKS // 64
+            assert sum(int(v).bit_count() for v in (x ^ y).view("<u8")) <= len(set(a.tolist()) ^ set(b.tolist()))
