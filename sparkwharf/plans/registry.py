@@ -29,7 +29,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def load() -> None:
-    from sparkwharf.plans import aggregates, feeds, formats, functions, health, history, joins, modes, positions  # noqa: F401
+    from sparkwharf.plans import aggregates, feeds, formats, functions, health, history, joins, modes, positions, upkeep  # noqa: F401
 
 
 load()
