@@ -45,7 +45,8 @@ SLOTS, ROWS3 = 8, 1 << 16
 ENDINGS, ENDING = 1024, 3
 #: Feature buckets of one word of history (the first half for frequent words) and of two.
 ONE, TWO = 4096, 8192
-ROUNDS, BATCH, RATE = 2, 1 << 15, 0.15
+ROUNDS, BATCH_BITS, RATE = 2, 15, 0.15
+BATCH = 1 << BATCH_BITS
 #: Words a counting task holds before it hands them on; tasks whose weights meet in one sum.
 HELD, FAN_IN = 500_000, 16
 END = 0  # id of the end token; the head's words follow
@@ -116,6 +117,23 @@ def features(ids: np.ndarray, first: np.ndarray) -> np.ndarray:
 BEGIN_BUCKET = int(_bucket(np.array([BEGIN], np.int64))[0])
 
 
+def _summed(w: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """Of each token, its three rows' weights and the bias; ``take`` copies whole rows, which indexing doesn't."""
+    z = w.take(rows[0], axis=0)
+    z += w.take(rows[1], axis=0)
+    z += w.take(rows[2], axis=0)
+    z += bias
+    return z
+
+
+def _shares(z: np.ndarray) -> np.ndarray:
+    """Softmax of each row, in place."""
+    z -= np.maximum.reduce(z.T.copy(), axis=0)[:, None]  # along rows of the transposed copy, as rows themselves are short
+    np.exp(z, out=z)
+    z /= np.einsum("ij->i", z)[:, None]
+    return z
+
+
 class Model:
     """``cluster``, ``member`` and ``slot`` by id; ``inside``: log10 of a token's share of its slot, for head ids, and minus log10 of the slot's size for others."""
 
@@ -133,23 +151,10 @@ class Model:
 
     def _softmax3(self, g: np.ndarray, cls: np.ndarray) -> np.ndarray:
         """Slots of classes that have several."""
-        z = self.w3[g[0]] + self.w3[g[1]] + self.w3[g[2]] + self.b3[cls]
-        z -= z.max(axis=1, keepdims=True)
-        np.exp(z, out=z)
-        z /= z.sum(axis=1, keepdims=True)
-        return z
+        return _shares(_summed(self.w3, g, self.b3.take(cls, axis=0)))
 
     def _softmax(self, f: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        z1 = self.w1[f[0]] + self.w1[f[1]] + self.w1[f[2]] + self.b1
-        g = f * CLUSTERS + c
-        z2 = self.w2[g[0]] + self.w2[g[1]] + self.w2[g[2]] + self.b2[c]
-        out = []
-        for z in (z1, z2):
-            z -= z.max(axis=1, keepdims=True)
-            np.exp(z, out=z)
-            z /= z.sum(axis=1, keepdims=True)
-            out.append(z)
-        return out[0], out[1]
+        return _shares(_summed(self.w1, f, self.b1)), _shares(_summed(self.w2, f * CLUSTERS + c, self.b2.take(c, axis=0)))
 
     def log10(self, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Of each token; for ids beyond the head, all but log10(count + 1)."""
@@ -182,26 +187,34 @@ class Model:
             p1[rows, c] -= 1
             p2[rows, m] -= 1
             for slot in f:
-                _step(self.w1, self.g1, self.met1, slot, p1)
-                _step(self.w2, self.g2, self.met2, slot * CLUSTERS + c, p2)
+                row, order = _sorted(slot * CLUSTERS + c)  # in order of both tables' rows
+                _step(self.w1, self.g1, self.met1, row // CLUSTERS, p1.take(order, axis=0))
+                _step(self.w2, self.g2, self.met2, row, p2.take(order, axis=0))
             cls = c * MEMBERS + m
             at = np.flatnonzero(self.several[cls])
             if len(at):
                 g = self._rows3(f[:, at], cls[at])
                 p3 = self._softmax3(g, cls[at])
                 p3[np.arange(len(at)), self.slot[ids[s][at]]] -= 1
-                for row in g:
-                    _step(self.w3, self.g3, self.met3, row, p3)
+                for slot in g:
+                    row, order = _sorted(slot)
+                    _step(self.w3, self.g3, self.met3, row, p3.take(order, axis=0))
+
+
+def _sorted(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of a batch in order, and their places; a row and its place are sorted as one number."""
+    key = np.sort(at << BATCH_BITS | np.arange(len(at)))
+    return key >> BATCH_BITS, key & (BATCH - 1)
 
 
-def _step(w: np.ndarray, g2: np.ndarray, met: np.ndarray, at: np.ndarray, gradient: np.ndarray) -> None:
-    order = np.argsort(at)
-    rows = at[order]
+def _step(w: np.ndarray, g2: np.ndarray, met: np.ndarray, rows: np.ndarray, gradient: np.ndarray) -> None:
+    """AdaGrad over ``rows`` in order and their gradients."""
     cut = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
-    rows, summed = rows[cut], np.add.reduceat(gradient[order], cut, axis=0)
-    met[rows] += np.diff(np.append(cut, len(at)))
-    g2[rows] += summed**2
-    w[rows] -= RATE * summed / np.sqrt(g2[rows])
+    n, rows, summed = np.diff(np.append(cut, len(rows))), rows[cut], np.add.reduceat(gradient, cut, axis=0)
+    met[rows] += n
+    seen = g2.take(rows, axis=0) + summed**2
+    g2[rows] = seen
+    w[rows] -= RATE * summed / np.sqrt(seen)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
