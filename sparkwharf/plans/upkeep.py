@@ -78,7 +78,7 @@ def manifest(spark, sf, dataset_ids: list[str], since: str, until: str, step_min
 
 @query("a7_frame_manifest", """
 SELECT event_type AS dataset_id, event_id, 'frames/' || event_type || '/' || event_id AS image_key FROM events
-WHERE event_type IN ('view', 'click') AND ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-25' AND value >= 100 AND epoch_us(ts) // 60000000 % 5 = 0""")
+WHERE event_type IN ('view', 'click') AND ts >= TIMESTAMP '2024-01-05' AND ts < TIMESTAMP '2024-01-25' AND value >= 100 AND (CAST(epoch(ts) AS BIGINT) // 60) % 5 = 0""")
 def frame_manifest(spark, sf):
     return manifest(spark, sf, ["view", "click"], "2024-01-05 00:00:00", "2024-01-25 00:00:00", 5)
 
@@ -224,7 +224,7 @@ def last_runs(spark, sf):
 
 
 @query("a10_slow_jobs", """
-SELECT o_orderpriority AS job, count(*) AS runs, round(avg(date_diff('day', o_orderdate, l_shipdate)), 6) AS avg_days, max(date_diff('day', o_orderdate, l_shipdate)) AS max_days, count_if(l_returnflag = 'R') AS failed
+SELECT o_orderpriority AS job, count(*) AS runs, round(avg(date_diff('day', o_orderdate, l_shipdate)), 6) AS avg_days, max(date_diff('day', o_orderdate, l_shipdate)) AS max_days, CAST(count_if(l_returnflag = 'R') AS BIGINT) AS failed
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND l_shipdate IS NOT NULL GROUP BY 1""")
 def slow_jobs(spark, sf):
     o = table(spark, sf, "orders").filter(F.col("o_orderdate") >= _ntz("1997-01-01 00:00:00")).select(F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority", "o_orderdate")
