@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkwharf.operators import statistics as st
-from sparkwharf.plans.registry import query, table
+from sparkwharf.plans.register import query, table
 
 
 @query("g11_having_distinct", "SELECT l_partkey, l_suppkey, count(*) AS n FROM lineitem GROUP BY ALL HAVING count(DISTINCT l_returnflag) = 1 AND count(*) > 1")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from sparkwharf.functions import geo
 from sparkwharf.functions import text as tx
 from sparkwharf.functions import timeutil as tu
-from sparkwharf.plans.registry import query, table
+from sparkwharf.plans.register import query, table
 
 AS_OF = datetime(2024, 1, 20, 17)
 

@@ -7,7 +7,6 @@ from __future__ import annotations
 
 import io
 import tarfile
-import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -16,23 +15,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparkwharf.functions import text as tx
-from sparkwharf.plans.registry import query, table
+from sparkwharf.plans.register import query, table
 from sparkwharf.sources import files, paged, sinks, specs
+from sparkwharf.sources.shared import folder
 
 #: Rows of one rendered file.
 ROWS = 500
 BOM = "﻿"
 
 
-def folder(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not named and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    base = named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_formats"
-    return f"{base.rstrip('/')}/formats/{name}-{uuid.uuid4().hex}"
-
-
 def rendered(rows: DataFrame, key: str, content: Column, name: str, head: Column | None = None, tail: str = "", between: str = "\n") -> str:
     """Write one text file for each ROWS keys: a head, the rows' contents in order of the key, a tail."""
     path = folder(rows.sparkSession, name)

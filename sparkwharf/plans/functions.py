@@ -9,7 +9,7 @@ from sparkwharf.functions import geo
 from sparkwharf.functions import text as tx
 from sparkwharf.functions import timeutil as tu
 from sparkwharf.operators import dedup
-from sparkwharf.plans.registry import query, table
+from sparkwharf.plans.register import query, table
 
 
 @query("f1_f25_row_keys", "SELECT o_orderkey, md5(o_custkey || '|' || o_orderstatus || '|' || CAST(round(o_totalprice * 100) AS BIGINT)) AS key, ('0x' || left(md5(o_orderpriority), 15))::BIGINT AS id FROM orders")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkwharf.operators import health as h
-from sparkwharf.plans.registry import query, table
+from sparkwharf.plans.register import query, table
 
 _AS_OF = "TIMESTAMP '2024-01-30 12:00:00'"
 _H = f"""

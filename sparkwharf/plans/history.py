@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sparkwharf.functions import timeutil as tu
 from sparkwharf.operators import trails
-from sparkwharf.plans.registry import query, table
+from sparkwharf.plans.register import query, table
 
 DAY = "2024-01-05"
 # the civil day widened by an hour, in UTC

@@ -8,7 +8,7 @@ from sparkwharf.functions import text as tx
 from sparkwharf.functions import timeutil as tu
 from sparkwharf.operators import lookups
 from sparkwharf.operators import statistics as st
-from sparkwharf.plans.registry import query, table
+from sparkwharf.plans.register import query, table
 
 
 @query("j3_const_predicate", "SELECT o_orderkey, c_name FROM orders JOIN customer ON o_custkey = c_custkey AND c_mktsegment = 'BUILDING'")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparkwharf.operators import write_modes as wm
-from sparkwharf.plans.registry import query, table
+from sparkwharf.plans.register import query, table
 
 _CUR = "cur AS (SELECT c_custkey AS k, CAST(round(c_acctbal * 100) AS BIGINT) AS cents, c_mktsegment AS seg FROM customer WHERE c_custkey % 3 <> 0)"
 _BATCH = "b AS (SELECT o_custkey AS k, CAST(round(o_totalprice * 100) AS BIGINT) AS cents, o_orderpriority AS seg, o_orderkey AS _seq FROM orders)"

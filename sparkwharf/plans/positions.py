@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from sparkwharf.functions import geo
 from sparkwharf.functions import timeutil as tu
 from sparkwharf.operators import trips
-from sparkwharf.plans.registry import query, table
+from sparkwharf.plans.register import query, table
 
 _POS = "(SELECT *, 24 + (event_id % 97) / 1000.0::DOUBLE AS lat, 121 + (event_id % 89) / 1000.0::DOUBLE AS lng FROM events)"
 _KM = "(2 * 6371.0 * asin(sqrt(pow(sin(radians(lat - plat) / 2), 2) + cos(radians(plat)) * cos(radians(lat)) * pow(sin(radians(lng - plng) / 2), 2))))"

@@ -1,35 +1,9 @@
-"""Named queries over the driver tables, each with its reference SQL where SQL can state it."""
+"""All named queries over the driver tables, each with its reference SQL where SQL can state it."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from sparkwharf.plans import aggregates, feeds, formats, functions, health, history, joins, modes, positions, upkeep  # noqa: F401
+from sparkwharf.plans.register import QUERIES, SQL, query, table
 
 FLAGSHIP = "g1_trail_day"
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under a name that begins with its survey ids."""
-
-    def add(f: Query) -> Query:
-        QUERIES[name] = f
-        if sql:
-            SQL[name] = sql
-        return f
-
-    return add
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def load() -> None:
-    from sparkwharf.plans import aggregates, feeds, formats, functions, health, history, joins, modes, positions, upkeep  # noqa: F401
-
-
-load()
+__all__ = ["FLAGSHIP", "QUERIES", "SQL", "query", "table"]

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from sparkwharf.functions import timeutil as tu
 from sparkwharf.operators import outline
 from sparkwharf.operators import write_modes as wm
-from sparkwharf.plans.formats import folder
-from sparkwharf.plans.registry import query, table
+from sparkwharf.plans.register import query, table
+from sparkwharf.sources.shared import folder
 
 
 def _ntz(text: str):
@@ -192,8 +192,8 @@ def catalog_scan(spark, sf):
     return spark.createDataFrame(rows, "name string, time_column string").filter(~F.col("name").rlike(r"_p\d{4}_\d{2}$"))
 
 
-@query("f41_intervals", "SELECT event_id, ts >= TIMESTAMP '2024-01-30' - to_hours(CAST(event_id % 480 AS INTEGER)) AS recent FROM events")
-def intervals(spark, sf):
+@query("f41_recent_window", "SELECT event_id, ts >= TIMESTAMP '2024-01-30' - to_hours(CAST(event_id % 480 AS INTEGER)) AS recent FROM events")
+def recent_window(spark, sf):
     window = F.make_dt_interval(F.lit(0), (F.col("event_id") % 480).cast("int"))
     return table(spark, sf, "events").select("event_id", (F.col("ts") >= _ntz("2024-01-30 00:00:00") - window).alias("recent"))
 

@@ -29,8 +29,9 @@ class PagedReader(DataSourceReader):
 
     def read(self, page: Page) -> Iterator[tuple]:
         module, _, name = self.options["fetch"].rpartition(".")
+        fetch = getattr(importlib.import_module(module), name)  # a missing fetch is the job's fault, not a page's
         try:
-            rows = getattr(importlib.import_module(module), name)(page.key, page.offset, int(self.options.get("pagesize", 1000)))
+            rows = fetch(page.key, page.offset, int(self.options.get("pagesize", 1000)))
         except Exception as e:  # one page's failure is a row, the others go on
             yield page.key, page.offset, None, f"{type(e).__name__}: {e}"
             return
