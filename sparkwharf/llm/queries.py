@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sparkwharf.llm import decontaminate, line_dedup, maxent, sharding, simhash, token_store, topk, toxicity, unigram, warc
+from sparkwharf.llm import decontaminate, divergence, line_dedup, maxent, sharding, simhash, token_store, topk, toxicity, unigram, warc
 
 QUERIES = {
     "op1_token_counts": unigram.op1_token_counts,
@@ -15,7 +15,8 @@ QUERIES = {
     "op8_sentencepiece": unigram.op8_sentencepiece,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
     "op10_line_dedup": line_dedup.op10_line_dedup,
+    "op11_source_divergence": divergence.op11_source_divergence,
     "op12_sharding": sharding.op12_sharding,
 }
 
-SQL = {"op7_exact_topk": topk.OP7_SQL, "op10_line_dedup": line_dedup.OP10_SQL, "op12_sharding": sharding.OP12_SQL}
+SQL = {"op7_exact_topk": topk.OP7_SQL, "op10_line_dedup": line_dedup.OP10_SQL, "op11_source_divergence": divergence.OP11_SQL, "op12_sharding": sharding.OP12_SQL}
