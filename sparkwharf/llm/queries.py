@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sparkwharf.llm import decontaminate, divergence, line_dedup, maxent, sharding, simhash, token_store, topk, toxicity, unigram, warc
+from sparkwharf.llm import collocations, decontaminate, divergence, line_dedup, maxent, sharding, simhash, token_store, topk, toxicity, unigram, warc
 
 QUERIES = {
     "op1_token_counts": unigram.op1_token_counts,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_line_dedup": line_dedup.op10_line_dedup,
     "op11_source_divergence": divergence.op11_source_divergence,
     "op12_sharding": sharding.op12_sharding,
+    "op13_collocations": collocations.op13_collocations,
 }
 
-SQL = {"op7_exact_topk": topk.OP7_SQL, "op10_line_dedup": line_dedup.OP10_SQL, "op11_source_divergence": divergence.OP11_SQL, "op12_sharding": sharding.OP12_SQL}
+SQL = {"op7_exact_topk": topk.OP7_SQL, "op10_line_dedup": line_dedup.OP10_SQL, "op11_source_divergence": divergence.OP11_SQL, "op12_sharding": sharding.OP12_SQL, "op13_collocations": collocations.OP13_SQL}
