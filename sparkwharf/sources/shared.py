@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def folder(spark: SparkSession, name: str) -> str:
@@ -14,3 +14,10 @@ def folder(spark: SparkSession, name: str) -> str:
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     base = named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_formats"
     return f"{base.rstrip('/')}/formats/{name}-{uuid.uuid4().hex}"
+
+
+def written(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` written to a new shared folder and read back, which cuts their lineage; a lost executor costs a reread."""
+    path = folder(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
