@@ -45,7 +45,7 @@ ENDS = frozenset(b".,;:!?\n\x0b\x0c\r")
 #: Words of one chunk, different words after which it ends earlier, bytes of a part of a text.
 CHUNK, VOCABULARY, PART = 1 << 20, 1 << 18, 1 << 22
 #: Runs of the corpus for each cell of a sketch row; cells of a block, at least and at most; bits of one row of the filter.
-LOAD, BLOCK, MAX_BLOCK, FILTER = 4, 1 << 20, 1 << 24, 1 << 28
+LOAD, BLOCK, MAX_BLOCK, FILTER = 16, 1 << 20, 1 << 24, 1 << 28
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
