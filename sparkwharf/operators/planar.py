@@ -73,16 +73,21 @@ def listed(layer: DataFrame, side: int) -> DataFrame:
     return layer.select("*", F.inline(F.expr(tiles)))
 
 
-def _turn(o: str, p: str, q: str) -> str:
+def turn(o: str, p: str, q: str) -> str:
     """Over 0 if q is left of the way from o to p."""
     return f"(({p}x - {o}x) * ({q}y - {o}y) - ({p}y - {o}y) * ({q}x - {o}x))"
 
 
+def lies_on(o: str, p: str, q: str) -> str:
+    """Whether q is on the segment from o to p, ends included."""
+    return f"({turn(o, p, q)} = 0 AND {q}x BETWEEN least({o}x, {p}x) AND greatest({o}x, {p}x) AND {q}y BETWEEN least({o}y, {p}y) AND greatest({o}y, {p}y))"
+
+
 def crossings(tiled: DataFrame) -> DataFrame:
     """``k, x, y``: the grid points nearest to where two segments of a geometry cross, each inside the other."""
     s = tiled.select(*_SEGMENT, "tx", "ty")
     t = s.select("k", *[F.col(c).alias({"a": "c", "b": "d"}[c[0]] + c[1]) for c in _SEGMENT[1:]], "tx", "ty")
-    abc, abd, cda, cdb = _turn("a", "b", "c"), _turn("a", "b", "d"), _turn("c", "d", "a"), _turn("c", "d", "b")
+    abc, abd, cda, cdb = turn("a", "b", "c"), turn("a", "b", "d"), turn("c", "d", "a"), turn("c", "d", "b")
     apart = f"sign({abc}) * sign({abd}) < 0 AND sign({cda}) * sign({cdb}) < 0"
     met = s.join(t, ["k", "tx", "ty"]).filter(f"struct(ax, ay, bx, by) < struct(cx, cy, dx, dy) AND {apart}")
     share = f"try_divide(CAST({cda} AS DOUBLE), CAST({cda} AS DOUBLE) - {cdb})"  # shared parts of plans may be worked out before their filter

@@ -67,8 +67,7 @@ def meet(tracks: DataFrame, track_key: str, points: str, polygons: DataFrame, ke
     looked = tracked.select("t", "tx", "ty").distinct().select("t", "tx", F.inline(at))
     accepted = looked.join(inner, ["tx", "level", "block"]).select("t", "k")
 
-    turn = planar._turn
-    on = lambda o, p, q: f"({turn(o, p, q)} = 0 AND {q}x BETWEEN least({o}x, {p}x) AND greatest({o}x, {p}x) AND {q}y BETWEEN least({o}y, {p}y) AND greatest({o}y, {p}y))"
+    turn, on = planar.turn, planar.lies_on
     crossing = f"sign({turn('a', 'b', 'c')}) * sign({turn('a', 'b', 'd')}) < 0 AND sign({turn('c', 'd', 'a')}) * sign({turn('c', 'd', 'b')}) < 0"
     touching = f"({crossing}) OR {on('a', 'b', 'c')} OR {on('a', 'b', 'd')} OR {on('c', 'd', 'a')} OR {on('c', 'd', 'b')}"
     crossed = tracked.join(edges, ["tx", "ty"]).filter(touching).select("t", "k")
