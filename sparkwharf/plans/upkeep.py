@@ -233,37 +233,6 @@ def slow_jobs(spark, sf):
     return j.groupBy(F.col("o_orderpriority").alias("job")).agg(F.count(F.lit(1)).alias("runs"), F.round(F.avg(days), 6).alias("avg_days"), F.max(days).alias("max_days"), F.count_if(F.col("l_returnflag") == "R").alias("failed"))
 
 
-def alert_cells(spark, sf, day: str):
-    """``alerts, cells``: the alerts in force on a day, and the grid cells of each by priority of source.
-
-    An alert's own area comes before the townships that its description names, and those before counties.
-    """
-    start, o = _ntz(f"{day} 00:00:00"), table(spark, sf, "orders")
-    k = F.col("o_orderkey")
-    named = F.concat(F.lit("T"), (k % 25).cast("string"), F.lit("、 C"), (k % 7).cast("string"), F.when(k % 4 > 0, F.concat(F.lit("; T"), (k % 25 + k % 4).cast("string"))).otherwise(""))
-    alerts = o.filter(
-        (F.col("o_orderdate") < start + F.expr("INTERVAL 1 DAY")) & (F.col("o_orderdate") >= start - F.expr("INTERVAL 2 DAY")) & (F.col("o_orderstatus") != "P")
-    ).select(k.alias("identifier"), "o_orderdate", named.alias("area_desc"))
-    names = alerts.select("identifier", F.explode(F.split("area_desc", r"\s*[/／、,，;；\n]\s*")).alias("name")).filter("name <> ''")
-    block = lambda x, y, size: F.transform(F.sequence(F.lit(0), F.lit(size * size - 1)), lambda i: F.struct((x + i % size).alias("x"), (y + F.floor(i / size)).alias("y")))
-    n = F.col("id")
-    towns = spark.range(20).select(F.concat(F.lit("T"), n.cast("string")).alias("name"), block(n % 5, F.floor(n / 5), 2).alias("cells"))
-    counties = spark.range(7).select(F.concat(F.lit("C"), n.cast("string")).alias("name"), block(n * 4, F.lit(0), 3).alias("cells"))
-    own = alerts.filter("identifier % 5 = 0").select("identifier", F.lit(0).alias("level"), F.explode(block(F.col("identifier") % 10, F.lit(1), 2)).alias("c"))
-    found = lambda places, level: names.join(places, "name").select("identifier", F.lit(level).alias("level"), F.explode("cells").alias("c"))
-    every = own.unionByName(found(towns, 1)).unionByName(found(counties, 2))
-    best = F.min("level").over(Window.partitionBy("identifier"))
-    return alerts, every.withColumn("best", best).filter("level = best").select("identifier", "c.x", "c.y")
-
-
-@query("a5_x7_alert_day")
-def alert_day(spark, sf):
-    """A day's alerts with the outline of their areas; no SQL, as it has no union of polygons here."""
-    alerts, cells = alert_cells(spark, sf, "1997-01-15")
-    shapes = outline.cell_union(cells, "identifier", 0.5)
-    return alerts.join(shapes, "identifier", "left").select("identifier", "area_desc", tu.epoch_seconds(F.col("o_orderdate")).alias("effective_ts"), "geom").orderBy("effective_ts", "identifier")
-
-
 @query("x7_type_outlines")
 def type_outlines(spark, sf):
     """The union of boxes of ``g9_x7_area_union`` as an outline for each kind."""

@@ -47,13 +47,3 @@ def test_hole_and_corner(spark):
     assert [len(p) for p in got["d"]] == [1, 1]
     assert got["s"] == [[[[0.0, 0.0], [2.0, 0.0], [2.0, 1.0], [0.0, 1.0], [0.0, 0.0]]]]
     assert outline.cell_union(spark.createDataFrame([], "k string, x int, y int"), "k").count() == 0
-
-
-def test_alert_day(spark):
-    alerts, cells = upkeep.alert_cells(spark, SF, "1997-01-15")
-    want: dict[int, set] = {}
-    for r in cells.collect():
-        want.setdefault(r["identifier"], set()).add((r["x"], r["y"]))
-    got = {r["identifier"]: r["geom"] for r in upkeep.alert_day(spark, SF).collect()}
-    assert set(got) == {r["identifier"] for r in alerts.collect()} and want
-    assert {k: covered(g, 0.5) for k, g in got.items() if g} == want

@@ -100,3 +100,29 @@ def test_arcs_are_the_ring_again(nodes):
     ring = [p for w in ways for p in w]
     at = ring.index(points[0])
     assert ring[at:] + ring[:at] == points and len(arcs) == (len(nodes) or 2)
+
+
+def test_alert_day_is_the_union_simplified(spark):
+    """Each alert's GeoJSON holds the points of its united areas but those within the tolerance of the outline."""
+    import json
+
+    from sparkwharf.operators import planar
+    from sparkwharf.plans import shapes
+    from tests.core.test_planar import inside
+
+    sf = "/root/testdata/sf0.01"
+    alerts, areas = shapes.alert_areas(spark, sf, "1997-01-15")
+    whole = {r["identifier"]: r["polygons"] for r in planar.union(areas, "identifier", "rings").collect()}
+    got = {r["identifier"]: r["geom"] for r in shapes.alert_day(spark, sf).collect()}
+    assert set(got) == {r["identifier"] for r in alerts.collect()} and {k for k, g in got.items() if g} == set(whole)
+    rng = random.Random(1)
+    for k, polygons in whole.items():
+        made = [[[tuple(p) for p in ring[:-1]] for ring in rings] for rings in json.loads(got[k])["coordinates"]]
+        check_shape(made)
+        true = [[(p["lng"], p["lat"]) for p in ring] for rings in polygons for ring in rings]
+        lines = [(a, b) for r in true for a, b in zip(r, r[1:] + r[:1], strict=True)]
+        for _ in range(100):
+            x, y = rng.uniform(0, 3), rng.uniform(0, 3)
+            off = min(math.hypot(x - a[0] - t * (b[0] - a[0]), y - a[1] - t * (b[1] - a[1])) for a, b in lines for t in [max(0, min(1, ((x - a[0]) * (b[0] - a[0]) + (y - a[1]) * (b[1] - a[1])) / ((b[0] - a[0]) ** 2 + (b[1] - a[1]) ** 2)))])
+            if off > 0.002:
+                assert (sum(inside(r, x, y) for r in true) % 2) == (sum(inside(r, x, y) for rings in made for r in rings) % 2)
