@@ -79,10 +79,15 @@ def redirect_target(c: Column) -> Column:
     return F.when(address.rlike("^https?://"), address)
 
 
+#: Signs before the outlet's name that ends a title.
+OUTLET_SIGNS = "-|｜–—"
+
+
 def clean_title(c: Column) -> Column:
-    """Without the outlet behind the last dash, bracketed notes, and signs; lower case."""
-    t = F.regexp_replace(F.coalesce(c, F.lit("")), "\\s+[-–|｜]\\s*[^-–|｜]{1,20}$", "")
-    return F.lower(F.regexp_replace(F.regexp_replace(t, "[\\[【(（][^\\]】)）]*[\\]】)）]", ""), "[^\\p{L}\\p{N}]", ""))
+    """Letters and digits of a title in lower case, without the outlet behind its last sign; null is empty."""
+    outlet = f"\\s+[{OUTLET_SIGNS}]\\s*[^{OUTLET_SIGNS}]{{1,20}}$"
+    bare = F.regexp_replace(F.trim(F.coalesce(c, F.lit(""))), outlet, "")
+    return F.translate(F.lower(F.regexp_replace(bare, "[^\\p{L}\\p{N}]", "")), "台", "臺")
 
 
 def simhash64(c: Column) -> Column:
@@ -149,8 +154,9 @@ def first_name_in(c: Column, names: list[str]) -> Column:
 
 
 def without_share(c: Column) -> Column:
-    """A name without a trailing battery or load percentage."""
-    return F.trim(F.regexp_replace(F.upper(c), "[0-9]{1,4}%", ""))
+    """A name in capitals without the battery or load percentage at its end; a name that is nothing else stays."""
+    name = F.upper(F.trim(F.coalesce(c, F.lit(""))))
+    return F.coalesce(F.nullif(F.trim(F.regexp_replace(name, "[\\s\\-_]*[0-9]{1,4}\\s*%$", "")), F.lit("")), name)
 
 
 def is_vessel_id(c: Column) -> Column:
@@ -171,22 +177,37 @@ def labelled(c: Column, labels: dict[str, str], fallback: str | None = None) ->
 
 
 def human_bytes(c: Column) -> Column:
+    """Bytes to one place in the unit that fits; halves go to the even digit."""
     v = c.cast("double")
-    out = F.format_string("%.0f B", v)
+    out = F.format_string("%.1f B", v)
     for k, unit in enumerate(("KB", "MB", "GB", "TB"), 1):
-        out = F.when(v >= 1024**k, F.format_string(f"%.1f {unit}", v / 1024**k)).otherwise(out)
+        out = F.when(v >= 1024**k, F.format_string(f"%.1f {unit}", F.bround(v / 1024**k, 1))).otherwise(out)
     return out
 
 
+#: Numerals in the names of roads, and directions.
+ROAD_NUMERALS = {"一": "1", "二": "2", "三": "3", "四": "4", "五": "5", "六": "6", "七": "7", "八": "8", "九": "9", "十": "10"}
+DIRECTIONS = {"北": "N", "南": "S", "東": "E", "西": "W", "北向": "N", "南向": "S", "東向": "E", "西向": "W", "雙向": "B"}
+
+
 def road_name(c: Column) -> Column:
-    """Chinese numerals of a road's name as digits, without blanks."""
-    return F.translate(F.regexp_replace(c, "[\\s國道省線號快速公路]", ""), "一二三四五六七八九", "123456789")
+    """A road's class and number: each numeral as its digits, without the words for number and line; null is empty."""
+    out = F.coalesce(c, F.lit(""))
+    for numeral, digits in ROAD_NUMERALS.items():
+        out = F.replace(out, F.lit(numeral), F.lit(digits))
+    return F.trim(F.translate(out, "號線", ""))
+
+
+def road_direction(c: Column) -> Column:
+    """One letter for a direction word; other text in capitals, null empty."""
+    word = F.trim(F.coalesce(c, F.lit("")))
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for pair in DIRECTIONS.items() for x in pair]), word), F.upper(word))
 
 
 def kilometre(c: Column) -> Column:
-    """``12K+345``, ``12.3K`` or ``12`` as kilometres."""
-    parts = F.regexp_extract(c, "(?i)^\\s*(\\d+(?:\\.\\d+)?)\\s*K?\\s*(?:\\+\\s*(\\d+))?", 1), F.regexp_extract(c, "(?i)K?\\s*\\+\\s*(\\d+)", 1)
-    return parts[0].try_cast("double") + F.coalesce(parts[1].try_cast("double") / F.lit(1000.0), F.lit(0.0))
+    """``12K+345`` and ``12+345`` as kilometres; null for any other form."""
+    part = lambda k: F.nullif(F.regexp_extract(F.trim(c), "^([0-9]+)K?\\+([0-9]+)", k), F.lit("")).try_cast("double")
+    return part(1) + part(2) / F.lit(1000.0)
 
 
 def report_count(text: Column, pattern: str) -> Column:

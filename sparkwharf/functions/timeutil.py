@@ -92,12 +92,14 @@ def roc_date(text: Column) -> Column:
 
 
 def roc_year_month(text: Column) -> Column:
-    """First of the month for 5, 6 or 7 digits (year and month, or a whole date)."""
-    digits = F.regexp_replace(F.coalesce(text, F.lit("")), "[^0-9]", "")
-    year = F.when(F.length(digits) == 6, F.substring(digits, 1, 4).try_cast("int")).otherwise(F.substring(digits, 1, 3).try_cast("int") + ROC_EPOCH)
-    month = F.when(F.length(digits) == 6, F.substring(digits, 5, 2)).otherwise(F.substring(digits, 4, 2)).try_cast("int")
-    ok = F.length(digits).isin(5, 6, 7) & month.between(1, 12)
-    return F.when(ok, F.to_date(F.format_string("%04d-%02d-01", year, month)))
+    """The date of Minguo years: first of the month for three digits of the year and two of the month, or four and two; the day for three, two and two."""
+    t = F.trim(text)
+    n = F.when(t.rlike("^[0-9]+$"), F.length(t))
+    wide = F.when(n == 6, 4).otherwise(3)
+    part = lambda at, size: F.try_to_number(F.substr(t, at, F.lit(size) if isinstance(size, int) else size), F.lit("9999")).cast("int")
+    day = F.when(n == 7, part(F.lit(6), 2)).otherwise(F.lit(1))
+    whole = F.format_string("%04d-%02d-%02d", part(F.lit(1), wide) + ROC_EPOCH, part(wide + 1, 2), day)
+    return F.when(n.isin(5, 6, 7), whole.try_cast("date"))
 
 
 def clock_seconds(text: Column, after: Column | None = None) -> Column:

@@ -72,9 +72,10 @@ def quiet_hours(ts: Column, start: int, end: int) -> Column:
     return ((h >= start) | (h < end)) if start > end else ((h >= start) & (h < end))
 
 
-def market_hours(ts: Column, opens: int = 540, closes: int = 810) -> Column:
-    minute = F.hour(ts) * 60 + F.minute(ts)
-    return (F.weekday(ts) < 5) & minute.between(opens, closes)
+def market_hours(ts: Column, opens: str = "09:00:00", closes: str = "13:30:00") -> Column:
+    """Working days from the opening to the closing time, both included to the microsecond; a missing time is closed."""
+    clock = F.date_format(ts, "HH:mm:ss.SSSSSS")
+    return F.coalesce((F.weekday(ts) < 5) & clock.between(f"{opens}.000000", f"{closes}.000000"), F.lit(False))
 
 
 def severity_counts(audit: DataFrame, as_of: Column) -> DataFrame:

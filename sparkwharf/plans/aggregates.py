@@ -161,11 +161,15 @@ def all_zero(spark, sf):
 
 
 @query("p21_p22_hours", """
-SELECT event_id, hour(ts) >= 22 OR hour(ts) < 6 AS quiet, isodow(ts) <= 5 AND (hour(ts) * 60 + minute(ts)) BETWEEN 540 AND 810 AS market FROM events""")
+SELECT event_id, hour(ts) >= 22 OR hour(ts) < 6 AS quiet, t IS NOT NULL AND isodow(t) <= 5 AND CAST(t AS TIME) BETWEEN TIME '09:00:00' AND TIME '13:30:00' AS market
+FROM (SELECT event_id, ts, CASE event_id % 4 WHEN 0 THEN date_trunc('day', ts) + INTERVAL '13 hours 30 minutes' + to_seconds(event_id % 3) WHEN 1 THEN NULL ELSE ts END AS t FROM events)""")
 def hours(spark, sf):
     from sparkwharf.operators import health
 
-    return table(spark, sf, "events").select("event_id", health.quiet_hours(F.col("ts"), 22, 6).alias("quiet"), health.market_hours(F.col("ts")).alias("market"))
+    # some rows at the closing time and a second or two behind it, some without a time
+    k, closing = F.col("event_id"), F.date_trunc("day", "ts").cast("timestamp_ntz") + F.expr("INTERVAL '13:30:00' HOUR TO SECOND")
+    at = F.when(k % 4 == 0, closing + F.make_dt_interval(secs=(k % 3).cast("decimal(18,6)"))).when(k % 4 > 1, F.col("ts"))
+    return table(spark, sf, "events").select("event_id", health.quiet_hours(F.col("ts"), 22, 6).alias("quiet"), health.market_hours(at).alias("market"))
 
 
 @query("p24_p25_classes", """

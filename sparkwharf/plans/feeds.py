@@ -16,12 +16,19 @@ AS_OF = datetime(2024, 1, 20, 17)
 
 
 @query("f15_road_marks", """
-SELECT o_orderkey, CAST(o_orderkey % 9 + 1 AS VARCHAR) AS road, CASE o_orderkey % 3 WHEN 0 THEN (o_orderkey % 400) * 1000 + o_orderkey % 1000 WHEN 1 THEN (o_orderkey % 400) * 1000 + 500 ELSE (o_orderkey % 400) * 1000 END::BIGINT AS metres FROM orders""")
+WITH r AS (SELECT o_orderkey AS k, ['國道', '省道台', '快速公路'][o_orderkey % 3 + 1] AS class, o_orderkey % 11 AS n, ['北', '南向', ' 東', '雙向', 'nb', NULL][o_orderkey % 6 + 1] AS dir, o_orderkey % 5 AS form FROM orders)
+SELECT k AS o_orderkey, CASE WHEN n = 0 THEN '' ELSE class || n || CASE WHEN n = 10 THEN '甲' ELSE '' END END AS road, CASE trim(dir) WHEN '北' THEN 'N' WHEN '南向' THEN 'S' WHEN '東' THEN 'E' WHEN '雙向' THEN 'B' WHEN 'nb' THEN 'NB' ELSE '' END AS direction,
+ CASE form WHEN 0 THEN k % 400 * 1000 + k % 1000 WHEN 1 THEN k % 400 * 1000 + k % 1000 END::BIGINT AS metres FROM r""")
 def road_marks(spark, sf):
-    k, km = F.col("o_orderkey"), (F.col("o_orderkey") % 400).cast("string")
-    mark = F.when(k % 3 == 0, F.concat(km, F.lit("K+"), F.lpad((k % 1000).cast("string"), 3, "0"))).when(k % 3 == 1, F.concat(km, F.lit(".5K"))).otherwise(km)
-    road = F.concat(F.lit("國道"), F.substr(F.lit("一二三四五六七八九"), (k % 9 + 1).cast("int"), F.lit(1)), F.lit("號"))
-    return table(spark, sf, "orders").select(k, tx.road_name(road).alias("road"), F.round(tx.kilometre(mark) * 1000).cast("long").alias("metres"))
+    """Names keep the road's class, so roads of one number stay apart; marks of another form have no kilometre."""
+    k, km, m = F.col("o_orderkey"), (F.col("o_orderkey") % 400).cast("string"), F.lpad((F.col("o_orderkey") % 1000).cast("string"), 3, "0")
+    mark = F.when(k % 5 == 0, F.concat(km, F.lit("K+"), m)).when(k % 5 == 1, F.concat(F.lit(" "), km, F.lit("+"), m, F.lit("附近"))).when(k % 5 == 2, F.concat(km, F.lit(".5K"))).when(k % 5 == 3, km)
+    kind = F.element_at(F.array(*map(F.lit, ("國道", "省道台", "快速公路"))), (k % 3 + 1).cast("int"))
+    n = k % 11
+    numeral = F.when(n == 10, "十").otherwise(F.substr(F.lit("一二三四五六七八九"), n.cast("int"), F.lit(1)))
+    road = F.when(n > 0, F.concat(kind, numeral, F.when(n % 2 == 0, "號").otherwise("線"), F.when(n == 10, "甲").otherwise("")))
+    way = F.element_at(F.array(*map(F.lit, ("北", "南向", " 東", "雙向", "nb", None))), (k % 6 + 1).cast("int"))
+    return table(spark, sf, "orders").select(k, tx.road_name(road).alias("road"), tx.road_direction(way).alias("direction"), F.round(tx.kilometre(mark) * 1000).cast("long").alias("metres"))
 
 
 @query("f21_redirects", r"SELECT page_id, CASE WHEN regexp_matches(url, '^https?://') THEN url END AS target FROM pages")
@@ -35,9 +42,13 @@ def redirects(spark, sf):
     return table(spark, sf, "pages").select("page_id", tx.redirect_target(link).alias("target"))
 
 
-@query("f24_titles", r"SELECT p_partkey, lower(regexp_replace(p_name, '[^\p{L}\p{N}]', '', 'g')) AS title FROM part")
+@query("f24_titles", r"""
+SELECT p_partkey, '快訊臺北' || lower(regexp_replace(p_name, '[^\p{L}\p{N}]', '', 'g')) || CASE p_partkey % 4 WHEN 3 THEN 'dailynews' ELSE '' END AS title FROM part""")
 def titles(spark, sf):
-    return table(spark, sf, "part").select("p_partkey", tx.clean_title(F.concat(F.lit("[Live] "), "p_name", F.lit(" - Daily News"))).alias("title"))
+    """Words in brackets stay; the outlet goes behind any of its signs, but not without a blank before one."""
+    k = F.col("p_partkey")
+    outlet = F.element_at(F.array(*map(F.lit, (" - Daily News", " — Daily News", " ｜Daily News", "-Daily News"))), (k % 4 + 1).cast("int"))
+    return table(spark, sf, "part").select(k, tx.clean_title(F.concat(F.lit(" 【快訊】台北 "), "p_name", outlet)).alias("title"))
 
 
 @query("f39_orbits", """
@@ -64,13 +75,14 @@ def bulletin_times(spark, sf):
     return table(spark, sf, "orders").select(k, F.date_format(tu.day_hour_minute(group, F.to_date("o_orderdate")), "yyyy-MM-dd HH:mm").alias("at"))
 
 
-@query("f47_year_months", "SELECT o_orderkey, strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS month FROM orders")
+@query("f47_year_months", "SELECT o_orderkey, CASE WHEN o_orderkey % 5 = 4 THEN NULL WHEN o_orderkey % 5 = 2 THEN strftime(o_orderdate, '%Y-%m-%d') ELSE strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') END AS day FROM orders")
 def year_months(spark, sf):
-    """A round trip: Minguo year and month, western year and month, or a whole Minguo date."""
+    """A round trip of Minguo years of three or four digits with a month, and of whole dates; the thirteenth month is none."""
     k, d = F.col("o_orderkey"), F.col("o_orderdate")
-    roc = F.format_string("%03d%02d", F.year(d) - tu.ROC_EPOCH, F.month(d))
-    s = F.when(k % 3 == 0, roc).when(k % 3 == 1, F.date_format(d, "yyyyMM")).otherwise(F.concat(roc, F.date_format(d, "dd")))
-    return table(spark, sf, "orders").select(k, F.date_format(tu.roc_year_month(s), "yyyy-MM-dd").alias("month"))
+    year, month = F.year(d) - tu.ROC_EPOCH, F.month(d)
+    s = F.when(k % 5 == 0, F.format_string("%03d%02d", year, month)).when(k % 5 == 1, F.format_string(" %04d%02d", year, month)).when(k % 5 == 2, F.format_string("%03d%02d%02d", year, month, F.dayofmonth(d)))
+    s = s.when(k % 5 == 3, F.format_string("%03d%02d ", year, month)).otherwise(F.format_string("%03d13", year))
+    return table(spark, sf, "orders").select(k, F.date_format(tu.roc_year_month(s), "yyyy-MM-dd").alias("day"))
 
 
 @query("x3_x4_x9_alert_areas", """

@@ -121,11 +121,14 @@ def base64(spark, sf):
     return table(spark, sf, "pages").select("page_id", tx.encoded_base64(F.encode("html", "UTF-8")).alias("b"))
 
 
-@query("f42_f44_f45_labels", r"""
-SELECT o_orderkey, CASE WHEN (o_orderkey * 1000 + 1) >= 1048576 THEN format('{:.1f} MB', (o_orderkey * 1000 + 1) / 1048576.0) WHEN (o_orderkey * 1000 + 1) >= 1024 THEN format('{:.1f} KB', (o_orderkey * 1000 + 1) / 1024.0) ELSE ((o_orderkey * 1000 + 1)) || ' B' END AS size, regexp_full_match(CAST(o_orderkey + 199990000 AS VARCHAR), '[2-7][0-9]{8}') AS vessel FROM orders""")
+@query("f42_f45_labels", r"""
+WITH b AS (SELECT o_orderkey, (CASE o_orderkey % 4 WHEN 0 THEN o_orderkey % 2000 WHEN 1 THEN o_orderkey * 1000 + 1 WHEN 2 THEN o_orderkey * 10000000 ELSE o_orderkey * 100000000000 END)::BIGINT AS n FROM orders)
+SELECT o_orderkey, CASE WHEN n < 1024 THEN format('{:.1f} B', n::DOUBLE) WHEN n < 1048576 THEN format('{:.1f} KB', n / 1024.0) WHEN n < 1073741824 THEN format('{:.1f} MB', n / 1048576.0) WHEN n < 1099511627776 THEN format('{:.1f} GB', n / 1073741824.0) ELSE format('{:.1f} TB', n / 1099511627776.0) END AS size,
+ regexp_full_match(CAST(o_orderkey + 199990000 AS VARCHAR), '[2-7][0-9]{8}') AS vessel FROM b""")
 def labels(spark, sf):
     k = F.col("o_orderkey")
-    return table(spark, sf, "orders").select(k, tx.human_bytes(k * 1000 + 1).alias("size"), tx.is_vessel_id((k + 199990000).cast("string")).alias("vessel"))
+    size = F.when(k % 4 == 0, k % 2000).when(k % 4 == 1, k * 1000 + 1).when(k % 4 == 2, k * 10_000_000).otherwise(k * 100_000_000_000)
+    return table(spark, sf, "orders").select(k, tx.human_bytes(size).alias("size"), tx.is_vessel_id((k + 199990000).cast("string")).alias("vessel"))
 
 
 @query("p18_mojibake", r"SELECT doc_id FROM documents WHERE NOT regexp_matches(coalesce(text, ''), '[\x{0400}-\x{04FF}]')")
@@ -208,10 +211,12 @@ def intervals(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", F.date_format(F.col("o_orderdate").cast("timestamp_ntz") - back, "yyyy-MM-dd HH").alias("since"))
 
 
-@query("f44_stable_names", "SELECT p_partkey, upper(p_brand) AS name FROM part")
+@query("f44_stable_names", "SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN upper(p_brand) WHEN 1 THEN upper(p_brand) WHEN 2 THEN (p_size * 2) || '%' ELSE upper(p_brand) || p_size END AS name FROM part")
 def stable_names(spark, sf):
-    """Names that carry a load share go without it."""
-    return table(spark, sf, "part").select("p_partkey", tx.without_share(F.concat(F.lower("p_brand"), F.lit(" "), (F.col("p_size") * 2).cast("string"), F.lit("%"))).alias("name"))
+    """Names that end in a load share go without it; a name that is only a share stays, and so do bare figures."""
+    k, share = F.col("p_partkey") % 4, F.concat((F.col("p_size") * 2).cast("string"), F.lit("%"))
+    name = F.when(k == 0, F.concat(F.lower("p_brand"), F.lit(" -"), share)).when(k == 1, F.concat("p_brand", F.lit("_"), share, F.lit(" "))).when(k == 2, share).otherwise(F.concat("p_brand", F.col("p_size").cast("string")))
+    return table(spark, sf, "part").select("p_partkey", tx.without_share(name).alias("name"))
 
 
 @query("p7_scalar_or_list", "SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 0 WHEN c_custkey % 3 = 1 THEN 1 ELSE 2 END::INT AS n, CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment END AS first FROM customer")

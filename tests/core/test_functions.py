@@ -16,7 +16,7 @@ def one(spark, **cols):
 
 def test_roc_and_periods(spark):
     r = one(
-        spark, a=tu.roc_date(F.lit("113.05.02")), b=tu.roc_date(F.lit("1130502")), c=tu.roc_date(F.lit("99/1/3")), d=tu.roc_date(F.lit("junk")), e=tu.roc_year_month(F.lit("11305")), f=tu.roc_year_month(F.lit("202405")),
+        spark, a=tu.roc_date(F.lit("113.05.02")), b=tu.roc_date(F.lit("1130502")), c=tu.roc_date(F.lit("99/1/3")), d=tu.roc_date(F.lit("junk")), e=tu.roc_year_month(F.lit("11305")), f=tu.roc_year_month(F.lit(" 011305")),
         g=tu.roc_year_month(F.lit("11313")), h=tu.clock_seconds(F.lit("00:30"), F.lit(80000)), i=tu.period_end(F.lit("2023-12-20").cast("date"), F.lit(1), F.lit(5)),
     )
     assert tuple(r) == (date(2024, 5, 2), date(2024, 5, 2), date(2010, 1, 3), None, date(2024, 5, 1), date(2024, 5, 1), None, 88200, date(2024, 1, 5))
@@ -46,12 +46,12 @@ def test_simhash(spark, text):
 def test_text(spark):
     link = "https://n.example/rss/articles/" + base64.urlsafe_b64encode(b"\x08\x13\x22\x1fhttps://a.example/b?c=1\xd2\x01\x00").decode().rstrip("=")
     r = one(
-        spark, url=tx.normal_url(F.lit("HTTPS://Www.Example.com/A/b/?utm_source=x&id=3&FBCLID=1#f")), none=tx.normal_url(F.lit("not a url")), red=tx.redirect_target(F.lit(link)), title=tx.clean_title(F.lit("[Live] Heavy Rain! - Daily News")),
+        spark, url=tx.normal_url(F.lit("HTTPS://Www.Example.com/A/b/?utm_source=x&id=3&FBCLID=1#f")), none=tx.normal_url(F.lit("not a url")), red=tx.redirect_target(F.lit(link)), title=tx.clean_title(F.lit("[Live] 台北 Heavy_Rain! — Daily News")),
         num=tx.number(F.lit("1,234.5%")), no=tx.number(F.lit("休市")), signed=tx.to_signed(F.lit("18446744073709551615").cast("decimal(20,0)")), unsigned=tx.to_unsigned(F.lit(-1).cast("long")).cast("string"), moji=tx.is_mojibake(F.lit("ok"), F.lit("Рђ")), toks=tx.tokens(F.lit(" 台北市、 新北市 /;桃園市")),
-        km=tx.kilometre(F.lit("12K+345")), km2=tx.kilometre(F.lit("7.5K")), rank=tx.intensity_rank(F.lit("5強")), cnt=tx.report_count(F.lit("saw 12 ships"), "(\\d+) ships"), cnt2=tx.report_count(F.lit("saw none"), "(\\d+) ships"), b=tx.human_bytes(F.lit(1536)), html=tx.strip_html(F.lit("<p>a&nbsp;<b>b</b></p><script>x</script>")),
+        km=tx.kilometre(F.lit("12K+345")), km2=tx.kilometre(F.lit("7.5K")), road=tx.road_name(F.lit(" 省道台十七甲線")), way=tx.road_direction(F.lit(" 北向")), day=tu.roc_year_month(F.lit("1130712")), rank=tx.intensity_rank(F.lit("5強")), cnt=tx.report_count(F.lit("saw 12 ships"), "(\\d+) ships"), cnt2=tx.report_count(F.lit("saw none"), "(\\d+) ships"), b=tx.human_bytes(F.lit(1536)), html=tx.strip_html(F.lit("<p>a&nbsp;<b>b</b></p><script>x</script>")),
         share=tx.without_share(F.lit("Buoy 7 45%")), lab=tx.labelled(F.lit("9"), {"1": "one"}, "other"),
     )
-    assert tuple(r) == ("https://www.example.com/A/b?id=3", None, "https://a.example/b?c=1", "heavyrain", 1234.5, None, -1, "18446744073709551615", True, ["台北市", "新北市", "桃園市"], 12.345, 7.5, 6, 12, None, "1.5 KB", "a b", "BUOY 7", "other")
+    assert tuple(r) == ("https://www.example.com/A/b?id=3", None, "https://a.example/b?c=1", "live臺北heavyrain", 1234.5, None, -1, "18446744073709551615", True, ["台北市", "新北市", "桃園市"], 12.345, None, "省道台107甲", "N", date(2024, 7, 12), 6, 12, None, "1.5 KB", "a b", "BUOY 7", "other")
 
 
 def test_geometry(spark):
