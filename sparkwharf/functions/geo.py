@@ -160,3 +160,34 @@ def inertial_to_geodetic(x: Column, y: Column, z: Column, julian_day: Column) ->
     r = F.sqrt(x * x + y * y + z * z)
     lng = F.pmod(F.degrees(F.atan2(y, x) - sidereal) + 180, F.lit(360.0)) - 180
     return F.struct(F.degrees(F.asin(z / r)).alias("lat"), lng.alias("lng"), (r - EARTH_KM).alias("alt_km"))
+
+
+class TransverseMercator:
+    """A zone of the transverse Mercator projection as expressions, by Krüger's series to the fourth order of the third flattening."""
+
+    def __init__(self, meridian: float, scale: float = 0.9999, false_east: float = 250_000.0, false_north: float = 0.0, axis: float = 6378137.0, flattening: float = 1 / 298.257222101):
+        n = flattening / (2 - flattening)
+        self.meridian, self.false_east, self.false_north, self.n = meridian, false_east, false_north, n
+        self.radius = scale * axis / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+        self.ahead = (n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16 + 41 * n**4 / 180, 13 * n**2 / 48 - 3 * n**3 / 5 + 557 * n**4 / 1440, 61 * n**3 / 240 - 103 * n**4 / 140, 49561 * n**4 / 161280)
+        self.back = (n / 2 - 2 * n**2 / 3 + 37 * n**3 / 96 - n**4 / 360, n**2 / 48 + n**3 / 15 - 437 * n**4 / 1440, 17 * n**3 / 480 - 37 * n**4 / 840, 4397 * n**4 / 161280)
+        self.latitude = (2 * n - 2 * n**2 / 3 - 2 * n**3 + 116 * n**4 / 45, 7 * n**2 / 3 - 8 * n**3 / 5 - 227 * n**4 / 45, 56 * n**3 / 15 - 136 * n**4 / 35, 4279 * n**4 / 630)
+
+    def forward(self, lng: Column, lat: Column) -> Column:
+        """struct<x, y> in metres."""
+        e = 2 * self.n**0.5 / (1 + self.n)
+        s, d = F.sin(F.radians(lat)), F.radians(lng - self.meridian)
+        t = F.sinh(F.atanh(s) - F.lit(e) * F.atanh(F.lit(e) * s))
+        xi, eta = F.atan2(t, F.cos(d)), F.atanh(F.sin(d) / F.sqrt(1 + t * t))
+        east = eta + sum((F.lit(a) * F.cos(xi * (2 * j)) * F.sinh(eta * (2 * j)) for j, a in enumerate(self.ahead, 1)), F.lit(0.0))
+        north = xi + sum((F.lit(a) * F.sin(xi * (2 * j)) * F.cosh(eta * (2 * j)) for j, a in enumerate(self.ahead, 1)), F.lit(0.0))
+        return F.struct((east * self.radius + self.false_east).alias("x"), (north * self.radius + self.false_north).alias("y"))
+
+    def inverse(self, x: Column, y: Column) -> Column:
+        """struct<lng, lat> in degrees."""
+        xi, eta = (y - self.false_north) / self.radius, (x - self.false_east) / self.radius
+        north = xi - sum((F.lit(b) * F.sin(xi * (2 * j)) * F.cosh(eta * (2 * j)) for j, b in enumerate(self.back, 1)), F.lit(0.0))
+        east = eta - sum((F.lit(b) * F.cos(xi * (2 * j)) * F.sinh(eta * (2 * j)) for j, b in enumerate(self.back, 1)), F.lit(0.0))
+        chi = F.asin(F.sin(north) / F.cosh(east))
+        lat = chi + sum((F.lit(d) * F.sin(chi * (2 * j)) for j, d in enumerate(self.latitude, 1)), F.lit(0.0))
+        return F.struct((F.degrees(F.atan2(F.sinh(east), F.cos(north))) + self.meridian).alias("lng"), F.degrees(lat).alias("lat"))
