@@ -201,16 +201,6 @@ def storm_points(spark, sf):
     return files.storm_points(table(spark, sf, "nation").select(F.col("n_name").alias("storm"), points.alias("points"))).select("storm", "hour", "kind")
 
 
-@query("s16_s28_raster_slices", """
-WITH l AS (SELECT s_suppkey, CASE WHEN s_suppkey % 2 = 0 THEN 'PM25' ELSE 'TEMP' END AS variable, lead, unnest([0, 1, 2]) AS cell, unnest([lead * 0.5, s_suppkey * 1.0, 2.0]) AS value FROM supplier, (VALUES (0), (6)) v(lead))
-SELECT variable, lead::INT AS lead, cell::INT AS cell, round(sum(value * CASE WHEN variable = 'PM25' THEN 1e9 ELSE 1 END), 3)::DOUBLE AS total FROM l GROUP BY ALL""")
-def raster_slices(spark, sf):
-    k = F.col("s_suppkey").cast("double")
-    values = F.array(*[F.array(F.lit(lead * 0.5), k, F.lit(2.0)) for lead in (0, 6)])
-    f = table(spark, sf, "supplier").select(F.when(F.col("s_suppkey") % 2 == 0, "PM25").otherwise("TEMP").alias("variable"), F.array(F.lit(0), F.lit(6)).alias("leads"), values.alias("values"))
-    return files.raster_slices(f, {"PM25": 1e9}).groupBy("variable", "lead", "cell").agg(F.round(F.sum("value"), 3).alias("total"))
-
-
 @query("k19_k22_arrow_export", "SELECT c_custkey, c_mktsegment FROM customer")
 def arrow_export(spark, sf):
     """Written as Arrow files, counted back against what was sent, and read again."""

@@ -88,7 +88,7 @@ def text_grid(spark: SparkSession, path: str, south: float, west: float, step: f
     return cells.filter(F.col("value") > valid_above).select("_file", "r", "c", F.round(F.lit(south) + F.col("r") * step, 4).alias("lat"), F.round(F.lit(west) + F.col("c") * step, 4).alias("lng"), "value")
 
 
-def binary_files(spark: SparkSession, path: str) -> DataFrame:
+def binary_files(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``path, content`` of files."""
     return spark.read.format("binaryFile").load(path).select("path", "content")
 
@@ -171,13 +171,6 @@ def storm_points(advisories: DataFrame) -> DataFrame:
     return p.withColumn("kind", F.when(F.col("hour") == 0, "observed").otherwise("forecast"))
 
 
-def raster_slices(fields: DataFrame, scale: dict[str, float]) -> DataFrame:
-    """Variables by lead time: ``fields(variable, leads array<int>, values array<array<double>>)`` to one row per cell, scaled by variable."""
-    rates = F.create_map(*[F.lit(x) for kv in scale.items() for x in kv]) if scale else None
-    f = fields.select("variable", F.explode(F.arrays_zip("leads", "values")).alias("s")).select("variable", F.col("s.leads").alias("lead"), F.posexplode("s.values").alias("cell", "value"))
-    return f if rates is None else f.withColumn("value", F.col("value") * F.coalesce(F.try_element_at(rates, F.col("variable")), F.lit(1.0)))
-
-
 def html_main(rows: DataFrame, html: str, container: str, name: str) -> DataFrame:
     """``rows`` with the inner HTML of the first div of a class, up to the end tag that closes it; null without one."""
     opened = re.compile(rf'<div\b[^>]*\bclass="(?:[^"]*\s)?{re.escape(container)}(?:\s[^"]*)?"[^>]*>', re.I)
