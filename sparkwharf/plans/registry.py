@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sparkwharf.plans import aggregates, feeds, formats, functions, gridded, health, history, joins, modes, positions, shapes, upkeep  # noqa: F401
+from sparkwharf.plans import aggregates, endpoints, feeds, formats, functions, gridded, health, history, joins, modes, positions, shapes, upkeep  # noqa: F401
 from sparkwharf.plans.register import QUERIES, SQL, query, table
 
 FLAGSHIP = "g1_trail_day"
