@@ -95,9 +95,9 @@ def temperature_frames(spark, sf):
 
 
 @query("d4_trip_legs", """
-WITH e AS (SELECT user_id AS entity, (epoch_us(ts) + 500000) // 1000000 AS at FROM events), g AS (SELECT *, CASE WHEN at - lag(at) OVER w > 3600 THEN 1 ELSE 0 END AS cut FROM e WINDOW w AS (PARTITION BY entity ORDER BY at)),
-l AS (SELECT *, sum(cut) OVER (PARTITION BY entity ORDER BY at) AS leg FROM g)
-SELECT entity, leg::INT AS leg, min(at) AS first, max(at) AS last, count(*)::INT AS points FROM l GROUP BY 1, 2""")
+WITH e AS (SELECT user_id AS entity, (epoch_us(ts) + 500000) // 1000000 AS t FROM events), g AS (SELECT *, CASE WHEN t - lag(t) OVER w > 3600 THEN 1 ELSE 0 END AS cut FROM e WINDOW w AS (PARTITION BY entity ORDER BY t)),
+l AS (SELECT *, sum(cut) OVER (PARTITION BY entity ORDER BY t) AS leg FROM g)
+SELECT entity, leg::INT AS leg, min(t) AS first, max(t) AS last, count(*)::INT AS points FROM l GROUP BY 1, 2""")
 def trip_legs(spark, sf):
     """A table function in Python over partitioned, sorted input, called from SQL; a gap of an hour."""
     endpoints.register(spark, {})
