@@ -33,14 +33,35 @@ class Memo(dict):
         found = self.old.get(key)
         if found is None:
             found = self.make(key)
+        self.keep(key, found)
+        return found
+
+    def keep(self, key: str, found) -> None:
         if len(key) <= self.LONGEST:
-            # a dictionary slot is about 80 bytes, a number in a tuple 32
-            self.held += 80 + sys.getsizeof(key) + sys.getsizeof(found) + (32 * len(found) if isinstance(found, tuple) else 0)
+            # a dictionary slot is about 80 bytes, a number in a tuple 32; all empty tuples are one
+            self.held += 80 + sys.getsizeof(key) + (sys.getsizeof(found) + (32 * len(found) if isinstance(found, tuple) else 0) if found != () else 0)
             if self.held > self.LIMIT // 2:
                 self.old, self.held = dict(self), 0
                 self.clear()
             self[key] = found
-        return found
+
+    def known(self, keys: set[str], make: Callable[[list[str]], list]) -> dict:
+        """The results of all keys, those that are missing made together."""
+        young = self.keys() & keys
+        out = dict(zip(young, map(self.__getitem__, young), strict=True))
+        rest = keys - young
+        again = self.old.keys() & rest
+        fresh = dict(zip(again, map(self.old.__getitem__, again), strict=True))
+        missing = list(rest - again)
+        fresh.update(zip(missing, make(missing), strict=True))
+        out.update(fresh)
+        fresh = {k: v for k, v in fresh.items() if len(k) <= self.LONGEST}
+        self.held += 80 * len(fresh) + sum(map(sys.getsizeof, fresh)) + sum(sys.getsizeof(v) + 32 * len(v) for v in filter(None, fresh.values()))
+        self.update(fresh)
+        if self.held > self.LIMIT // 2:
+            self.old, self.held = dict(self), 0
+            self.clear()
+        return out
 
     def of(self, keys: Iterable[str]) -> Iterator:
         """No result may be None."""

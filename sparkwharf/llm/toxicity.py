@@ -25,6 +25,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -147,37 +148,113 @@ class Restorer:
         return found
 
 
+def _crc_table() -> np.ndarray:
+    table = np.arange(256, dtype=np.uint32)
+    for _ in range(8):
+        table = np.where(table & 1, np.uint32(0xEDB88320) ^ (table >> 1), table >> 1).astype(np.uint32)
+    return table
+
+
+_CRC = _crc_table()
+
+
+def gram_buckets(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Of words in UTF-8, their grams' buckets and whose they are: the CRC-32 of each, carried on over all places at once."""
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    data = np.frombuffer(b"".join(words), np.uint8)
+    starts = np.flatnonzero((data & 0xC0) != 0x80)
+    owner = np.repeat(np.arange(len(words)), sizes)[starts]
+    chars = np.bincount(owner, minlength=len(words))
+    left = np.repeat(np.cumsum(chars), chars) - np.arange(len(starts))  # characters from each to its word's end
+    ends = np.append(starts, np.full(GRAMS[-1], len(data)))
+    state, at, found, whose = np.full(len(starts), 0xFFFFFFFF, np.uint32), starts, [], []
+    for k in range(1, GRAMS[-1] + 1):
+        size = np.where(left >= k, ends[k : k + len(starts)] - at, 0)  # bytes of the k-th character
+        for t in range(int(size.max(initial=0))):
+            more = size > t
+            if more.all():
+                state = _CRC[(state ^ data[at + t]) & 255] ^ (state >> np.uint32(8))
+            else:
+                part = state[more]
+                state[more] = _CRC[(part ^ data[at[more] + t]) & 255] ^ (part >> np.uint32(8))
+        at = at + size
+        if k in GRAMS:
+            inside = left >= k
+            found.append((~state[inside]) % np.uint32(BUCKETS))
+            whose.append(owner[inside])
+    return np.concatenate(found).astype(np.int64), np.concatenate(whose)
+
+
+def doubled(words: list[str]) -> np.ndarray:
+    """How often each word has one character twice in a row."""
+    codes = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
+    owner = np.repeat(np.arange(len(words)), np.fromiter(map(len, words), np.int64, len(words)))
+    same = (codes[1:] == codes[:-1]) & (owner[1:] == owner[:-1])
+    return np.bincount(owner[1:][same], minlength=len(words))
+
+
 class Features:
-    """The feature buckets of texts; ``keep`` maps buckets to features, others vanish. Words are remembered under ``name``."""
+    """The feature buckets of texts; ``keep`` maps buckets to features, others vanish. Words are remembered under ``name``.
+
+    Words that a batch of texts brings anew are worked out together.
+    """
+
+    #: Texts worked on together.
+    TOGETHER = 256
 
     def __init__(self, cost: np.ndarray, keep: np.ndarray | None = None, name: str = ""):
         self.restorer, self.memo = Restorer(cost), worker_memo(("toxic", name or uuid.uuid4().hex), lambda: self._of)
-        self.keep = None if keep is None else {int(b): i for i, b in enumerate(keep)}
-        self.kept = None if keep is None else set(self.keep)
+        self.place = None
+        if keep is not None:
+            self.place = np.full(BUCKETS, -1, np.int64)
+            self.place[keep] = np.arange(len(keep))
 
     def _of(self, word: str) -> tuple[int, ...]:
-        found, crc = set(), zlib.crc32
-        for w in self.restorer.word(word):
-            padded = f"^{w}$"
-            if padded.isascii():  # its characters are bytes
-                coded, n = padded.encode(), len(padded)
-                found.add(crc(coded) % BUCKETS)
-                found.update([crc(coded[i : i + k]) % BUCKETS for k in GRAMS for i in range(n - k + 1)])
-            else:
-                grams = {padded[i : i + k] for k in (len(padded), *GRAMS) for i in range(len(padded) - k + 1)}
-                found.update([crc(g.encode("utf-8", "surrogatepass")) % BUCKETS for g in grams])
-        return tuple(found) if self.keep is None else tuple([self.keep[b] for b in found & self.kept])
+        return self._many([word])[0]
+
+    def _many(self, words: list[str]) -> list[tuple[int, ...]]:
+        """The features of each word: those of all its readings."""
+        padded, whose = [], []
+        for i, (word, pairs) in enumerate(zip(words, doubled(words).tolist(), strict=True)):
+            # a plain word needs two pairs at least for what the channel does by repetition
+            for w in [word] if pairs < 2 and word.isalpha() else self.restorer.word(word):
+                padded.append(f"^{w}$".encode("utf-8", "surrogatepass"))
+                whose.append(i)
+        if not padded:
+            return [()] * len(words)
+        whose = np.array(whose)
+        part, of = gram_buckets(padded)
+        whole = np.fromiter(map(zlib.crc32, padded), np.int64, len(padded)) % BUCKETS
+        buckets, owner = np.concatenate([part, whole]), np.concatenate([whose[of], whose])
+        if self.place is not None:
+            features = self.place[buckets]
+            owner, buckets = owner[features >= 0], features[features >= 0]
+        out: list[tuple[int, ...]] = [()] * len(words)
+        if len(owner):
+            both = np.unique(owner * BUCKETS + buckets)
+            owner, buckets = both // BUCKETS, both % BUCKETS
+            first = np.flatnonzero(np.diff(owner, prepend=-1))
+            for i, part in zip(owner[first].tolist(), np.split(buckets, first[1:]), strict=True):
+                out[i] = tuple(part.tolist())
+        return out
 
-    def text(self, text: str | None) -> np.ndarray:
+    def _words(self, text: str | None) -> set[str]:
         text = (text or "").lower()
         words = set(text.split())
         if _SPACED.search(text):
             words.update(self.restorer.spaced(text))
-        found = set()
-        for f in self.memo.of(words):
-            if f:
-                found.update(f)
-        return np.fromiter(found, np.int32, len(found))
+        return words
+
+    def texts(self, texts: Iterator[str | None]) -> Iterator[np.ndarray]:
+        while some := list(islice(texts, self.TOGETHER)):
+            words = [self._words(t) for t in some]
+            known = self.memo.known(set().union(*words), self._many)
+            for own in words:
+                found = set()
+                for f in map(known.__getitem__, own):
+                    if f:
+                        found.update(f)
+                yield np.fromiter(found, np.int32, len(found))
 
 
 def fit_logistic(rows: list[np.ndarray], labels: np.ndarray, n: int, l2: float = 0.2, rounds: int = 600) -> np.ndarray:
@@ -209,7 +286,7 @@ class Model:
         self.cost, self.keep, self.weights = cost, keep, weights
 
     def scores(self, texts: Iterator[str | None], features: Features) -> np.ndarray:
-        z = np.array([self.weights[features.text(t)].sum() + self.weights[-1] for t in texts], np.float64)
+        z = np.array([self.weights[f].sum() + self.weights[-1] for f in features.texts(texts)], np.float64)
         return 1 / (1 + np.exp(-np.clip(z, -50, 50)))
 
 
@@ -225,7 +302,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     def buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features(shared.value)
         for batch in batches:
-            rows = [features.text(t.as_py()) for t in batch.column("text")]
+            rows = list(features.texts(t.as_py() for t in batch.column("text")))
             yield pa.RecordBatch.from_arrays([batch.column("k"), batch.column("y"), pa.array(rows, pa.list_(pa.int32()))], ["k", "y", "f"])
 
     joined = docs.join(sample, F.col(id_col) == F.col("_id"))

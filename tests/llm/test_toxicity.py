@@ -91,3 +91,32 @@ def test_held_out_labels_are_not_read(spark):
     flipped = marks.withColumn("toxic", F.when(flip, 1 - F.col("toxic")).otherwise(F.col("toxic")))
     a, b = m.train(docs, marks), m.train(docs, flipped)
     assert np.array_equal(a.keep, b.keep) and np.allclose(a.weights, b.weights)
+
+
+def test_grams_and_pairs_of_many_words():
+    """Worked out together, words have the buckets of each gram's own CRC-32, whatever their letters."""
+    import random
+    import zlib
+
+    rng = random.Random(2)
+    words = ["^a$", "^$", "", "^" + "x" * 70 + "$"] + ["^" + "".join(rng.choice("abcß你\U0001f600é1$") for _ in range(rng.randint(0, 12))) + "$" for _ in range(200)]
+    bucket, owner = m.gram_buckets([w.encode() for w in words])
+    got = sorted(zip(owner.tolist(), bucket.tolist(), strict=True))
+    assert got == sorted((i, zlib.crc32(w[j : j + k].encode()) % m.BUCKETS) for i, w in enumerate(words) for k in m.GRAMS for j in range(len(w) - k + 1))
+    assert m.doubled(["aabb", "", "aaa", "ab", "ab", "\U0001f600\U0001f600x"]).tolist() == [2, 0, 2, 0, 0, 1]
+
+
+def test_words_together_equal_words_alone():
+    import random
+
+    rng = random.Random(3)
+    cost = m.costs(m.trigram_counts("the idiot and the fool said hello to all of you " * 9).reshape(m.SYMBOLS, m.SYMBOLS, m.SYMBOLS))
+    words = ["".join(rng.choice("idiotfl0!1$eéß你 .") for _ in range(rng.randint(1, 9))) for _ in range(400)] + ["hello", "iddiioot", "i.d.i.o.t", "fool!", "aaa", ""]
+    for keep in (None, __import__("numpy").arange(0, m.BUCKETS, 3)):
+        f = m.Features(cost, keep)
+        together = f._many(words)
+        assert [set(x) for x in together] == [set(f._of(w)) for w in words]
+        texts = [" ".join(rng.sample(words, 30)) for _ in range(600)] + [None, ""]
+        f.memo.LIMIT = 4000
+        want = [set().union(*[f._of(w) for w in f._words(t)]) for t in texts]
+        assert [set(x.tolist()) for x in f.texts(iter(texts))] == want
