@@ -6,12 +6,13 @@ Files go below the session's shared folder. Rendered files hold a bounded number
 from __future__ import annotations
 
 import io
+import json
 import tarfile
 import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkwharf.functions import text as tx
@@ -68,20 +69,45 @@ def json_arrays(spark, sf):
     return files.json_arrays(spark, path, "s_suppkey long, s_name string, s_nationkey long").drop("_file", "bucket")
 
 
-def page_of_numbers(key: str, offset: int, size: int) -> list[dict]:
-    """A page of a made-up feed: numbers by city; one city's server fails."""
-    if key == "down":
-        raise ConnectionError("no answer")
-    return [{"city": key, "n": n} for n in range(offset, min(offset + size, 250))]
+#: Rows of a stored page, which is not that of a fetched one.
+STORED = 400
+
+
+def stored_feed(spark, sf) -> tuple[str, int]:
+    """A server's pages: the events of each type by number, as JSON lines; and how many the largest type has."""
+    numbered = table(spark, sf, "events").select(F.col("event_type").alias("key"), "event_id", F.row_number().over(Window.partitionBy("event_type").orderBy("event_id")).alias("i"))
+    path = folder(spark, "pages")
+    rows = numbered.withColumn("from", F.floor((F.col("i") - 1) / STORED) * STORED).select("key", "from", "event_id")
+    # a page is one file, in order
+    rows.repartition("key", "from").sortWithinPartitions("key", "from", "event_id").write.partitionBy("key", "from").json(path)
+    return path, numbered.agg(F.max("i")).first()[0]
 
 
 @query("s1_s3_s4_paged", """
-SELECT city, n, NULL::VARCHAR AS error FROM (VALUES ('a'), ('b')) v(city), range(250) r(n) UNION ALL SELECT 'down', NULL, 'ConnectionError: no answer' FROM range(3)""")
+WITH n AS (SELECT CAST(ceil(max(c) / 300.0) AS BIGINT) AS pages FROM (SELECT count(*) AS c FROM events GROUP BY event_type))
+SELECT event_type AS city, event_id, false AS failed FROM events UNION ALL SELECT 'closed', NULL, true FROM n, unnest(range(pages)) r(i)""")
 def paged_feed(spark, sf):
-    """Three pages of each of three cities, fetched in parallel; the failing city's pages are rows with an error."""
+    """Pages of each type, fetched in parallel; one whose server has nothing fails by itself, a row a page."""
+    path, most = stored_feed(spark, sf)
+    spark.dataSource.register(paged.PagedSource)
+    keys = [r["event_type"] for r in table(spark, sf, "events").select("event_type").distinct().collect()]  # the types of events
+    options = {"keys": json.dumps([*keys, "closed"]), "pagesize": "300", "total": str(most), "fetch": "sparkwharf.sources.paged.stored_page", "folder": path}
+    raw = spark.read.format("paged").options(**options).load()
+    return raw.select(F.col("key").alias("city"), F.get_json_object("row", "$.event_id").cast("long").alias("event_id"), F.col("error").isNotNull().alias("failed"))
+
+
+@query("s1_t16_polled", "SELECT event_type AS key, event_id FROM events")
+def polled_feed(spark, sf):
+    """The same pages as a stream that polls, a few pages a batch, into a table; every row once."""
+    path, _ = stored_feed(spark, sf)
     spark.dataSource.register(paged.PagedSource)
-    raw = spark.read.format("paged").options(keys='["a", "b", "down"]', pagesize="100", total="250", fetch="sparkwharf.plans.formats.page_of_numbers").load()
-    return raw.select(F.coalesce(F.get_json_object("row", "$.city"), "key").alias("city"), F.get_json_object("row", "$.n").cast("long").alias("n"), "error")
+    keys = [r["event_type"] for r in table(spark, sf, "events").select("event_type").distinct().collect()]
+    options = {"keys": json.dumps(keys), "pagesize": "500", "limit": "40", "fetch": "sparkwharf.sources.paged.stored_page", "upto": "sparkwharf.sources.paged.stored_count", "folder": path}
+    polled, marks = folder(spark, "polled"), folder(spark, "polled-marks")
+    rows = spark.readStream.format("paged").options(**options).load().select("key", F.get_json_object("row", "$.event_id").cast("long").alias("event_id"))
+    running = rows.writeStream.format("parquet").option("checkpointLocation", marks).trigger(availableNow=True).start(polled)
+    running.awaitTermination()
+    return spark.read.schema("key string, event_id long").parquet(polled)
 
 
 @query("s5_csv_positional", "SELECT c_custkey, c_mktsegment, CAST(round(c_acctbal * 100) AS BIGINT) AS cents FROM customer")

@@ -10,6 +10,7 @@ from sparkwharf.operators import outline
 from sparkwharf.operators import write_modes as wm
 from sparkwharf.plans.register import query, table
 from sparkwharf.sources.shared import folder
+from sparkwharf.streaming.dead_letters import DeadLetters
 
 
 def _ntz(text: str):
@@ -192,6 +193,27 @@ def catalog_scan(spark, sf):
     return spark.createDataFrame(rows, "name string, time_column string").filter(~F.col("name").rlike(r"_p\d{4}_\d{2}$"))
 
 
+@query("t17_k18_replayed", "SELECT o_orderkey, year(o_orderdate) AS year FROM orders WHERE year(o_orderdate) <> 1996")
+def replayed(spark, sf):
+    """Orders come as a batch a year; the sink refuses every other one, which is queued and replayed later. One year is too old by then."""
+    o = table(spark, sf, "orders").select("o_orderkey", F.year("o_orderdate").alias("year"))
+    path, refused = folder(spark, "replayed"), {1996, 1998, 2000}
+
+    def write(batch, year):
+        if year in refused:
+            raise ConnectionError("the table is locked")
+        batch.write.mode("overwrite").parquet(f"{path}/batch={year}")
+
+    letters, clock = DeadLetters(spark, folder(spark, "dead-letters"), days=3 * 366), {}
+    body = letters.guarded("orders", write, lambda: clock["year"] * 366 * 86400.0)
+    for r in o.select("year").distinct().orderBy("year").collect():  # a row a year
+        clock["year"] = r["year"]
+        body(o.filter(F.col("year") == r["year"]), r["year"])
+    refused.clear()
+    letters.replay({"orders": write}, 2000 * 366 * 86400.0)
+    return spark.read.schema("o_orderkey long, year int").parquet(path).drop("batch")
+
+
 @query("f41_recent_window", "SELECT event_id, ts >= TIMESTAMP '2024-01-30' - to_hours(CAST(event_id % 480 AS INTEGER)) AS recent FROM events")
 def recent_window(spark, sf):
     window = F.make_dt_interval(F.lit(0), (F.col("event_id") % 480).cast("int"))

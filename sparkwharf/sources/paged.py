@@ -1,37 +1,46 @@
-"""A Python data source over pages: one input partition a page (or city), errors kept apart as rows.
+"""Python data sources over pages: one input partition a page, errors kept apart as rows; in batch and as a polled stream.
 
-``fetch`` is named by module and function, so that tests and deployments bring their own transport.
+``fetch`` is named by module and function, so that tests and deployments bring their own transport; it is called as
+``fetch(key, offset, size)`` with the source's other options by name, and gives a page's rows as dictionaries.
+
+As a stream, an offset is the number of rows of each key that have been taken. Spark logs it before a batch runs, so a batch
+that fails is asked for again with the same pages, and nothing is skipped or taken twice. ``upto`` names a function that tells
+how many rows a key has by now, and ``limit`` bounds the pages of one batch.
 """
 
 from __future__ import annotations
 
 import importlib
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+
+from pyarrow import fs
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+_OWN = {"keys", "pagesize", "total", "fetch", "upto", "limit"}
 
 
 class Page(InputPartition):
-    def __init__(self, key: str, offset: int):
+    def __init__(self, key: str, offset: int, size: int):
         super().__init__(offset)
-        self.key, self.offset = key, offset
+        self.key, self.offset, self.size = key, offset, size
 
 
-class PagedReader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.options = options
+def _named(path: str) -> Callable:
+    module, _, name = path.rpartition(".")
+    return getattr(importlib.import_module(module), name)  # a missing function is the job's fault, not a page's
 
-    def partitions(self) -> list[Page]:
-        keys = json.loads(self.options.get("keys", '[""]'))
-        size, total = int(self.options.get("pagesize", 1000)), int(self.options.get("total", 1))
-        return [Page(k, at) for k in keys for at in range(0, max(total, 1), size)]
+
+class _Pages:
+    def __init__(self, options: dict):
+        self.options = dict(options)
+        self.keys, self.size = json.loads(options.get("keys", '[""]')), int(options.get("pagesize", 1000))
+        self.more = {k: v for k, v in self.options.items() if k not in _OWN}
 
     def read(self, page: Page) -> Iterator[tuple]:
-        module, _, name = self.options["fetch"].rpartition(".")
-        fetch = getattr(importlib.import_module(module), name)  # a missing fetch is the job's fault, not a page's
+        fetch = _named(self.options["fetch"])
         try:
-            rows = fetch(page.key, page.offset, int(self.options.get("pagesize", 1000)))
+            rows = fetch(page.key, page.offset, page.size, **self.more)
         except Exception as e:  # one page's failure is a row, the others go on
             yield page.key, page.offset, None, f"{type(e).__name__}: {e}"
             return
@@ -39,6 +48,40 @@ class PagedReader(DataSourceReader):
             yield page.key, page.offset, json.dumps(r, ensure_ascii=False), None
 
 
+class PagedReader(_Pages, DataSourceReader):
+    def partitions(self) -> list[Page]:
+        total = int(self.options.get("total", 1))
+        return [Page(k, at, self.size) for k in self.keys for at in range(0, max(total, 1), self.size)]
+
+
+class PolledReader(_Pages, DataSourceStreamReader):
+    def __init__(self, options: dict):
+        super().__init__(options)
+        self.at: dict | None = None  # what is taken, as far as this reader was told
+
+    def initialOffset(self) -> dict:
+        return dict.fromkeys(self.keys, 0)
+
+    def latestOffset(self) -> dict:
+        upto = _named(self.options["upto"])
+        there = {k: int(upto(k, **self.more)) for k in self.keys}
+        if self.at is None:  # not told yet: all there is, as a smaller offset than the logged one would go back
+            return there
+        left, out = int(self.options.get("limit", 1 << 30)), {}
+        for k in self.keys:
+            pages = min(left, -(-max(0, there[k] - self.at.get(k, 0)) // self.size))
+            out[k] = max(self.at.get(k, 0), min(there[k], self.at.get(k, 0) + pages * self.size))
+            left -= pages
+        return out
+
+    def partitions(self, start: dict, end: dict) -> list[Page]:
+        self.at = {k: int(end.get(k, 0)) for k in self.keys}
+        return [Page(k, at, min(self.size, end[k] - at)) for k in self.keys for at in range(int(start.get(k, 0)), int(end.get(k, 0)), self.size)]
+
+    def commit(self, end: dict) -> None:
+        self.at = {k: int(end.get(k, 0)) for k in self.keys}
+
+
 class PagedSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -49,3 +92,37 @@ class PagedSource(DataSource):
 
     def reader(self, schema) -> PagedReader:
         return PagedReader(self.options)
+
+    def streamReader(self, schema) -> PolledReader:
+        return PolledReader(self.options)
+
+
+def _lines(key: str, folder: str) -> list[tuple[int, str]]:
+    """The files of a key, ``folder/key=.../from=...``, by the number of the first row of each."""
+    store, root = fs.FileSystem.from_uri(folder)
+    found = store.get_file_info(fs.FileSelector(f"{root}/key={key}", recursive=True))
+    return sorted((int(f.path.rsplit("/from=", 1)[1].split("/")[0]), f.path) for f in found if f.is_file and f.path.endswith(".json"))
+
+
+def stored_page(key: str, offset: int, size: int, folder: str) -> list[dict]:
+    """Rows ``offset`` to ``offset + size`` of a key from JSON lines below a shared folder; a key without any is an error."""
+    store, _ = fs.FileSystem.from_uri(folder)
+    out: list[dict] = []
+    for first, path in _lines(key, folder):
+        if first < offset + size:
+            with store.open_input_stream(path) as src:
+                rows = [json.loads(x) for x in src.read().decode().splitlines()]
+            out += [r for i, r in enumerate(rows, first) if offset <= i < offset + size]
+    return out
+
+
+def stored_count(key: str, folder: str) -> int:
+    store, _ = fs.FileSystem.from_uri(folder)
+    try:
+        files = _lines(key, folder)
+    except FileNotFoundError:
+        return 0
+    if not files:
+        return 0
+    with store.open_input_stream(files[-1][1]) as src:
+        return files[-1][0] + len(src.read().decode().splitlines())
