@@ -154,6 +154,16 @@ def first_by_hash(rows: DataFrame, on: list[str], n: int, total: int) -> DataFra
     return rows.withColumn("_at", at).filter(F.col("_at") <= int(share * (1 << 30))).orderBy("_at", *on).limit(n).drop("_at")
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many marks behind it as no column of ``df`` has."""
+    out = []
+    for name in names:
+        while name in df.columns:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def with_fields(df: DataFrame, **added: str) -> T.StructType:
     """The schema of ``df`` with fields added."""
     if taken := added.keys() & set(df.columns):

@@ -9,7 +9,8 @@ touched again where a caller applies the bitmap. Everything is DataFrame code.
 Cases: a null or empty text is one empty line; lines whose key is shorter than
 ``min_key`` code points are always kept; rows that repeat both id and text count
 as one document and get the same bitmap; a null id is an id like any other, so all rows without an id count as
-one document; an empty table gives an empty result; other columns of the input are ignored.
+one document; an empty table gives an empty result; other columns are carried, whatever their names, but the
+added ones may not be there already.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sparkwharf.llm.common import MAX_HEAVY_KEYS, ascii_lower, staged
+from sparkwharf.llm.common import MAX_HEAVY_KEYS, ascii_lower, free_names, staged, with_fields
 
 #: Space and the controls from tab to carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -110,12 +111,13 @@ def kept_text(text: Column, runs: Column) -> Column:
 
 def dedup_lines(docs: DataFrame, min_docs: int = 10, min_key: int = 1, keep_first: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with columns ``_kept`` (text), ``_n_lines``, ``_n_dropped`` and ``_runs`` added; no row is dropped."""
-    maps = keep_bitmaps(docs, min_docs, min_key, keep_first, id_col, text_col)
-    maps = maps.select(F.col("id").alias("_id"), F.col("f").alias("_f"), F.col("n_lines").alias("_n_lines"), F.col("n_dropped").alias("_n_dropped"), F.col("runs").alias("_runs"))
-    joined = docs.join(maps, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(F.col(text_col)) == F.col("_f")))
+    with_fields(docs, _kept="string", _n_lines="int", _n_dropped="int", _runs="array<int>")  # refuses names that are taken
+    maps, (id_, f_) = keep_bitmaps(docs, min_docs, min_key, keep_first, id_col, text_col), free_names(docs, "_id", "_f")
+    maps = maps.select(F.col("id").alias(id_), F.col("f").alias(f_), F.col("n_lines").alias("_n_lines"), F.col("n_dropped").alias("_n_dropped"), F.col("runs").alias("_runs"))
+    joined = docs.join(maps, F.col(id_col).eqNullSafe(F.col(id_)) & (F.xxhash64(F.col(text_col)) == F.col(f_)))
     untouched = F.coalesce(F.col(text_col), F.lit(""))
     kept = F.when(F.col("_n_dropped") == 0, untouched).otherwise(kept_text(F.col(text_col), F.col("_runs")))
-    return joined.withColumn("_kept", kept).drop("_id", "_f")
+    return joined.withColumn("_kept", kept).drop(id_, f_)
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

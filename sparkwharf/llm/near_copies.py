@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparkwharf.llm.common import connected_components, join_unique, staged
+from sparkwharf.llm.common import connected_components, free_names, join_unique, staged
 from sparkwharf.llm.simhash import BITS, BLOCK, fingerprint_links
 
 SHINGLE, RADIUS = 5, 2
@@ -260,9 +260,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rooted = classes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("w").alias("w"))
     # only rows that repeat both id and text have to meet to become one
     often = sets.groupBy("id", "f").agg(F.count(F.lit(1)).alias("rows")).filter("rows > 1").select(F.col("id").alias("_id2"), F.col("f").alias("_f2"), "rows")
+    id_, f_, own, times = free_names(docs, "_id", "_f", "_f0", "rows")
     winners = rooted.select(F.col("w.id").alias("_id"), F.col("w.f").alias("_f")).join(often, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_f") == F.col("_f2")), "left")
-    winners = staged(winners.select("_id", "_f", "rows"), "copy_winners")
-    of_text = docs.withColumn("_f0", F.xxhash64(F.col(text_col)))
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_f0") == F.col("_f"))
-    kept = of_text.join(winners.filter("rows IS NULL"), same, "left_semi")
-    return kept.union(of_text.join(winners.filter("rows > 1"), same, "left_semi").dropDuplicates([id_col, "_f0"])).select(docs.columns)
+    winners = staged(winners.select(F.col("_id").alias(id_), F.col("_f").alias(f_), F.col("rows").alias(times)), "copy_winners")
+    of_text = docs.withColumn(own, F.xxhash64(F.col(text_col)))
+    same = F.col(id_col).eqNullSafe(F.col(id_)) & (F.col(own) == F.col(f_))
+    kept = of_text.join(winners.filter(F.col(times).isNull()), same, "left_semi")
+    return kept.union(of_text.join(winners.filter(F.col(times) > 1), same, "left_semi").dropDuplicates([id_col, own])).select(docs.columns)

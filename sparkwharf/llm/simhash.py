@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparkwharf.llm.common import connected_components, join_unique, staged
+from sparkwharf.llm.common import connected_components, free_names, join_unique, staged
 
 BITS = 64
 #: Larger buckets are linked through radius-1 balls.
@@ -110,10 +110,11 @@ def near_duplicates(docs: DataFrame, radius: int = 2, shingle: int = 3, id_col:
 def keep_one(docs: DataFrame, radius: int = 2, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each component: the one of the smallest id, nulls last."""
     found = near_duplicates(docs, radius, shingle, id_col, text_col)
-    first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "f")).alias("w")).select(F.col("w.id").alias("_id"), F.col("w.f").alias("_f"))
-    of_text = docs.withColumn("_f0", F.xxhash64(F.col(text_col)))
-    kept = of_text.join(staged(first, "component_winners"), F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_f0") == F.col("_f")), "left_semi")
-    return kept.dropDuplicates([id_col, "_f0"]).select(docs.columns)
+    id_, f_, own = free_names(docs, "_id", "_f", "_f0")
+    first = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("last"), "id", "f")).alias("w")).select(F.col("w.id").alias(id_), F.col("w.f").alias(f_))
+    of_text = docs.withColumn(own, F.xxhash64(F.col(text_col)))
+    kept = of_text.join(staged(first, "component_winners"), F.col(id_col).eqNullSafe(F.col(id_)) & (F.col(own) == F.col(f_)), "left_semi")
+    return kept.dropDuplicates([id_col, own]).select(docs.columns)
 
 
 def op9_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,15 +43,43 @@ from sparkwharf.llm.common import staged
 VERSION, EOL = b"WARC/1.1", b"\r\n"
 Headers = list[tuple[str, str]]
 
-_HIDDEN = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+_HIDING = re.compile(r"<(script|style|noscript|template)\b[^>]*>", re.I)
+_ENDS = {name: re.compile(rf"</{name}\s*>", re.I) for name in ("script", "style", "noscript", "template")}
 _TAG = re.compile(r"""<(/?)([a-zA-Z][\w:-]*)((?:[^<>"']|"[^"]*"|'[^']*')*+)>|<[!?][^>]*>""")
 _ATTRIBUTE = re.compile(r"""([\w:-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 _BREAKS = frozenset("address article aside blockquote br dd div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol option p pre section table td th title tr ul".split())
 _LINKS = {"a": "href", "area": "href", "link": "href", "img": "src", "script": "src", "iframe": "src", "form": "action"}
-_TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
+_TITLE, _TITLE_END = re.compile(r"<title\b[^>]*>", re.I), re.compile(r"</title\s*>", re.I)
 _CHARSET = re.compile(rb"""charset\s*=\s*["']?([\w-]+)""", re.I)
 
 
+def without_hidden(page: str, keep_tags: bool = False) -> str:
+    """A page with a space for each comment, script, style and the like (with ``keep_tags``: its first tag), in one pass forward; what never ends goes to the page's end."""
+    out, at, last = [], 0, page.rfind(">") + 1
+    tag, comment = _HIDING.search(page, 0, last), page.find("<!--")
+    while tag or comment >= 0:
+        if comment >= 0 and (tag is None or comment < tag.start()):
+            start, end, left = comment, page.find("-->", comment + 4), " "
+            end = len(page) if end < 0 else end + 3
+        else:
+            closed = _ENDS[tag[1].lower()].search(page, tag.end())
+            start, end, left = tag.start(), closed.end() if closed else len(page), tag[0] if keep_tags else " "
+        out += [page[at:start], left]
+        at = end
+        if tag and tag.start() < at:
+            tag = _HIDING.search(page, at, max(at, last))
+        if 0 <= comment < at:
+            comment = page.find("<!--", at)
+    return "".join([*out, page[at:]])
+
+
+def title_of(page: str) -> str | None:
+    """What stands in the first title, if it ends."""
+    begun = _TITLE.search(page, 0, page.rfind(">") + 1)
+    ended = _TITLE_END.search(page, begun.end()) if begun else None
+    return page[begun.end() : ended.start()] if ended else None
+
+
 def sha1(block: bytes) -> str:
     return "sha1:" + base64.b32encode(hashlib.sha1(block, usedforsecurity=False).digest()).decode()
 
@@ -155,15 +183,15 @@ def body_text(headers: Headers, body: bytes) -> str:
 
 def plain_text(page: str) -> str:
     """Visible text, a line for each block element, white space collapsed, empty lines left out."""
-    marked = _TAG.sub(lambda m: "\n" if (m[2] or "").lower() in _BREAKS else " " if m[2] is None else "", _HIDDEN.sub(" ", page).replace("\n", " "))
+    marked = _TAG.sub(lambda m: "\n" if (m[2] or "").lower() in _BREAKS else " " if m[2] is None else "", without_hidden(page).replace("\n", " "))
     lines = (" ".join(x.split()) for x in html.unescape(marked).split("\n"))
     return "\n".join(x for x in lines if x)
 
 
 def page_facts(page: str) -> dict:
     """Title, metas and links in order of appearance."""
-    seen = _HIDDEN.sub(lambda m: m[0][: m[0].index(">") + 1] if m[1] and ">" in m[0] else " ", page)
-    title, metas, links = _TITLE.search(seen), [], []
+    seen = without_hidden(page, keep_tags=True)
+    title, metas, links = title_of(seen), [], []
     for m in _TAG.finditer(seen):
         tag = (m[2] or "").lower()
         if m[1] or (tag != "meta" and tag not in _LINKS):
@@ -173,7 +201,7 @@ def page_facts(page: str) -> dict:
             metas.append(attributes)
         elif attributes.get(_LINKS[tag]):
             links.append({"path": f"{tag.upper()}@/{_LINKS[tag]}", "url": attributes[_LINKS[tag]]})
-    return {"Head": {"Title": html.unescape(" ".join(title[1].split())) if title else None, "Metas": metas}, "Links": links}
+    return {"Head": {"Title": html.unescape(" ".join(title.split())) if title is not None else None, "Metas": metas}, "Links": links}
 
 
 def derive(record: bytes | None) -> tuple[str | None, list[dict]]:

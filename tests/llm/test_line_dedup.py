@@ -58,3 +58,12 @@ def test_query_over_a_folder(spark, tmp_path):
     got = m.op10_line_dedup(spark, str(tmp_path))
     want = [(d, n, g, hashlib.sha256(t.encode()).hexdigest()) for d, n, g, t in brute(rows, 10, 1, False)]
     assert got.columns == ["doc_id", "n_lines", "n_dropped", "kept_sha256"] and sorted(map(tuple, got.collect()), key=str) == want
+
+
+def test_names_that_clash(spark):
+    rows = [(i, "same\nown %d" % i, "x", "y") for i in range(3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _id string, _f string")
+    got = m.dedup_lines(df, 3)
+    assert sorted((r["doc_id"], r["_id"], r["_f"], r["_kept"]) for r in got.collect()) == [(i, "x", "y", f"own {i}") for i in range(3)]
+    with pytest.raises(ValueError, match="_kept"):
+        m.dedup_lines(df.withColumn("_kept", F.lit(1)), 3)

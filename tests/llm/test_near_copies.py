@@ -100,3 +100,10 @@ def test_marks_differ_in_no_more_bits_than_the_sets_in_shingles():
             x, y = near_copies.marks(a), near_copies.marks(b)
             assert len(x) == near_copies.MARKS // 64
             assert sum(int(v).bit_count() for v in (x ^ y).view("<u8")) <= len(set(a.tolist()) ^ set(b.tolist()))
+
+
+def test_names_that_clash(spark):
+    text = "one text of a few words that is said twice in all"
+    rows = [(i, text, "x", "y", "z", 1) for i in range(2)] + [(7, "another text altogether that says a thing of its own", "x", "y", "z", 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _id string, _f string, _f0 string, rows int")
+    assert sorted(map(tuple, near_copies.keep_one(df).collect())) == [rows[0], rows[2]]

@@ -82,3 +82,9 @@ def test_near_duplicates(spark):
         mine = [d for d, t, _ in rows if comp[slow(t)] == comp[r.fp % 2**64] and d is not None]
         assert r.component_id == min(mine)
     assert m.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_names_that_clash(spark):
+    rows = [(i, "one text that is said twice", "x", "y", "z") for i in range(2)] + [(7, "another text altogether here", "x", "y", "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _id string, _f string, _f0 string")
+    assert sorted(map(tuple, m.keep_one(df).collect())) == [rows[0], rows[2]]

@@ -129,3 +129,31 @@ def test_query_over_a_folder(spark, tmp_path):
     strip = lambda r: r.decode().split("WARC-Date")[0]
     assert sorted(r.record_id for r in got) == sorted(x["record_id"] for d in want for x in d)
     assert sorted(r.record.split("WARC-Date")[0] for r in got) == sorted(strip(x["record"]) for d in want for x in d)
+
+
+def test_hidden_parts_and_titles_as_by_plain_patterns():
+    """The forward pass against backtracking patterns that say the same, on pages full of loose ends."""
+    import random
+    import re
+
+    hidden = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template)\b[^>]*>.*?(?:</\1\s*>|\Z)", re.S | re.I)
+    title = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.S | re.I)
+    rng = random.Random(4)
+    bits = ["<script>", "<SCRIPT src='x'>", "</script>", "</Script >", "<script", "<style>", "</style>", "<!--", "-->", "<!-->", "<title>", "<title lang=en>", "</title>", "</title\n>", "<title", "x", " ", ">", "<templates>", "<template>"]
+    for _ in range(4000):
+        page = "".join(rng.choice(bits) for _ in range(rng.randint(0, 12)))
+        assert m.without_hidden(page) == hidden.sub(" ", page)
+        assert m.without_hidden(page, True) == hidden.sub(lambda x: x[0][: x[0].index(">") + 1] if x[1] and ">" in x[0] else " ", page)
+        found = title.search(page)
+        assert m.title_of(page) == (found[1] if found else None)
+
+
+@pytest.mark.parametrize("part", ["<title>", "<script ", "<!--", "<script>", "<style></style><!-- -->", "<title", "a<b "])
+def test_hostile_megabytes(part):
+    import time
+
+    began = time.perf_counter()
+    page = part * (1_000_000 // len(part))
+    m.page_facts(page)
+    m.plain_text(page)
+    assert time.perf_counter() - began < 10
