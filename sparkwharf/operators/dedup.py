@@ -60,9 +60,12 @@ def near_pairs(rows: DataFrame, most: int = 3, horizon: int | None = None) -> Da
                 own.append(place(part(j)))
                 near += [place(part(j)), *[place(part(j).bitwiseXOR(bit)) for bit in seen]]
     timed = [*rows.columns]
-    a = rows.select(*[F.col(c).alias(f"a_{c}") for c in timed], F.explode(F.array(*own)).alias("k"))
-    b = rows.select(*[F.col(c).alias(f"b_{c}") for c in timed], F.explode(F.array(*near)).alias("k"))
-    met = a.join(b, "k").filter((F.col("b_seq") < F.col("a_seq")) & (F.bit_count(F.col("a_sig").bitwiseXOR(F.col("b_sig"))) <= most))
+    # rows of a horizon meet those of it and of the one before, so what recurs for years doesn't meet all its past
+    span = F.lit(0).cast("long") if horizon is None else F.floor(F.col("at") / horizon)
+    spans = F.array(span) if horizon is None else F.array(span, span - 1)
+    a = rows.select(*[F.col(c).alias(f"a_{c}") for c in timed], F.explode(spans).alias("span"), F.array(*own).alias("k")).withColumn("k", F.explode("k"))
+    b = rows.select(*[F.col(c).alias(f"b_{c}") for c in timed], span.alias("span"), F.explode(F.array(*near)).alias("k"))
+    met = a.join(b, ["span", "k"]).filter((F.col("b_seq") < F.col("a_seq")) & (F.bit_count(F.col("a_sig").bitwiseXOR(F.col("b_sig"))) <= most))
     if horizon is not None:
         met = met.filter(F.col("a_at") - F.col("b_at") <= horizon)
     return met.select(F.col("a_seq").alias("later"), F.col("b_seq").alias("earlier")).distinct()

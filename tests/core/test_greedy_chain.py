@@ -9,3 +9,14 @@ def test_unsettled_chain_is_an_error(spark):
     assert sorted(r.seq for r in dedup.greedy_keep(rows).collect()) == [0, 2, 4, 6, 8]
     with pytest.raises(RuntimeError):
         dedup.greedy_keep(rows, max_rounds=2)
+
+
+def test_what_recurs_doesnt_meet_all_its_past(spark):
+    """One title a week for 40 weeks within a horizon of 7 days less a second: all stay, and hardly any two are compared."""
+    week = 7 * 86400
+    rows = [(i, i * week, 5) for i in range(40)] + [(100, 39 * week + 60, 4)]
+    df = spark.createDataFrame(rows, "seq long, at long, sig long")
+    pairs = dedup.near_pairs(df, horizon=week - 1)
+    assert [tuple(r) for r in pairs.collect()] == [(100, 39)]
+    assert {r.seq for r in dedup.greedy_keep(df, horizon=week - 1).collect()} == set(range(40))
+    assert {tuple(r) for r in dedup.near_pairs(df, horizon=week).collect()} == {(i + 1, i) for i in range(39)} | {(100, 39)}
