@@ -210,6 +210,12 @@ def _exact(chunk: Chunk, ids: np.ndarray, n: int, at: np.ndarray, h: np.ndarray)
     return list(counted), list(counted.values())
 
 
+def gathered(texts: DataFrame) -> DataFrame:
+    """Two partitions a task where there are several for each core, so that a run met in both is sent once."""
+    n = texts.rdd.getNumPartitions()
+    return texts.coalesce(n // 2) if n >= 4 * texts.sparkSession.sparkContext.defaultParallelism else texts
+
+
 def run_counts(texts: DataFrame, bits: list[bytes], width: int) -> DataFrame:
     """``lang, words, phrase, a``: part counts of the runs that pass the filter; a row without words is how many words a language has."""
     shared, folded = texts.sparkSession.sparkContext.broadcast(bits), min(width, FILTER)
@@ -238,7 +244,7 @@ def run_counts(texts: DataFrame, bits: list[bytes], width: int) -> DataFrame:
     def _counted(langs, n, phrases, counts) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(np.full(len(langs), n, np.int32)), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())], ["lang", "words", "phrase", "a"])
 
-    return texts.mapInArrow(run, "lang string, words int, phrase string, a long").groupBy("lang", "words", "phrase").agg(F.sum("a").alias("a"))
+    return gathered(texts).mapInArrow(run, "lang string, words int, phrase string, a long").groupBy("lang", "words", "phrase").agg(F.sum("a").alias("a"))
 
 
 def frequent_runs(docs: DataFrame, least: int) -> DataFrame:
