@@ -137,3 +137,15 @@ def buffered(files: DataFrame, as_of: Column, most: int = 500, days: int = 3) ->
     """Failed batches still worth replaying: younger than the limit, the newest ``most``, oldest first."""
     young = files.filter(F.col("failed_at") >= as_of - F.make_dt_interval(F.lit(days)))
     return young.orderBy(F.col("failed_at").desc(), "name").limit(most).orderBy("failed_at", "name")
+
+
+def not_archived(live: DataFrame, archive: DataFrame, day: str) -> DataFrame:
+    """Rows of the days that the archive hasn't at all."""
+    return live.join(archive.select(day).distinct(), day, "left_anti")
+
+
+def without_archived(live: DataFrame, archive: DataFrame, day: str, oldest: Column) -> DataFrame:
+    """``live`` without the days before ``oldest`` of which the archive holds as many rows; others stay, however old."""
+    n = lambda rows, name: rows.groupBy(day).agg(F.count(F.lit(1)).alias(name))
+    safe = n(live.filter(F.col(day) < oldest), "_live").join(n(archive, "_kept"), day).filter("_live = _kept").select(day)
+    return live.join(safe, day, "left_anti")

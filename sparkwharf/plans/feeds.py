@@ -194,6 +194,18 @@ def seen_before(spark, sf):
     return table(spark, sf, "events").groupBy("user_id", "event_type").agg(F.min("event_id").alias("event_id"))
 
 
+@query("t8_sliding_snapshots", """
+WITH s AS (SELECT event_id, user_id, event_type, CAST(floor(epoch(ts) / 3600) AS BIGINT) AS hour FROM events)
+SELECT hour AS snapshot, count(*) AS added FROM s GROUP BY 1""")
+def sliding_snapshots(spark, sf):
+    """Each hour's snapshot shows the last three hours, so most of it was seen before; what is new goes to the table, once."""
+    hour = F.floor(F.unix_micros(F.col("ts").cast("timestamp")) / 3_600_000_000)
+    shown = table(spark, sf, "events").select("event_id", F.explode(F.sequence(hour, hour + 2)).alias("snapshot"))
+    # the first snapshot of each row, by a combining minimum: the same as an anti-join of every snapshot with all before it
+    first = shown.groupBy("event_id").agg(F.min("snapshot").alias("snapshot"))
+    return first.groupBy("snapshot").agg(F.count(F.lit(1)).alias("added"))
+
+
 @query("t13_t19_backoff", """
 WITH e AS (SELECT *, CAST(event_type = 'purchase' AS INT) AS ok FROM events), g AS (SELECT *, sum(ok) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS run FROM e),
 f AS (SELECT *, sum(1 - ok) OVER (PARTITION BY user_id, run ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS fails FROM g)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sparkwharf.operators import write_modes as wm
 from sparkwharf.plans.register import query, table
+from sparkwharf.sources.shared import folder
 
 _CUR = "cur AS (SELECT c_custkey AS k, CAST(round(c_acctbal * 100) AS BIGINT) AS cents, c_mktsegment AS seg FROM customer WHERE c_custkey % 3 <> 0)"
 _BATCH = "b AS (SELECT o_custkey AS k, CAST(round(o_totalprice * 100) AS BIGINT) AS cents, o_orderpriority AS seg, o_orderkey AS _seq FROM orders)"
@@ -164,6 +165,23 @@ def retention(spark, sf):
     return wm.to_archive(kept, d.filter(F.dayofmonth("day") % 3 == 0)).select(F.date_format("day", "yyyy-MM-dd").alias("day"))
 
 
+@query("k26_archive_then_delete", """
+WITH l AS (SELECT CAST(ts AS DATE) AS day, event_type FROM events), n AS (SELECT day, count(*) AS n, count_if(event_type = 'view') AS views FROM l GROUP BY 1)
+SELECT strftime(day, '%Y-%m-%d') AS day, n FROM n WHERE day >= DATE '2024-01-20' OR day(day) % 6 = 0 AND views <> n""")
+def archive_then_delete(spark, sf):
+    """Days that the archive lacks are written to it and counted there; old days go from the table only where all their rows are in the archive.
+
+    Every third day is archived already, every sixth in part only, and so stays.
+    """
+    live = table(spark, sf, "events").select(F.to_date("ts").alias("day"), "event_id", "event_type")
+    path, schema = folder(spark, "archive"), "event_id long, event_type string, day date"
+    before = live.filter((F.dayofmonth("day") % 3 == 0) & ((F.dayofmonth("day") % 6 > 0) | (F.col("event_type") == "view")))
+    before.write.partitionBy("day").parquet(path)
+    wm.not_archived(live, spark.read.schema(schema).parquet(path), "day").write.mode("append").partitionBy("day").parquet(path)
+    kept = wm.without_archived(live, spark.read.schema(schema).parquet(path), "day", F.lit("2024-01-20").cast("date"))
+    return kept.groupBy("day").agg(F.count(F.lit(1)).alias("n")).select(F.date_format("day", "yyyy-MM-dd").alias("day"), "n")
+
+
 @query("k18_buffered", """
 WITH f AS (SELECT 'b' || event_id AS name, ts AS failed_at FROM events WHERE event_type = 'error' OR event_id % 7 = 0) SELECT name FROM f WHERE failed_at >= TIMESTAMP '2024-01-30' - INTERVAL 3 DAY ORDER BY failed_at DESC, name LIMIT 500""")
 def buffered(spark, sf):

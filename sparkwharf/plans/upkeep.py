@@ -104,15 +104,16 @@ def notice_days(spark, sf):
 
 
 @query("t13_attempt_ledger", """
-WITH a AS (SELECT CAST(ts AS DATE) AS d, user_id, max_by(event_type, event_id) AS last FROM events WHERE event_type IN ('error', 'purchase') GROUP BY ALL), w AS (SELECT DISTINCT CAST(ts AS DATE) AS d, user_id FROM events)
-SELECT strftime(d, '%Y-%m-%d') AS day, user_id, CASE last WHEN 'purchase' THEN 'done' WHEN 'error' THEN 'failed' ELSE 'todo' END AS state FROM w LEFT JOIN a USING (d, user_id)""")
+WITH g AS (SELECT o_custkey, count_if(o_orderstatus = 'F') AS done, count_if(o_orderstatus = 'O') AS failed, max(CASE WHEN o_orderstatus = 'O' THEN o_orderdate END) AS last FROM orders GROUP BY 1)
+SELECT c_custkey, coalesce(failed, 0) AS failed FROM customer LEFT JOIN g ON c_custkey = o_custkey
+WHERE coalesce(done, 0) = 0 AND coalesce(failed, 0) < 3 AND (last IS NULL OR last < TIMESTAMP '2001-01-01')""")
 def attempt_ledger(spark, sf):
-    """The last attempt of each piece of work; only work without one is tried. Work and ledger lie in one table here, so one grouping does for the join."""
-    tried = F.col("event_type").isin("error", "purchase")
-    last = F.max_by(F.when(tried, F.col("event_type")), F.when(tried, F.col("event_id")))
-    g = table(spark, sf, "events").groupBy(F.to_date("ts").alias("d"), "user_id").agg(last.alias("last"))
-    state = F.when(F.col("last") == "purchase", "done").when(F.col("last") == "error", "failed").otherwise("todo")
-    return g.select(_day("d").alias("day"), "user_id", state.alias("state"))
+    """Work that is neither done nor given up nor tried of late: an anti-join of the work with its ledger of attempts, and how often what is left has failed."""
+    work, tries = table(spark, sf, "customer").select("c_custkey"), table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderstatus", "o_orderdate")
+    failed = tries.filter("o_orderstatus = 'O'").groupBy("c_custkey").agg(F.count(F.lit(1)).alias("failed"), F.max("o_orderdate").alias("last"))
+    shut = tries.filter("o_orderstatus = 'F'").select("c_custkey").unionByName(failed.filter((F.col("failed") >= 3) | (F.col("last") >= _ntz("2001-01-01 00:00:00"))).select("c_custkey"))
+    todo = work.join(shut, "c_custkey", "left_anti")
+    return todo.join(failed, "c_custkey", "left").select("c_custkey", F.coalesce("failed", F.lit(0).cast("long")).alias("failed"))
 
 
 @query("m8_gate", """
