@@ -1,8 +1,9 @@
 """Sinks: the write modes against stored tables, exports, and ledgers.
 
 A table is a folder of numbered versions, each an ordinary Spark output. A version counts once Spark has
-marked it complete, and the newest complete one is the table, so a crash at any point leaves the
-last state. Appends add files to the newest version; merges write the next one and keep the one before for its readers.
+marked it complete and its writer has claimed its number, and the newest such one is the table, so a crash at any point leaves the
+last state. A number is claimed by creating a file that must not be there yet: of two writers that began from one version the first wins and the other
+gets :class:`Conflict`, with nothing lost. Appends add files to the newest version; merges write the next one and keep the one before for its readers.
 Tables by day are better kept with :func:`replace_day`, which rewrites the batch's partitions only.
 """
 
@@ -13,6 +14,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import replace
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -23,6 +25,10 @@ from sparkwharf.operators import write_modes as wm
 from sparkwharf.sources.specs import TableSpec, conform
 
 
+class Conflict(RuntimeError):
+    """Another writer was first; read again and repeat."""
+
+
 class Store:
     """Tables below a root folder."""
 
@@ -36,8 +42,29 @@ class Store:
         folder = self._path(f"{self.root}/{name}")
         if not self._fs.exists(folder):
             return []
-        all_ = sorted(str(s.getPath().getName()) for s in self._fs.listStatus(folder))
-        return [v for v in all_ if self._fs.exists(self._path(f"{self.root}/{name}/{v}/_SUCCESS"))]
+        all_ = sorted(str(s.getPath().getName()) for s in self._fs.listStatus(folder) if s.isDirectory())
+        return [v for v in all_ if self._fs.exists(self._path(f"{self.root}/{name}/{v}/_SUCCESS")) and self._claimant(name, v.split("-")[0]) == v]
+
+    def _claimant(self, name: str, number: str) -> str | None:
+        path = self._path(f"{self.root}/{name}/{number}.claim")
+        if not self._fs.exists(path):
+            return None
+        source = self._fs.open(path)
+        try:
+            return bytes(source.readAllBytes()).decode()
+        finally:
+            source.close()
+
+    def _claim(self, name: str, version: str) -> None:
+        try:
+            out = self._fs.create(self._path(f"{self.root}/{name}/{version.split('-')[0]}.claim"), False)
+        except Py4JJavaError as e:
+            self._fs.delete(self._path(f"{self.root}/{name}/{version}"), True)
+            raise Conflict(f"version {version.split('-')[0]} of {name} is another writer's") from e
+        try:
+            out.write(bytearray(version.encode()))
+        finally:
+            out.close()
 
     def read(self, spec: TableSpec) -> DataFrame:
         found = self.versions(spec.name)
@@ -46,7 +73,9 @@ class Store:
     def _next(self, spec: TableSpec, new: DataFrame) -> None:
         found = self.versions(spec.name)
         number = int(found[-1].split("-")[0]) + 1 if found else 0
-        new.write.parquet(f"{self.root}/{spec.name}/{number:012d}-{uuid.uuid4().hex[:8]}")
+        version = f"{number:012d}-{uuid.uuid4().hex[:8]}"
+        new.write.parquet(f"{self.root}/{spec.name}/{version}")
+        self._claim(spec.name, version)
         for old in found[:-1]:
             self._fs.delete(self._path(f"{self.root}/{spec.name}/{old}"), True)
 

@@ -4,6 +4,7 @@ import gzip
 import json
 from glob import glob
 
+import pytest
 from pyspark.sql import functions as F
 
 from sparkwharf.operators import dedup
@@ -37,6 +38,19 @@ def test_a_version_that_was_not_finished_is_not_read(spark, tmp_path):
     assert newest in store.versions("t")  # the version before stays for its readers
 
 
+def test_of_two_writers_the_first_wins(spark, tmp_path, monkeypatch):
+    one, other = (sinks.Store(spark, str(tmp_path / "store")) for _ in range(2))
+    one.write(SPEC, rows(spark, ("a", 1)))
+    begun = other.versions("t")
+    one.write(SPEC, rows(spark, ("b", 2)))
+    with monkeypatch.context() as m, pytest.raises(sinks.Conflict):
+        m.setattr(other, "versions", lambda name: begun)  # it read the table before the first one was done
+        other.write(SPEC, rows(spark, ("c", 3)))
+    assert held(one) == [("a", 1), ("b", 2)]
+    other.write(SPEC, rows(spark, ("c", 3)))
+    assert held(one) == held(other) == [("a", 1), ("b", 2), ("c", 3)]
+
+
 def test_appends_add_files_only(spark, tmp_path):
     store, spec = sinks.Store(spark, str(tmp_path / "store")), specs.TableSpec("h", specs.schema_of("k string, v int"))
     for n in range(3):
