@@ -56,7 +56,7 @@ def _grib(row: dict) -> bytes:
 
 @query("s15_g34_grib_digest", """
 WITH e AS (SELECT vec_id, floor(unnest(embedding)::DOUBLE * 1000) AS x FROM embeddings), v AS (SELECT vec_id, CASE WHEN vec_id % 10 = 0 THEN vec_id::DOUBLE WHEN x % 7 <> 0 THEN x / 10 END AS value FROM e)
-SELECT vec_id // 20 AS file, (2 + vec_id % 2)::INT AS parameter, vec_id % 5 * 3.0 AS lead, round(max(value), 6) AS max, round(min(value), 6) AS min, round(sum(value), 3) AS total, count(value) AS n, count(*) - count(value) AS missing FROM v GROUP BY 1, 2, 3""")
+SELECT vec_id // 20 AS file, (2 + vec_id % 2)::INT AS parameter, vec_id % 5 * 3.0 AS lead, round(max(value), 6) AS max, round(min(value), 6) AS min, CAST(sum(CAST(round(value * 10) AS BIGINT)) AS BIGINT) AS tenths, count(value) AS n, count(*) - count(value) AS missing FROM v GROUP BY 1, 2, 3""")
 def grib_digest(spark, sf):
     """Digests of wind components: messages found through the index, each read by its own range."""
     e = table(spark, sf, "embeddings").select("vec_id", "embedding", F.floor(F.col("vec_id") / 20).alias("file"))
@@ -64,7 +64,7 @@ def grib_digest(spark, sf):
     written = renders.write_files(rows, folder(spark, "grib"), lambda r: f"gfs-{r['file']}.grib2", _grib)
     cells = grids.grib_cells(grids.grib_fields(written).filter("category = 2 AND parameter IN (2, 3)"))
     per = cells.groupBy(F.regexp_extract("path", r"gfs-(\d+)\.grib2$", 1).cast("long").alias("file"), "parameter", "lead")
-    return per.agg(F.round(F.max("value"), 6).alias("max"), F.round(F.min("value"), 6).alias("min"), F.round(F.sum("value"), 3).alias("total"), F.count("value").alias("n"), F.count_if(F.col("value").isNull()).alias("missing"))
+    return per.agg(F.round(F.max("value"), 6).alias("max"), F.round(F.min("value"), 6).alias("min"), F.sum(F.round(F.col("value") * 10).cast("long")).alias("tenths"), F.count("value").alias("n"), F.count_if(F.col("value").isNull()).alias("missing"))
 
 
 ZONE = geo.TransverseMercator(121.0)
