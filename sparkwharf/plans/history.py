@@ -178,8 +178,8 @@ WITH g AS (SELECT vec_id, unnest(embedding) AS v, generate_subscripts(embedding,
 SELECT vec_id, (i // 8)::INT AS r, (i % 8)::INT AS c, round(21.0 + 0.03 * (i // 8), 4) AS lat, round(119.0 + 0.03 * (i % 8), 4) AS lng, CAST(round(v * 1000) AS BIGINT) AS milli
 FROM g WHERE v > -0.9""")
 def grid_unnest(spark, sf):
-    """64 values as an 8 x 8 grid: array of rows, exploded twice."""
+    """64 values as an 8 x 8 grid: array of rows, exploded twice. Products stay in 32 bits, as the values are."""
     e = table(spark, sf, "embeddings")
     rows = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda r: F.slice("embedding", r * 8 + 1, F.lit(8)))
     cells = e.select("vec_id", F.posexplode(rows).alias("r", "row")).select("vec_id", "r", F.posexplode("row").alias("c", "v")).filter(F.col("v") > F.lit(-0.9).cast("float"))
-    return cells.select("vec_id", "r", "c", F.round(F.lit(21.0) + F.lit(0.03) * F.col("r"), 4).alias("lat"), F.round(F.lit(119.0) + F.lit(0.03) * F.col("c"), 4).alias("lng"), F.round(F.col("v") * 1000).cast("long").alias("milli"))
+    return cells.select("vec_id", "r", "c", F.round(F.lit(21.0) + F.lit(0.03) * F.col("r"), 4).alias("lat"), F.round(F.lit(119.0) + F.lit(0.03) * F.col("c"), 4).alias("lng"), F.round(F.col("v") * F.lit(1000).cast("float")).cast("long").alias("milli"))
