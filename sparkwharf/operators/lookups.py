@@ -86,16 +86,17 @@ def match_tracks(trips: DataFrame, tracks: DataFrame) -> DataFrame:
     Tracks of exactly the same ends go first, else those that hold both ends in order; the best has
     the least share of backward steps, then most stops covered, then the better kind, then the smaller name.
     Each distinct stop list is scored once: against the tracks of its ends, and against all that share a station only where none of those fits.
+    A track's rows are made by its stations, so they are more than its table's size tells, and no side is broadcast by that.
     """
     stops = ["origin", "dest", "stops"]
     tr = tracks.select("track", "station", "progress", F.col("origin").alias("_o"), F.col("dest").alias("_d"))
     lists = trips.select(*stops).distinct()
     legs = lists.select(*stops, F.size("stops").alias("n"), F.posexplode("stops").alias("i", "station"))
-    same = _best_tracks(legs.join(tr, (F.col("origin") == F.col("_o")) & (F.col("dest") == F.col("_d")) & (legs["station"] == tr["station"])).drop(tr["station"]), stops)
+    same = _best_tracks(legs.join(tr.hint("merge"), (F.col("origin") == F.col("_o")) & (F.col("dest") == F.col("_d")) & (legs["station"] == tr["station"])).drop(tr["station"]), stops)
     null_safe = lambda l, r: reduce(and_, [l[c].eqNullSafe(r[c]) for c in stops])
     left = legs.join(same, null_safe(legs, same), "left_anti")
-    best = same.unionByName(_best_tracks(left.join(tr, "station"), stops))
-    return trips.join(best, null_safe(trips, best)).select("trip", "track")
+    best = same.unionByName(_best_tracks(left.join(tr.hint("merge"), "station"), stops))
+    return trips.join(best.hint("merge"), null_safe(trips, best)).select("trip", "track")
 
 
 def _best_tracks(on: DataFrame, stops: list[str]) -> DataFrame:

@@ -17,3 +17,8 @@ def test_products_of_the_grid_stay_in_32_bits(spark, tmp_path):
     """0.3195 as a float times 1000 is 319.5 in 32 bits and 319.49999 in 64."""
     spark.createDataFrame([(1, [0.3195] * 64)], "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
     assert {r.milli for r in registry.QUERIES["p3_s20_grid_unnest"](spark, str(tmp_path)).collect()} == {320}
+
+
+def test_rows_of_stations_are_not_broadcast(spark):
+    """A track's stations multiply its rows beyond what the table's size tells."""
+    assert "BroadcastHashJoin" not in plan(registry.QUERIES["j20_o8_tracks"](spark, SF))
