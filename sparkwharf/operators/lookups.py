@@ -9,16 +9,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def range_join(points: DataFrame, ranges: DataFrame, same: list[str], at: str, low: str, high: str, width: float) -> DataFrame:
-    """Points with every range that holds them, ends included, by an equi-join on cells of ``width``.
+def first_range(points: DataFrame, ranges: DataFrame, same: list[str], at: str, low: str, high: str, first: list[str], width: float) -> DataFrame:
+    """``points`` with how many ranges hold each, ends included, and the smallest of those by ``first``, which begins with ``low``: ``hits, best``.
 
-    Each range is listed under the cells it covers, each point under its own;
-    choose ``width`` near the usual range so that a range covers few cells.
+    No pair is formed: ranges are listed under the cells of ``width`` that they cover, points under their own, and in
+    a cell, in order, the ranges begun less those ended are the ones that hold a point. Of all that end at the point or behind it the first one begins
+    before the point if any does, so a running minimum finds it. Nulls in ``same`` are equal; choose ``width`` near the usual range.
     """
     cells = F.sequence(F.floor(F.col(low) / width), F.floor(F.col(high) / width))
     r = ranges.filter(F.col(low) <= F.col(high)).withColumn("_cell", F.explode(cells))
-    p = points.withColumn("_cell", F.floor(F.col(at) / width))
-    return p.join(r, [*same, "_cell"]).filter(F.col(at).between(F.col(low), F.col(high))).drop("_cell")
+    p = points.withColumn("_cell", F.floor(F.col(at) / width)).filter("_cell IS NOT NULL")
+    best, point = (F.struct(*c) for c in (first, points.columns))
+    kinds = {c: d.schema[0].dataType for c, d in (("best", r.select(best)), ("point", points.select(point)))}
+    none = {c: F.lit(None).cast(kind).alias(c) for c, kind in kinds.items()}
+    row = lambda d, pos, kind, n, b, q: d.select(*same, "_cell", F.col(pos).alias("_pos"), F.lit(kind).alias("_kind"), F.lit(n).cast("long").alias("_n"), b, q)
+    every = row(r, low, 0, 1, none["best"], none["point"]).union(row(p, at, 1, 0, none["best"], point.alias("point"))).union(row(r, high, 2, -1, best.alias("best"), none["point"]))
+    cell, upto = Window.partitionBy(*same, "_cell"), (Window.unboundedPreceding, Window.currentRow)
+    hits = F.sum("_n").over(cell.orderBy("_pos", "_kind").rowsBetween(*upto))
+    ahead = F.min("best").over(cell.orderBy(F.desc("_pos"), F.desc("_kind")).rowsBetween(*upto))
+    return every.withColumns({"hits": hits, "ahead": ahead}).filter("_kind = 1 AND hits > 0").select("point.*", "hits", F.col("ahead").alias("best"))
 
 
 def match_sections(points: DataFrame, sections: DataFrame, width: float) -> DataFrame:
@@ -31,9 +40,10 @@ def match_sections(points: DataFrame, sections: DataFrame, width: float) -> Data
     roads = sections.select("road").distinct().withColumn("_has_road", F.lit(True))
     p = points.join(roads, "road", "left").join(known, ["road", "dir"], "left")
     p = p.withColumn("_want", F.when(F.col("_has_dir") & (F.col("dir") != "B"), F.col("dir")))
-    s = sections.withColumnRenamed("dir", "_dir")
-    met = range_join(p.filter("_has_road"), s, ["road"], "km", "low", "high", width).filter(F.col("_want").isNull() | (F.col("_want") == F.col("_dir")))
-    hits = met.groupBy("id").agg(F.count(F.lit(1)).alias("hits"), F.min_by("section", F.struct("low", "section")).alias("section"))
+    # a section is there under its own direction and under none, which stands for all of the road's
+    s = sections.filter("dir IS NOT NULL").withColumnRenamed("dir", "_want").unionByName(sections.drop("dir").withColumn("_want", F.lit(None).cast("string")))
+    met = first_range(p.filter("_has_road").select("id", "road", "_want", "km"), s, ["road", "_want"], "km", "low", "high", ["low", "section"], width)
+    hits = met.groupBy("id").agg(F.sum("hits").alias("hits"), F.min("best")["section"].alias("section"))
     out = p.join(hits, "id", "left")
     status = F.when(F.col("_has_road").isNull(), "no_section").when(F.col("hits").isNull(), "km_out").when(F.col("hits") == 1, "matched").otherwise("multi_match")
     return out.select("id", status.alias("status"), "section")

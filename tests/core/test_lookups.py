@@ -22,3 +22,29 @@ def test_products_of_the_grid_stay_in_32_bits(spark, tmp_path):
 def test_rows_of_stations_are_not_broadcast(spark):
     """A track's stations multiply its rows beyond what the table's size tells."""
     assert "BroadcastHashJoin" not in plan(registry.QUERIES["j20_o8_tracks"](spark, SF))
+
+
+def test_sections_against_a_plain_pass(spark):
+    rng = random.Random(5)
+    sections = [(f"r{rng.randint(0, 3)}", rng.choice(["N", "S", None]), a, a + rng.choice([-1, 0, 1, 2.5, 17]), k) for k in range(150) for a in [rng.randint(0, 60) / 2]]
+    points = [(i, rng.choice(["r0", "r1", "r2", "r3", "none", None]), rng.choice(["N", "S", "B", "X", None]), rng.choice([None, rng.randint(-4, 80) / 2])) for i in range(300)]
+    want = []
+    for i, road, way, km in points:
+        own = [s for s in sections if s[0] == road]
+        if way != "B" and any(s[1] == way and way for s in own):
+            met = [s for s in own if s[1] == way]
+        else:
+            met = own
+        hit = sorted((s[2], s[4]) for s in met if km is not None and s[2] <= km <= s[3])
+        want.append((i, "no_section" if not own else "km_out" if not hit else "matched" if len(hit) == 1 else "multi_match", hit[0][1] if hit else None))
+    got = lookups.match_sections(spark.createDataFrame(points, "id int, road string, dir string, km double"), spark.createDataFrame(sections, "road string, dir string, low double, high double, section int"), 5.0)
+    assert sorted(tuple(r) for r in got.collect()) == want
+
+
+def test_crowded_sections_form_no_pairs(spark):
+    """2,000 points in 2,000 sections each: no step has more rows than the tables."""
+    p = spark.range(2000).select(F.col("id"), F.lit("r").alias("road"), F.lit("N").alias("dir"), (1 + F.col("id") % 3).cast("double").alias("km"))
+    s = spark.range(2000).select(F.lit("r").alias("road"), F.lit("N").alias("dir"), F.lit(0.0).alias("low"), F.lit(4.0).alias("high"), F.col("id").alias("section"))
+    out = lookups.match_sections(p, s, 5.0)
+    assert [tuple(r) for r in out.select("status", "section").distinct().collect()] == [("multi_match", 0)]
+    assert "_cell" not in "".join(re.findall(r"Join [^\n]*", plan(out)))
