@@ -72,8 +72,9 @@ def boxes(spark, sf):
     k = F.col("s_suppkey")
     b = table(spark, sf, "supplier").select(k, (F.lit(121.0) + (k * 7 % 89) / F.lit(1000.0)).alias("west"), (F.lit(24.0) + (k * 11 % 97) / F.lit(1000.0)).alias("south"))
     b = b.withColumns({"east": F.col("west") + 0.0045, "north": F.col("south") + 0.0035})
-    zones = lookups.in_boxes(p, b, 0.005).groupBy("event_id").agg(F.array_join(F.array_sort(F.collect_list("s_suppkey")), ",").alias("zones"))
-    return p.select("event_id").join(zones, "event_id", "left")
+    # a place is looked up once, however many events are there
+    zones = lookups.in_boxes(p.select("lng", "lat").distinct(), b, 0.005).groupBy("lng", "lat").agg(F.array_join(F.array_sort(F.collect_list("s_suppkey")), ",").alias("zones"))
+    return p.join(zones, ["lng", "lat"], "left").select("event_id", "zones")
 
 
 @query("j15_range_sections", """

@@ -48,3 +48,8 @@ def test_crowded_sections_form_no_pairs(spark):
     out = lookups.match_sections(p, s, 5.0)
     assert [tuple(r) for r in out.select("status", "section").distinct().collect()] == [("multi_match", 0)]
     assert "_cell" not in "".join(re.findall(r"Join [^\n]*", plan(out)))
+
+
+def test_events_of_a_place_share_its_zones(spark):
+    shape = plan(registry.QUERIES["j14_x8_p9_boxes"](spark, SF))
+    assert "event_id" not in re.search(r"Join \[[^\n]*_x[^\n]*", shape)[0]
