@@ -19,17 +19,21 @@ def nearest(points: DataFrame, places: DataFrame, point_key: list[str], within:
     """``points(lng, lat)`` with ``place_id, place_lng, place_lat`` of the nearest place in the box of +-``within`` degrees, or nulls.
 
     Places meet points in grid cells as wide as the box, so each point sees the
-    places of 9 cells by an equi-join; no join on an inequality.
+    places of 9 cells by an equi-join; no join on an inequality. Points of one position are looked
+    up once, and of the places of one position only the smallest id can be the nearest.
     """
     same = same or []
     p = places.select("place_id", F.col("lng").alias("place_lng"), F.col("lat").alias("place_lat"), *same)
+    p = p.groupBy("place_lng", "place_lat", *same).agg(F.min("place_id").alias("place_id"))
     p = p.withColumns({"_cx": F.floor(F.col("place_lng") / within), "_cy": F.floor(F.col("place_lat") / within)})
-    probe = points.select(*point_key, "lng", "lat", *[c for c in same if c not in point_key], F.explode(near_cells(F.col("lng"), F.col("lat"), within)).alias("_c"))
+    position = ["lng", "lat", *same]
+    probe = points.select(*position).distinct().select(*position, F.explode(near_cells(F.col("lng"), F.col("lat"), within)).alias("_c"))
     probe = probe.withColumns({"_cx": F.col("_c.cx"), "_cy": F.col("_c.cy")}).drop("_c")
-    met = probe.join(p, ["_cx", "_cy", *same]).filter((F.abs(F.col("lng") - F.col("place_lng")) <= within) & (F.abs(F.col("lat") - F.col("place_lat")) <= within))
+    # both sides may be more than their tables' sizes tell, so neither is broadcast by that
+    met = probe.join(p.hint("merge"), ["_cx", "_cy", *same]).filter((F.abs(F.col("lng") - F.col("place_lng")) <= within) & (F.abs(F.col("lat") - F.col("place_lat")) <= within))
     d = F.pow(F.col("lng") - F.col("place_lng"), 2) + F.pow(F.col("lat") - F.col("place_lat"), 2)
-    best = met.groupBy(*point_key).agg(F.min_by(F.struct("place_id", "place_lng", "place_lat"), F.struct(d, F.col("place_id"))).alias("_b"))
-    return points.join(best, point_key, "left").select(*points.columns, "_b.place_id", "_b.place_lng", "_b.place_lat")
+    best = met.groupBy(*position).agg(F.min_by(F.struct("place_id", "place_lng", "place_lat"), F.struct(d, F.col("place_id"))).alias("_b"))
+    return points.join(best, position, "left").select(*points.columns, "_b.place_id", "_b.place_lng", "_b.place_lat")
 
 
 def with_speed(rows: DataFrame, key: list[str], ts: str) -> DataFrame:

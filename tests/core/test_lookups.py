@@ -53,3 +53,13 @@ def test_crowded_sections_form_no_pairs(spark):
 def test_events_of_a_place_share_its_zones(spark):
     shape = plan(registry.QUERIES["j14_x8_p9_boxes"](spark, SF))
     assert "event_id" not in re.search(r"Join \[[^\n]*_x[^\n]*", shape)[0]
+
+
+def test_places_are_looked_up_once_a_position(spark):
+    """All points and places at two positions: pairs are formed of positions, not of rows."""
+    points = spark.range(3000).select(F.col("id").alias("event"), (F.col("id") % 2 * 5).cast("double").alias("lng"), F.lit(1.0).alias("lat"))
+    places = spark.range(500).select((F.col("id") + 7).alias("place_id"), (F.col("id") * 0 + 0.0005).alias("lng"), (F.col("id") * 0 + 1.0).alias("lat"))
+    near = trips.nearest(points, places, ["event"], 0.001)
+    assert [tuple(r) for r in near.groupBy("lng", "place_id").count().orderBy("lng").collect()] == [(0.0, 7, 1500), (5.0, None, 1500)]
+    assert all(re.search(rf"HashAggregate\(keys=\[[^\]]*{name}", plan(near)) for name in ("place_lng", "lng#"))
+    assert "BroadcastHashJoin [_cx" not in plan(near)
