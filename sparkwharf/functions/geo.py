@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from math import pi
+from collections.abc import Callable
+from math import cos, pi, sin
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,6 +12,11 @@ EARTH_KM, KM_PER_DEGREE, KM_PER_NAUTICAL_MILE = 6371.0, 111.32, 1.852
 SRID = "SRID=4326;"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value worked out once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def haversine_km(lat1: Column, lng1: Column, lat2: Column, lng2: Column) -> Column:
     a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lng2 - lng1) / 2), 2)
     return F.lit(2 * EARTH_KM) * F.asin(F.sqrt(a))
@@ -41,28 +47,27 @@ def box_wkt(west: Column, south: Column, east: Column, north: Column) -> Column:
 
 def circle_ring(lat: Column, lng: Column, radius_km: Column, segments: int = 32, least_km: float = 0.05) -> Column:
     """Closed ring array<struct<lng, lat>> around a point; small radii are raised to ``least_km``."""
+    turns = [2 * pi / segments * (k % segments) for k in range(segments + 1)]
+    ways = F.array(*[F.struct(F.lit(cos(t)).alias("x"), F.lit(sin(t)).alias("y")) for t in turns])
     r = F.greatest(radius_km, F.lit(least_km)) / KM_PER_DEGREE
-    turn = lambda k: k.cast("double") * (2 * pi / segments)
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(segments)),
-        lambda k: F.struct((lng + r * F.cos(turn(k % segments)) / F.cos(F.radians(lat))).alias("lng"), (lat + r * F.sin(turn(k % segments))).alias("lat")),
-    )
+    at = F.struct(lat.alias("lat"), lng.alias("lng"), r.alias("r"), F.cos(F.radians(lat)).alias("narrow"))
+    ring = lambda c: F.transform(ways, lambda w: F.struct((c["lng"] + c["r"] * w["x"] / c["narrow"]).alias("lng"), (c["lat"] + c["r"] * w["y"]).alias("lat")))
+    return let(at, ring)
 
 
 def cap_circle(text: Column) -> Column:
     """The ring of ``lat,lng radius``."""
-    num = lambda i: F.regexp_extract(text, r"^\s*(-?[\d.]+)\s*,\s*(-?[\d.]+)\s+([\d.]+)\s*$", i).try_cast("double")
-    return F.when(num(3).isNotNull(), circle_ring(num(1), num(2), num(3)))
+    form = r"^\s*(-?[\d.]+)\s*,\s*(-?[\d.]+)\s+([\d.]+)\s*$"
+    numbers = F.struct(*[F.regexp_extract(text, form, i).try_cast("double").alias(name) for i, name in enumerate(("lat", "lng", "km"), 1)])
+    return let(numbers, lambda c: F.when(c["km"].isNotNull(), circle_ring(c["lat"], c["lng"], c["km"])))
 
 
 def cap_polygon(text: Column) -> Column:
     """Closed ring of ``lat,lng lat,lng ...``; null for fewer than three points."""
-    points = F.transform(
-        F.filter(F.split(F.trim(text), r"\s+"), lambda p: p.rlike(r"^-?[\d.]+,-?[\d.]+$")),
-        lambda p: F.struct(F.get(F.split(p, ","), F.lit(1)).cast("double").alias("lng"), F.get(F.split(p, ","), F.lit(0)).cast("double").alias("lat")),
-    )
-    closed = F.when(F.get(points, F.lit(0)) == F.element_at(points, -1), points).otherwise(F.concat(points, F.slice(points, 1, 1)))
-    return F.when(F.size(points) >= 3, closed)
+    pairs = F.transform(F.filter(F.split(F.trim(text), r"\s+"), lambda p: p.rlike(r"^-?[\d.]+,-?[\d.]+$")), lambda p: F.split(p, ","))
+    points = F.transform(pairs, lambda p: F.struct(p[1].cast("double").alias("lng"), p[0].cast("double").alias("lat")))
+    closed = lambda p: F.when(F.get(p, F.lit(0)) == F.element_at(p, -1), p).otherwise(F.concat(p, F.slice(p, 1, 1)))
+    return let(points, lambda p: F.when(F.size(p) >= 3, closed(p)))
 
 
 def ring_wkt(ring: Column) -> Column:
@@ -78,11 +83,13 @@ def multi_wkt(rings: Column) -> Column:
 
 def in_ring(lng: Column, lat: Column, ring: Column) -> Column:
     """Ray casting: whether the point lies in the closed ring."""
-    edges = F.zip_with(F.slice(ring, F.lit(1), F.size(ring) - 1), F.slice(ring, F.lit(2), F.size(ring) - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    crosses = lambda e: ((e["a"]["lat"] > lat) != (e["b"]["lat"] > lat)) & (
-        lng < (e["b"]["lng"] - e["a"]["lng"]) * (lat - e["a"]["lat"]) / (e["b"]["lat"] - e["a"]["lat"]) + e["a"]["lng"]
+    at = F.struct(lng.alias("lng"), lat.alias("lat"), ring.alias("ring"))
+    crosses = lambda p, a, b: ((a["lat"] > p["lat"]) != (b["lat"] > p["lat"])) & (
+        p["lng"] < (b["lng"] - a["lng"]) * (p["lat"] - a["lat"]) / (b["lat"] - a["lat"]) + a["lng"]
     )
-    return F.size(F.filter(edges, crosses)) % 2 == 1
+    # the last point has none behind it, so it closes nothing
+    sides = lambda p: F.zip_with(p["ring"], F.slice(p["ring"], F.lit(2), F.size(p["ring"])), lambda a, b: F.coalesce(crosses(p, a, b), F.lit(False)))
+    return let(at, lambda p: F.size(F.filter(sides(p), lambda c: c)) % 2 == 1)
 
 
 def geojson_points(text: Column) -> Column:

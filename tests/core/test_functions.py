@@ -65,3 +65,11 @@ def test_geometry(spark):
     back = one(spark, s=geo.inertial_to_geodetic(F.lit(6771.0), F.lit(0.0), F.lit(0.0), F.lit(2451545.0))).s
     assert abs(back.lat) < 1e-9 and abs(back.alt_km - 400) < 1e-6 and abs(back.lng - (360 - 280.46061837)) < 1e-6
     assert abs(one(spark, d=geo.haversine_km(F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(1.0))).d - 111.19) < 0.01
+
+
+def test_rings_are_worked_out_once():
+    """A ring's text is taken apart once, however often the ring is named."""
+    assert str(geo.cap_polygon(F.col("x"))).count("split") <= 2
+    ring = str(geo.in_ring(F.col("a"), F.col("b"), geo.cap_polygon(F.col("x"))))
+    assert ring.count("trim") == 1
+    assert str(geo.cap_circle(F.col("x"))).count("regexp_extract") == 3
