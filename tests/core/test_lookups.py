@@ -63,3 +63,9 @@ def test_places_are_looked_up_once_a_position(spark):
     assert [tuple(r) for r in near.groupBy("lng", "place_id").count().orderBy("lng").collect()] == [(0.0, 7, 1500), (5.0, None, 1500)]
     assert all(re.search(rf"HashAggregate\(keys=\[[^\]]*{name}", plan(near)) for name in ("place_lng", "lng#"))
     assert "BroadcastHashJoin [_cx" not in plan(near)
+
+
+def test_a_gate_deals_its_rows_once(spark):
+    """One exchange by run, and no distinct count that multiplies rows before it."""
+    shape = plan(registry.QUERIES["m8_gate"](spark, SF))
+    assert shape.count("Exchange hashpartitioning") == 1 and "Expand" not in shape
