@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BANDS = 4
+#: Rows of a span that share a band, up to which they are compared with each other by that alone.
+CROWD = 256
 
 
 def signature(text: str | None) -> int:
@@ -46,26 +48,25 @@ def near_pairs(rows: DataFrame, most: int = 3, horizon: int | None = None) -> Da
     """``later, earlier``: rows(seq, sig) within ``most`` differing bits and, with ``horizon``, within that many seconds of their ``at``.
 
     With at most 3 of 64 bits apart, one of four 16-bit bands is equal. Signatures that share a
-    band and are many are told apart by a second band too: of the three other bands at least one differs by one bit at most, so rows
-    are sent to that band's value and the ones a bit away from it.
+    band and are more than ``CROWD`` are told apart by a second band too: of the three other bands at least one differs by one bit at most, so rows
+    are sent to that band's value and the ones a bit away from it. Rows are multiplied on the way, so no side is broadcast by its table's size.
     """
     if most >= BANDS:
         raise ValueError("the bands find at most 3 differing bits")
-    part = lambda b: F.shiftrightunsigned("sig", 16 * b).bitwiseAND(F.lit(65535).cast("long"))
-    own, near, seen = [], [], [F.lit(1 << k).cast("long") for k in range(16)]
-    for i in range(BANDS):
-        for j in range(BANDS):
-            if i != j:
-                place = lambda v: F.struct(F.lit(i * BANDS + j).alias("bands"), part(i).alias("equal"), v.alias("close"))  # noqa: B023, E731
-                own.append(place(part(j)))
-                near += [place(part(j)), *[place(part(j).bitwiseXOR(bit)) for bit in seen]]
-    timed = [*rows.columns]
+    part = lambda sig, b: F.expr(f"shiftrightunsigned({sig}, CAST(16 * {b} AS INT)) & 65535")
     # rows of a horizon meet those of it and of the one before, so what recurs for years doesn't meet all its past
     span = F.lit(0).cast("long") if horizon is None else F.floor(F.col("at") / horizon)
     spans = F.array(span) if horizon is None else F.array(span, span - 1)
-    a = rows.select(*[F.col(c).alias(f"a_{c}") for c in timed], F.explode(spans).alias("span"), F.array(*own).alias("k")).withColumn("k", F.explode("k"))
-    b = rows.select(*[F.col(c).alias(f"b_{c}") for c in timed], span.alias("span"), F.explode(F.array(*near)).alias("k"))
-    met = a.join(b, ["span", "k"]).filter((F.col("b_seq") < F.col("a_seq")) & (F.bit_count(F.col("a_sig").bitwiseXOR(F.col("b_sig"))) <= most))
+    named = lambda x, at: rows.select(*[F.col(c).alias(f"{x}_{c}") for c in rows.columns], at.alias("span"))
+    banded = lambda d, sig: d.withColumn("band", F.explode(F.array(*map(F.lit, range(BANDS))))).withColumn("equal", part(sig, "band"))
+    a, b = banded(named("a", F.explode(spans)), "a_sig"), banded(named("b", span), "b_sig")
+    group = ["span", "band", "equal"]
+    crowds = b.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > CROWD).select(*group)
+    few = a.join(crowds, group, "left_anti").join(b.join(crowds, group, "left_anti").hint("merge"), group)
+    second = lambda d, sig: d.join(crowds, group, "left_semi").withColumn("other", F.explode(F.array(*map(F.lit, range(BANDS))))).filter("other <> band").withColumn("close", part(sig, "other"))
+    apart = second(b, "b_sig").withColumn("close", F.explode(F.array(F.col("close"), *[F.col("close").bitwiseXOR(F.lit(1 << k).cast("long")) for k in range(16)])))
+    many = second(a, "a_sig").join(apart.hint("merge"), [*group, "other", "close"]).drop("other", "close")
+    met = few.unionByName(many).filter((F.col("b_seq") < F.col("a_seq")) & (F.bit_count(F.col("a_sig").bitwiseXOR(F.col("b_sig"))) <= most))
     if horizon is not None:
         met = met.filter(F.col("a_at") - F.col("b_at") <= horizon)
     return met.select(F.col("a_seq").alias("later"), F.col("b_seq").alias("earlier")).distinct()
