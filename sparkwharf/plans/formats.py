@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparkwharf.functions import text as tx
+from sparkwharf.operators import statistics as st
 from sparkwharf.plans.register import query, table
 from sparkwharf.sources import files, paged, sinks, specs
 from sparkwharf.sources.shared import folder
@@ -75,12 +76,17 @@ STORED = 400
 
 def stored_feed(spark, sf) -> tuple[str, int]:
     """A server's pages: the events of each type by number, as JSON lines; and how many the largest type has."""
-    numbered = table(spark, sf, "events").select(F.col("event_type").alias("key"), "event_id", F.row_number().over(Window.partitionBy("event_type").orderBy("event_id")).alias("i"))
+    events = table(spark, sf, "events").select(F.col("event_type").alias("key"), "event_id")
+    counts = events.groupBy("key").agg(F.count(F.lit(1)).alias("n"))  # a row a type
+    before = counts.select("key", (F.sum("n").over(Window.orderBy("key")) - F.col("n")).alias("before"))
+    # the types are few, so their rows are ranked over all ranges of the order, not in a task a type
+    ranked = st.global_rank(events, [F.col("key"), F.col("event_id")], "i").join(F.broadcast(before), "key")
     path = folder(spark, "pages")
-    rows = numbered.withColumn("from", F.floor((F.col("i") - 1) / STORED) * STORED).select("key", "from", "event_id")
+    rows = ranked.withColumn("from", F.floor((F.col("i") - F.col("before") - 1) / STORED) * STORED).select("key", "from", "event_id")
     # a page is one file, in order
-    rows.repartition("key", "from").sortWithinPartitions("key", "from", "event_id").write.partitionBy("key", "from").json(path)
-    return path, numbered.agg(F.max("i")).first()[0]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows.repartition(parts, "key", "from").sortWithinPartitions("key", "from", "event_id").write.partitionBy("key", "from").json(path)
+    return path, counts.agg(F.max("n")).first()[0]
 
 
 @query("s1_s3_s4_paged", """
@@ -91,7 +97,7 @@ def paged_feed(spark, sf):
     path, most = stored_feed(spark, sf)
     spark.dataSource.register(paged.PagedSource)
     keys = [r["event_type"] for r in table(spark, sf, "events").select("event_type").distinct().collect()]  # the types of events
-    options = {"keys": json.dumps([*keys, "closed"]), "pagesize": "300", "total": str(most), "fetch": "sparkwharf.sources.paged.stored_page", "folder": path}
+    options = {"keys": json.dumps([*keys, "closed"]), "pagesize": "300", "total": str(most), "fetch": "sparkwharf.sources.paged.stored_page", "stored": str(STORED), "folder": path}
     raw = spark.read.format("paged").options(**options).load()
     return raw.select(F.col("key").alias("city"), F.get_json_object("row", "$.event_id").cast("long").alias("event_id"), F.col("error").isNotNull().alias("failed"))
 
@@ -102,7 +108,7 @@ def polled_feed(spark, sf):
     path, _ = stored_feed(spark, sf)
     spark.dataSource.register(paged.PagedSource)
     keys = [r["event_type"] for r in table(spark, sf, "events").select("event_type").distinct().collect()]
-    options = {"keys": json.dumps(keys), "pagesize": "500", "limit": "40", "fetch": "sparkwharf.sources.paged.stored_page", "upto": "sparkwharf.sources.paged.stored_count", "folder": path}
+    options = {"keys": json.dumps(keys), "pagesize": "500", "limit": "40", "fetch": "sparkwharf.sources.paged.stored_page", "upto": "sparkwharf.sources.paged.stored_count", "stored": str(STORED), "folder": path}
     polled, marks = folder(spark, "polled"), folder(spark, "polled-marks")
     rows = spark.readStream.format("paged").options(**options).load().select("key", F.get_json_object("row", "$.event_id").cast("long").alias("event_id"))
     running = rows.writeStream.format("parquet").option("checkpointLocation", marks).trigger(availableNow=True).start(polled)

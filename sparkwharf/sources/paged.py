@@ -1,4 +1,4 @@
-"""Python data sources over pages: one input partition a page, errors kept apart as rows; in batch and as a polled stream.
+"""Python data sources over pages: some pages an input partition, errors kept apart as rows, a row a page; in batch and as a polled stream.
 
 ``fetch`` is named by module and function, so that tests and deployments bring their own transport; it is called as
 ``fetch(key, offset, size)`` with the source's other options by name, and gives a page's rows as dictionaries.
@@ -20,7 +20,13 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 _OWN = {"keys", "pagesize", "total", "fetch", "upto", "limit"}
 
 
-class Page(InputPartition):
+#: About how many input partitions a read has at most; smaller ones have one for each page.
+PARTITIONS = 200
+
+
+class Pages(InputPartition):
+    """The pages of ``size`` rows of a key from ``offset`` on."""
+
     def __init__(self, key: str, offset: int, size: int):
         super().__init__(offset)
         self.key, self.offset, self.size = key, offset, size
@@ -37,21 +43,29 @@ class _Pages:
         self.keys, self.size = json.loads(options.get("keys", '[""]')), int(options.get("pagesize", 1000))
         self.more = {k: v for k, v in self.options.items() if k not in _OWN}
 
-    def read(self, page: Page) -> Iterator[tuple]:
+    def dealt(self, spans: dict[str, tuple[int, int]]) -> list[Pages]:
+        """The pages of each key's rows, in partitions."""
+        pages = sum(-(-(end - at) // self.size) for at, end in spans.values())
+        step = self.size * max(1, -(-pages // PARTITIONS))
+        return [Pages(k, at, min(step, end - at)) for k, (start, end) in spans.items() for at in range(start, end, step)]
+
+    def read(self, pages: Pages) -> Iterator[tuple]:
         fetch = _named(self.options["fetch"])
-        try:
-            rows = fetch(page.key, page.offset, page.size, **self.more)
-        except Exception as e:  # one page's failure is a row, the others go on
-            yield page.key, page.offset, None, f"{type(e).__name__}: {e}"
-            return
-        for r in rows:
-            yield page.key, page.offset, json.dumps(r, ensure_ascii=False), None
+        end = pages.offset + pages.size
+        for at in range(pages.offset, end, self.size):
+            try:
+                rows = fetch(pages.key, at, min(self.size, end - at), **self.more)
+            except Exception as e:  # one page's failure is a row, the others go on
+                yield pages.key, at, None, f"{type(e).__name__}: {e}"
+                continue
+            for r in rows:
+                yield pages.key, at, json.dumps(r, ensure_ascii=False), None
 
 
 class PagedReader(_Pages, DataSourceReader):
-    def partitions(self) -> list[Page]:
-        total = int(self.options.get("total", 1))
-        return [Page(k, at, self.size) for k in self.keys for at in range(0, max(total, 1), self.size)]
+    def partitions(self) -> list[Pages]:
+        pages = max(1, -(-int(self.options.get("total", 1)) // self.size))
+        return self.dealt({k: (0, pages * self.size) for k in self.keys})
 
 
 class PolledReader(_Pages, DataSourceStreamReader):
@@ -74,9 +88,9 @@ class PolledReader(_Pages, DataSourceStreamReader):
             left -= pages
         return out
 
-    def partitions(self, start: dict, end: dict) -> list[Page]:
+    def partitions(self, start: dict, end: dict) -> list[Pages]:
         self.at = {k: int(end.get(k, 0)) for k in self.keys}
-        return [Page(k, at, min(self.size, end[k] - at)) for k in self.keys for at in range(int(start.get(k, 0)), int(end.get(k, 0)), self.size)]
+        return self.dealt({k: (at, self.at[k]) for k in self.keys if (at := int(start.get(k, 0))) < self.at[k]})
 
     def commit(self, end: dict) -> None:
         self.at = {k: int(end.get(k, 0)) for k in self.keys}
@@ -104,11 +118,26 @@ def _lines(key: str, folder: str) -> list[tuple[int, str]]:
     return sorted((int(f.path.rsplit("/from=", 1)[1].split("/")[0]), f.path) for f in found if f.is_file and f.path.endswith(".json"))
 
 
-def stored_page(key: str, offset: int, size: int, folder: str) -> list[dict]:
-    """Rows ``offset`` to ``offset + size`` of a key from JSON lines below a shared folder; a key without any is an error."""
+def _lines_of(key: str, offset: int, end: int, folder: str, stored: int) -> list[tuple[int, str]]:
+    """Those of a key's files that hold rows of a page, where each but the last has ``stored`` rows: by their names, without a look at the others."""
+    store, root = fs.FileSystem.from_uri(folder)
+    out = []
+    for first in range(offset // stored * stored, end, stored):
+        found = store.get_file_info(fs.FileSelector(f"{root}/key={key}/from={first}", allow_not_found=True))
+        out += [(first, f.path) for f in found if f.is_file and f.path.endswith(".json")]
+    if not out:
+        store.get_file_info(fs.FileSelector(f"{root}/key={key}/from=0"))  # a key without any is an error
+    return out
+
+
+def stored_page(key: str, offset: int, size: int, folder: str, stored: str | None = None) -> list[dict]:
+    """Rows ``offset`` to ``offset + size`` of a key from JSON lines below a shared folder; a key without any is an error.
+
+    ``stored`` is the number of rows of a file, if all but a key's last have as many; else the key's files are listed for every page.
+    """
     store, _ = fs.FileSystem.from_uri(folder)
     out: list[dict] = []
-    for first, path in _lines(key, folder):
+    for first, path in _lines_of(key, offset, offset + size, folder, int(stored)) if stored else _lines(key, folder):
         if first < offset + size:
             with store.open_input_stream(path) as src:
                 rows = [json.loads(x) for x in src.read().decode().splitlines()]
@@ -116,7 +145,7 @@ def stored_page(key: str, offset: int, size: int, folder: str) -> list[dict]:
     return out
 
 
-def stored_count(key: str, folder: str) -> int:
+def stored_count(key: str, folder: str, stored: str | None = None) -> int:
     store, _ = fs.FileSystem.from_uri(folder)
     try:
         files = _lines(key, folder)

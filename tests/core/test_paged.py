@@ -77,3 +77,27 @@ def test_a_page_fails_alone_but_a_missing_fetch_is_an_error(spark, tmp_path):
     assert sorted((r["key"], r["page"]) for r in rows if r["error"]) == [("down", 0), ("down", 10)]
     with pytest.raises(Exception, match="no_such"):
         load("sparkwharf.sources.paged.no_such").collect()
+
+
+def test_a_page_opens_only_its_own_files(tmp_path, monkeypatch):
+    """With files of a known number of rows no folder of a key is listed."""
+    for first in range(0, 100, 4):
+        store(tmp_path, "a", first, range(first, min(first + 4, 98)))
+    folder = str(tmp_path / "pages")
+    whole = [paged.stored_page("a", at, 10, folder) for at in range(0, 120, 10)]
+    monkeypatch.setattr(paged, "_lines", None)
+    assert [paged.stored_page("a", at, 10, folder, "4") for at in range(0, 120, 10)] == whole
+    with pytest.raises(FileNotFoundError):
+        paged.stored_page("b", 0, 10, folder, "4")
+
+
+def test_many_pages_share_a_partition(spark, tmp_path):
+    """Partitions stay bounded, and a key without pages still fails a row a page."""
+    for first in range(0, 40, 4):
+        store(tmp_path, "a", first, range(first, first + 4))
+    options = {"keys": '["a", "closed"]', "pagesize": "3", "total": "38", "fetch": FETCH["fetch"], "stored": "4", "folder": str(tmp_path / "pages")}
+    assert len(paged.PagedReader({**options, "total": "3000000"}).partitions()) <= paged.PARTITIONS + 2
+    spark.dataSource.register(paged.PagedSource)
+    got = spark.read.format("paged").options(**options).load().collect()
+    assert sorted(json.loads(r["row"])["v"] for r in got if r.error is None) == list(range(39))
+    assert sorted(r.page for r in got if r.error) == list(range(0, 39, 3))
