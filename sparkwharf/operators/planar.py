@@ -30,12 +30,23 @@ from sparkwharf.sources.shared import written
 
 #: Degrees of a grid step, about 0.1 m: coordinates of the globe keep all products below 2^63.
 UNIT = 1e-6
+#: A step far below what two places of a table lie apart, about as fine as degrees are as doubles; products of such coordinates pass 2^63, see :func:`cross`.
+FINE = 1e-12
 Point = tuple[int, int]
 _SEGMENT = ["k", "ax", "ay", "bx", "by"]
 
 
-def snapped(degrees: Column) -> Column:
-    return F.round(degrees / UNIT).cast("long")
+def snapped(degrees: Column, unit: float = UNIT) -> Column:
+    return F.round(degrees / unit).cast("long")
+
+
+def cross(u: str, v: str, s: str, t: str, fine: bool = False) -> str:
+    """SQL of ``u * v - s * t``; with ``fine`` only its sign, exactly: in doubles where their errors can't change it, else in decimals."""
+    if not fine:
+        return f"({u} * {v} - {s} * {t})"
+    a, b = f"CAST({u} AS DOUBLE) * {v}", f"CAST({s} AS DOUBLE) * {t}"
+    whole = lambda x: f"CAST({x} AS DECIMAL(18, 0))"
+    return f"IF(abs({a} - {b}) > 1e-15 * (abs({a}) + abs({b})), sign({a} - {b}), sign({whole(u)} * {whole(v)} - {whole(s)} * {whole(t)}))"
 
 
 def _netted(directed: DataFrame) -> DataFrame:
@@ -46,12 +57,14 @@ def _netted(directed: DataFrame) -> DataFrame:
     return once.groupBy(*_SEGMENT).agg(F.sum("n").cast("long").alias("w")).filter("w <> 0")
 
 
-def segments(polygons: DataFrame, key: str, rings: str) -> DataFrame:
+def segments(polygons: DataFrame, key: str, rings: str, unit: float = UNIT) -> DataFrame:
     """The layer of ``polygons``; ``rings`` is array<array<struct<lng, lat>>>, shells counted against the clock and holes with it."""
-    at = lambda p: F.struct(snapped(p["lng"]).alias("x"), snapped(p["lat"]).alias("y"))
+    at = lambda p: F.struct(snapped(p["lng"], unit).alias("x"), snapped(p["lat"], unit).alias("y"))
     one = polygons.select(F.col(key).alias("k"), F.posexplode(rings).alias("hole", "ring")).dropna().withColumn("ring", F.transform("ring", at))
     # from the first point, so that products stay small
-    twice = "aggregate(zip_with(ring, slice(concat(ring, array(ring[0])), 2, size(ring)), (p, q) -> (p.x - ring[0].x) * (q.y - ring[0].y) - (q.x - ring[0].x) * (p.y - ring[0].y)), CAST(0 AS DOUBLE), (s, v) -> s + v)"
+    kind, whole = ("DOUBLE", lambda x: f"({x})") if unit == UNIT else ("DECIMAL(38, 0)", lambda x: f"CAST({x} AS DECIMAL(18, 0))")
+    part = f"{whole('p.x - ring[0].x')} * {whole('q.y - ring[0].y')} - {whole('q.x - ring[0].x')} * {whole('p.y - ring[0].y')}"
+    twice = f"aggregate(zip_with(ring, slice(concat(ring, array(ring[0])), 2, size(ring)), (p, q) -> {part}), CAST(0 AS {kind}), (s, v) -> CAST(s + v AS {kind}))"
     one = one.filter("size(ring) > 2").withColumn("area", F.expr(twice)).filter("area <> 0")
     sense = F.when((F.col("area") > 0) == (F.col("hole") == 0), 1).otherwise(-1)
     pairs = F.expr("zip_with(ring, slice(concat(ring, array(ring[0])), 2, size(ring)), (p, q) -> struct(p.x AS px, p.y AS py, q.x AS qx, q.y AS qy))")
@@ -66,21 +79,21 @@ def tile_side(layer: DataFrame) -> int:
 
 def listed(layer: DataFrame, side: int) -> DataFrame:
     """A row for each tile ``tx, ty`` that a segment crosses or comes within two steps of."""
-    y = lambda x, upright: f"IF(bx = ax, {upright}, ay + (by - ay) * (least(bx, greatest(ax, {x})) - ax) / (bx - ax))"
+    y = lambda x, upright: f"IF(bx = ax, {upright}, ay + (by - ay) * ((least(bx, greatest(ax, {x})) - ax) / (bx - ax)))"
     y0, y1 = y(f"tx * {side} - 2", "ay"), y(f"(tx + 1) * {side} + 2", "by")
     rows = f"sequence(floor((least({y0}, {y1}) - 2) / {side}), floor((greatest({y0}, {y1}) + 2) / {side}))"
     tiles = f"flatten(transform(sequence(floor((ax - 2) / {side}), floor((bx + 2) / {side})), tx -> transform({rows}, ty -> struct(tx, ty))))"
     return layer.select("*", F.inline(F.expr(tiles)))
 
 
-def turn(o: str, p: str, q: str) -> str:
+def turn(o: str, p: str, q: str, fine: bool = False) -> str:
     """Over 0 if q is left of the way from o to p."""
-    return f"(({p}x - {o}x) * ({q}y - {o}y) - ({p}y - {o}y) * ({q}x - {o}x))"
+    return cross(f"({p}x - {o}x)", f"({q}y - {o}y)", f"({p}y - {o}y)", f"({q}x - {o}x)", fine)
 
 
 def lies_on(o: str, p: str, q: str) -> str:
     """Whether q is on the segment from o to p, ends included."""
-    return f"({turn(o, p, q)} = 0 AND {q}x BETWEEN least({o}x, {p}x) AND greatest({o}x, {p}x) AND {q}y BETWEEN least({o}y, {p}y) AND greatest({o}y, {p}y))"
+    return f"({q}x BETWEEN least({o}x, {p}x) AND greatest({o}x, {p}x) AND {q}y BETWEEN least({o}y, {p}y) AND greatest({o}y, {p}y) AND {turn(o, p, q)} = 0)"
 
 
 def crossings(tiled: DataFrame) -> DataFrame:
@@ -108,9 +121,9 @@ def noded(layer: DataFrame, side: int) -> DataFrame:
     return _netted(cut.filter("qx IS NOT NULL"))
 
 
-def _beside(a: str, b: str, px: str, py: str) -> str:
+def _beside(a: str, b: str, px: str, py: str, fine: bool = False) -> str:
     """Over 0 if p is left of the way from a to b; p is doubled, a and b are not."""
-    return f"((2 * {b}x - 2 * {a}x) * ({py} - 2 * {a}y) - (2 * {b}y - 2 * {a}y) * ({px} - 2 * {a}x))"
+    return cross(f"(2 * {b}x - 2 * {a}x)", f"({py} - 2 * {a}y)", f"(2 * {b}y - 2 * {a}y)", f"({px} - 2 * {a}x)", fine)
 
 
 def others(tiled: DataFrame) -> DataFrame:
@@ -123,24 +136,24 @@ def _corner(side: int) -> tuple[str, str]:
     return f"(2 * tx * {side} - 1)", f"(2 * ty * {side} - 1)"
 
 
-def passes(side: int) -> str:
+def passes(side: int, fine: bool = False) -> str:
     """Whether a listed segment crosses the border of its tile that leads up from the first corner."""
     x, y = _corner(side)
-    over = lambda y: f"({_beside('a', 'b', x, y)} > 0 OR ({_beside('a', 'b', x, y)} = 0 AND by < ay))"
+    over = lambda y: f"({_beside('a', 'b', x, y, fine)} > 0 OR ({_beside('a', 'b', x, y, fine)} = 0 AND by < ay))"
     return f"2 * ax < {x} AND {x} < 2 * bx AND NOT {over(y)} AND {over(f'(2 * (ty + 1) * {side} - 1)')}"
 
 
-def from_corner(mx: str, my: str, side: int) -> str:
+def from_corner(mx: str, my: str, side: int, fine: bool = False) -> str:
     """What a segment of :func:`others` adds to the winding number from the tile's first corner to the doubled point (mx, my).
 
     The way leads along the tile's foot, then up. Points count as a hair to the right of where they are.
     """
     x, y = _corner(side)
     low, high = ("IF(cy < dy, cx, dx)", "least(cy, dy)"), ("IF(cy < dy, dx, cx)", "greatest(cy, dy)")
-    upward = lambda px, py: f"((2 * {high[0]} - 2 * {low[0]}) * ({py} - 2 * {low[1]}) - (2 * {high[1]} - 2 * {low[1]}) * ({px} - 2 * {low[0]}))"
+    upward = lambda px, py: cross(f"(2 * {high[0]} - 2 * {low[0]})", f"({py} - 2 * {low[1]})", f"(2 * {high[1]} - 2 * {low[1]})", f"({px} - 2 * {low[0]})", fine)
     flat = f"((2 * cy < {y}) <> (2 * dy < {y}) AND {upward(x, y)} > 0 AND {upward(mx, y)} <= 0)"
-    foot = _beside("c", "d", mx, y)
-    steep = f"(2 * cx <= {mx} AND {mx} < 2 * dx AND ({foot} < 0 OR ({foot} = 0 AND dy > cy)) AND {_beside('c', 'd', mx, my)} > 0)"
+    foot = _beside("c", "d", mx, y, fine)
+    steep = f"(2 * cx <= {mx} AND {mx} < 2 * dx AND ({foot} < 0 OR ({foot} = 0 AND dy > cy)) AND {_beside('c', 'd', mx, my, fine)} > 0)"
     return f"IF({flat}, IF(cy < dy, -n, n), 0) + IF({steep}, n, 0)"
 
 

@@ -5,7 +5,7 @@ or outside as a whole, and the inner ones are stored as blocks of 1, 16, 256 or
 as its edge has tiles. A track looks its tiles up in both.
 
 A track meets a polygon if it crosses or touches its edge or begins inside it. Coordinates are rounded to
-``planar.UNIT``, all tests are exact on the rounded values, and edges belong to their polygon.
+``planar.FINE``, which moves none across an edge that it isn't on, all tests are exact on the rounded values, and edges belong to their polygon.
 
 Cases: a track of one point is a point; empty and null tracks, null rings and rings without area meet nothing; repeated tracks
 and polygons of one key are one; holes are outside, their edges are not.
@@ -13,6 +13,8 @@ and polygons of one key are one; holes are outside, their edges are not.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -21,6 +23,8 @@ from sparkwharf.sources.shared import written
 
 #: Tiles in a block of the next size; sizes of blocks.
 STEP, LEVELS = 16, 4
+#: More than what doubles can be off in a product of coordinates of the globe in steps of ``planar.FINE``.
+DOUBT = 1e15
 
 
 def blocks(low: str, high: str) -> str:
@@ -37,9 +41,9 @@ def blocks(low: str, high: str) -> str:
     return f"concat({', '.join(made)})"
 
 
-def cover(layer: DataFrame, side: int) -> tuple[DataFrame, DataFrame]:
+def cover(layer: DataFrame, side: int, fine: bool = False) -> tuple[DataFrame, DataFrame]:
     """Edge tiles ``k, tx, ty, at_corner`` with the winding number at their first corner; inner blocks ``k, tx, level, block``."""
-    tiles = planar.listed(layer, side).groupBy("k", "tx", "ty").agg(F.sum(F.expr(f"IF({planar.passes(side)}, w, 0)")).alias("up"))
+    tiles = planar.listed(layer, side).groupBy("k", "tx", "ty").agg(F.sum(F.expr(f"IF({planar.passes(side, fine)}, w, 0)")).alias("up"))
     column = Window.partitionBy("k", "tx").orderBy("ty")
     after = F.sum("up").over(column.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     runs = tiles.withColumns({"after": after, "next": F.lead("ty").over(column)})
@@ -49,17 +53,17 @@ def cover(layer: DataFrame, side: int) -> tuple[DataFrame, DataFrame]:
 
 def track_segments(tracks: DataFrame, key: str, points: str) -> DataFrame:
     """``t, ax, ay, bx, by, px, py``: the segments of array<struct<lng, lat>> in order of their ends, and where the track begins; a point is a segment without length."""
-    at = lambda p: F.struct(planar.snapped(p["lng"]).alias("x"), planar.snapped(p["lat"]).alias("y"))
+    at = lambda p: F.struct(planar.snapped(p["lng"], planar.FINE).alias("x"), planar.snapped(p["lat"], planar.FINE).alias("y"))
     one = tracks.select(F.col(key).alias("t"), F.transform(points, at).alias("way")).dropna().filter("size(way) > 0")
     pairs = "IF(size(way) = 1, array(struct(way[0] AS a, way[0] AS b)), zip_with(slice(way, 1, size(way) - 1), slice(way, 2, size(way) - 1), (p, q) -> struct(least(p, q) AS a, greatest(p, q) AS b)))"
     return one.select("t", F.inline(F.expr(pairs)), F.expr("way[0]").alias("p")).selectExpr("t", "a.x AS ax", "a.y AS ay", "b.x AS bx", "b.y AS by", "p.x AS px", "p.y AS py").distinct()
 
 
 def meet(tracks: DataFrame, track_key: str, points: str, polygons: DataFrame, key: str, rings: str, side: int | None = None) -> DataFrame:
-    """Distinct ``track_key, key`` of the tracks and polygons that have a point in common."""
-    layer = written(planar.segments(polygons, key, rings), "polygons")
-    side = side or planar.tile_side(layer)
-    edge_tiles, inner = cover(layer, side)
+    """Distinct ``track_key, key`` of the tracks and polygons that have a point in common; ``side`` of the tiles in ``planar.UNIT``."""
+    layer = written(planar.segments(polygons, key, rings, planar.FINE), "polygons")
+    side = side * round(planar.UNIT / planar.FINE) if side else planar.tile_side(layer)
+    edge_tiles, inner = cover(layer, side, True)
     edges = planar.others(planar.listed(layer, side))
     tracked = written(planar.listed(track_segments(tracks, track_key, points), side), "tracks")
 
@@ -67,12 +71,17 @@ def meet(tracks: DataFrame, track_key: str, points: str, polygons: DataFrame, ke
     looked = tracked.select("t", "tx", "ty").distinct().select("t", "tx", F.inline(at))
     accepted = looked.join(inner, ["tx", "level", "block"]).select("t", "k")
 
-    turn, on = planar.turn, planar.lies_on
-    crossing = f"sign({turn('a', 'b', 'c')}) * sign({turn('a', 'b', 'd')}) < 0 AND sign({turn('c', 'd', 'a')}) * sign({turn('c', 'd', 'b')}) < 0"
-    touching = f"({crossing}) OR {on('a', 'b', 'c')} OR {on('a', 'b', 'd')} OR {on('c', 'd', 'a')} OR {on('c', 'd', 'b')}"
-    crossed = tracked.join(edges, ["tx", "ty"]).filter(touching).select("t", "k")
+    # segments have a point in common if their boxes have and neither is all on one side of the other
+    boxes = "ax <= dx AND cx <= bx AND least(ay, by) <= greatest(cy, dy) AND least(cy, dy) <= greatest(ay, by)"
+    about = lambda o, p, q: f"(CAST({p}x - {o}x AS DOUBLE) * ({q}y - {o}y) - CAST({p}y - {o}y AS DOUBLE) * ({q}x - {o}x))"
+    maybe = lambda o, p, q, r: f"least({about(o, p, q)}, {about(o, p, r)}) <= {DOUBT} AND greatest({about(o, p, q)}, {about(o, p, r)}) >= -{DOUBT}"
+    # few pairs are left by short tests in doubles; written, so that Spark doesn't pull the long exact ones into the join
+    pairs = tracked.join(edges, ["tx", "ty"]).filter(f"{boxes} AND {maybe('a', 'b', 'c', 'd')} AND {maybe('c', 'd', 'a', 'b')}")
+    pairs = written(pairs.select("t", "k", *[f"{p}{c}" for p in "abcd" for c in "xy"]), "crossings")
+    turn = partial(planar.turn, fine=True)
+    crossed = pairs.filter(f"{turn('a', 'b', 'c')} * {turn('a', 'b', 'd')} <= 0 AND {turn('c', 'd', 'a')} * {turn('c', 'd', 'b')} <= 0").select("t", "k")
 
     begins = tracked.filter(f"tx = FLOOR(px / {side}) AND ty = FLOOR(py / {side})").select("t", "px", "py", "tx", "ty").distinct()
-    local = begins.join(edges, ["tx", "ty"]).groupBy("t", "px", "py", "tx", "ty", "k").agg(F.sum(F.expr(planar.from_corner("(2 * px)", "(2 * py)", side))).alias("way"))
+    local = begins.join(edges, ["tx", "ty"]).groupBy("t", "px", "py", "tx", "ty", "k").agg(F.sum(F.expr(planar.from_corner("(2 * px)", "(2 * py)", side, True))).alias("way"))
     inside = local.join(edge_tiles, ["k", "tx", "ty"]).filter("at_corner + way > 0").select("t", "k")
     return accepted.union(crossed).union(inside).distinct().select(F.col("t").alias(track_key), F.col("k").alias(key))

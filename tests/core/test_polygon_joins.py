@@ -68,3 +68,11 @@ def test_large_polygons_cost_their_edge(spark):
 def test_blocks(spark, low, high):
     got = spark.range(1).selectExpr(f"inline({m.blocks(f'CAST({low} AS BIGINT)', f'CAST({high} AS BIGINT)')})").collect()
     assert sorted(t for r in got for t in range(r["block"] * 16 ** r["level"], (r["block"] + 1) * 16 ** r["level"])) == list(range(low, high))
+
+
+def test_near_misses_are_told_from_hits(spark):
+    """Tracks and points a ten-millionth of a degree off a slanting edge, less than a step of the unions' grid."""
+    polygons = [("k", [[(0, 0), (3, 1), (3, 5), (0, 5)]])]
+    off = 1e-7
+    tracks = [(1, [(1.5, 0.5 - off)]), (2, [(1.5, 0.5 + off)]), (3, [(0.3, 0.1 - off), (2.7, 0.9 - off)]), (4, [(0.3, 0.1 - off), (2.7, 0.9 + off)])]
+    assert found(spark, tracks, polygons) == {(2, "k"), (4, "k")}
