@@ -59,8 +59,8 @@ def track_segments(tracks: DataFrame, key: str, points: str) -> DataFrame:
     return one.select("t", F.inline(F.expr(pairs)), F.expr("way[0]").alias("p")).selectExpr("t", "a.x AS ax", "a.y AS ay", "b.x AS bx", "b.y AS by", "p.x AS px", "p.y AS py").distinct()
 
 
-def meet(tracks: DataFrame, track_key: str, points: str, polygons: DataFrame, key: str, rings: str, side: int | None = None) -> DataFrame:
-    """Distinct ``track_key, key`` of the tracks and polygons that have a point in common; ``side`` of the tiles in ``planar.UNIT``."""
+def meet(tracks: DataFrame, track_key: str, points: str, polygons: DataFrame, key: str, rings: str, side: int | None = None, touching: bool = True) -> DataFrame:
+    """Distinct ``track_key, key`` of the tracks and polygons that have a point in common; ``side`` of the tiles in ``planar.UNIT``. Without ``touching`` a track must cross an edge or begin inside."""
     layer = written(planar.segments(polygons, key, rings, planar.FINE), "polygons")
     side = side * round(planar.UNIT / planar.FINE) if side else planar.tile_side(layer)
     edge_tiles, inner = cover(layer, side, True)
@@ -79,7 +79,8 @@ def meet(tracks: DataFrame, track_key: str, points: str, polygons: DataFrame, ke
     pairs = tracked.join(edges, ["tx", "ty"]).filter(f"{boxes} AND {maybe('a', 'b', 'c', 'd')} AND {maybe('c', 'd', 'a', 'b')}")
     pairs = written(pairs.select("t", "k", *[f"{p}{c}" for p in "abcd" for c in "xy"]), "crossings")
     turn = partial(planar.turn, fine=True)
-    crossed = pairs.filter(f"{turn('a', 'b', 'c')} * {turn('a', 'b', 'd')} <= 0 AND {turn('c', 'd', 'a')} * {turn('c', 'd', 'b')} <= 0").select("t", "k")
+    least = "<= 0" if touching else "< 0"
+    crossed = pairs.filter(f"{turn('a', 'b', 'c')} * {turn('a', 'b', 'd')} {least} AND {turn('c', 'd', 'a')} * {turn('c', 'd', 'b')} {least}").select("t", "k")
 
     begins = tracked.filter(f"tx = FLOOR(px / {side}) AND ty = FLOOR(py / {side})").select("t", "px", "py", "tx", "ty").distinct()
     local = begins.join(edges, ["tx", "ty"]).groupBy("t", "px", "py", "tx", "ty", "k").agg(F.sum(F.expr(planar.from_corner("(2 * px)", "(2 * py)", side, True))).alias("way"))

@@ -88,7 +88,7 @@ def pass_areas(spark, sf):
     areas = n.select(F.col("n_name").alias("name"), F.array(star(k, (k % 5) * 2.0 + 1, F.floor(k / 5) * 2.0 + 1, 1.3, EIGHT)).alias("rings"))
     at = F.struct(F.col("l_linenumber").alias("i"), F.struct(((F.col("l_partkey") * 7 % 1009) / 100.0 + 0.00373).alias("lng"), ((F.col("l_suppkey") * 31 % 997) / 100.0 + 0.00119).alias("lat")).alias("at"))
     tracks = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("pass")).agg(F.transform(F.array_sort(F.collect_list(at)), lambda z: z["at"]).alias("track"))
-    met = polygon_joins.meet(tracks, "pass", "track", areas, "name", "rings").groupBy("pass").agg(F.array_join(F.array_sort(F.collect_set("name")), ",").alias("areas"))
+    met = polygon_joins.meet(tracks, "pass", "track", areas, "name", "rings", touching=False).groupBy("pass").agg(F.array_join(F.array_sort(F.collect_set("name")), ",").alias("areas"))
     return tracks.select("pass").join(met, "pass", "left").select("pass", F.coalesce("areas", F.lit("")).alias("areas"))
 
 

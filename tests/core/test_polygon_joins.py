@@ -76,3 +76,10 @@ def test_near_misses_are_told_from_hits(spark):
     off = 1e-7
     tracks = [(1, [(1.5, 0.5 - off)]), (2, [(1.5, 0.5 + off)]), (3, [(0.3, 0.1 - off), (2.7, 0.9 - off)]), (4, [(0.3, 0.1 - off), (2.7, 0.9 + off)])]
     assert found(spark, tracks, polygons) == {(2, "k"), (4, "k")}
+
+
+def test_a_touched_corner_is_no_crossing(spark):
+    t = spark.createDataFrame([(1, points([(0, 2), (2, 0)])), (2, points([(0, 1), (3, 1.5)]))], f"t int, way {TRACK}")
+    p = spark.createDataFrame([("k", [points([(1, 1), (3, 1), (3, 3), (1, 3)])])], f"k string, rings {KIND}")
+    met = lambda touching: {r.t for r in m.meet(t, "t", "way", p, "k", "rings", touching=touching).collect()}
+    assert met(True) == {1, 2} and met(False) == {2}
