@@ -2,13 +2,14 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from sparkwharf.llm import simple8b
+from sparkwharf.llm import simple8b, token_store
 from sparkwharf.llm.common import staging_path
 from sparkwharf.llm.token_store import ChunkEncoder, read_store, write_store
 
@@ -65,3 +66,28 @@ def test_store_round_trip(spark, texts):
     for r in got:
         assert r.start == at and (r.n_tokens, r.ids_crc32) in want[r.doc_id]
         at += r.n_tokens
+
+
+def test_chunks_of_a_block_and_their_table(monkeypatch):
+    """Texts of a block are encoded together; the table of chunks stays within its bound, and a chunk that it holds isn't encoded again."""
+    monkeypatch.setattr(ChunkEncoder, "REMEMBERED", 12)
+    own, plain = ChunkEncoder(PATH), Tokenizer.from_file(PATH)
+    for texts in (TEXTS, TEXTS[::-1], ["Größe, größe Größe?! one\ntwo  three " * 3, None, "", "four five six seven eight nine ten ab cd ef gh"], TEXTS + TEXTS):
+        ids, sizes = own.encode_all(pa.array(texts, pa.string()).slice(1))
+        want = [plain.encode(t or "", add_special_tokens=False).ids for t in texts[1:]]
+        assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == sum(want, [])
+        assert len(own.words) == len(own.sizes) <= 12 and own.sizes.sum() == len(own.ids)
+    seen = []
+    monkeypatch.setattr(own, "_encoded", lambda chunks, encoded=own._encoded: seen.extend(chunks.to_pylist()) or encoded(chunks))
+    own.encode("once more once")
+    own.encode("more once")
+    assert sorted(seen) == ["more", "once"]
+
+
+@pytest.mark.parametrize("most, rows", [(1, [1] * 5), (10, [3, 1, 1]), (100, [5])])
+def test_blocks(monkeypatch, most, rows):
+    monkeypatch.setattr(token_store, "BLOCK_BYTES", most)
+    batch = pa.RecordBatch.from_pydict({"id": list(range(5)), "text": pa.array(["a" * 6, "d", "b" * 3, "c" * 30, None])})
+    got = list(token_store.blocks(batch))
+    assert pa.Table.from_batches(got).equals(pa.Table.from_batches([batch]))
+    assert [b.num_rows for b in got] == rows
