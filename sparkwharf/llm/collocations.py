@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from sparkwharf.llm.common import staged
+from sparkwharf.llm.common import staged, worker_state
 
 MAX_WORDS = 4
 #: A word, or signs that end a piece.
@@ -46,6 +46,8 @@ ENDS = frozenset(b".,;:!?\n\x0b\x0c\r")
 CHUNK, VOCABULARY, PART = 1 << 20, 1 << 18, 1 << 22
 #: Runs of the corpus for each cell of a sketch row; cells of a block, at least and at most; bits of one row of the filter.
 LOAD, BLOCK, MAX_BLOCK, FILTER = 16, 1 << 20, 1 << 24, 1 << 28
+#: Runs that become texts and are sent at once.
+SENT = 1 << 15
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
@@ -145,6 +147,13 @@ def unpack(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return np.cumsum(steps, dtype=np.int64), counts
 
 
+def tally(cells: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The cells that occur, ascending, and how often each does; sorts them in place."""
+    cells.sort()
+    first = np.flatnonzero(np.append(True, cells[1:] != cells[:-1])[: len(cells)])
+    return cells[first].astype(np.int64), np.diff(np.append(first, len(cells)))
+
+
 def sketch_shape(n_runs: int) -> tuple[int, int]:
     """Cells of a row, and of a block of it: powers of two."""
     width = max(BLOCK, 1 << max(0, n_runs // LOAD - 1).bit_length())
@@ -153,15 +162,15 @@ def sketch_shape(n_runs: int) -> tuple[int, int]:
 
 def heavy_filter(texts: DataFrame, least: int, width: int, block: int) -> list[bytes]:
     """For each row of the merged sketch the bits of its cells of ``least`` or more, folded to at most ``FILTER``."""
-    folded = min(width, FILTER)
+    folded, kind = min(width, FILTER), np.uint32 if width <= 1 << 32 else np.uint64
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state(("collocations",), dict)  # what another operator left in this worker goes
         for chunk in chunks(batches):
             h = [x for _, _, x in chunk.runs(chunk.ids())]
-            h = np.concatenate(h) if h else np.zeros(0, np.uint64)
             for row in (0, 1):
-                at, n = np.unique(cells(h, row, width), return_counts=True)
-                at, n = at.astype(np.int64), np.minimum(n, least)
+                at, n = tally(np.concatenate([np.zeros(0, kind), *(cells(x, row, width).astype(kind) for x in h)]))
+                n = np.minimum(n, least)
                 blocks, first = np.unique(at // block, return_index=True)
                 data = [pack(a - b * block, c) for b, a, c in zip(blocks.tolist(), np.split(at, first[1:]), np.split(n, first[1:]), strict=True)]
                 if data:
@@ -176,7 +185,7 @@ def heavy_filter(texts: DataFrame, least: int, width: int, block: int) -> list[b
             return pa.RecordBatch.from_pydict({"row": pa.array([now[0]], pa.int32()), "place": [now[1]], "bits": [zstandard.compress(np.packbits(bits, bitorder="little").tobytes(), 1)]})
 
         for batch in batches:
-            for row, place, at, data in zip(*(batch.column(c).to_pylist() for c in ("row", "place", "block", "data")), strict=True):
+            for row, place, at, data in zip(*(batch.column(c).to_pylist() for c in ("row", "place", "block")), batch.column("data"), strict=True):
                 if now != (row, place, at):
                     if now:
                         bits |= sums >= least
@@ -184,7 +193,7 @@ def heavy_filter(texts: DataFrame, least: int, width: int, block: int) -> list[b
                             yield done()
                             bits[:] = False
                     sums[:], now = 0, (row, place, at)
-                offsets, n = unpack(data)
+                offsets, n = unpack(data.as_py())
                 sums[offsets] += n
         if now:
             bits |= sums >= least
@@ -199,15 +208,16 @@ def heavy_filter(texts: DataFrame, least: int, width: int, block: int) -> list[b
     return [x.tobytes() for x in found]
 
 
-def _exact(chunk: Chunk, ids: np.ndarray, n: int, at: np.ndarray, h: np.ndarray) -> tuple[list[tuple[int, ...]], list[int]]:
-    """Runs as tuples of word numbers with their counts in the chunk."""
-    _, first, inverse, counts = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
-    lead = at[first]
-    same = lead[inverse]
+def _exact(chunk: Chunk, ids: np.ndarray, n: int, at: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs as rows of word numbers, with their counts in the chunk."""
+    order = np.argsort(h, kind="stable")
+    at, h = at[order], h[order]
+    first = np.flatnonzero(np.append(True, h[1:] != h[:-1])[: len(h)])
+    lead, counts = at[first], np.diff(np.append(first, len(h)))
+    same = np.repeat(lead, counts)
     if all(np.array_equal(ids[at + k], ids[same + k]) for k in range(n)):
-        return list(zip(*(ids[lead + k].tolist() for k in range(n)), strict=True)), counts.tolist()
-    counted = Counter(zip(*(ids[at + k].tolist() for k in range(n)), strict=True))  # two runs of one hash
-    return list(counted), list(counted.values())
+        return np.stack([ids[lead + k] for k in range(n)], 1), counts
+    return np.unique(np.stack([ids[at + k] for k in range(n)], 1), axis=0, return_counts=True)  # two runs of one hash
 
 
 def gathered(texts: DataFrame) -> DataFrame:
@@ -221,6 +231,7 @@ def run_counts(texts: DataFrame, bits: list[bytes], width: int) -> DataFrame:
     shared, folded = texts.sparkSession.sparkContext.broadcast(bits), min(width, FILTER)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        worker_state(("collocations",), dict)
         rows = [np.frombuffer(b, np.uint8) for b in shared.value]
 
         def passing(h: np.ndarray, row: int) -> np.ndarray:
@@ -239,7 +250,9 @@ def run_counts(texts: DataFrame, bits: list[bytes], width: int) -> DataFrame:
                     at, h = at[kept], h[kept]
                 if len(at):
                     runs, counts = _exact(chunk, ids, n, at, h)
-                    yield _counted([chunk.langs[r[0]] for r in runs], n, [b" ".join([chunk.words[w] for w in r]) for r in runs], counts)
+                    for first in range(0, len(runs), SENT):
+                        part = runs[first : first + SENT].tolist()
+                        yield _counted([chunk.langs[r[0]] for r in part], n, [b" ".join([chunk.words[w] for w in r]) for r in part], counts[first : first + SENT])
 
     def _counted(langs, n, phrases, counts) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(np.full(len(langs), n, np.int32)), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())], ["lang", "words", "phrase", "a"])

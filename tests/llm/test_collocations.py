@@ -1,10 +1,14 @@
 import re
+import tracemalloc
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sparkwharf.llm import collocations as m
+from sparkwharf.llm import common
 
 FOLD = {c: c + 32 for c in range(65, 91)}
 
@@ -86,3 +90,25 @@ def test_query_over_a_folder(spark, tmp_path):
     spark.createDataFrame(rows(), "text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
     got = m.op13_collocations(spark, str(tmp_path))
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"] and sorted(map(tuple, got.collect())) == brute(rows(), 30)
+
+
+def test_what_a_worker_holds(spark, monkeypatch):
+    """Runs become texts in small parts, in cells no more is held than a sort needs, and what another operator left in the worker goes."""
+    cells = np.random.default_rng(1).integers(0, 1 << 21, 1 << 20).astype(np.uint64)
+    tracemalloc.start()
+    at, n = m.tally(cells)
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    want = np.unique(cells, return_counts=True)
+    assert np.array_equal(at, want[0]) and np.array_equal(n, want[1]) and held < 4 * cells.nbytes
+    assert [x.tolist() for x in m.tally(cells[:0])] == [[], []]
+
+    monkeypatch.setattr(m, "SENT", 7)
+    monkeypatch.setattr(common, "_LIVE", {("other",): "a vocabulary"})
+    kept = []
+    texts = SimpleNamespace(sparkSession=SimpleNamespace(sparkContext=SimpleNamespace(broadcast=lambda bits: SimpleNamespace(value=bits), defaultParallelism=1)), rdd=SimpleNamespace(getNumPartitions=lambda: 1))
+    texts.mapInArrow = lambda run, schema: kept.extend(run(iter([pa.RecordBatch.from_pydict({"lang": ["en"], "text": ["a b c d e f g h i j k a b"]})]))) or texts
+    texts.groupBy = lambda *k: SimpleNamespace(agg=lambda c: None)
+    m.run_counts(texts, [b"\xff" * 8] * 2, 64)
+    assert ("other",) not in common._LIVE and max(b.num_rows for b in kept) <= 7
+    assert Counter(p for b in kept for p in b.column("words").to_pylist()) == {0: 1, 1: 11, 2: 11, 3: 11, 4: 10}
