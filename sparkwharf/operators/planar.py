@@ -12,6 +12,7 @@ second less how often it runs back. Segments that neighbours share cancel in one
 * The winding number beside a segment is that of its tile's corner, from a running sum up the column of tiles, and the
   crossings on the way from the corner, from a join in the tile. Segments between winding 0 or less and more are the outline.
 
+Unions begin in rounds: neighbours of a key are united within tasks, a few at a time (:mod:`overlay`), and the tiles get only the outlines that no round joins.
 Only the outline of one geometry meets in a task, where it becomes one value anyway.
 
 Cases: rings may be closed or open, run either way and repeat points; the first ring of a polygon is its shell, the others holes; rings without area are ignored;
@@ -26,6 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparkwharf.operators import overlay
 from sparkwharf.sources.shared import written
 
 #: Degrees of a grid step, about 0.1 m: coordinates of the globe keep all products below 2^63.
@@ -254,11 +256,49 @@ def polygons_of(edges: list[tuple[Point, Point]]) -> list[list[list[Point]]]:
     return sorted([_corners(shell), *sorted(own)] for shell, own in zip(shells, inside, strict=True))
 
 
+def _row(kind: str) -> str:
+    return f"k {kind}, done boolean, size long, strip long, y long, x long, ways array<struct<px: bigint, py: bigint, qx: bigint, qy: bigint>>"
+
+
+def _ways(polygons: DataFrame, key: str, rings: str) -> DataFrame:
+    """Each polygon as directed segments in ``ways``, its area to the left of them, with its size and place."""
+    one = polygons.select(F.col(key).alias("k"), F.col(rings).alias("rings")).dropna()
+    return one.mapInArrow(lambda batches: overlay.way_batches(batches, UNIT), _row(dict(one.dtypes)["k"]))
+
+
+def _round(rows: DataFrame) -> DataFrame:
+    """Neighbours of a key become one: polygons of like size and place are put side by side and united in groups of a bounded size within tasks."""
+    order, n = ["k", "size", "strip", "y", "x"], int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    side_by_side = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).select("k", "ways")
+    return written(side_by_side.mapInArrow(overlay.united_batches, _row(dict(rows.dtypes)["k"])), "united")
+
+
 def union_layer(polygons: DataFrame, key: str, rings: str, side: int | None = None) -> DataFrame:
-    """The outline of the union of each key's polygons, as :func:`outline` gives it."""
-    layer = written(segments(polygons, key, rings), "layer")
-    side = side or tile_side(layer)
-    return outline(written(noded(layer, side), "noded"), side)
+    """``k, px, py, qx, qy``: the outline of the union of each key's polygons, as :func:`outline` gives it.
+
+    Groups of a key's neighbours are united first, and the outlines of groups again, so that crossings are found between a few areas at a time however many
+    lie over each other. Keys of one outline are done. When rounds no longer halve the rest, it meets in tiles. With ``side`` all
+    meets at once, in tiles of that side.
+    """
+    if side:
+        layer = written(segments(polygons, key, rings), "layer")
+        return outline(written(noded(layer, side), "noded"), side)
+    rest, n, done = _ways(polygons, key, rings), None, None
+    while True:
+        rows = _round(rest)
+        left = rows.filter("NOT done")
+        several = written(left.groupBy("k").count().filter("count > 1").select("k"), "several")
+        own = rows.filter("done").union(left.join(several, "k", "left_anti").select(*rows.columns))
+        done = own if done is None else done.union(own)
+        rest, before = left.join(several, "k", "left_semi").select(*rows.columns), n
+        n = rest.count()
+        if not n:
+            return done.select("k", F.inline("ways"))
+        if before and 2 * n > before:
+            break
+    layer = written(_netted(rest.select("k", F.lit(1).alias("n"), F.inline("ways"))), "layer")
+    side = tile_side(layer)
+    return done.select("k", F.inline("ways")).union(outline(written(noded(layer, side), "noded"), side))
 
 
 def assembled(edges: DataFrame, key: str, kind: str) -> DataFrame:

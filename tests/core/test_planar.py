@@ -94,3 +94,21 @@ def test_empty_and_geojson(spark):
     one = spark.createDataFrame([(7, [[(0.0, 0.0), (1.5, 0.0), (0.0, 2.0)]])], f"k long, rings {KIND}")
     text = m.union(one, "k", "rings").select(m.multipolygon(F.col("polygons"))).first()[0]
     assert text == '{"type":"MultiPolygon","coordinates":[[[[0.0,0.0],[1.5,0.0],[0.0,2.0],[0.0,0.0]]]]}'
+
+
+def test_many_areas_over_each_other(spark, monkeypatch):
+    """What meets in tiles is the outlines of groups, not all areas, and small keys are done before."""
+    rng, met, noded = random.Random(6), [], m.noded
+    monkeypatch.setattr(m, "noded", lambda layer, side: met.append(layer.count()) or noded(layer, side))
+    given = [("a", [star(rng, rng.uniform(0, 2), rng.uniform(0, 2), 7, 1)]) for _ in range(400)]
+    given += [(k, [[(x, 0), (x + 2, 0), (x + 2, 3), (x, 3)]]) for k in "bcdef" for x in range(3)]
+    given += [("g", [[(0, 0), (1, 0), (1, 1)], [], [(0, 0), (1, 1)], [(0.2, 0.1), (0.8, 0.1), (0.8, 0.5)]])]
+    got = union(spark, given)
+    assert sum(met) < 700
+    for k in "bcdef":
+        assert check_shape(got[k]) == 12 and len(got[k][0]) == 1
+    assert len(got["g"][0]) == 2 and round(check_shape(got["g"]), 6) == 0.5 - 0.12
+    check_shape(got["a"])
+    for _ in range(300):
+        x, y = rng.uniform(-1.2, 3.2), rng.uniform(-1.2, 3.2)
+        assert any(inside(r[0], x, y) for k, r in given if k == "a") == (sum(inside(r, x, y) for rings in got["a"] for r in rings) % 2 == 1)
