@@ -25,6 +25,7 @@ gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -46,26 +47,26 @@ ENDS = frozenset(b".,;:!?\n\x0b\x0c\r")
 CHUNK, VOCABULARY, PART = 1 << 20, 1 << 18, 1 << 22
 #: Runs of the corpus for each cell of a sketch row; cells of a block, at least and at most; bits of one row of the filter.
 LOAD, BLOCK, MAX_BLOCK, FILTER = 16, 1 << 20, 1 << 24, 1 << 28
-#: Runs that become texts and are sent at once.
-SENT = 1 << 15
+#: Places of a chunk that are worked on at once, runs that become texts and are sent at once.
+STEP, SENT = 1 << 16, 1 << 15
 _M1, _M2, _M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
 
 
 class Words(dict):
-    """Numbers of the words of one language within a chunk; 0 ends a piece."""
+    """Numbers of the words of one language within a chunk; 0 ends a piece. Doesn't refer to the chunk, or only the garbage collector would end it."""
 
     def __init__(self, lang: str, chunk: Chunk):
         super().__init__()
-        self.lang, self.chunk, self.seed = lang, chunk, xxhash.xxh3_64_intdigest(lang.encode())
+        self.lang, self.seed = lang, xxhash.xxh3_64_intdigest(lang.encode())
+        self.words, self.langs, self.hashes = chunk.words, chunk.langs, chunk.hashes
 
     def __missing__(self, token: bytes) -> int:
         if token[0] in ENDS:
             return 0
-        c = self.chunk
-        self[token] = n = len(c.words)
-        c.words.append(token)
-        c.langs.append(self.lang)
-        c.hashes.append(xxhash.xxh3_64_intdigest(token, self.seed))
+        self[token] = n = len(self.words)
+        self.words.append(token)
+        self.langs.append(self.lang)
+        self.hashes.append(xxhash.xxh3_64_intdigest(token, self.seed))
         return n
 
 
@@ -73,12 +74,13 @@ class Chunk:
     """Some texts as numbers of words."""
 
     def __init__(self):
-        self.words, self.langs, self.hashes, self.by_lang, self.parts, self.n = [b""], [""], [0], {}, [], 0
+        self.words, self.langs, self.hashes, self.by_lang, self.numbers, self.n = [b""], [""], array("Q", [0]), {}, array("i"), 0
 
     def add(self, lang: str, text: bytes) -> None:
         words = self.by_lang.get(lang) or self.by_lang.setdefault(lang, Words(lang, self))
         tokens = TOKEN.findall(text)
-        self.parts += [np.fromiter(map(words.__getitem__, tokens), np.int32, len(tokens)), np.zeros(1, np.int32)]
+        self.numbers.extend(map(words.__getitem__, tokens))
+        self.numbers.append(0)
         self.n += len(tokens)
 
     @property
@@ -86,24 +88,26 @@ class Chunk:
         return self.n >= CHUNK or len(self.words) >= VOCABULARY
 
     def ids(self) -> np.ndarray:
-        return np.concatenate(self.parts)
+        return np.frombuffer(self.numbers, np.int32)
 
     def runs(self, ids: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """``words, starts, hashes`` of all runs, by their number of words."""
-        one = np.array(self.hashes, np.uint64)[ids]
-        h, alive = one, ids > 0
-        inside = alive
-        for n in range(1, MAX_WORDS + 1):
-            if n > 1:
-                h = h[:-1] * _M1 + one[n - 1 :]
-                h ^= h >> np.uint64(29)
-                h *= _M2
-                h ^= h >> np.uint64(32)
-                alive = alive[:-1] & inside[n - 1 :]
-            at = np.flatnonzero(alive)
-            if not len(at):
-                return
-            yield n, at, h[at]
+        """``words, starts, hashes`` of all runs, by their number of words for every ``STEP`` starts."""
+        hashes = np.frombuffer(self.hashes, np.uint64)
+        for first in range(0, len(ids), STEP):
+            some = ids[first : first + STEP + MAX_WORDS - 1]
+            one = h = hashes[some]
+            inside = alive = some > 0
+            for n in range(1, MAX_WORDS + 1):
+                if n > 1:
+                    h = h[:-1] * _M1 + one[n - 1 :]
+                    h ^= h >> np.uint64(29)
+                    h *= _M2
+                    h ^= h >> np.uint64(32)
+                    alive = alive[:-1] & inside[n - 1 :]
+                at = np.flatnonzero(alive[:STEP])
+                if not len(at):
+                    break
+                yield n, (at + first).astype(np.int32), h[at]
 
 
 def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
@@ -163,19 +167,29 @@ def sketch_shape(n_runs: int) -> tuple[int, int]:
 def heavy_filter(texts: DataFrame, least: int, width: int, block: int) -> list[bytes]:
     """For each row of the merged sketch the bits of its cells of ``least`` or more, folded to at most ``FILTER``."""
     folded, kind = min(width, FILTER), np.uint32 if width <= 1 << 32 else np.uint64
+    starts = np.arange(1, width // block, dtype=kind) * kind(block)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         worker_state(("collocations",), dict)  # what another operator left in this worker goes
         for chunk in chunks(batches):
-            h = [x for _, _, x in chunk.runs(chunk.ids())]
-            for row in (0, 1):
-                at, n = tally(np.concatenate([np.zeros(0, kind), *(cells(x, row, width).astype(kind) for x in h)]))
-                n = np.minimum(n, least)
-                blocks, first = np.unique(at // block, return_index=True)
-                data = [pack(a - b * block, c) for b, a, c in zip(blocks.tolist(), np.split(at, first[1:]), np.split(n, first[1:]), strict=True)]
+            ids = chunk.ids()
+            for row in (0, 1):  # hashing again is cheaper than holding the hashes
+                met, n = np.empty(MAX_WORDS * len(ids), kind), 0
+                for _, _, h in chunk.runs(ids):
+                    met[n : n + len(h)] = cells(h, row, width)
+                    n += len(h)
+                met = met[:n]
+                met.sort()
+                places, blocks, data = [], [], []
+                for b, some in enumerate(np.split(met, np.searchsorted(met, starts))):
+                    if len(some):
+                        at, count = tally(some)
+                        places.append((b * block) % folded)
+                        blocks.append(b)
+                        data.append(pack(at - b * block, np.minimum(count, least)))
                 if data:
-                    place = (blocks * block) % folded
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(data), row, np.int32)), pa.array(place), pa.array(blocks), pa.array(data, pa.binary())], ["row", "place", "block", "data"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(data), row, np.int32)), pa.array(places, pa.int64()), pa.array(blocks, pa.int64()), pa.array(data, pa.binary())], ["row", "place", "block", "data"])
+            del chunk, ids, met, some  # before the next chunk is made
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Blocks arrive in order of their place in the filter; only one is held."""
@@ -208,6 +222,16 @@ def heavy_filter(texts: DataFrame, least: int, width: int, block: int) -> list[b
     return [x.tobytes() for x in found]
 
 
+def _by_hash(at: np.ndarray, h: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Runs in parts of about ``STEP``; those of one hash are in the same part."""
+    n = -(-len(h) // STEP)
+    part = ((h >> np.uint64(32)) % np.uint64(max(1, n))).astype(np.uint32)
+    for p in range(n):
+        some = np.flatnonzero(part == p)
+        if len(some):
+            yield at[some], h[some]
+
+
 def _exact(chunk: Chunk, ids: np.ndarray, n: int, at: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Runs as rows of word numbers, with their counts in the chunk."""
     order = np.argsort(h, kind="stable")
@@ -244,15 +268,20 @@ def run_counts(texts: DataFrame, bits: list[bytes], width: int) -> DataFrame:
             for lang, n in zip(chunk.langs[1:], np.bincount(ids, minlength=len(chunk.words))[1:].tolist(), strict=True):
                 totals[lang] += n
             yield _counted([*totals], 0, [None] * len(totals), [*totals.values()])
+            kept = [([np.zeros(0, np.int32)], [np.zeros(0, np.uint64)]) for _ in range(MAX_WORDS)]
             for n, at, h in chunk.runs(ids):
                 for row in (0, 1):
-                    kept = passing(h, row)
-                    at, h = at[kept], h[kept]
-                if len(at):
+                    passed = passing(h, row)
+                    at, h = at[passed], h[passed]
+                kept[n - 1][0].append(at)
+                kept[n - 1][1].append(h)
+            for n in range(MAX_WORDS, 0, -1):
+                for at, h in _by_hash(*map(np.concatenate, kept.pop())):
                     runs, counts = _exact(chunk, ids, n, at, h)
                     for first in range(0, len(runs), SENT):
                         part = runs[first : first + SENT].tolist()
                         yield _counted([chunk.langs[r[0]] for r in part], n, [b" ".join([chunk.words[w] for w in r]) for r in part], counts[first : first + SENT])
+            del chunk, ids
 
     def _counted(langs, n, phrases, counts) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(np.full(len(langs), n, np.int32)), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64())], ["lang", "words", "phrase", "a"])

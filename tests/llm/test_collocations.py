@@ -1,3 +1,4 @@
+import gc
 import re
 import tracemalloc
 from collections import Counter, defaultdict
@@ -112,3 +113,57 @@ def test_what_a_worker_holds(spark, monkeypatch):
     m.run_counts(texts, [b"\xff" * 8] * 2, 64)
     assert ("other",) not in common._LIVE and max(b.num_rows for b in kept) <= 7
     assert Counter(p for b in kept for p in b.column("words").to_pylist()) == {0: 1, 1: 11, 2: 11, 3: 11, 4: 10}
+
+
+def in_workers(least, width, block, bits):
+    """What the tasks of both passes run."""
+    found = []
+
+    def taken(run, schema):
+        found.append(run)
+        raise LookupError
+
+    texts = SimpleNamespace(mapInArrow=taken, sparkSession=SimpleNamespace(sparkContext=SimpleNamespace(broadcast=lambda bits: SimpleNamespace(value=bits), defaultParallelism=1)), rdd=SimpleNamespace(getNumPartitions=lambda: 1))
+    for call in (lambda: m.heavy_filter(texts, least, width, block), lambda: m.run_counts(texts, bits, width)):
+        with pytest.raises(LookupError):
+            call()
+    return found
+
+
+@pytest.mark.parametrize("step", [1, 2, 5, 1 << 16])
+def test_runs_across_steps(monkeypatch, step):
+    """Runs that reach into later steps count once; those of one and two words also where the chunk has none of three or four."""
+    monkeypatch.setattr(m, "STEP", step, raising=False)
+    _, exact = in_workers(2, 64, 64, [b"\xff" * 8] * 2)
+    for texts in (["a. b! a", "b a."], ["a b a b a b a; c a b a b", "", "a b a b a"]):
+        want = Counter()
+        for piece in re.split("[.!;\n]", "\n".join(texts)):
+            w = piece.split()
+            want.update((n, " ".join(w[i : i + n])) for n in range(1, 5) for i in range(len(w) - n + 1))
+        want[0, None] = sum(a for (n, _), a in want.items() if n == 1)
+        got = Counter()
+        for b in exact(iter([pa.RecordBatch.from_pydict({"lang": ["en"] * len(texts), "text": texts})])):
+            for r in b.to_pylist():
+                got[r["words"], r["phrase"]] += r["a"]
+        assert got == want
+
+
+@pytest.mark.parametrize("which", [0, 1])
+def test_passes_hold_one_chunk_and_a_step(monkeypatch, which):
+    """Memory of a pass by its chunk: no arrays of eight bytes for each run, and a finished chunk goes without the garbage collector."""
+    monkeypatch.setattr(m, "CHUNK", 1 << 16)
+    monkeypatch.setattr(m, "STEP", 1 << 12, raising=False)
+    run = in_workers(30, 1 << 20, 1 << 16, [b"\xff" * (1 << 17)] * 2)[which]
+    words = np.char.add("w", np.random.default_rng(2).integers(0, 10_000, (200, 1000)).astype(str))
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * 200, "text": [" ".join(w) for w in words]})
+    gc.collect()
+    gc.disable()
+    tracemalloc.start()
+    try:
+        for _ in run(iter([batch])):
+            pass
+        held = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+        gc.enable()
+    assert held < 125 * m.CHUNK, held / m.CHUNK
